@@ -92,7 +92,11 @@ def resolve_inventory(snap: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 def load_inventory(snap: DataFrame, dims: dict[str, DataFrame], current: DataFrame | None = None,
                    run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """FL1 + FL4: (fato_inventario_patio, late-key rejects)."""
-    tagged = resolve_inventory(snap, dims)
+    return split_inventory(resolve_inventory(snap, dims), current, run_ts)
+
+
+def split_inventory(tagged: DataFrame, current: DataFrame | None = None,
+                    run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     fact = tagged.where(F.col("_reason").isNull()).select(
         "sk_tempo_referencia", "sk_patio", "sk_veiculo", "sk_grupo",
         F.lit(1).alias("qtde_veiculos_presentes"))
@@ -134,7 +138,11 @@ RENTAL_COLUMNS = ["nk_frota_origem", "nk_id_locacao", "sk_tempo_retirada", "sk_t
 def load_rental(loc: DataFrame, dims: dict[str, DataFrame], current: DataFrame | None = None,
                 run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """FL2 + FL4 (+ FL5: no pick-up date key, no row)."""
-    tagged = resolve_rental(loc, dims)
+    return split_rental(resolve_rental(loc, dims), current, run_ts)
+
+
+def split_rental(tagged: DataFrame, current: DataFrame | None = None,
+                 run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     fact = (tagged.where(F.col("_reason").isNull()).withColumn("qtde_locacoes", F.lit(1))
             .select(*RENTAL_COLUMNS))
     rej = _rejects(tagged, "stg_conf_locacao", "nk_id_locacao", run_ts)
@@ -178,7 +186,11 @@ RESERVATION_COLUMNS = ["nk_frota_origem", "nk_id_reserva", "sk_tempo_reserva", "
 def load_reservation(res: DataFrame, dims: dict[str, DataFrame], current: DataFrame | None = None,
                      run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """FL3 + FL4."""
-    tagged = resolve_reservation(res, dims)
+    return split_reservation(resolve_reservation(res, dims), current, run_ts)
+
+
+def split_reservation(tagged: DataFrame, current: DataFrame | None = None,
+                      run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     fact = (tagged.where(F.col("_reason").isNull())
             .withColumn("dd_status_reserva", F.col("status_reserva"))
             .withColumn("qtde_reservas", F.lit(1)).select(*RESERVATION_COLUMNS))

@@ -23,3 +23,6 @@ def _mart(fn):
 
 for _name, _fn in MARTS.items():
     QUERIES[_name] = _mart(_fn)
+
+# queries the benchmark times besides the marts (id -> True)
+BENCH: dict[str, bool] = {}
