@@ -26,3 +26,7 @@ for _name, _fn in MARTS.items():
 
 # queries the benchmark times besides the marts (id -> True)
 BENCH: dict[str, bool] = {}
+
+from locastar.plans.operator_queries import OPERATOR_QUERIES  # noqa: E402
+
+QUERIES.update(OPERATOR_QUERIES)
