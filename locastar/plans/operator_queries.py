@@ -454,7 +454,7 @@ def s5_replace_day(spark, sf_dir):
     path = scratch_path(spark, "s5-" + uuid.uuid4().hex)
     M.replace_slice(snap, path, ["nk_frota_origem", "data_snapshot"])
     day = AS_OF - dt.timedelta(days=1)
-    again = snap.where((F.col("data_snapshot") == F.lit(day)) & (F.col("nk_id_veiculo") % 2 == 0))
+    again = snap.where((F.col("data_snapshot") == F.lit(day)) & (F.col("nk_id_veiculo") % 3 == 1))
     M.replace_slice(again, path, ["nk_frota_origem", "data_snapshot"])
     return spark.read.parquet(path).select("nk_frota_origem", "nk_id_patio", "nk_id_veiculo",
                                            F.col("data_snapshot").cast("date").alias("data_snapshot"))

@@ -32,7 +32,8 @@ cls AS (SELECT p_type, CAST(dense_rank() OVER (ORDER BY p_type) AS BIGINT) AS gi
 nc AS (SELECT count(*) AS n FROM cls),
 pc AS (SELECT p.p_partkey, c.gid, c.gname, c.rate FROM part p JOIN cls c USING (p_type)),
 rent AS (
-  SELECT fl.fleet AS empresa, l.l_orderkey * 8 + l.l_linenumber AS rid, o.o_custkey AS cust,
+  SELECT fl.fleet AS empresa, fl.idx, l.l_orderkey AS k, l.l_linenumber AS ln,
+         l.l_orderkey * 8 + l.l_linenumber AS rid, o.o_custkey AS cust,
          l.l_partkey AS veh, pc.gid, pc.gname, pc.rate, l.l_suppkey AS y_out,
          CASE WHEN l.l_linestatus = 'F' THEN (l.l_suppkey + l.l_linenumber) % (SELECT n FROM ny) END AS y_in,
          CAST(l.l_shipdate AS DATE) AS d_ret,
@@ -43,8 +44,11 @@ rent AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN pc ON pc.p_partkey = l.l_partkey JOIN fl ON fl.idx = l.l_orderkey % 4),
 resv AS (
-  SELECT fl.fleet AS empresa, o.o_orderkey AS rid, o.o_custkey AS cust,
+  SELECT fl.fleet AS empresa, fl.idx, o.o_orderkey AS rid, o.o_custkey AS cust,
          1 + o.o_orderkey % (SELECT n FROM nc) AS gid, o.o_orderkey % (SELECT n FROM ny) AS y_out,
+         o.o_custkey % (SELECT n FROM ny) AS y_end,
+         CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 AS INTEGER)
+           + CAST(o.o_orderkey % 12 AS INTEGER) AS d_dev,
          CAST(o.o_orderdate AS DATE) AS d_res,
          CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 AS INTEGER) AS d_ret,
          CAST(o.o_orderkey % 12 AS BIGINT) AS dur,
@@ -187,4 +191,338 @@ def _full(body: str) -> str:
     return "WITH " + BASE + body
 
 
+
+
+FLEET_LIST = "['guilherme-hu', 'gupessanha', 'p-rique', 'valviessejoao']"
+K32 = 4294967296
+
+
+def pick(k: str, values) -> str:
+    items = ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values)
+    return f"(CAST([{items}] AS VARCHAR[]))[({k}) % {len(values)} + 1]"
+
+
+def fleet(k: str) -> str:
+    return f"({FLEET_LIST})[({k}) % 4 + 1]"
+
+
+def blank_to(x: str, d: str) -> str:
+    return f"coalesce(nullif(trim({x}), ''), '{d}')"
+
+
+def dkey(d: str) -> str:
+    return f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INTEGER)"
+
+
+def s(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+RUN_TS = "TIMESTAMP '2000-01-01 02:00:00'"
+SLOTS = "slots AS (SELECT p_partkey % (SELECT n FROM ny) AS y, count(*) AS n FROM part GROUP BY 1)"
+TRANS = ("CASE upper(trim({x})) WHEN 'MANUAL' THEN 'MANUAL' WHEN 'AUTOMATICO' THEN 'AUTOMATICO' "
+         "WHEN 'AUTOMÁTICO' THEN 'AUTOMATICO' WHEN 'AUTOMATICA' THEN 'AUTOMATICO' "
+         "WHEN 'AUTOMÁTICA' THEN 'AUTOMATICO' ELSE 'NÃO INFORMADO' END")
+F3_STATUS = ("CASE upper(trim(coalesce({x}, ''))) WHEN 'ATIVO' THEN 'ATIVA' WHEN 'ATIVA' THEN 'ATIVA' "
+             "WHEN 'ACTIVE' THEN 'ATIVA' WHEN 'ABERTA' THEN 'ATIVA' WHEN 'CANCELADO' THEN 'CANCELADA' "
+             "WHEN 'CANCELADA' THEN 'CANCELADA' WHEN 'CANCEL' THEN 'CANCELADA' "
+             "WHEN 'CONVERTIDO' THEN 'CONVERTIDA' WHEN 'CONVERTIDA' THEN 'CONVERTIDA' "
+             "WHEN 'CONCLUIDO' THEN 'CONVERTIDA' WHEN 'CONCLUIDA' THEN 'CONVERTIDA' "
+             "WHEN 'FINALIZADO' THEN 'CONVERTIDA' WHEN 'FINALIZADA' THEN 'CONVERTIDA' "
+             "ELSE coalesce(trim({x}), 'ATIVA') END")
+DW_STATUS = ("CASE upper(trim(coalesce({x}, ''))) WHEN 'ATIVA' THEN 'ATIVA' WHEN 'CANCELADA' THEN 'CANCELADA' "
+             "WHEN 'CONVERTIDA' THEN 'CONVERTIDA' ELSE 'ATIVA' END")
+RAW_T7 = ("manual", "AUTOMATICA", "Automático", " automatico ", "automática", "CVT", None)
+RAW_S16 = ("ativo", "Ativa", "ACTIVE", "aberta", "cancelado", "CANCELADA", "cancel", "convertido",
+           "Convertida", "concluido", "CONCLUIDA", "finalizado", "Finalizada", "pendente", "  ", None)
+
+FAULTY_RES = f"""
+fr0 AS (SELECT o_orderkey AS k, {fleet('o_orderkey')} AS f,
+               CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS cust,
+               CASE WHEN o_orderkey % 19 <> 0 THEN o_orderkey % (SELECT n FROM nc) + 1 END AS gid,
+               CASE WHEN o_orderkey % 23 <> 0 THEN o_orderkey % (SELECT n FROM ny) END AS y1,
+               CASE WHEN o_orderkey % 29 <> 0 THEN o_custkey % (SELECT n FROM ny) END AS y2,
+               CASE WHEN o_orderkey % 31 <> 0 THEN CAST(o_orderdate AS DATE) END AS d0,
+               CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER) AS ret_full
+        FROM orders),
+fr AS (SELECT *, CASE WHEN k % 37 <> 0 THEN ret_full END AS ret,
+              CASE WHEN k % 41 <> 0 THEN ret_full + CAST(k % 12 - 1 AS INTEGER) END AS dev FROM fr0),
+frr AS (SELECT *, CASE WHEN cust IS NULL THEN 'Reserva sem cliente'
+                       WHEN gid IS NULL THEN 'Reserva sem grupo'
+                       WHEN y1 IS NULL THEN 'Reserva sem pátio de retirada'
+                       WHEN y2 IS NULL THEN 'Reserva sem pátio de fim'
+                       WHEN d0 IS NULL THEN 'Reserva sem data de reserva'
+                       WHEN ret IS NULL THEN 'Reserva sem data de retirada prevista'
+                       WHEN dev IS NULL THEN 'Reserva sem data de devolução prevista'
+                       WHEN dev <= ret THEN 'Data devolução <= data retirada'
+                       WHEN date_diff('day', ret, dev) < 1 THEN 'Duração prevista inválida (< 1 dia)' END AS motivo
+        FROM fr),
+flr AS (SELECT l_orderkey * 8 + l_linenumber AS rid, {fleet('l_orderkey')} AS f, CAST(l_shipdate AS DATE) AS ship,
+               CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) + CAST(l_orderkey % 10 - 3 AS INTEGER) END AS rl
+        FROM lineitem)
+"""
+REJECT_LOG = f"""
+rlog AS (SELECT 'stg_' || replace(f, '-', '_') || '_reserva' AS tabela_origem, f AS nk_frota_origem,
+                k AS nk_id_registro, motivo AS motivo_rejeito, {RUN_TS} AS dt_rejeito
+         FROM frr WHERE motivo IS NOT NULL
+         UNION ALL
+         SELECT 'stg_' || replace(f, '-', '_') || '_locacao', f, rid,
+                'Data devolução real anterior à retirada', {RUN_TS}
+         FROM flr WHERE rl IS NOT NULL AND rl < ship)
+"""
+ADDR = f"""
+cities AS (SELECT DISTINCT trim(n.n_name) AS cidade, 'XX' AS estado, 'Brasil' AS pais FROM nation n
+           WHERE n.n_nationkey IN (SELECT s_nationkey FROM supplier)
+              OR n.n_nationkey IN (SELECT c_nationkey FROM customer)),
+addr AS (SELECT CAST(row_number() OVER (ORDER BY cidade, estado, pais) AS BIGINT) AS sk_endereco, * FROM cities)
+"""
+QC = [("dim_endereco", "uk_endereco"), ("dim_endereco", "pk"), ("dim_cliente", "pk"), ("dim_cliente", "uk_nk"),
+      ("dim_cliente", "fk_endereco"), ("dim_cliente", "ck_tipo"), ("dim_veiculo", "pk"), ("dim_veiculo", "uk_nk"),
+      ("dim_veiculo", "ck_mecanizacao"), ("dim_grupo", "pk"), ("dim_grupo", "uk_nk"), ("dim_grupo", "ck_valor_diaria"),
+      ("dim_patio", "pk"), ("dim_patio", "uk_nk"), ("dim_patio", "fk_endereco"), ("dim_tempo", "pk"),
+      ("dim_tempo", "uk_data"), ("fato_inventario_patio", "pk"), ("fato_inventario_patio", "ck_qtde"),
+      ("fato_inventario_patio", "fk_patio"), ("fato_locacao", "pk"), ("fato_locacao", "ck_valor"),
+      ("fato_locacao", "ck_qtde"), ("fato_locacao", "fk_cliente"), ("fato_locacao", "fk_patio_devolucao"),
+      ("fato_reserva", "pk"), ("fato_reserva", "ck_status"), ("fato_reserva", "ck_duracao"),
+      ("fato_reserva", "ck_valor"), ("fato_reserva", "fk_grupo")]
+QC_VALUES = ",\n".join(
+    f"('{t}', '{c}', CAST({'(SELECT count(*) - count(DISTINCT (empresa, rid)) FROM rent)' if (t, c) == ('fato_locacao', 'pk') else 0} AS BIGINT))"
+    for t, c in QC)
+
+OPS = {
+    "c1_capitalise": f"SELECT p_partkey, {cap('p_name')} AS modelo, {cap('p_type')} AS grupo FROM part",
+    "c2_blank_sentinel": f"""
+SELECT c.c_custkey,
+       {blank_to("CASE c.c_custkey % 4 WHEN 0 THEN '   ' WHEN 1 THEN NULL ELSE '  ' || n.n_name || ' ' END", 'NÃO INFORMADO')} AS end_cidade,
+       {blank_to("CASE WHEN c.c_custkey % 3 = 0 THEN '' ELSE 'sp' END", 'XX')} AS end_uf
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    "c3_capacity_sentinel": f"""WITH ny AS (SELECT count(*) AS n FROM supplier), {SLOTS}
+SELECT s.s_suppkey AS nk_id_patio,
+       CAST(coalesce(CASE WHEN s.s_suppkey % 5 <> 0 THEN sl.n END, -1) AS BIGINT) AS capacidade_vagas
+FROM supplier s LEFT JOIN slots sl ON sl.y = s.s_suppkey""",
+    "c4_customer_type": f"""
+SELECT c_custkey AS nk_id_cliente,
+       CASE WHEN upper(trim(t)) IN ('PF', 'PJ') THEN upper(trim(t)) END AS tipo_cliente,
+       CASE WHEN upper(trim(t)) IN ('PF', 'PJ') THEN NULL ELSE 'Cliente sem tipo_cliente válido' END AS motivo_rejeito
+FROM (SELECT c_custkey, {pick('c_custkey', (' pf ', 'PJ', 'pj', 'XX', None))} AS t FROM customer)""",
+    "c5_transmission_map": f"""
+SELECT p_partkey, t AS mecanizacao_origem, {TRANS.format(x='t')} AS mecanizacao
+FROM (SELECT p_partkey, {pick('p_size', RAW_T7)} AS t FROM part)""",
+    "c6_status_map": f"""
+SELECT k AS nk_id_reserva, e AS status_extraido, {DW_STATUS.format(x='e')} AS status_reserva
+FROM (SELECT k, {F3_STATUS.format(x='r')} AS e
+      FROM (SELECT o_orderkey AS k, {pick('o_orderkey', RAW_S16)} AS r FROM orders))""",
+    "c7_duration": """
+SELECT k AS nk_id_reserva, CAST(date_diff('day', ret, dev) AS BIGINT) AS duracao_prevista_dias,
+       CAST(greatest(date_diff('day', ret, dev), 1) AS BIGINT) AS duracao_minima_1
+FROM (SELECT k, ret, ret + CAST(k % 12 - 2 AS INTEGER) AS dev
+      FROM (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER) AS ret FROM orders))""",
+    "c8_planned_value": with_base(""",
+rates AS (SELECT gid, CASE WHEN gid % 4 <> 0 THEN rate END AS rate FROM cls)
+SELECT o.o_orderkey AS nk_id_reserva,
+       CAST(CAST(o.o_orderkey % 12 AS DECIMAL(10,0)) * coalesce(r.rate, 0) AS DECIMAL(12,2)) AS valor_previsto_reserva
+FROM orders o LEFT JOIN rates r ON r.gid = o.o_orderkey % (SELECT n FROM nc) + 1"""),
+    "c9_clamp_value": """
+SELECT l_orderkey, l_linenumber,
+       CAST(greatest(coalesce(CASE WHEN l_linenumber <> 7
+                                   THEN CAST(l_extendedprice AS DECIMAL(14,2)) - 50000 END, 0), 0) AS DECIMAL(14,2)) AS valor_final
+FROM lineitem""",
+    "c15_name_fallback": f"""
+SELECT s_suppkey AS nk_id_patio,
+       {cap("coalesce(nullif(trim(CASE WHEN s_suppkey % 3 <> 0 THEN s_name END), ''), nullif(trim(CASE WHEN s_suppkey % 2 <> 0 THEN 'cod-' || CAST(s_suppkey AS VARCHAR) END), ''), 'PATIO ' || CAST(s_suppkey AS VARCHAR))")} AS nome_patio
+FROM supplier""",
+    "c16_plate": """
+SELECT p_partkey, upper(trim(r)) AS placa, coalesce(nullif(upper(trim(r)), ''), 'SEM PLACA') AS placa_f4
+FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '  ' WHEN 1 THEN NULL
+                             ELSE ' ab' || CAST(p_partkey AS VARCHAR) || ' ' END AS r FROM part)""",
+    "c17_text_defaults": f"""
+SELECT p_partkey, {cap("coalesce(CASE WHEN p_partkey % 5 <> 0 THEN p_brand END, 'NÃO INFORMADO')")} AS marca,
+       coalesce(CASE WHEN p_size % 3 <> 0 THEN p_size % 2 = 0 END, false) AS tem_ar_condicionado
+FROM part""",
+    "c10_date_order": with_base(f", {FAULTY_RES} SELECT rid AS nk_id_locacao, NOT (rl IS NOT NULL AND rl < ship) AS data_valida FROM flr"),
+    "c11_first_reason": with_base(f", {FAULTY_RES} SELECT k AS nk_id_reserva, motivo AS motivo_rejeito FROM frr"),
+    "c12_accept_reject_split": with_base(f""", {FAULTY_RES}
+SELECT f AS nk_frota_origem, CAST(count(*) FILTER (WHERE motivo IS NULL) AS BIGINT) AS aceitas,
+       CAST(count(*) FILTER (WHERE motivo IS NOT NULL) AS BIGINT) AS rejeitadas
+FROM frr GROUP BY ALL"""),
+    "c13_warn_and_load": with_base(f""",
+g AS (SELECT fl.fleet AS nk_frota_origem, c.gid AS nk_id_grupo, c.p_type,
+             CASE c.gid % 3 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DECIMAL(12,2)) ELSE c.rate END AS v
+      FROM cls c CROSS JOIN fl)
+SELECT nk_frota_origem, nk_id_grupo,
+       {cap("coalesce(nullif(trim(p_type), ''), 'GRUPO ' || CAST(nk_id_grupo AS VARCHAR))")} AS nome_grupo,
+       CAST(coalesce(v, 0) AS DECIMAL(12,2)) AS valor_diaria,
+       CASE WHEN v IS NULL OR v = 0 THEN 'Grupo sem valor_diaria vigente; será carregado com valor 0,00' END AS aviso
+FROM g"""),
+    "c14_reject_json": with_base(f""", {FAULTY_RES}
+SELECT 'stg_' || replace(f, '-', '_') || '_reserva' AS tabela_origem, k AS nk_id_registro, motivo AS motivo_rejeito,
+       json_object('nk_id_reserva', k, 'nk_id_cliente', cust, 'nk_id_grupo', gid, 'nk_id_patio_retirada', y1,
+                   'nk_id_patio_fim', y2, 'data_reserva', d0, 'data_retirada_prevista', ret,
+                   'data_devolucao_prevista', dev) AS dados_json
+FROM frr WHERE motivo IS NOT NULL"""),
+    "g9_reject_summary": with_base(f""", {FAULTY_RES}, {REJECT_LOG}
+SELECT tabela_origem, CAST(count(*) AS BIGINT) AS total_rejeitos, min(dt_rejeito) AS primeiro_rejeito,
+       max(dt_rejeito) AS ultimo_rejeito,
+       string_agg(DISTINCT motivo_rejeito, ' | ' ORDER BY motivo_rejeito) AS motivos
+FROM rlog GROUP BY tabela_origem"""),
+    "o6_latest_rejects": with_base(f""", {FAULTY_RES}, {REJECT_LOG}
+SELECT tabela_origem, nk_frota_origem, nk_id_registro, motivo_rejeito FROM rlog
+ORDER BY dt_rejeito DESC, tabela_origem, nk_frota_origem, nk_id_registro DESC, motivo_rejeito LIMIT 50"""),
+    "qc_constraint_audit": with_base(f"""
+SELECT * FROM (VALUES {QC_VALUES}) AS t(tabela, restricao, violacoes)"""),
+    "s1_full_extract": f"""WITH ny AS (SELECT count(*) AS n FROM supplier), {SLOTS}
+SELECT 'gupessanha' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
+       CAST(sl.n AS BIGINT) AS capacidade_vagas,
+       left(concat_ws(' ', {", ".join(["s.s_name"] * 12)}), 150) AS endereco,
+       CAST(NULL AS VARCHAR) AS end_cidade, CAST(NULL AS VARCHAR) AS end_uf
+FROM supplier s LEFT JOIN slots sl ON sl.y = s.s_suppkey""",
+    "s2_incremental_cut": with_base("""
+SELECT empresa AS nk_frota_origem, rid AS nk_id_locacao, d_ret AS data_retirada, d_real AS data_real_devolucao
+FROM rent WHERE d_ret >= DATE '1999-06-01' OR d_real >= DATE '1999-06-01'"""),
+    "x_subclass_merge": """
+SELECT c_custkey AS nk_id_cliente, CASE WHEN c_custkey % 3 <> 0 THEN 'PF' ELSE 'PJ' END AS tipo_cliente,
+       CASE WHEN c_custkey % 3 <> 0 THEN c_name ELSE 'NF ' || c_name END AS nome,
+       CASE WHEN c_custkey % 3 <> 0 THEN 'CPF' ELSE 'CNPJ' END || CAST(c_custkey AS VARCHAR) AS documento
+FROM customer""",
+    "x_slot_count": f"""WITH ny AS (SELECT count(*) AS n FROM supplier), {SLOTS}
+SELECT s.s_suppkey AS nk_id_patio, CAST(coalesce(sl.n, 0) AS BIGINT) AS capacidade_vagas
+FROM supplier s LEFT JOIN slots sl ON sl.y = s.s_suppkey""",
+    "x_extension_sum": """
+SELECT o.o_orderkey AS nk_id_locacao,
+       CAST(o.o_orderdate AS DATE) + 7 + CAST(coalesce(e.d, 0) AS INTEGER) AS data_prev_devolucao
+FROM orders o LEFT JOIN (SELECT l_orderkey, sum(l_linenumber) AS d FROM lineitem WHERE l_linenumber >= 6
+                         GROUP BY 1) e ON e.l_orderkey = o.o_orderkey""",
+    "x_charge_sum": """
+SELECT o.o_orderkey AS nk_id_locacao, CAST(coalesce(c.v, 0) AS DECIMAL(22,2)) AS valor_final
+FROM orders o LEFT JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS v FROM lineitem
+                         WHERE l_returnflag IN ('A', 'N') GROUP BY 1) c ON c.l_orderkey = o.o_orderkey""",
+    "x_return_chain": """WITH ny AS (SELECT count(*) AS n FROM supplier),
+r AS (SELECT l_orderkey, l_partkey AS slot,
+             CAST(l_shipdate AS DATE) + CAST(l_orderkey % 10 AS INTEGER) AS d FROM lineitem WHERE l_linestatus = 'F'),
+r1 AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY d DESC, slot ASC) AS rn FROM r)
+SELECT o.o_orderkey AS nk_id_locacao, r1.d AS data_devolucao, r1.slot % (SELECT n FROM ny) AS patio_devolucao
+FROM orders o LEFT JOIN r1 ON r1.l_orderkey = o.o_orderkey AND r1.rn = 1""",
+    "sn1_slot_snapshot": with_base("""
+SELECT 'guilherme-hu' AS nk_frota_origem, p_partkey % (SELECT n FROM ny) AS nk_id_patio, p_partkey AS nk_id_veiculo,
+       gid AS nk_id_grupo, DATE '1999-12-31' AS data_snapshot
+FROM pc WHERE p_partkey % 3 <> 0"""),
+    "sn2_asof_yard": with_base(""",
+v AS (SELECT p.p_partkey, pc.gid, p.p_partkey % (SELECT n FROM ny) AS home FROM part p JOIN pc USING (p_partkey)
+      WHERE p.p_size % 10 <> 0),
+lr AS (SELECT l_orderkey * 8 + l_linenumber AS rid, l_partkey AS veh, l_linestatus AS st, CAST(l_shipdate AS DATE) AS ship,
+              CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) + CAST(l_orderkey % 10 AS INTEGER) END AS rl,
+              (l_suppkey + l_linenumber) % (SELECT n FROM ny) AS y FROM lineitem),
+last AS (SELECT veh, y FROM (SELECT veh, y, row_number() OVER (PARTITION BY veh ORDER BY rl DESC, rid DESC, y DESC) AS rn
+                             FROM lr WHERE st = 'F' AND rl <= DATE '1995-03-01') WHERE rn = 1),
+opn AS (SELECT veh FROM lr WHERE st <> 'F' AND ship <= DATE '1995-03-01')
+SELECT 'gupessanha' AS nk_frota_origem, coalesce(last.y, v.home) AS nk_id_patio, v.p_partkey AS nk_id_veiculo,
+       v.gid AS nk_id_grupo, DATE '1995-03-01' AS data_snapshot
+FROM v LEFT JOIN last ON last.veh = v.p_partkey
+WHERE v.p_partkey NOT IN (SELECT veh FROM opn)"""),
+    "sn3_slot_id_snapshot": with_base("""
+SELECT 'p-rique' AS nk_frota_origem, p_partkey % (SELECT n FROM ny) AS nk_id_patio, p_partkey AS nk_id_veiculo,
+       gid AS nk_id_grupo, DATE '2000-01-01' AS data_snapshot
+FROM pc WHERE p_partkey % 4 <> 0"""),
+    "sn4_status_snapshot": with_base(f"""
+SELECT 'valviessejoao' AS nk_frota_origem, p.p_partkey % (SELECT n FROM ny) AS nk_id_patio, p.p_partkey AS nk_id_veiculo,
+       pc.gid AS nk_id_grupo, DATE '2000-01-01' AS data_snapshot
+FROM part p JOIN pc USING (p_partkey)
+WHERE {pick('p.p_size', ('DISPONIVEL', 'ALUGADO', 'MANUTENCAO', None))} <> 'ALUGADO'"""),
+    "j7_null_aware_anti": """
+SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')""",
+    "d1_address_dim": f"WITH {ADDR} SELECT sk_endereco, cidade, estado, pais FROM addr",
+    "d2_scd1_upsert": f"""
+SELECT CAST({K32} + c_custkey AS BIGINT) AS sk_cliente, 'guilherme-hu' AS nk_frota_origem, c_custkey AS nk_id_cliente,
+       'PF' AS tipo_cliente, c_name AS nome FROM customer""",
+    "d3_address_lookup": with_base(f""", {ADDR}
+SELECT fl.fleet AS nk_frota_origem, c.c_custkey AS nk_id_cliente, a.sk_endereco
+FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN addr a ON a.cidade = trim(n.n_name)
+CROSS JOIN fl"""),
+    "d4_calendar": f"""
+SELECT {dkey('data')} AS sk_tempo, data FROM (
+  SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE),
+                                     INTERVAL 1 DAY)) AS DATE) AS data FROM orders)""",
+    "d5_missing_dates": with_base(f""",
+dd AS (SELECT d_res AS d FROM resv UNION SELECT d_ret FROM resv UNION SELECT d_dev FROM resv
+       UNION SELECT d_ret FROM rent UNION SELECT d_prev FROM rent UNION SELECT d_real FROM rent)
+SELECT {dkey('d')} AS sk_tempo, d AS data FROM dd
+WHERE d IS NOT NULL AND (d < DATE '2015-01-01' OR d > DATE '2035-12-31')"""),
+    "s3_merge_subset": f"""
+SELECT {fleet('o_orderkey')} AS nk_frota_origem, o_orderkey AS nk_id_reserva,
+       CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0 THEN CAST(o_orderdate AS DATE) + 1
+            ELSE CAST(o_orderdate AS DATE) END AS data_reserva,
+       CASE WHEN o_orderkey % 3 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 2 AS DECIMAL(12,2))
+            ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS valor_previsto_reserva,
+       CASE WHEN o_orderkey % 3 = 0 THEN CASE o_orderstatus WHEN 'F' THEN 'CONVERTIDA' WHEN 'O' THEN 'ATIVA'
+                                                             WHEN 'P' THEN 'CANCELADA' END
+            ELSE 'ATIVA' END AS status_reserva
+FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0""",
+    "s4_replace_slice": with_base("""
+SELECT empresa AS nk_frota_origem, rid AS nk_id_reserva, status AS status_reserva FROM resv
+WHERE empresa <> 'gupessanha' OR status = 'CANCELADA'"""),
+    "s5_replace_day": with_base(f""",
+snap AS (SELECT {fleet('p_partkey % (SELECT n FROM ny)')} AS nk_frota_origem,
+                p_partkey % (SELECT n FROM ny) AS nk_id_patio, p_partkey AS nk_id_veiculo, d.data_snapshot
+         FROM part CROSS JOIN (VALUES (DATE '1999-12-30'), (DATE '1999-12-31')) AS d(data_snapshot)
+         WHERE p_partkey % 3 <> 0),
+again AS (SELECT * FROM snap WHERE data_snapshot = DATE '1999-12-31' AND nk_id_veiculo % 3 = 1),
+parts AS (SELECT DISTINCT nk_frota_origem, data_snapshot FROM again)
+SELECT * FROM snap s
+WHERE NOT EXISTS (SELECT 1 FROM parts p WHERE p.nk_frota_origem = s.nk_frota_origem
+                                          AND p.data_snapshot = s.data_snapshot)
+UNION ALL SELECT * FROM again"""),
+    "s8_insert_ignore": """
+SELECT DISTINCT n.n_name AS cidade, 'XX' AS uf FROM nation n
+WHERE n.n_nationkey IN (SELECT s_nationkey FROM supplier) OR n.n_nationkey IN (SELECT c_nationkey FROM customer)""",
+    "u1_date_key": f"""
+SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS data_retirada,
+       {dkey('CAST(l_shipdate AS DATE)')} AS sk_tempo_retirada FROM lineitem""",
+    "u2_unpivot_dates": with_base("""
+SELECT d_ret AS data FROM rent UNION SELECT d_prev FROM rent UNION SELECT d_real FROM rent WHERE d_real IS NOT NULL"""),
+    "fl1_inventory_fact": with_base(f""",
+dd(d) AS (VALUES (DATE '1999-12-30'), (DATE '1999-12-31'))
+SELECT {dkey('dd.d')} AS sk_tempo_referencia,
+       CAST(((p_partkey % (SELECT n FROM ny)) % 4 + 1) * {K32} + p_partkey % (SELECT n FROM ny) AS BIGINT) AS sk_patio,
+       CAST((p_partkey % 3 + 1) * {K32} + p_partkey AS BIGINT) AS sk_veiculo,
+       CAST((p_partkey % 3 + 1) * {K32} + gid AS BIGINT) AS sk_grupo, 1 AS qtde_veiculos_presentes
+FROM pc CROSS JOIN dd WHERE p_partkey % 3 <> 0"""),
+    "fl2_rental_fact": with_base(f"""
+SELECT empresa AS nk_frota_origem, rid AS nk_id_locacao, {dkey('d_ret')} AS sk_tempo_retirada,
+       {dkey('d_prev')} AS sk_tempo_prev_devolucao, {dkey('d_real')} AS sk_tempo_real_devolucao,
+       CAST((idx + 1) * {K32} + cust AS BIGINT) AS sk_cliente, CAST((idx + 1) * {K32} + veh AS BIGINT) AS sk_veiculo,
+       CAST((idx + 1) * {K32} + gid AS BIGINT) AS sk_grupo, CAST((idx + 1) * {K32} + y_out AS BIGINT) AS sk_patio_retirada,
+       CAST((idx + 1) * {K32} + y_in AS BIGINT) AS sk_patio_devolucao_real, valor AS valor_final, 1 AS qtde_locacoes
+FROM rent"""),
+    "fl3_reservation_fact": with_base(f"""
+SELECT empresa AS nk_frota_origem, rid AS nk_id_reserva, {dkey('d_res')} AS sk_tempo_reserva,
+       {dkey('d_ret')} AS sk_tempo_prev_retirada, {dkey('d_dev')} AS sk_tempo_prev_devolucao,
+       CAST((idx + 1) * {K32} + cust AS BIGINT) AS sk_cliente, CAST((idx + 1) * {K32} + gid AS BIGINT) AS sk_grupo,
+       CAST((idx + 1) * {K32} + y_out AS BIGINT) AS sk_patio_retirada,
+       CAST((idx + 1) * {K32} + y_end AS BIGINT) AS sk_patio_fim, CAST(dur AS INTEGER) AS duracao_prevista_dias,
+       valor AS valor_previsto_reserva, status AS dd_status_reserva, 1 AS qtde_reservas
+FROM resv"""),
+    "fl4_late_key_reject": with_base(f""",
+inv AS (SELECT p_partkey AS veh, p_partkey % (SELECT n FROM ny) AS y FROM part WHERE p_partkey % 3 <> 0),
+dd(d) AS (VALUES (1), (2))
+SELECT 'stg_conf_snapshot_patio' AS tabela_origem, {fleet('y')} AS nk_frota_origem, veh AS nk_id_registro,
+       'PÁTIO NÃO ENCONTRADO EM DIM_PATIO: nk=' || {s('y')} AS motivo_rejeito
+FROM inv CROSS JOIN dd WHERE y % 7 = 0
+UNION ALL
+SELECT 'stg_conf_locacao', empresa, rid,
+       CASE WHEN cust % 10 = 0 THEN 'CLIENTE NÃO EM DIM_CLIENTE: nk=' || {s('cust')}
+            ELSE 'PÁTIO RETIRADA NÃO EM DIM_PATIO: nk=' || {s('y_out')} END
+FROM rent WHERE cust % 10 = 0 OR y_out % 7 = 0
+UNION ALL
+SELECT 'stg_conf_reserva', empresa, rid,
+       CASE WHEN cust % 10 = 0 THEN 'CLIENTE NÃO EM DIM_CLIENTE: nk=' || {s('cust')}
+            WHEN y_out % 7 = 0 THEN 'PÁTIO RETIRADA NÃO EM DIM_PATIO: nk=' || {s('y_out')}
+            ELSE 'PÁTIO FIM NÃO EM DIM_PATIO: nk=' || {s('y_end')} END
+FROM resv WHERE cust % 10 = 0 OR y_out % 7 = 0 OR y_end % 7 = 0"""),
+    "fl4b_return_yard_warning": with_base(f"""
+SELECT 'stg_conf_locacao' AS tabela_origem, empresa AS nk_frota_origem, rid AS nk_id_registro,
+       'PÁTIO DEVOLUÇÃO NÃO EM DIM_PATIO: nk=' || {s('y_in')} AS motivo_rejeito
+FROM rent WHERE y_in IS NOT NULL AND y_in % 7 = 0"""),
+}
+
 ORACLES: dict[str, str] = {k: _full(v) for k, v in MARTS.items()}
+ORACLES.update(OPS)
