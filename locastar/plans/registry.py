@@ -30,3 +30,7 @@ BENCH: dict[str, bool] = {}
 from locastar.plans.operator_queries import OPERATOR_QUERIES  # noqa: E402
 
 QUERIES.update(OPERATOR_QUERIES)
+
+from locastar.plans.stream_queries import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)

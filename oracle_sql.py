@@ -526,3 +526,48 @@ FROM rent WHERE y_in IS NOT NULL AND y_in % 7 = 0"""),
 
 ORACLES: dict[str, str] = {k: _full(v) for k, v in MARTS.items()}
 ORACLES.update(OPS)
+
+LATEST_EVENT = """latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+                                FROM events) WHERE rn = 1)"""
+
+
+def _event_rental(src: str, key: str) -> str:
+    return f"""SELECT {fleet('user_id')} AS nk_frota_origem, {key} AS nk_id_locacao, user_id AS nk_id_cliente,
+       CAST(ts AS DATE) AS data_retirada,
+       CASE WHEN event_type = 'error' THEN CAST(ts AS DATE) - 1
+            WHEN event_type = 'purchase' THEN CAST(ts AS DATE) + 2 END AS data_real_devolucao,
+       CAST(greatest(coalesce(CAST(value AS DECIMAL(14,2)), 0), 0) AS DECIMAL(14,2)) AS valor_final, event_type
+FROM {src}"""
+
+
+STREAMS = {
+    "st1_latest_upsert": f"WITH {LATEST_EVENT} SELECT user_id, event_id, event_type, value, ts FROM latest",
+    "st2_conform_stream": f"""
+SELECT nk_frota_origem, nk_id_locacao, nk_id_cliente, data_retirada, data_real_devolucao, valor_final
+FROM ({_event_rental('events', 'event_id')}) WHERE event_type <> 'error'""",
+    "st3_enrich_stream": """
+SELECT e.event_id, e.user_id, c.c_name, trim(n.n_name) AS end_cidade
+FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
+    "st4_close_out": """WITH p AS (
+  SELECT * FROM (SELECT user_id, CAST(ts AS DATE) AS d,
+                        row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+                 FROM events WHERE event_type = 'purchase') WHERE rn = 1)
+SELECT o.o_orderkey AS nk_id_locacao, p.d AS data_real_devolucao,
+       CASE WHEN p.user_id IS NOT NULL THEN p.user_id % 10 END AS nk_id_patio_devolucao
+FROM orders o LEFT JOIN p ON p.user_id = o.o_orderkey""",
+    "st5_child_total": """
+SELECT c.c_custkey, CAST(coalesce(s.v, 0) AS DECIMAL(22,2)) AS valor_total
+FROM customer c LEFT JOIN (SELECT user_id, sum(CAST(value AS DECIMAL(12,2))) AS v FROM events
+                           WHERE event_type IN ('purchase', 'click') GROUP BY 1) s ON s.user_id = c.c_custkey""",
+    "st6_update_only": f"""WITH {LATEST_EVENT}
+SELECT o.o_orderkey AS nk_id_reserva,
+       CASE WHEN l.user_id IS NULL THEN CASE o.o_orderstatus WHEN 'F' THEN 'CONVERTIDA' WHEN 'O' THEN 'ATIVA'
+                                                          WHEN 'P' THEN 'CANCELADA' END
+            WHEN l.event_type = 'purchase' THEN 'CONVERTIDA' WHEN l.event_type = 'error' THEN 'CANCELADA'
+            ELSE 'ATIVA' END AS status_reserva
+FROM orders o LEFT JOIN latest l ON l.user_id = o.o_orderkey""",
+    "st7_cascade": f"""WITH {LATEST_EVENT}
+SELECT nk_frota_origem, nk_id_locacao, nk_id_cliente, data_retirada, data_real_devolucao, valor_final
+FROM ({_event_rental('latest', 'user_id')}) WHERE event_type <> 'error'""",
+}
+ORACLES.update(STREAMS)
