@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locastar.operators.merge import merge_upsert
+from locastar.sources.fleets import surrogate_key
 
 # Late-key reasons (prefix, then the offending value).
 INV_REASONS = ("DATA NÃO ENCONTRADA EM DIM_TEMPO: ", "PÁTIO NÃO ENCONTRADO EM DIM_PATIO: nk=",
@@ -37,18 +38,39 @@ FACT_UPDATES = {
 }
 
 
-def _lookup(df: DataFrame, dim: DataFrame, sk: str, fleet: Column, nk: str, out: str,
-            nk_dim: str) -> DataFrame:
-    """Left join one dimension role on (fleet, natural id) -> ``out`` key.
+# A set of missing keys is broadcast only up to this many rows (8 bytes each);
+# beyond it the join back to the fact is a regular (sort-merge) join.
+BROADCAST_MISSING_KEYS = 2_000_000
 
-    No broadcast hint: the optimizer broadcasts the dimension only when its
-    measured size is under the configured threshold and falls back to a
-    sort-merge join otherwise (customer/vehicle dimensions can be large).
+
+def _resolve(df: DataFrame, roles: list[tuple[DataFrame, str, Column, str, str]]) -> DataFrame:
+    """Resolve dimension roles (dim, dim key, fleet, natural id column, output key).
+
+    Dimension keys are the stable composite of (fleet, natural id)
+    (sources.fleets.surrogate_key), so each key VALUE is computed in place;
+    the dimension is only needed to find the keys it lacks (late keys). That
+    anti join runs on the DISTINCT keys of the fact (partially aggregated
+    before the shuffle), never on the fact rows. The set of missing keys is
+    checkpointed and counted: empty (the normal case) -> no join at all;
+    up to ``BROADCAST_MISSING_KEYS`` -> broadcast join; larger (a whole
+    dimension missing) -> regular join. A missing key resolves to NULL.
     """
-    d = dim.select(F.col("nk_frota_origem").alias(f"_f_{out}"), F.col(nk_dim).alias(f"_n_{out}"),
-                   F.col(sk).alias(out))
-    return (df.join(d, (fleet == F.col(f"_f_{out}")) & (F.col(nk) == F.col(f"_n_{out}")), "left")
-            .drop(f"_f_{out}", f"_n_{out}"))
+    base = df
+    for _, _, fleet, nk, out in roles:
+        base = base.withColumn(out, surrogate_key(fleet, F.col(nk)))
+    out_df = base
+    for i, (dim, sk, _, _, out) in enumerate(roles):
+        m, flag = f"_m{i}", f"_miss{i}"
+        wanted = base.select(F.col(out).alias(m)).where(F.col(m).isNotNull()).distinct()
+        missing = (wanted.join(dim.select(F.col(sk).alias(m)), m, "left_anti")
+                   .withColumn(flag, F.lit(True))).checkpoint(eager=True)
+        n = missing.count()
+        if n == 0:
+            continue
+        side = F.broadcast(missing) if n <= BROADCAST_MISSING_KEYS else missing
+        out_df = (out_df.join(side, F.col(out) == F.col(m), "left").drop(m)
+                  .withColumn(out, F.when(F.col(flag).isNull(), F.col(out))).drop(flag))
+    return out_df
 
 
 def _date(df: DataFrame, calendar: DataFrame, col: str, out: str) -> DataFrame:
@@ -76,12 +98,10 @@ def resolve_inventory(snap: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
           if "nk_frota_veiculo" in snap.columns else F.col("nk_frota_origem"))
     df = snap.withColumn("_vf", vf)
     df = _date(df, dims["dim_tempo"], "data_snapshot", "sk_tempo_referencia")
-    df = _lookup(df, dims["dim_patio"], "sk_patio", F.col("nk_frota_origem"), "nk_id_patio",
-                 "sk_patio", "nk_id_patio")
-    df = _lookup(df, dims["dim_veiculo"], "sk_veiculo", F.col("_vf"), "nk_id_veiculo",
-                 "sk_veiculo", "nk_id_veiculo")
-    df = _lookup(df, dims["dim_grupo"], "sk_grupo", F.col("_vf"), "nk_id_grupo", "sk_grupo",
-                 "nk_id_grupo")
+    df = _resolve(df, [
+        (dims["dim_patio"], "sk_patio", F.col("nk_frota_origem"), "nk_id_patio", "sk_patio"),
+        (dims["dim_veiculo"], "sk_veiculo", F.col("_vf"), "nk_id_veiculo", "sk_veiculo"),
+        (dims["dim_grupo"], "sk_grupo", F.col("_vf"), "nk_id_grupo", "sk_grupo")])
     return df.withColumn("_reason", (
         F.when(F.col("sk_tempo_referencia").isNull(), _msg(INV_REASONS[0], "data_snapshot"))
         .when(F.col("sk_patio").isNull(), _msg(INV_REASONS[1], "nk_id_patio"))
@@ -113,13 +133,12 @@ def resolve_rental(loc: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     df = _date(df, dims["dim_tempo"], "data_retirada", "sk_tempo_retirada")
     df = _date(df, dims["dim_tempo"], "data_prev_devolucao", "sk_tempo_prev_devolucao")
     df = _date(df, dims["dim_tempo"], "data_real_devolucao", "sk_tempo_real_devolucao")
-    df = _lookup(df, dims["dim_cliente"], "sk_cliente", f, "nk_id_cliente", "sk_cliente", "nk_id_cliente")
-    df = _lookup(df, dims["dim_veiculo"], "sk_veiculo", f, "nk_id_veiculo", "sk_veiculo", "nk_id_veiculo")
-    df = _lookup(df, dims["dim_grupo"], "sk_grupo", f, "nk_id_grupo", "sk_grupo", "nk_id_grupo")
-    df = _lookup(df, dims["dim_patio"], "sk_patio", f, "nk_id_patio_retirada", "sk_patio_retirada",
-                 "nk_id_patio")
-    df = _lookup(df, dims["dim_patio"], "sk_patio", f, "nk_id_patio_devolucao",
-                 "sk_patio_devolucao_real", "nk_id_patio")
+    df = _resolve(df, [
+        (dims["dim_cliente"], "sk_cliente", f, "nk_id_cliente", "sk_cliente"),
+        (dims["dim_veiculo"], "sk_veiculo", f, "nk_id_veiculo", "sk_veiculo"),
+        (dims["dim_grupo"], "sk_grupo", f, "nk_id_grupo", "sk_grupo"),
+        (dims["dim_patio"], "sk_patio", f, "nk_id_patio_retirada", "sk_patio_retirada"),
+        (dims["dim_patio"], "sk_patio", f, "nk_id_patio_devolucao", "sk_patio_devolucao_real")])
     reason = (F.when(F.col("sk_tempo_retirada").isNull(), _msg(RENTAL_REASONS[0], "data_retirada"))
               .when(F.col("sk_cliente").isNull(), _msg(RENTAL_REASONS[1], "nk_id_cliente"))
               .when(F.col("sk_veiculo").isNull(), _msg(RENTAL_REASONS[2], "nk_id_veiculo"))
@@ -164,11 +183,11 @@ def resolve_reservation(res: DataFrame, dims: dict[str, DataFrame]) -> DataFrame
     df = _date(df, dims["dim_tempo"], "data_reserva", "sk_tempo_reserva")
     df = _date(df, dims["dim_tempo"], "data_retirada_prevista", "sk_tempo_prev_retirada")
     df = _date(df, dims["dim_tempo"], "data_devolucao_prevista", "sk_tempo_prev_devolucao")
-    df = _lookup(df, dims["dim_cliente"], "sk_cliente", f, "nk_id_cliente", "sk_cliente", "nk_id_cliente")
-    df = _lookup(df, dims["dim_grupo"], "sk_grupo", f, "nk_id_grupo", "sk_grupo", "nk_id_grupo")
-    df = _lookup(df, dims["dim_patio"], "sk_patio", f, "nk_id_patio_retirada", "sk_patio_retirada",
-                 "nk_id_patio")
-    df = _lookup(df, dims["dim_patio"], "sk_patio", f, "nk_id_patio_fim", "sk_patio_fim", "nk_id_patio")
+    df = _resolve(df, [
+        (dims["dim_cliente"], "sk_cliente", f, "nk_id_cliente", "sk_cliente"),
+        (dims["dim_grupo"], "sk_grupo", f, "nk_id_grupo", "sk_grupo"),
+        (dims["dim_patio"], "sk_patio", f, "nk_id_patio_retirada", "sk_patio_retirada"),
+        (dims["dim_patio"], "sk_patio", f, "nk_id_patio_fim", "sk_patio_fim")])
     reason = (F.when(F.col("sk_tempo_reserva").isNull(), _msg(RESERVATION_REASONS[0], "data_reserva"))
               .when(F.col("sk_cliente").isNull(), _msg(RESERVATION_REASONS[1], "nk_id_cliente"))
               .when(F.col("sk_grupo").isNull(), _msg(RESERVATION_REASONS[2], "nk_id_grupo"))

@@ -2,6 +2,7 @@
 
 Layout under ``out_dir``::
 
+    raw/<entity>/nk_frota_origem=<fleet>/...         (S1: raw staging, full reload)
     conformed/<table>/nk_frota_origem=<fleet>/...   (S4: one fleet's slice replaced)
     conformed/stg_conf_snapshot_patio/nk_frota_origem=<f>/data_snapshot=<d>/  (S5)
     rejects/                                        (S6: append-only log)
@@ -25,12 +26,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from locastar.operators import facts as FL
 from locastar.operators.merge import append_rejects, replace_slice
-from locastar.plans.warehouse import CONFORMED, TABLES, conform_sources, load_warehouse
+from locastar.plans.warehouse import CONFORMED, TABLES, conform_sources, load_dims
 from locastar.sources.analogue import AS_OF, Analogue
 
 PARTITIONS = {
     "stg_conf_snapshot_patio": ["nk_frota_origem", "data_snapshot"],
+    "raw_snapshot": ["nk_frota_origem", "data_snapshot"],
 }
+RAW_ENTITIES = ("patio", "grupo", "veiculo", "cliente", "reserva", "locacao", "snapshot")
+
+
+class _Staged:
+    """Raw staging tables exposed with the source interface conform expects."""
+
+    def __init__(self, raw: dict[str, DataFrame]):
+        self.raw = raw
+
+    def __getattr__(self, name: str):
+        if name.startswith("raw_") and name[4:] in self.raw:
+            return lambda: self.raw[name[4:]]
+        raise AttributeError(name)
 FACT_PARTITIONS = {
     "fato_inventario_patio": ["sk_tempo_referencia"],
     "fato_locacao": ["nk_frota_origem"],
@@ -60,8 +75,17 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     src = Analogue(spark, sf_dir, as_of)
 
-    # 1. conform (all fleets together: fleet is a partition column)
-    conf, rejects = conform_sources(src, run_ts)
+    # 1. extract: raw staging written once (the joins of the extract run here
+    #    only); conform reads it twice (valid rows, rejects) as plain scans
+    raw = {}
+    for entity in RAW_ENTITIES:
+        path = os.path.join(out_dir, "raw", entity)
+        replace_slice(getattr(src, "raw_" + entity)(), path, PARTITIONS.get("raw_" + entity, ["nk_frota_origem"]))
+        raw[entity] = spark.read.parquet(path)
+    staged = _Staged(raw)
+
+    # 2. conform (all fleets together: fleet is a partition column)
+    conf, rejects = conform_sources(staged, run_ts)
     for name in CONFORMED:
         replace_slice(conf[name], os.path.join(out_dir, "conformed", name),
                       PARTITIONS.get(name, ["nk_frota_origem"]))
@@ -69,14 +93,15 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
         append_rejects(r, os.path.join(out_dir, "rejects"))
     conf = {n: spark.read.parquet(os.path.join(out_dir, "conformed", n)) for n in CONFORMED}
 
-    # 2. dimensions, then facts, upserted into the previous version
+    # 3. dimensions, then facts, upserted into the previous version
     current = read_warehouse(spark, out_dir) if incremental else {}
-    tables, _ = load_warehouse(spark, conf, current, run_ts)
     version = os.path.join(out_dir, "dw", "v" + run_ts.strftime("%Y%m%d%H%M%S"))
-    dims = {}
-    for name in ("dim_tempo", "dim_endereco", "dim_patio", "dim_grupo", "dim_veiculo", "dim_cliente"):
-        tables[name].write.mode("overwrite").parquet(os.path.join(version, name))
-        dims[name] = spark.read.parquet(os.path.join(version, name))
+
+    def written(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(os.path.join(version, name))
+        return spark.read.parquet(os.path.join(version, name))
+    # each dimension is written, then read back by whatever needs it next
+    dims = load_dims(spark, conf, current, materialize=written)
 
     # one key-resolution pass per fact; facts and late-key rejects share it
     plans = {
@@ -92,7 +117,7 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
         append_rejects(late, os.path.join(out_dir, "rejects"))
         tagged.unpersist()
 
-    # 3. publish
+    # 4. publish
     spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite") \
         .text(os.path.join(out_dir, "dw", "_current"))
     return version

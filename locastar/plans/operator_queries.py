@@ -242,8 +242,8 @@ def o6_latest_rejects(spark, sf_dir):
 
 
 def qc_constraint_audit(spark, sf_dir):
-    from locastar.plans.warehouse import build_warehouse
-    return audit.audit_constraints(build_warehouse(spark, sf_dir, AS_OF).tables)
+    from locastar.plans.registry import warehouse_for
+    return audit.audit_constraints(warehouse_for(spark, sf_dir).tables)
 
 
 # --------------------------------------------------------------- extract
@@ -483,8 +483,8 @@ def u2_unpivot_dates(spark, sf_dir):
 
 
 def _wh(spark, sf_dir):
-    from locastar.plans.warehouse import build_warehouse
-    return build_warehouse(spark, sf_dir, AS_OF, RUN_TS)
+    from locastar.plans.registry import warehouse_for
+    return warehouse_for(spark, sf_dir)
 
 
 def fl1_inventory_fact(spark, sf_dir):
@@ -499,15 +499,16 @@ def fl3_reservation_fact(spark, sf_dir):
     return _wh(spark, sf_dir)["fato_reserva"]
 
 
+
 def _late_dims(spark, sf_dir):
     """Dimensions where some customers and yards have not arrived yet."""
-    from locastar.plans.warehouse import conform_sources, load_warehouse
+    from locastar.plans.warehouse import checkpointed, conform_sources, load_warehouse
     a = _a(spark, sf_dir)
     conf, _ = conform_sources(a, RUN_TS)
-    conf = dict(conf)
+    conf = {k: checkpointed(k, v) for k, v in conf.items()}
     conf["stg_conf_cliente"] = conf["stg_conf_cliente"].where(F.col("nk_id_cliente") % 10 != 0)
     conf["stg_conf_patio"] = conf["stg_conf_patio"].where(F.col("nk_id_patio") % 7 != 0)
-    tables, late = load_warehouse(spark, conf, run_ts=RUN_TS)
+    tables, late = load_warehouse(spark, conf, run_ts=RUN_TS, materialize=checkpointed)
     return conf, tables, late
 
 

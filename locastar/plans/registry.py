@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +13,24 @@ from locastar.sources.analogue import AS_OF
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+_WAREHOUSES: dict[tuple[str, str], object] = {}
+
+
+def warehouse_for(spark: SparkSession, sf_dir: str):
+    """The warehouse built once per session and input folder, checkpointed.
+
+    Mirrors production, where the nightly job builds the warehouse once and
+    every mart reads it; here the build is lazy on first use.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = build_warehouse(spark, sf_dir, AS_OF, materialize=True)
+    return _WAREHOUSES[key]
+
 
 def _mart(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(build_warehouse(spark, sf_dir, AS_OF).tables, AS_OF)
+        return fn(warehouse_for(spark, sf_dir).tables, AS_OF)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run

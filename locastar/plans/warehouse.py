@@ -8,6 +8,7 @@ marts can run on either the lazy frames or the written tables.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,10 +59,19 @@ def conform_sources(src: Analogue, run_ts: dt.datetime | None = None) -> tuple[d
     return conf, [w, r1, r2, r3, r4, r5]
 
 
-def load_warehouse(spark: SparkSession, conf: dict[str, DataFrame],
-                   current: dict[str, DataFrame] | None = None,
-                   run_ts: dt.datetime | None = None) -> tuple[dict, list]:
-    """Conformed tables -> 6 dimensions + 3 facts (+ late-key rejects)."""
+def _identity(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def checkpointed(name: str, df: DataFrame) -> DataFrame:
+    """Cut the lineage: reliable checkpoint into the shared ``spark.checkpoint.dir``."""
+    return df.checkpoint(eager=True)
+
+
+def load_dims(spark: SparkSession, conf: dict[str, DataFrame],
+              current: dict[str, DataFrame] | None = None,
+              materialize: Callable[[str, DataFrame], DataFrame] = _identity) -> dict[str, DataFrame]:
+    """Conformed tables -> the 6 dimensions."""
     current = current or {}
     address = D.address_dim(current.get("dim_endereco") or D.empty_address(spark),
                             conf["stg_conf_patio"], conf["stg_conf_cliente"])
@@ -69,6 +79,7 @@ def load_warehouse(spark: SparkSession, conf: dict[str, DataFrame],
         (conf["stg_conf_reserva"], RESERVATION_DATES),
         (conf["stg_conf_locacao"], RENTAL_DATES),
         (conf["stg_conf_snapshot_patio"], ["data_snapshot"])])
+    address = materialize("dim_endereco", address)
     dims = {
         "dim_tempo": cal,
         "dim_endereco": address,
@@ -77,17 +88,44 @@ def load_warehouse(spark: SparkSession, conf: dict[str, DataFrame],
         "dim_veiculo": D.load_dim("dim_veiculo", conf["stg_conf_veiculo"], None, current.get("dim_veiculo")),
         "dim_cliente": D.load_dim("dim_cliente", conf["stg_conf_cliente"], address, current.get("dim_cliente")),
     }
+    return {k: (v if k == "dim_endereco" else materialize(k, v)) for k, v in dims.items()}
+
+
+def load_facts(conf: dict[str, DataFrame], dims: dict[str, DataFrame],
+               current: dict[str, DataFrame] | None = None,
+               run_ts: dt.datetime | None = None) -> tuple[dict, list]:
+    """Conformed tables + (materialised) dimensions -> 3 facts + late-key rejects.
+
+    Key resolution runs small jobs on the distinct keys (facts._resolve), so
+    ``dims`` should be written or checkpointed tables.
+    """
+    current = current or {}
     inv, j1 = FL.load_inventory(conf["stg_conf_snapshot_patio"], dims,
                                 current.get("fato_inventario_patio"), run_ts)
     loc, j2 = FL.load_rental(conf["stg_conf_locacao"], dims, current.get("fato_locacao"), run_ts)
     res, j3 = FL.load_reservation(conf["stg_conf_reserva"], dims, current.get("fato_reserva"), run_ts)
-    tables = dict(dims, fato_inventario_patio=inv, fato_locacao=loc, fato_reserva=res)
-    return tables, [j1, j2, j3]
+    return {"fato_inventario_patio": inv, "fato_locacao": loc, "fato_reserva": res}, [j1, j2, j3]
+
+
+def load_warehouse(spark: SparkSession, conf: dict[str, DataFrame],
+                   current: dict[str, DataFrame] | None = None,
+                   run_ts: dt.datetime | None = None,
+                   materialize: Callable[[str, DataFrame], DataFrame] = _identity) -> tuple[dict, list]:
+    """Conformed tables -> 6 dimensions + 3 facts (+ late-key rejects)."""
+    dims = load_dims(spark, conf, current, materialize)
+    facts, late = load_facts(conf, dims, current, run_ts)
+    return dict(dims, **facts), late
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
-                    run_ts: dt.datetime | None = None) -> Warehouse:
+                    run_ts: dt.datetime | None = None, materialize: bool = True) -> Warehouse:
+    """Lazy warehouse; with ``materialize`` every conformed table, dimension
+    and fact is checkpointed (lineage cut) so later queries read files."""
     src = Analogue(spark, sf_dir, as_of)
     conf, rej = conform_sources(src, run_ts)
-    tables, late = load_warehouse(spark, conf, run_ts=run_ts)
+    m = checkpointed if materialize else _identity
+    conf = {k: m(k, v) for k, v in conf.items()}
+    tables, late = load_warehouse(spark, conf, run_ts=run_ts, materialize=m)
+    if materialize:
+        tables = {k: (v if k in DIMENSIONS else m(k, v)) for k, v in tables.items()}
     return Warehouse(conf, tables, rej + late)
