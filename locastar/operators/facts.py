@@ -48,27 +48,36 @@ def _resolve(df: DataFrame, roles: list[tuple[DataFrame, str, Column, str, str]]
 
     Dimension keys are the stable composite of (fleet, natural id)
     (sources.fleets.surrogate_key), so each key VALUE is computed in place;
-    the dimension is only needed to find the keys it lacks (late keys). That
-    anti join runs on the DISTINCT keys of the fact (partially aggregated
-    before the shuffle), never on the fact rows. The set of missing keys is
-    checkpointed and counted: empty (the normal case) -> no join at all;
-    up to ``BROADCAST_MISSING_KEYS`` -> broadcast join; larger (a whole
-    dimension missing) -> regular join. A missing key resolves to NULL.
+    the dimensions are only needed to find the keys they lack (late keys).
+    That check is ONE pass over the fact for all roles: the distinct
+    (role, key) pairs (partially aggregated before the shuffle) are anti-joined
+    with the role-tagged dimension keys; the fact rows themselves are never
+    shuffled. The missing pairs are checkpointed and counted per role: none
+    (the normal case) -> no join; up to ``BROADCAST_MISSING_KEYS`` -> broadcast
+    join; more (a whole dimension missing) -> regular join. A missing key
+    resolves to NULL.
     """
     base = df
     for _, _, fleet, nk, out in roles:
         base = base.withColumn(out, surrogate_key(fleet, F.col(nk)))
+    pairs = base.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_r"), F.col(out).alias("_m")) for i, (_, _, _, _, out) in enumerate(roles)
+    ])).alias("_x")).select("_x.*").where(F.col("_m").isNotNull()).distinct()
+    known = None
+    for i, (dim, sk, _, _, _) in enumerate(roles):
+        d = dim.select(F.lit(i).alias("_r"), F.col(sk).alias("_m"))
+        known = d if known is None else known.unionByName(d)
+    missing = pairs.join(known, ["_r", "_m"], "left_anti").checkpoint(eager=True)
+    counts = {r["_r"]: r["n"] for r in missing.groupBy("_r").agg(F.count(F.lit(1)).alias("n")).collect()}
     out_df = base
-    for i, (dim, sk, _, _, out) in enumerate(roles):
-        m, flag = f"_m{i}", f"_miss{i}"
-        wanted = base.select(F.col(out).alias(m)).where(F.col(m).isNotNull()).distinct()
-        missing = (wanted.join(dim.select(F.col(sk).alias(m)), m, "left_anti")
-                   .withColumn(flag, F.lit(True))).checkpoint(eager=True)
-        n = missing.count()
+    for i, (_, _, _, _, out) in enumerate(roles):
+        n = counts.get(i, 0)
         if n == 0:
             continue
-        side = F.broadcast(missing) if n <= BROADCAST_MISSING_KEYS else missing
-        out_df = (out_df.join(side, F.col(out) == F.col(m), "left").drop(m)
+        flag = f"_miss{i}"
+        side = missing.where(F.col("_r") == i).select(F.col("_m").alias(f"_m{i}"), F.lit(True).alias(flag))
+        side = F.broadcast(side) if n <= BROADCAST_MISSING_KEYS else side
+        out_df = (out_df.join(side, F.col(out) == F.col(f"_m{i}"), "left").drop(f"_m{i}")
                   .withColumn(out, F.when(F.col(flag).isNull(), F.col(out))).drop(flag))
     return out_df
 
