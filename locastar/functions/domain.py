@@ -60,17 +60,19 @@ def normalise(c: Column | str) -> Column:
 
 
 def map_domain(c: Column | str, synonyms: dict[str, str], default: str | None = None,
-               passthrough: bool = False) -> Column:
+               passthrough: bool = False, trim_passthrough: bool = True) -> Column:
     """Map ``upper(trim(c))`` through ``synonyms``.
 
     Unmatched values become ``default``; with ``passthrough`` they keep the
-    trimmed raw text (F3's extract), falling back to ``default`` for NULL.
+    raw text (trimmed unless ``trim_passthrough`` is False), falling back to
+    ``default`` for NULL.
     """
     col = F.col(c) if isinstance(c, str) else c
     lookup = F.create_map(*[F.lit(x) for x in chain.from_iterable(synonyms.items())])
     mapped = lookup[normalise(col)]
     if passthrough:
-        return F.coalesce(mapped, F.trim(col.cast("string")), F.lit(default))
+        raw = F.trim(col.cast("string")) if trim_passthrough else col.cast("string")
+        return F.coalesce(mapped, raw, F.lit(default))
     return F.coalesce(mapped, F.lit(default)) if default is not None else mapped
 
 

@@ -273,3 +273,26 @@ def conform_snapshot(raw: DataFrame, run_ts: dt.datetime | None = None) -> tuple
     conf = valid.select(*[c(x).cast("long").alias(x) if x.startswith("nk_id") else c(x) for x in cols],
                         *extra)
     return conf, rejects
+
+
+def conform(entity: str, raw: DataFrame, cfg: SourceConfig = DEFAULT, lookups: dict | None = None,
+            run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    """Dispatch by entity: (conformed rows, reject/warning rows)."""
+    lookups = lookups or {}
+    if entity == "patio":
+        conf = conform_patio(raw, cfg)
+        return conf, reject_rows(conf.where(F.lit(False)).withColumn("_reason", F.lit(None).cast("string")),
+                                 "patio", "nk_id_patio", run_ts=run_ts)
+    if entity == "grupo":
+        return conform_grupo(raw, cfg, run_ts)
+    if entity == "veiculo":
+        return conform_veiculo(raw, cfg, run_ts)
+    if entity == "cliente":
+        return conform_cliente(raw, cfg, run_ts)
+    if entity == "reserva":
+        return conform_reserva(raw, cfg, lookups.get("rates"), run_ts)
+    if entity == "locacao":
+        return conform_locacao(raw, cfg, run_ts)
+    if entity == "snapshot":
+        return conform_snapshot(raw, run_ts)
+    raise ValueError(f"unknown entity {entity}")

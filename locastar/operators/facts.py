@@ -226,3 +226,12 @@ def split_reservation(tagged: DataFrame, current: DataFrame | None = None,
     if current is not None:
         fact = merge_upsert(current, fact, FACT_KEYS["fato_reserva"], FACT_UPDATES["fato_reserva"])
     return fact, rej
+
+
+LOADERS = {"fato_inventario_patio": load_inventory, "fato_locacao": load_rental, "fato_reserva": load_reservation}
+
+
+def load_fact(name: str, conformed: DataFrame, dims: dict[str, DataFrame], current: DataFrame | None = None,
+              run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    """FL1-FL5 by fact name: (new fact version, late-key rejects)."""
+    return LOADERS[name](conformed, dims, current, run_ts)

@@ -63,3 +63,20 @@ def asof_snapshot(fleet: str, vehicles: DataFrame, rentals: DataFrame, day: dt.d
            .join(last, F.col("nk_id_veiculo") == F.col("_v"), "left")
            .withColumn("nk_id_patio", F.coalesce(F.col("_y"), F.col("nk_id_patio_origem"))))
     return _out(not_in(pos, open_, "nk_id_veiculo", "veiculo_id"), fleet, day)
+
+
+def yard_snapshot(fleet: str, vehicles: DataFrame, slots: DataFrame | None = None,
+                  rentals: DataFrame | None = None, as_of: dt.date | None = None,
+                  day: dt.date | None = None) -> DataFrame:
+    """SN1-SN4 by source: the rule and the default date (yesterday for F1/F2,
+    today for F3/F4) come from the fleet's configuration."""
+    from locastar.sources.fleets import FLEETS, SOURCES
+    if day is None:
+        day = as_of - dt.timedelta(days=SOURCES[fleet].snapshot_offset_days)
+    if fleet == FLEETS[0]:
+        return slot_snapshot(fleet, slots, vehicles, day)
+    if fleet == FLEETS[1]:
+        return asof_snapshot(fleet, vehicles, rentals, day)
+    if fleet == FLEETS[2]:
+        return slot_id_snapshot(fleet, vehicles, slots, day)
+    return status_snapshot(fleet, vehicles, day)

@@ -74,19 +74,28 @@ def _customer_city(dw) -> DataFrame:
 
 
 def q1_3_reservation_horizon(dw, as_of: dt.date) -> DataFrame:
+    """Future active reservations by class, yard, horizon, duration, customer city.
+
+    Eager aggregation: the reservations are first counted per (class, yard,
+    horizon, duration, customer) with the small dimensions broadcast, so only
+    those partial counts -- not the fact rows -- are shuffled to meet the
+    (possibly large) customer dimension.
+    """
     f = dw["fato_reserva"].where(F.col("dd_status_reserva") == "ATIVA")
     t = _cal(dw, "t_ret", "sk_tempo_prev_retirada", "d_ret").where(F.col("d_ret") >= F.lit(as_of))
     p = dw["dim_patio"].select(F.col("sk_patio").alias("sk_patio_retirada"),
                                F.col("nome_patio").alias("patio_retirada"))
-    j = (f.join(t, "sk_tempo_prev_retirada").join(_grupo(dw), "sk_grupo")
-         .join(p, "sk_patio_retirada").join(_customer_city(dw), "sk_cliente"))
     ahead = F.datediff(F.col("d_ret"), F.lit(as_of))
     horizon = (F.when(ahead <= 7, F.lit(NEXT_WEEK)).when(ahead <= 30, F.lit(NEXT_MONTH))
                .otherwise(F.lit(LONG_TERM)))
-    return (j.groupBy("nome_grupo", "patio_retirada", horizon.alias("horizonte_retirada"),
-                      F.col("duracao_prevista_dias").cast("long").alias("duracao_prevista_dias"),
-                      "cidade_origem_cliente")
-            .agg(F.sum("qtde_reservas").cast("long").alias("total_reservas"))
+    keys = ["nome_grupo", "patio_retirada", "horizonte_retirada", "duracao_prevista_dias"]
+    partial = (f.join(t, "sk_tempo_prev_retirada").join(_grupo(dw), "sk_grupo").join(p, "sk_patio_retirada")
+               .groupBy("nome_grupo", "patio_retirada", horizon.alias("horizonte_retirada"),
+                        F.col("duracao_prevista_dias").cast("long").alias("duracao_prevista_dias"), "sk_cliente")
+               .agg(F.sum("qtde_reservas").alias("n")))
+    return (partial.join(_customer_city(dw), "sk_cliente")
+            .groupBy(*keys, "cidade_origem_cliente")
+            .agg(F.sum("n").cast("long").alias("total_reservas"))
             .orderBy(F.desc("total_reservas")))
 
 
@@ -95,9 +104,13 @@ def _completed(dw) -> DataFrame:
 
 
 def q1_4_consumption(dw, as_of: dt.date) -> DataFrame:
-    j = _completed(dw).join(_grupo(dw), "sk_grupo").join(_customer_city(dw), "sk_cliente")
-    return (j.groupBy("nome_grupo", "cidade_origem_cliente")
-            .agg(F.sum("qtde_locacoes").cast("long").alias("volume_locacoes"))
+    """Completed rentals by class and customer city (eager aggregation per
+    customer and class before the customer join, as in Q1.3)."""
+    partial = (_completed(dw).join(_grupo(dw), "sk_grupo")
+               .groupBy("sk_cliente", "nome_grupo").agg(F.sum("qtde_locacoes").alias("n")))
+    return (partial.join(_customer_city(dw), "sk_cliente")
+            .groupBy("nome_grupo", "cidade_origem_cliente")
+            .agg(F.sum("n").cast("long").alias("volume_locacoes"))
             .orderBy(F.desc("volume_locacoes")))
 
 

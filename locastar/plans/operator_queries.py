@@ -535,3 +535,19 @@ OPERATOR_QUERIES = {f.__name__: f for f in [
     s3_merge_subset, s4_replace_slice, s5_replace_day, s8_insert_ignore, u1_date_key, u2_unpivot_dates,
     fl1_inventory_fact, fl2_rental_fact, fl3_reservation_fact, fl4_late_key_reject, fl4b_return_yard_warning,
 ]}
+
+
+# ----------------------------------------------------- per-source extracts (X)
+def _extract_query(fleet: str, entity: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from locastar.sources import oltp
+        from locastar.sources.extract import extract
+        return extract(oltp.TABLES[fleet](_a(spark, sf_dir)), fleet, entity)
+    run.__name__ = f"x_f{FLEETS.index(fleet) + 1}_{entity}"
+    return run
+
+
+for _f in FLEETS:
+    for _e in ("patio", "grupo", "veiculo", "cliente", "reserva", "locacao"):
+        _q = _extract_query(_f, _e)
+        OPERATOR_QUERIES[_q.__name__] = _q

@@ -58,11 +58,11 @@ def st2_conform_stream(spark, sf_dir):
     t = cdc.VersionedTable(spark, f"{base}/conf")
     rejects = f"{base}/rejects"
 
-    def step(batch, batch_id):
+    def conform(batch):
         valid, rej = C.conform_locacao(event_rental(batch))
-        cdc.append_by_batch(rej, rejects, batch_id)
-        cdc.apply_upsert(t, ["nk_frota_origem", "nk_id_locacao"], "nk_id_locacao",
-                         lambda _: valid.select(*CONF_COLS))(batch, batch_id)
+        return valid.select(*CONF_COLS), rej
+    step = cdc.apply_conform(t, rejects, ["nk_frota_origem", "nk_id_locacao"], "nk_id_locacao", conform,
+                             "nk_id_locacao")
     cdc.run_stream(_feed(spark, sf_dir), step, ck)
     return t.read()
 

@@ -122,3 +122,21 @@ def apply_child_total(parent: VersionedTable, children_path: str, parent_key: st
         parent.write(update_only(prev, sums, [parent_key], [total]).withColumn(
             total, F.col(total).cast(prev.schema[total].dataType)), batch_id + 1)
     return step
+
+
+def apply_conform(target: VersionedTable, rejects_path: str, keys: list[str], seq: str,
+                  conform: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+                  id_col: str, reject_invalid_updates: bool = True) -> Callable[[DataFrame, int], None]:
+    """ST2 (+ST2b): conform the batch with the batch rules; valid rows are
+    upserted, rejected rows go to the reject log and leave the stored row as
+    it was. With ``reject_invalid_updates=False`` a rejected change to a key
+    that already exists is dropped silently (the reference's update path)."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        valid, rej = conform(batch)
+        prev = target.read(before=batch_id + 1)
+        if not reject_invalid_updates and prev is not None:
+            existing = prev.select(*[F.col(k) for k in keys]).withColumnRenamed(keys[-1], "nk_id_registro")
+            rej = rej.join(existing, [*keys[:-1], "nk_id_registro"], "left_anti")
+        append_by_batch(rej, rejects_path, batch_id)
+        apply_upsert(target, keys, seq, lambda _: valid)(batch, batch_id)
+    return step

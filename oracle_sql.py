@@ -571,3 +571,214 @@ SELECT nk_frota_origem, nk_id_locacao, nk_id_cliente, data_retirada, data_real_d
 FROM ({_event_rental('latest', 'user_id')}) WHERE event_type <> 'error'""",
 }
 ORACLES.update(STREAMS)
+
+YEAR4 = ("2019", "2020", "2021a", " 2018")
+EXTRACT_BASE = BASE + """,
+slots AS (SELECT p_partkey % (SELECT n FROM ny) AS y, count(*) AS n FROM part GROUP BY 1)
+"""
+
+
+def xb(body: str) -> str:
+    return "WITH " + EXTRACT_BASE + body
+
+
+EXTRACTS = {
+    "x_f1_patio": xb("""
+SELECT 'guilherme-hu' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
+       CAST(coalesce(sl.n, 0) AS INTEGER) AS capacidade_vagas, n.n_name AS end_cidade, 'SP' AS end_uf,
+       'Rua ' || n.n_name AS end_logradouro
+FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey LEFT JOIN slots sl ON sl.y = s.s_suppkey"""),
+    "x_f1_grupo": xb("""
+SELECT 'guilherme-hu' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo,
+       CAST(NULL AS VARCHAR) AS descricao_grupo, rate AS valor_diaria FROM cls"""),
+    "x_f1_veiculo": xb(f"""
+SELECT 'guilherme-hu' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo,
+       CASE WHEN p.p_partkey % 3 <> 0 THEN p.p_partkey % (SELECT n FROM ny) END AS nk_id_patio_origem,
+       'p' || CAST(p.p_partkey AS VARCHAR) AS placa, p.p_brand AS marca, p.p_name AS modelo,
+       CAST(NULL AS VARCHAR) AS versao,
+       CASE WHEN p.p_size % 2 = 1 THEN 'AUTOMATICO' ELSE 'MANUAL' END AS mecanizacao,
+       p.p_size % 3 = 0 AS tem_ar_condicionado,
+       CAST(nullif(regexp_extract(trim({pick('p.p_partkey', YEAR4)}), '^[0-9]+', 0), '') AS INTEGER) AS ano_fabricacao,
+       'ATIVO' AS situacao
+FROM part p JOIN pc USING (p_partkey)"""),
+    "x_f1_cliente": """
+SELECT 'guilherme-hu' AS nk_frota_origem, c.c_custkey AS nk_id_cliente, 'PF' AS tipo_cliente, c.c_name AS nome,
+       lower(c.c_name) || '@mail' AS email, 'SP' AS end_uf, n.n_name AS end_cidade,
+       lpad(CAST(c.c_custkey AS VARCHAR), 11, '0') AS cpf
+FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey""",
+    "x_f1_reserva": xb("""
+SELECT 'guilherme-hu' AS nk_frota_origem, o.o_orderkey AS nk_id_reserva, o.o_custkey AS nk_id_cliente,
+       o.o_orderkey % (SELECT n FROM nc) + 1 AS nk_id_grupo, o.o_orderkey % (SELECT n FROM ny) AS nk_id_patio_retirada,
+       o.o_custkey % (SELECT n FROM ny) AS nk_id_patio_fim, CAST(o.o_orderdate AS DATE) AS data_reserva,
+       CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 AS INTEGER) AS data_retirada_prevista,
+       CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 + o.o_orderkey % 12 AS INTEGER) AS data_devolucao_prevista,
+       CAST(o.o_orderkey % 12 AS INTEGER) AS duracao_prevista_dias,
+       CAST(o.o_totalprice AS DECIMAL(12,2)) AS valor_previsto_reserva,
+       CASE o.o_orderkey % 3 WHEN 0 THEN 'ATIVA' WHEN 1 THEN 'CANCELADA' ELSE 'CONVERTIDA' END AS status_reserva
+FROM orders o"""),
+    "x_f1_locacao": xb(""",
+dev AS (SELECT rid, slot % (SELECT n FROM ny) AS yard, d FROM (
+          SELECT l_orderkey * 8 + l_linenumber AS rid, l_partkey AS slot,
+                 CAST(l_shipdate AS DATE) + CAST(l_orderkey % 10 AS INTEGER) AS d,
+                 row_number() OVER (PARTITION BY l_orderkey * 8 + l_linenumber
+                                    ORDER BY CAST(l_shipdate AS DATE) + CAST(l_orderkey % 10 AS INTEGER) DESC,
+                                             l_partkey ASC) AS rn
+          FROM lineitem WHERE l_linestatus = 'F') WHERE rn = 1),
+ext AS (SELECT l_orderkey * 8 + 1 AS rid, l_orderkey AS res, sum(l_linenumber) AS e FROM lineitem
+        WHERE l_linenumber >= 6 GROUP BY 1, 2)
+SELECT 'guilherme-hu' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS nk_id_locacao, o.o_custkey AS nk_id_cliente,
+       l.l_partkey AS nk_id_veiculo, c.gid AS nk_id_grupo, l.l_suppkey AS nk_id_patio_retirada,
+       dev.yard AS nk_id_patio_devolucao, CAST(l.l_shipdate AS DATE) AS data_retirada,
+       CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 + o.o_orderkey % 12 + coalesce(ext.e, 0) AS INTEGER)
+         AS data_prev_devolucao,
+       dev.d AS data_real_devolucao, c.rate AS valor_diaria_aplicada,
+       CAST(o.o_totalprice AS DECIMAL(12,2)) AS valor_final
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+JOIN cls c ON c.gid = o.o_orderkey % (SELECT n FROM nc) + 1
+LEFT JOIN dev ON dev.rid = l.l_orderkey * 8 + l.l_linenumber
+LEFT JOIN ext ON ext.rid = l.l_orderkey * 8 + l.l_linenumber AND ext.res = l.l_orderkey"""),
+    "x_f2_patio": xb(f"""
+SELECT 'gupessanha' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
+       CAST(sl.n AS INTEGER) AS capacidade_vagas, CAST(NULL AS VARCHAR) AS end_cidade, CAST(NULL AS VARCHAR) AS end_uf,
+       left(concat_ws(' ', {", ".join(["s.s_name"] * 12)}), 150) AS end_logradouro
+FROM supplier s LEFT JOIN slots sl ON sl.y = s.s_suppkey"""),
+    "x_f2_grupo": xb("""
+SELECT 'gupessanha' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo, 'G' || CAST(gid AS VARCHAR) AS codigo,
+       CAST(coalesce(CASE WHEN gid % 4 <> 0 THEN rate END, 0) AS DECIMAL(12,2)) AS valor_diaria FROM cls"""),
+    "x_f2_veiculo": xb("""
+SELECT 'gupessanha' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo,
+       p.p_partkey % (SELECT n FROM ny) AS nk_id_patio_origem, 'Q' || CAST(p.p_partkey AS VARCHAR) AS placa,
+       p.p_brand AS marca, p.p_name AS modelo,
+       CASE WHEN p.p_size % 2 = 0 THEN 'MANUAL' ELSE 'AUTOMATICO' END AS mecanizacao,
+       p.p_size % 3 = 0 AS tem_ar_condicionado, 2020 AS ano_fabricacao,
+       CASE WHEN p.p_size % 10 = 0 THEN 'BAIXADO' ELSE 'ATIVO' END AS situacao
+FROM part p JOIN pc USING (p_partkey)"""),
+    "x_f2_cliente": """
+SELECT 'gupessanha' AS nk_frota_origem, c_custkey AS nk_id_cliente,
+       CASE WHEN c_custkey % 3 = 0 THEN 'PJ' ELSE 'PF' END AS tipo_cliente, c_name AS nome,
+       lower(c_name) || '@mail' AS email, CAST(c_nationkey AS VARCHAR) AS end_cidade,
+       CASE WHEN c_custkey % 3 <> 0 THEN lpad(CAST(c_custkey AS VARCHAR), 11, '0') END AS cpf,
+       CASE WHEN c_custkey % 3 = 0 THEN lpad(CAST(c_custkey AS VARCHAR), 14, '0') END AS cnpj,
+       CASE WHEN c_custkey % 3 = 0 THEN 'NF ' || c_name END AS nome_fantasia
+FROM customer""",
+    "x_f2_reserva": xb(f""",
+r AS (SELECT o.*, CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 AS INTEGER) AS st,
+             CASE WHEN o.o_orderkey % 5 <> 0
+                  THEN CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 + o.o_orderkey % 12 AS INTEGER) END AS en,
+             o.o_orderkey % (SELECT n FROM nc) + 1 AS g FROM orders o)
+SELECT 'gupessanha' AS nk_frota_origem, r.o_orderkey AS nk_id_reserva, r.o_custkey AS nk_id_cliente, r.g AS nk_id_grupo,
+       r.o_orderkey % (SELECT n FROM ny) AS nk_id_patio_retirada, r.o_custkey % (SELECT n FROM ny) AS nk_id_patio_fim,
+       CAST(r.o_orderdate AS DATE) AS data_reserva, r.st AS data_retirada_prevista, r.en AS data_devolucao_prevista,
+       CAST(date_diff('day', r.st, r.en) AS INTEGER) AS duracao_prevista_dias,
+       CAST(CAST(date_diff('day', r.st, r.en) AS DECIMAL(10,0)) * coalesce(CASE WHEN c.gid % 4 <> 0 THEN c.rate END, 0)
+            AS DECIMAL(12,2)) AS valor_previsto_reserva,
+       CASE {pick('r.o_orderkey', ('CONFIRMADA', 'EM_FILA_ESPERA', 'CANCELADA', 'CONCRETIZADA', None))}
+            WHEN 'CANCELADA' THEN 'CANCELADA' WHEN 'CONCRETIZADA' THEN 'CONVERTIDA' ELSE 'ATIVA' END AS status_reserva
+FROM r LEFT JOIN cls c ON c.gid = r.g"""),
+    "x_f2_locacao": xb(""",
+paid AS (SELECT l_orderkey * 8 + 1 AS rid, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS v FROM lineitem
+         WHERE l_returnflag IN ('A', 'N') GROUP BY 1),
+l AS (SELECT li.*, o.o_custkey, li.l_orderkey * 8 + li.l_linenumber AS rid,
+             CASE WHEN li.l_linestatus = 'F' THEN li.l_shipdate + to_days(CAST(li.l_orderkey % 10 AS INTEGER)) END AS real_ts,
+             CASE WHEN li.l_linenumber <> 7 AND li.l_orderkey % 5 <> 0
+                  THEN o.o_orderdate + to_days(CAST(li.l_orderkey % 30 + li.l_orderkey % 12 AS INTEGER)) END AS planned_ts
+      FROM lineitem li JOIN orders o ON o.o_orderkey = li.l_orderkey)
+SELECT 'gupessanha' AS nk_frota_origem, l.rid AS nk_id_locacao, l.o_custkey AS nk_id_cliente, l.l_partkey AS nk_id_veiculo,
+       pc.gid AS nk_id_grupo, l.l_suppkey AS nk_id_patio_retirada,
+       CASE WHEN l.real_ts IS NOT NULL THEN (l.l_suppkey + l.l_linenumber) % (SELECT n FROM ny) END AS nk_id_patio_devolucao,
+       CAST(l.l_shipdate AS DATE) AS data_retirada,
+       CAST(coalesce(l.planned_ts, l.real_ts, l.l_shipdate) AS DATE) AS data_prev_devolucao,
+       CAST(l.real_ts AS DATE) AS data_real_devolucao, CAST(NULL AS DECIMAL(12,2)) AS valor_diaria_aplicada,
+       CAST(coalesce(paid.v, 0) AS DECIMAL(14,2)) AS valor_final
+FROM l JOIN pc ON pc.p_partkey = l.l_partkey LEFT JOIN paid ON paid.rid = l.rid"""),
+    "x_f3_patio": """
+SELECT 'p-rique' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
+       CASE WHEN s.s_suppkey % 5 <> 0 THEN 50 END AS capacidade_vagas,
+       CASE WHEN s.s_suppkey % 9 <> 0 THEN n.n_name END AS end_cidade,
+       CASE WHEN s.s_suppkey % 9 <> 0 THEN 'RJ' END AS end_uf,
+       CASE WHEN s.s_suppkey % 9 <> 0 THEN 'Av' END AS end_logradouro
+FROM supplier s LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey""",
+    "x_f3_grupo": xb("""
+SELECT 'p-rique' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo,
+       CAST(coalesce(CASE WHEN gid % 3 <> 0 THEN rate END, 0) AS DECIMAL(12,2)) AS valor_diaria FROM cls"""),
+    "x_f3_veiculo": xb(f""",
+v AS (SELECT p.*, pc.gid, {pick('p.p_size', RAW_T7)} AS tc FROM part p JOIN pc USING (p_partkey))
+SELECT 'p-rique' AS nk_frota_origem, p_partkey AS nk_id_veiculo, gid AS nk_id_grupo,
+       CASE WHEN p_partkey % 4 <> 0 THEN p_partkey % (SELECT n FROM ny) END AS nk_id_patio_origem,
+       CAST(p_partkey AS VARCHAR) AS placa, p_brand AS marca, p_name AS modelo,
+       CASE upper(trim(coalesce(tc, ''))) WHEN 'MANUAL' THEN 'MANUAL' WHEN 'AUTOMATICO' THEN 'AUTOMATICO'
+            WHEN 'AUTOMATICA' THEN 'AUTOMATICO' ELSE tc END AS mecanizacao,
+       CAST(coalesce(CASE WHEN p_size % 3 <> 0 THEN p_size % 2 END, 0) AS BOOLEAN) AS tem_ar_condicionado,
+       2021 AS ano_fabricacao, 'OK' AS situacao
+FROM v"""),
+    "x_f3_cliente": f"""
+WITH c AS (SELECT c_custkey, c_name, c_nationkey, {pick('c_custkey', ('PF', 'pj', ' pf', 'XX'))} AS t FROM customer)
+SELECT 'p-rique' AS nk_frota_origem, c.c_custkey AS nk_id_cliente, c.t AS tipo_cliente,
+       CASE WHEN upper(trim(c.t)) = 'PF' THEN CASE WHEN c.c_custkey % 2 = 0 THEN c.c_name END
+            WHEN upper(trim(c.t)) = 'PJ' THEN CASE WHEN c.c_custkey % 2 = 1 THEN 'RS ' || c.c_name END
+            ELSE coalesce(CASE WHEN c.c_custkey % 2 = 0 THEN c.c_name END,
+                          CASE WHEN c.c_custkey % 2 = 1 THEN 'RS ' || c.c_name END, 'NÃO INFORMADO') END AS nome,
+       CAST(NULL AS VARCHAR) AS email, 'RJ' AS end_uf, n.n_name AS end_cidade,
+       CASE WHEN c.c_custkey % 2 = 0 THEN CAST(c.c_custkey AS VARCHAR) END AS cpf,
+       CASE WHEN c.c_custkey % 2 = 1 THEN CAST(c.c_custkey AS VARCHAR) END AS cnpj,
+       CAST(NULL AS VARCHAR) AS Nome_fantasia
+FROM c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
+    "x_f3_reserva": xb(f""",
+r AS (SELECT o.*, {pick('o.o_orderkey', RAW_S16)} AS st FROM orders o)
+SELECT 'p-rique' AS nk_frota_origem, o_orderkey AS nk_id_reserva, o_custkey AS nk_id_cliente,
+       o_orderkey % (SELECT n FROM nc) + 1 AS nk_id_grupo, o_orderkey % (SELECT n FROM ny) AS nk_id_patio_retirada,
+       o_custkey % (SELECT n FROM ny) AS nk_id_patio_fim, CAST(o_orderdate AS DATE) AS data_reserva,
+       CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER) AS data_retirada_prevista,
+       CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 + o_orderkey % 12 AS INTEGER) AS data_devolucao_prevista,
+       CAST(o_orderkey % 12 AS INTEGER) AS duracao_prevista_dias,
+       CAST(o_totalprice AS DECIMAL(12,2)) AS valor_previsto_reserva, {F3_STATUS.format(x='st')} AS status_reserva
+FROM r"""),
+    "x_f3_locacao": xb("""
+SELECT 'p-rique' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS nk_id_locacao, o.o_custkey AS nk_id_cliente,
+       l.l_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo, l.l_suppkey AS nk_id_patio_retirada,
+       CASE WHEN l.l_linestatus = 'F' THEN (l.l_suppkey + 1) % (SELECT n FROM ny) END AS nk_id_patio_devolucao,
+       CAST(l.l_shipdate AS DATE) AS data_retirada,
+       CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 + o.o_orderkey % 12 AS INTEGER) AS data_prev_devolucao,
+       CASE WHEN l.l_linestatus = 'F' THEN CAST(l.l_shipdate AS DATE) + CAST(l.l_orderkey % 10 AS INTEGER) END
+         AS data_real_devolucao,
+       CASE WHEN pc.gid % 3 <> 0 THEN pc.rate END AS valor_diaria_aplicada,
+       CAST(l.l_extendedprice AS DECIMAL(14,2)) AS valor_final
+FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN pc ON pc.p_partkey = l.l_partkey"""),
+    "x_f4_patio": """
+SELECT 'valviessejoao' AS nk_frota_origem, s_suppkey AS nk_id_patio, s_name AS nome_patio,
+       CAST(NULL AS INTEGER) AS capacidade_vagas, CAST(NULL AS VARCHAR) AS end_cidade, CAST(NULL AS VARCHAR) AS end_uf,
+       CAST(NULL AS VARCHAR) AS localizacao, CAST(s_suppkey AS VARCHAR) AS codigo_patio FROM supplier""",
+    "x_f4_grupo": xb("""
+SELECT 'valviessejoao' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo,
+       CAST(rate AS DECIMAL(10,2)) AS valor_diaria FROM cls"""),
+    "x_f4_veiculo": xb(f"""
+SELECT 'valviessejoao' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo,
+       p.p_partkey % (SELECT n FROM ny) AS nk_id_patio_origem,
+       CASE WHEN p.p_partkey % 11 <> 0 THEN ' ab1 ' END AS placa, p.p_brand AS marca, p.p_name AS modelo,
+       {pick('p.p_size', ('Automática', 'manual', 'CVT'))} AS mecanizacao, p.p_size % 2 = 0 AS tem_ar_condicionado,
+       {pick('p.p_partkey', ('DISPONIVEL', 'ALUGADO', 'MANUTENCAO', 'RESERVADO'))} AS status
+FROM part p JOIN pc USING (p_partkey)"""),
+    "x_f4_cliente": f"""
+SELECT 'valviessejoao' AS nk_frota_origem, c_custkey AS nk_id_cliente,
+       {pick('c_custkey', ('PF', 'PJ', None))} AS tipo_cliente, c_name AS nome,
+       CAST(c_nationkey AS VARCHAR) AS end_cidade, 'MG' AS end_uf, CAST(NULL AS VARCHAR) AS email FROM customer""",
+    "x_f4_reserva": xb(f"""
+SELECT 'valviessejoao' AS nk_frota_origem, o_orderkey AS nk_id_reserva, o_custkey AS nk_id_cliente,
+       o_orderkey % (SELECT n FROM nc) + 1 AS nk_id_grupo, o_orderkey % (SELECT n FROM ny) AS nk_id_patio_retirada,
+       o_custkey % (SELECT n FROM ny) AS nk_id_patio_fim, CAST(o_orderdate AS DATE) AS data_reserva,
+       CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER) AS data_retirada_prevista,
+       CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 + o_orderkey % 12 AS INTEGER) AS data_devolucao_prevista,
+       {pick('o_orderkey', ('ativa', 'CANCELADA', 'Convertida', 'outra'))} AS status_reserva
+FROM orders"""),
+    "x_f4_locacao": xb("""
+SELECT 'valviessejoao' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS nk_id_locacao, o.o_custkey AS nk_id_cliente,
+       l.l_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo, l.l_suppkey AS nk_id_patio_retirada,
+       CASE WHEN l.l_linestatus = 'F' THEN l.l_suppkey END AS nk_id_patio_devolucao,
+       CAST(l.l_shipdate AS DATE) AS data_retirada,
+       CAST(l.l_shipdate AS DATE) + CAST(l.l_linenumber AS INTEGER) AS data_prev_devolucao,
+       CASE WHEN l.l_linestatus = 'F' THEN CAST(l.l_shipdate AS DATE) + CAST(l.l_orderkey % 10 AS INTEGER) END
+         AS data_real_devolucao,
+       CAST(l.l_extendedprice AS DECIMAL(10,2)) AS valor_final
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN pc ON pc.p_partkey = l.l_partkey"""),
+}
+ORACLES.update(EXTRACTS)
