@@ -47,9 +47,9 @@ CONF_COLS = ["nk_frota_origem", "nk_id_locacao", "nk_id_cliente", "data_retirada
 
 def st1_latest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, ck = _dirs(spark, "st1")
-    t = cdc.VersionedTable(spark, f"{base}/raw")
+    t = cdc.BucketedTable(spark, f"{base}/raw", ["user_id"])
     prep = lambda b: b.select("user_id", "event_id", "event_type", "value", "ts")
-    cdc.run_stream(_feed(spark, sf_dir), cdc.apply_upsert(t, ["user_id"], "event_id", prep), ck)
+    cdc.run_stream(_feed(spark, sf_dir), cdc.bucketed_upsert(t, "event_id", prep), ck)
     return t.read()
 
 
@@ -90,15 +90,15 @@ def _open_rentals(a: Analogue) -> DataFrame:
 
 def st4_close_out(spark, sf_dir):
     base, ck = _dirs(spark, "st4")
-    t = cdc.VersionedTable(spark, f"{base}/rentals")
-    t.write(_open_rentals(Analogue(spark, sf_dir)), 0)
+    t = cdc.BucketedTable(spark, f"{base}/rentals", ["nk_id_locacao"])
+    t.initialize(_open_rentals(Analogue(spark, sf_dir)))
 
     def prep(b):
         return b.where(F.col("event_type") == "purchase").select(
             F.col("user_id").alias("nk_id_locacao"), "event_id",
             as_date("ts").alias("data_real_devolucao"), (F.col("user_id") % 10).alias("nk_id_patio_devolucao"))
-    cdc.run_stream(_feed(spark, sf_dir), cdc.apply_update_only(
-        t, ["nk_id_locacao"], "event_id", ["data_real_devolucao", "nk_id_patio_devolucao"], prep), ck)
+    cdc.run_stream(_feed(spark, sf_dir), cdc.bucketed_update_only(
+        t, "event_id", ["data_real_devolucao", "nk_id_patio_devolucao"], prep), ck)
     return t.read()
 
 
@@ -120,15 +120,14 @@ def st6_update_only(spark, sf_dir):
     from locastar.sources.analogue import ORDER_STATUS, _case
     base, ck = _dirs(spark, "st6")
     a = Analogue(spark, sf_dir)
-    t = cdc.VersionedTable(spark, f"{base}/reservations")
-    t.write(a.t("orders", "o_orderkey", "o_orderstatus").select(
-        F.col("o_orderkey").alias("nk_id_reserva"), _case(F.col("o_orderstatus"), ORDER_STATUS).alias("status_reserva")), 0)
+    t = cdc.BucketedTable(spark, f"{base}/reservations", ["nk_id_reserva"])
+    t.initialize(a.t("orders", "o_orderkey", "o_orderstatus").select(
+        F.col("o_orderkey").alias("nk_id_reserva"), _case(F.col("o_orderstatus"), ORDER_STATUS).alias("status_reserva")))
     status = _case(F.col("event_type"), EVENT_STATUS, "ATIVA")
 
     def prep(b):
         return b.select(F.col("user_id").alias("nk_id_reserva"), "event_id", status.alias("status_reserva"))
-    cdc.run_stream(_feed(spark, sf_dir), cdc.apply_update_only(
-        t, ["nk_id_reserva"], "event_id", ["status_reserva"], prep), ck)
+    cdc.run_stream(_feed(spark, sf_dir), cdc.bucketed_update_only(t, "event_id", ["status_reserva"], prep), ck)
     return t.read()
 
 
