@@ -111,6 +111,7 @@ def conform_grupo(raw: DataFrame, cfg: SourceConfig = DEFAULT,
                   run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """C15 name fallback, C1, rate NULL -> 0; C13 warning for NULL/0 rate."""
     names = ["nome_grupo", "codigo"] if cfg.group_name_uses_code else ["nome_grupo"]
+    names = [n for n in names if n in raw.columns]
     warnings = warn(raw, F.col("valor_diaria").isNull() | (F.col("valor_diaria") == 0),
                     CLASS_WARNING, "grupo", "nk_id_grupo", run_ts)
     conf = raw.select(
@@ -155,6 +156,9 @@ def conform_cliente(raw: DataFrame, cfg: SourceConfig = DEFAULT,
     """
     tipo = domain.customer_type("tipo_cliente")
     bad = tipo.isNull()
+    for c in ("end_cidade", "end_uf"):
+        if c not in raw.columns:
+            raw = raw.withColumn(c, F.lit(None).cast("string"))
     if legacy_null_drop:
         raw = raw.where(F.col("tipo_cliente").isNotNull())
     valid, rejects = split_valid(raw, first_reason([(bad, CUSTOMER_REASON)]), "cliente",

@@ -30,11 +30,17 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     New keys are inserted with all their columns; existing keys take only
     ``update_cols`` from ``source`` (None = every non-key column) and keep the
-    rest. ``source`` must hold one row per key (see ``latest_per_key``). One
-    full outer join on the key: a single shuffle of both sides.
+    rest. A key repeated in ``source`` is applied once (the row that sorts
+    last over all columns -- deterministic); repeated keys already in
+    ``target`` are each updated, so a re-run never multiplies rows. One full
+    outer join on the key: the dedup window and the join share one shuffle
+    of each side.
     """
     keys = list(keys)
     cols = [c for c in target.columns if c not in keys]
+    others = [c for c in source.columns if c not in keys]
+    if others:
+        source = latest_per_key(source, keys, [F.col(c).desc_nulls_last() for c in others])
     upd = set(cols if update_cols is None else update_cols)
     t = target.withColumn("_t", F.lit(True))
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols if c in source.columns],

@@ -23,6 +23,7 @@ import os
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from locastar.operators import facts as FL
 from locastar.operators.merge import append_rejects, replace_slice
@@ -70,22 +71,37 @@ def read_warehouse(spark: SparkSession, out_dir: str, version: str | None = None
 
 
 def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date = AS_OF,
-                run_ts: dt.datetime | None = None, incremental: bool = True) -> str:
-    """Run extract -> conform -> load for all fleets at once; returns the version path."""
+                run_ts: dt.datetime | None = None, incremental: bool = True,
+                sources: str = "analogue") -> str:
+    """Run extract -> conform -> load for all fleets at once; returns the version path.
+
+    ``sources="analogue"`` loads the role-mapped test tables (the oracle-checked
+    warehouse); ``sources="per_source"`` runs the four source pipelines (per-fleet
+    extract mappings and conform configurations, plans.per_source).
+    """
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
-    src = Analogue(spark, sf_dir, as_of)
+    if sources == "per_source":
+        from locastar.plans.per_source import StagedSources, conform_per_source
+        src = StagedSources(spark, sf_dir, as_of)
+        conform_fn = conform_per_source
+    else:
+        src = Analogue(spark, sf_dir, as_of)
+        conform_fn = conform_sources
 
     # 1. extract: raw staging written once (the joins of the extract run here
     #    only); conform reads it twice (valid rows, rejects) as plain scans
     raw = {}
     for entity in RAW_ENTITIES:
         path = os.path.join(out_dir, "raw", entity)
-        replace_slice(getattr(src, "raw_" + entity)(), path, PARTITIONS.get("raw_" + entity, ["nk_frota_origem"]))
+        df = getattr(src, "raw_" + entity)()
+        if sources == "per_source":   # source-specific extra columns are kept as text
+            df = df.select(*[F.col(c) for c in df.columns])
+        replace_slice(df, path, PARTITIONS.get("raw_" + entity, ["nk_frota_origem"]))
         raw[entity] = spark.read.parquet(path)
     staged = _Staged(raw)
 
     # 2. conform (all fleets together: fleet is a partition column)
-    conf, rejects = conform_sources(staged, run_ts)
+    conf, rejects = conform_fn(staged, run_ts)
     for name in CONFORMED:
         replace_slice(conf[name], os.path.join(out_dir, "conformed", name),
                       PARTITIONS.get(name, ["nk_frota_origem"]))
