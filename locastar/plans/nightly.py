@@ -21,7 +21,8 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark import StorageLevel
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,8 +106,8 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
     for name in CONFORMED:
         replace_slice(conf[name], os.path.join(out_dir, "conformed", name),
                       PARTITIONS.get(name, ["nk_frota_origem"]))
-    for r in rejects:
-        append_rejects(r, os.path.join(out_dir, "rejects"))
+    # one append for every conform reject/warning of the run
+    append_rejects(reduce(DataFrame.unionByName, rejects), os.path.join(out_dir, "rejects"))
     conf = {n: spark.read.parquet(os.path.join(out_dir, "conformed", n)) for n in CONFORMED}
 
     # 3. dimensions, then facts, upserted into the previous version
@@ -126,12 +127,14 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
         "fato_locacao": (FL.resolve_rental(conf["stg_conf_locacao"], dims), FL.split_rental),
         "fato_reserva": (FL.resolve_reservation(conf["stg_conf_reserva"], dims), FL.split_reservation),
     }
+    # the tagged frame is a scan of the conformed table plus broadcast joins (no
+    # shuffle), so the fact and its late-key rejects simply read it twice
+    lates = []
     for name, (tagged, split) in plans.items():
-        tagged = tagged.persist(StorageLevel.DISK_ONLY)
         fact, late = split(tagged, current.get(name), run_ts)
         fact.write.mode("overwrite").partitionBy(*FACT_PARTITIONS[name]).parquet(os.path.join(version, name))
-        append_rejects(late, os.path.join(out_dir, "rejects"))
-        tagged.unpersist()
+        lates.append(late)
+    append_rejects(reduce(DataFrame.unionByName, lates), os.path.join(out_dir, "rejects"))
 
     # 4. publish
     spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite") \

@@ -416,6 +416,15 @@ def d4_calendar(spark, sf_dir):
     return calendar_span(_a(spark, sf_dir).t("orders", "o_orderdate"), "o_orderdate")
 
 
+def s7_seed_if_empty(spark, sf_dir):
+    """The calendar seed (2015-2035) goes in only when the calendar table is
+    empty. Here the table already holds the days spanned by the orders, so it
+    is kept as is; an empty table would receive the seed."""
+    from locastar.functions.dates import calendar
+    current = calendar_span(_a(spark, sf_dir).t("orders", "o_orderdate"), "o_orderdate")
+    return M.seed_if_empty(current, calendar(spark))
+
+
 def d5_missing_dates(spark, sf_dir):
     from locastar.functions.dates import calendar
     a = _a(spark, sf_dir)
@@ -531,7 +540,8 @@ OPERATOR_QUERIES = {f.__name__: f for f in [
     c14_reject_json, g9_reject_summary, o6_latest_rejects, qc_constraint_audit,
     s1_full_extract, s2_incremental_cut, x_subclass_merge, x_slot_count, x_extension_sum, x_charge_sum,
     x_return_chain, sn1_slot_snapshot, sn2_asof_yard, sn3_slot_id_snapshot, sn4_status_snapshot,
-    j7_null_aware_anti, d1_address_dim, d2_scd1_upsert, d3_address_lookup, d4_calendar, d5_missing_dates,
+    j7_null_aware_anti, d1_address_dim, d2_scd1_upsert, d3_address_lookup, d4_calendar, s7_seed_if_empty,
+    d5_missing_dates,
     s3_merge_subset, s4_replace_slice, s5_replace_day, s8_insert_ignore, u1_date_key, u2_unpivot_dates,
     fl1_inventory_fact, fl2_rental_fact, fl3_reservation_fact, fl4_late_key_reject, fl4b_return_yard_warning,
 ]}

@@ -40,7 +40,13 @@ for _name, _fn in MARTS.items():
     QUERIES[_name] = _mart(_fn)
 
 # queries the benchmark times besides the marts (id -> True)
-BENCH: dict[str, bool] = {}
+BENCH: dict[str, bool] = {
+    "sn2_asof_yard": True,          # as-of reconstruction over the whole rental history
+    "x_f1_locacao": True,           # return chain + extension sums (J5, J6, J12)
+    "x_f2_locacao": True,           # charge sums, incremental cut
+    "c11_first_reason": True,       # ordered reason chain over every reservation
+    "st1_latest_upsert": True,      # change feed through Structured Streaming
+}
 
 from locastar.plans.operator_queries import OPERATOR_QUERIES  # noqa: E402
 

@@ -782,3 +782,4 @@ SELECT 'valviessejoao' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN pc ON pc.p_partkey = l.l_partkey"""),
 }
 ORACLES.update(EXTRACTS)
+ORACLES["s7_seed_if_empty"] = OPS["d4_calendar"]
