@@ -23,7 +23,8 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", ["q1_1_yard_inventory", "q2_2_yard_balance", "q3_2_revenue_share",
                                   "q4_1_return_sla", "c11_first_reason", "sn2_asof_yard", "x_return_chain",
-                                  "s5_replace_day", "fl4_late_key_reject", "st5_child_total"])
+                                  "s5_replace_day", "fl4_late_key_reject", "st5_child_total",
+                                  "x_f1_locacao", "x_f2_locacao", "x_f3_cliente"])
 def test_query_matches_oracle(spark, name):
     import duckdb
 
