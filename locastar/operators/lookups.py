@@ -30,9 +30,14 @@ def lookup_agg(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_
 
 
 def lookup_first(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
-                 order: Sequence[Column], cols: Sequence[str]) -> DataFrame:
-    """LIMIT 1 lookup made deterministic: the first right row per key by ``order``."""
-    pick = latest_per_key(right, right_on, order).select(
+                 order: Sequence[tuple[str, bool]], cols: Sequence[str]) -> DataFrame:
+    """LIMIT 1 lookup made deterministic: the first right row per key by
+    ``order`` ((column, descending) pairs)."""
+    extra: list[str] = []
+    for c in [*(c for c, _ in order), *cols]:
+        if c not in right_on and c not in extra:
+            extra.append(c)
+    pick = latest_per_key(right.select(*right_on, *extra), right_on, order).select(
         *[F.col(r).alias(f"_k{i}") for i, r in enumerate(right_on)], *cols)
     cond = [F.col(l) == F.col(f"_k{i}") for i, l in enumerate(left_on)]
     return left.join(pick, cond, "left").drop(*[f"_k{i}" for i in range(len(right_on))])
@@ -45,16 +50,16 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str) ->
     qualifies. The NULL test is an EXISTS subquery, the rest a left anti join.
     """
     has_null = right.where(F.col(right_col).isNull()).exists()
-    keys = right.where(F.col(right_col).isNotNull()).select(F.col(right_col).alias("_nin"))
+    keys = right.where(F.col(right_col).isNotNull()).select(F.col(right_col).alias("_nin")).distinct()
     return (left.join(keys, F.col(left_col) == F.col("_nin"), "left_anti")
             .where(F.col(left_col).isNotNull() & ~has_null))
 
 
 def latest_as_of(df: DataFrame, key: Sequence[str], ts: str, as_of: dt.date | Column,
-                 tie: Sequence[Column] = ()) -> DataFrame:
+                 tie: Sequence[tuple[str, bool]] = ()) -> DataFrame:
     """Per key, the latest row with ``ts`` not after ``as_of``."""
     a = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return latest_per_key(df.where(F.col(ts) <= a), key, [F.col(ts).desc(), *tie])
+    return latest_per_key(df.where(F.col(ts) <= a), key, [(ts, True), *tie])
 
 
 def share_of(df: DataFrame, measure: str, by: Sequence[str], out: str, digits: int = 2) -> DataFrame:

@@ -53,7 +53,7 @@ def asof_snapshot(fleet: str, vehicles: DataFrame, rentals: DataFrame, day: dt.d
     done = rentals.where((F.col("status") == "CONCLUIDA")).withColumn(
         "_ret", F.to_date("data_devolucao_real"))
     last = latest_as_of(done, ["veiculo_id"], "_ret", day,
-                        tie=[F.col("id_locacao").desc(), F.col("patio_devolucao_id").desc()])
+                        tie=[("id_locacao", True), ("patio_devolucao_id", True)])
     last = last.select(F.col("veiculo_id").alias("_v"), F.col("patio_devolucao_id").alias("_y"))
     open_ = rentals.where((F.col("status") == "EM_ANDAMENTO")
                           & (F.to_date("data_retirada_real") <= F.lit(day))

@@ -319,7 +319,7 @@ def x_return_chain(spark, sf_dir):
         F.col("l_orderkey").alias("id_locacao"), F.col("l_partkey").alias("id_vaga"),
         F.date_add(as_date("l_shipdate"), (F.col("l_orderkey") % 10).cast("int")).alias("data_devolucao"))
     first = L.lookup_first(o, ret, ["o_orderkey"], ["id_locacao"],
-                           [F.col("data_devolucao").desc(), F.col("id_vaga").asc()], ["id_vaga", "data_devolucao"])
+                           [("data_devolucao", True), ("id_vaga", False)], ["id_vaga", "data_devolucao"])
     slots = a.slots().select(F.col("id_vaga").alias("_vaga"), F.col("id_patio").alias("patio_devolucao"))
     return first.join(slots, F.col("id_vaga") == F.col("_vaga"), "left").select(
         F.col("o_orderkey").alias("nk_id_locacao"), "data_devolucao", "patio_devolucao")

@@ -141,7 +141,7 @@ def st7_cascade(spark, sf_dir):
 
     def step(batch, batch_id):
         cdc.apply_upsert(raw, ["user_id"], "event_id", keep)(batch, batch_id)
-        changed = cdc.latest_per_key(keep(batch), ["user_id"], [F.col("event_id").desc()])
+        changed = cdc.latest_per_key(keep(batch), ["user_id"], [("event_id", True)])
         valid, rej = C.conform_locacao(event_rental(changed, key="user_id"))
         cdc.append_by_batch(rej, rejects, batch_id)
         prev = conf.read(before=batch_id + 1)

@@ -52,7 +52,7 @@ def f1_grupo(t, cut=None):
 def f1_veiculo(t, cut=None):
     v = t["Veiculo"].join(t["Especificacoes_const"], "Id_spec_const")
     slots = t["Vaga"].where(F.col("Id_veiculo").isNotNull())
-    v = lookup_first(v, slots, ["Id_veiculo"], ["Id_veiculo"], [F.col("Id_vaga").asc()], ["Id_patio"])
+    v = lookup_first(v, slots, ["Id_veiculo"], ["Id_veiculo"], [("Id_vaga", False)], ["Id_patio"])
     return v.select(_lit_fleet(F1), F.col("Id_veiculo").alias("nk_id_veiculo"), F.col("Id_grupo").alias("nk_id_grupo"),
                     F.col("Id_patio").alias("nk_id_patio_origem"), F.col("Placa").alias("placa"),
                     F.col("Marca").alias("marca"), F.col("Modelo").alias("modelo"), F.col("Versao").alias("versao"),
@@ -88,7 +88,7 @@ def f1_locacao(t, cut=None):
     j = (l.join(r.select("Id_reserva", "Id_cliente", "Id_grupo", "Data_fim_combinada", "Preco_final"), "Id_reserva")
          .join(g.select("Id_grupo", "Diaria_grupo"), "Id_grupo"))
     ret = t["Devolucao"].join(t["Vaga"].select("Id_vaga", "Id_patio").withColumnRenamed("Id_patio", "_yard"), "Id_vaga")
-    j = lookup_first(j, ret, ["Id_locacao"], ["Id_locacao"], [F.col("Data_devolucao").desc(), F.col("Id_vaga").asc()],
+    j = lookup_first(j, ret, ["Id_locacao"], ["Id_locacao"], [("Data_devolucao", True), ("Id_vaga", False)],
                      ["_yard", "Data_devolucao"])
     ext = t["Extensao_reserva"]
     j = lookup_agg(j, ext, ["Id_locacao", "Id_reserva"], ["Id_locacao", "Id_reserva"],

@@ -76,7 +76,7 @@ def apply_upsert(target: VersionedTable, keys: list[str], seq: str,
     """ST1: keep the last change per key, drop changes older than the stored
     sequence, upsert the rest (``update_cols`` None = every column)."""
     def step(batch: DataFrame, batch_id: int) -> None:
-        changes = latest_per_key(prepare(batch), keys, [F.col(seq).desc()])
+        changes = latest_per_key(prepare(batch), keys, [(seq, True)])
         prev = target.read(before=batch_id + 1)
         if prev is None:
             new = changes
@@ -93,7 +93,7 @@ def apply_update_only(target: VersionedTable, keys: list[str], seq: str, update_
                       prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
     """ST4/ST6: last change per key updates ``update_cols`` of existing rows only."""
     def step(batch: DataFrame, batch_id: int) -> None:
-        changes = latest_per_key(prepare(batch), keys, [F.col(seq).desc()])
+        changes = latest_per_key(prepare(batch), keys, [(seq, True)])
         prev = target.read(before=batch_id + 1)
         target.write(update_only(prev, changes.select(*keys, *update_cols), keys, update_cols), batch_id + 1)
     return step
@@ -203,7 +203,7 @@ def bucketed_upsert(target: BucketedTable, seq: str, prepare: Callable[[DataFram
         return merge_upsert(prev, newer, keys, update_cols)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        target.merge(latest_per_key(prepare(batch), keys, [F.col(seq).desc()]), batch_id, fn)
+        target.merge(latest_per_key(prepare(batch), keys, [(seq, True)]), batch_id, fn)
     return step
 
 
@@ -213,6 +213,6 @@ def bucketed_update_only(target: BucketedTable, seq: str, update_cols: list[str]
     keys = target.keys
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        ch = latest_per_key(prepare(batch), keys, [F.col(seq).desc()]).select(*keys, *update_cols)
+        ch = latest_per_key(prepare(batch), keys, [(seq, True)]).select(*keys, *update_cols)
         target.merge(ch, batch_id, lambda prev, c: update_only(prev, c, keys, update_cols))
     return step
