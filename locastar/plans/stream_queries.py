@@ -55,14 +55,13 @@ def st1_latest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def st2_conform_stream(spark, sf_dir):
     base, ck = _dirs(spark, "st2")
-    t = cdc.VersionedTable(spark, f"{base}/conf")
+    t = cdc.BucketedTable(spark, f"{base}/conf", ["nk_frota_origem", "nk_id_locacao"])
     rejects = f"{base}/rejects"
 
     def conform(batch):
         valid, rej = C.conform_locacao(event_rental(batch))
         return valid.select(*CONF_COLS), rej
-    step = cdc.apply_conform(t, rejects, ["nk_frota_origem", "nk_id_locacao"], "nk_id_locacao", conform,
-                             "nk_id_locacao")
+    step = cdc.apply_conform(t, rejects, "nk_id_locacao", conform)
     cdc.run_stream(_feed(spark, sf_dir), step, ck)
     return t.read()
 
@@ -105,8 +104,8 @@ def st4_close_out(spark, sf_dir):
 def st5_child_total(spark, sf_dir):
     base, ck = _dirs(spark, "st5")
     a = Analogue(spark, sf_dir)
-    t = cdc.VersionedTable(spark, f"{base}/parent")
-    t.write(a.t("customer", "c_custkey").select("c_custkey", F.lit(0).cast("decimal(22,2)").alias("valor_total")), 0)
+    t = cdc.BucketedTable(spark, f"{base}/parent", ["c_custkey"])
+    t.initialize(a.t("customer", "c_custkey").select("c_custkey", F.lit(0).cast("decimal(22,2)").alias("valor_total")))
 
     def prep(b):
         return b.where(F.col("event_type").isin("purchase", "click")).select(

@@ -105,40 +105,51 @@ def append_by_batch(df: DataFrame, path: str, batch_id: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def apply_child_total(parent: VersionedTable, children_path: str, parent_key: str, child_key: str,
+def apply_child_total(parent: "BucketedTable", children_path: str, parent_key: str, child_key: str,
                       amount: str, total: str, prepare: Callable[[DataFrame], DataFrame]
                       ) -> Callable[[DataFrame, int], None]:
     """ST5: store the child changes, then recompute the total of every parent
     touched by the batch from all of its children (not a running delta), and
-    update those parents only."""
+    update those parents only. Children are stored by key bucket and batch and
+    the parent is a BucketedTable with the same bucketing, so a batch reads
+    and rewrites only the buckets of the parents it touches."""
     def step(batch: DataFrame, batch_id: int) -> None:
-        kids = prepare(batch)
-        append_by_batch(kids, children_path, batch_id)
+        kids = prepare(batch).withColumn("kbucket", F.pmod(F.xxhash64(F.col(child_key)), F.lit(parent.buckets)))
+        (kids.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("kbucket", "batch_id").parquet(children_path))
+        touched_buckets = [r[0] for r in kids.select("kbucket").distinct().collect()]
         touched = kids.select(F.col(child_key).alias("_k")).distinct()
-        all_kids = batch.sparkSession.read.parquet(children_path).where(F.col("batch_id") <= batch_id)
+        all_kids = (batch.sparkSession.read.parquet(children_path)
+                    .where(F.col("kbucket").isin(touched_buckets) & (F.col("batch_id") <= batch_id)))
         sums = (all_kids.join(touched, F.col(child_key) == F.col("_k"), "left_semi")
                 .groupBy(F.col(child_key).alias(parent_key)).agg(F.sum(amount).alias(total)))
-        prev = parent.read(before=batch_id + 1)
-        parent.write(update_only(prev, sums, [parent_key], [total]).withColumn(
-            total, F.col(total).cast(prev.schema[total].dataType)), batch_id + 1)
+        def fn(prev, changes):
+            return update_only(prev, changes, [parent_key], [total]).withColumn(
+                total, F.col(total).cast(prev.schema[total].dataType))
+        parent.merge(sums, batch_id, fn)
     return step
 
 
-def apply_conform(target: VersionedTable, rejects_path: str, keys: list[str], seq: str,
+def apply_conform(target: "BucketedTable", rejects_path: str, seq: str,
                   conform: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
-                  id_col: str, reject_invalid_updates: bool = True) -> Callable[[DataFrame, int], None]:
+                  reject_invalid_updates: bool = True) -> Callable[[DataFrame, int], None]:
     """ST2 (+ST2b): conform the batch with the batch rules; valid rows are
     upserted, rejected rows go to the reject log and leave the stored row as
     it was. With ``reject_invalid_updates=False`` a rejected change to a key
-    that already exists is dropped silently (the reference's update path)."""
+    that already exists is dropped silently (the reference's update path);
+    that check reads only the buckets of the rejected keys."""
+    keys = target.keys
+
     def step(batch: DataFrame, batch_id: int) -> None:
         valid, rej = conform(batch)
-        prev = target.read(before=batch_id + 1)
-        if not reject_invalid_updates and prev is not None:
-            existing = prev.select(*[F.col(k) for k in keys]).withColumnRenamed(keys[-1], "nk_id_registro")
-            rej = rej.join(existing, [*keys[:-1], "nk_id_registro"], "left_anti")
+        if not reject_invalid_updates:
+            probe = rej.select(*keys[:-1], F.col("nk_id_registro").alias(keys[-1]))
+            existing = target.read_buckets_of(probe)
+            if existing is not None:
+                known = existing.select(*keys).withColumnRenamed(keys[-1], "nk_id_registro")
+                rej = rej.join(known, [*keys[:-1], "nk_id_registro"], "left_anti")
         append_by_batch(rej, rejects_path, batch_id)
-        apply_upsert(target, keys, seq, lambda _: valid)(batch, batch_id)
+        bucketed_upsert(target, seq, lambda _: valid)(batch, batch_id)
     return step
 
 
@@ -170,6 +181,16 @@ class BucketedTable:
         except Exception:  # not created yet
             return None
 
+    def read_buckets_of(self, df: DataFrame) -> DataFrame | None:
+        """Stored rows of the buckets that ``df``'s keys hash to (pruned read)."""
+        touched = [r[0] for r in self._bucketed(df).select("kbucket").distinct().collect()]
+        if not touched:
+            return None
+        try:
+            return self.spark.read.parquet(self.path).where(F.col("kbucket").isin(touched)).drop("kbucket")
+        except Exception:
+            return None
+
     def initialize(self, df: DataFrame) -> None:
         self._write(self._bucketed(df))
 

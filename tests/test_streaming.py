@@ -58,3 +58,25 @@ def test_replayed_batch_is_idempotent(spark):
     first = sorted(tuple(r) for r in t.read().collect())
     step(batch, 0)   # the same micro-batch delivered again
     assert sorted(tuple(r) for r in t.read().collect()) == first
+
+
+def test_invalid_update_flag(spark):
+    """ST2b: an invalid change to a stored key is logged by default and
+    dropped silently with reject_invalid_updates=False; the stored row stays."""
+    from pyspark.sql import functions as F
+    base = tempfile.mkdtemp(prefix="locastar-st2b-")
+    for flag, expect_logged in ((True, 1), (False, 0)):
+        t = cdc.BucketedTable(spark, f"{base}/t{flag}", ["f", "k"], buckets=4)
+        t.initialize(spark.createDataFrame([("a", 1, 10)], "f string, k long, v long"))
+
+        def conform(b):
+            return b.where(F.col("v") >= 0), b.where(F.col("v") < 0).select(
+                "f", F.col("k").alias("nk_id_registro"), F.lit("bad").alias("motivo"))
+        step = cdc.apply_conform(t, f"{base}/rej{flag}", "v", conform, reject_invalid_updates=flag)
+        step(spark.createDataFrame([("a", 1, -5)], "f string, k long, v long"), 0)
+        assert [tuple(r) for r in t.read().collect()] == [("a", 1, 10)]
+        try:
+            logged = spark.read.parquet(f"{base}/rej{flag}").count()
+        except Exception:   # nothing was ever written
+            logged = 0
+        assert logged == expect_logged
