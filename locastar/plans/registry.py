@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from locastar.plans.marts import MARTS
+from locastar.session import ensure_checkpoint_dir
 from locastar.plans.warehouse import build_warehouse
 from locastar.sources.analogue import AS_OF
 
@@ -24,6 +25,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str):
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _WAREHOUSES:
+        ensure_checkpoint_dir(spark)
         _WAREHOUSES[key] = build_warehouse(spark, sf_dir, AS_OF, materialize=True)
     return _WAREHOUSES[key]
 

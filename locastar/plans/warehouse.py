@@ -11,6 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from locastar.functions.dates import calendar
@@ -68,6 +69,13 @@ def checkpointed(name: str, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cached(name: str, df: DataFrame) -> DataFrame:
+    """Keep for reuse within the session (memory, spilling to disk). The
+    lineage stays, so a lost executor's blocks are recomputed; the
+    warehouse lineage is a few joins deep, not iterative."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def load_dims(spark: SparkSession, conf: dict[str, DataFrame],
               current: dict[str, DataFrame] | None = None,
               materialize: Callable[[str, DataFrame], DataFrame] = _identity) -> dict[str, DataFrame]:
@@ -118,14 +126,15 @@ def load_warehouse(spark: SparkSession, conf: dict[str, DataFrame],
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
-                    run_ts: dt.datetime | None = None, materialize: bool = True) -> Warehouse:
-    """Lazy warehouse; with ``materialize`` every conformed table, dimension
-    and fact is checkpointed (lineage cut) so later queries read files."""
+                    run_ts: dt.datetime | None = None, materialize: bool | str = True) -> Warehouse:
+    """Warehouse frames; ``materialize``: True/"cache" keeps every conformed
+    table, dimension and fact for reuse, "checkpoint" cuts their lineage into
+    the shared checkpoint folder, False leaves them lazy."""
     src = Analogue(spark, sf_dir, as_of)
     conf, rej = conform_sources(src, run_ts)
-    m = checkpointed if materialize else _identity
+    m = {True: cached, "cache": cached, "checkpoint": checkpointed}.get(materialize, _identity)
     conf = {k: m(k, v) for k, v in conf.items()}
     tables, late = load_warehouse(spark, conf, run_ts=run_ts, materialize=m)
-    if materialize:
+    if m is not _identity:
         tables = {k: (v if k in DIMENSIONS else m(k, v)) for k, v in tables.items()}
     return Warehouse(conf, tables, rej + late)

@@ -276,15 +276,32 @@ cities AS (SELECT DISTINCT trim(n.n_name) AS cidade, 'XX' AS estado, 'Brasil' AS
               OR n.n_nationkey IN (SELECT c_nationkey FROM customer)),
 addr AS (SELECT CAST(row_number() OVER (ORDER BY cidade, estado, pais) AS BIGINT) AS sk_endereco, * FROM cities)
 """
-QC = [("dim_endereco", "uk_endereco"), ("dim_endereco", "pk"), ("dim_cliente", "pk"), ("dim_cliente", "uk_nk"),
-      ("dim_cliente", "fk_endereco"), ("dim_cliente", "ck_tipo"), ("dim_veiculo", "pk"), ("dim_veiculo", "uk_nk"),
-      ("dim_veiculo", "ck_mecanizacao"), ("dim_grupo", "pk"), ("dim_grupo", "uk_nk"), ("dim_grupo", "ck_valor_diaria"),
-      ("dim_patio", "pk"), ("dim_patio", "uk_nk"), ("dim_patio", "fk_endereco"), ("dim_tempo", "pk"),
-      ("dim_tempo", "uk_data"), ("fato_inventario_patio", "pk"), ("fato_inventario_patio", "ck_qtde"),
-      ("fato_inventario_patio", "fk_patio"), ("fato_locacao", "pk"), ("fato_locacao", "ck_valor"),
-      ("fato_locacao", "ck_qtde"), ("fato_locacao", "fk_cliente"), ("fato_locacao", "fk_patio_devolucao"),
-      ("fato_reserva", "pk"), ("fato_reserva", "ck_status"), ("fato_reserva", "ck_duracao"),
-      ("fato_reserva", "ck_valor"), ("fato_reserva", "fk_grupo")]
+# constraint names in the order the audit emits them: row checks per table, then key checks
+QC_ROW = {
+    "dim_cliente": ["ck_tipo", "nn_sk_cliente", "nn_nk_frota_origem", "nn_nk_id_cliente",
+                    "len_nk_frota_origem", "len_tipo_cliente", "len_nome"],
+    "dim_veiculo": ["ck_mecanizacao", "nn_sk_veiculo", "nn_nk_frota_origem", "nn_nk_id_veiculo",
+                    "len_nk_frota_origem", "len_placa", "len_marca", "len_modelo", "len_mecanizacao"],
+    "dim_grupo": ["ck_valor_diaria", "nn_sk_grupo", "nn_nk_frota_origem", "nn_nk_id_grupo",
+                  "len_nk_frota_origem", "len_nome_grupo"],
+    "fato_inventario_patio": ["ck_qtde", "nn_sk_tempo_referencia", "nn_sk_patio", "nn_sk_veiculo", "nn_sk_grupo"],
+    "fato_locacao": ["ck_valor", "ck_qtde", "nn_nk_frota_origem", "nn_nk_id_locacao", "nn_sk_tempo_retirada",
+                     "nn_sk_tempo_prev_devolucao", "nn_sk_cliente", "nn_sk_veiculo", "nn_sk_grupo",
+                     "nn_sk_patio_retirada"],
+    "fato_reserva": ["ck_status", "ck_duracao", "ck_valor", "ck_qtde", "nn_nk_frota_origem", "nn_nk_id_reserva",
+                     "nn_sk_tempo_reserva", "nn_sk_tempo_prev_retirada", "nn_sk_tempo_prev_devolucao",
+                     "nn_sk_cliente", "nn_sk_grupo", "nn_sk_patio_retirada", "nn_sk_patio_fim"],
+    "dim_endereco": ["nn_sk_endereco", "nn_cidade", "nn_estado", "nn_pais", "len_cidade", "len_estado", "len_pais"],
+    "dim_patio": ["nn_sk_patio", "nn_nk_frota_origem", "nn_nk_id_patio", "len_nk_frota_origem", "len_nome_patio"],
+    "dim_tempo": ["nn_sk_tempo", "nn_data"],
+}
+QC = [(t, c) for t, cs in QC_ROW.items() for c in cs] + [
+    ("dim_endereco", "uk_endereco"), ("dim_endereco", "pk"), ("dim_cliente", "pk"), ("dim_cliente", "uk_nk"),
+    ("dim_cliente", "fk_endereco"), ("dim_veiculo", "pk"), ("dim_veiculo", "uk_nk"), ("dim_grupo", "pk"),
+    ("dim_grupo", "uk_nk"), ("dim_patio", "pk"), ("dim_patio", "uk_nk"), ("dim_patio", "fk_endereco"),
+    ("dim_tempo", "pk"), ("dim_tempo", "uk_data"), ("fato_inventario_patio", "pk"),
+    ("fato_inventario_patio", "fk_patio"), ("fato_locacao", "pk"), ("fato_locacao", "fk_cliente"),
+    ("fato_locacao", "fk_patio_devolucao"), ("fato_reserva", "pk"), ("fato_reserva", "fk_grupo")]
 QC_VALUES = ",\n".join(
     f"('{t}', '{c}', CAST({'(SELECT count(*) - count(DISTINCT (empresa, rid)) FROM rent)' if (t, c) == ('fato_locacao', 'pk') else 0} AS BIGINT))"
     for t, c in QC)
