@@ -23,6 +23,11 @@ ENGINE_CONF = {
     # (AQE) or estimated size is under this bound; otherwise sort-merge join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # partition sizing: scans split at 128 MB, shuffles coalesced by AQE to
+    # ~128 MB per task; on a cluster set spark.sql.shuffle.partitions high
+    # (thousands) and let AQE merge small partitions.
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
