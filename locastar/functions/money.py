@@ -43,7 +43,8 @@ def round_ratio(num: Column | str, den: Column | str, digits: int, scale: int =
     d = _c(den).cast("long")
     p = 10 ** digits
     q = _div(F.abs(n) * (2 * p * scale) + d, d * 2)
-    return F.when(d != 0, F.signum(n) * q / F.lit(float(p)))
+    signed = F.when(n < 0, -q).otherwise(q)          # integer sign: never -0.0
+    return F.when(d != 0, signed / F.lit(float(p)))
 
 
 def round_avg_cents(sum_cents: Column | str, count: Column | str, digits: int = 2) -> Column:

@@ -120,4 +120,6 @@ def test_exact_rounding(spark):
                   round_ratio(F.col("e"), F.col("f"), 0).alias("w"),     # -3.5 -> -4
                   pct(F.col("a"), F.col("z")).alias("n")).first()
     assert (r.x, r.y, r.w, r.n) == (0.13, 166.67, -4.0, None)
+    z = df.select(round_ratio(F.lit(-1), F.lit(100), 1).alias("z")).first().z   # -0.01 -> 0.0, not -0.0
+    assert z == 0.0 and str(z) == "0.0"
     assert float(one(spark, clamp_non_negative(F.col("x")), -3, "x int")) == 0
