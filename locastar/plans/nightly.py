@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locastar.operators import facts as FL
+from locastar.schemas import read_table
 from locastar.operators.merge import append_rejects, replace_slice
 from locastar.plans.warehouse import CONFORMED, TABLES, conform_sources, load_dims
 from locastar.sources.analogue import AS_OF, Analogue
@@ -68,17 +69,20 @@ def read_warehouse(spark: SparkSession, out_dir: str, version: str | None = None
     version = version or current_version(spark, out_dir)
     if version is None:
         return {}
-    return {t: spark.read.parquet(os.path.join(version, t)) for t in TABLES}
+    return {t: read_table(spark, os.path.join(version, t), t) for t in TABLES}
 
 
 def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date = AS_OF,
                 run_ts: dt.datetime | None = None, incremental: bool = True,
-                sources: str = "analogue") -> str:
+                sources: str = "analogue", fleets: list[str] | None = None) -> str:
     """Run extract -> conform -> load for all fleets at once; returns the version path.
 
     ``sources="analogue"`` loads the role-mapped test tables (the oracle-checked
     warehouse); ``sources="per_source"`` runs the four source pipelines (per-fleet
     extract mappings and conform configurations, plans.per_source).
+    ``fleets`` restricts extract and conform to those fleets: only their slices
+    of the raw and conformed tables are replaced (S4); the load then reads
+    every fleet's conformed slice.
     """
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     if sources == "per_source":
@@ -95,6 +99,8 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
     for entity in RAW_ENTITIES:
         path = os.path.join(out_dir, "raw", entity)
         df = getattr(src, "raw_" + entity)()
+        if fleets:
+            df = df.where(F.col("nk_frota_origem").isin(*fleets))
         if sources == "per_source":   # source-specific extra columns are kept as text
             df = df.select(*[F.col(c) for c in df.columns])
         replace_slice(df, path, PARTITIONS.get("raw_" + entity, ["nk_frota_origem"]))
@@ -104,6 +110,8 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
     # 2. conform (all fleets together: fleet is a partition column)
     conf, rejects = conform_fn(staged, run_ts)
     for name in CONFORMED:
+        if fleets:
+            conf[name] = conf[name].where(F.col("nk_frota_origem").isin(*fleets))
         replace_slice(conf[name], os.path.join(out_dir, "conformed", name),
                       PARTITIONS.get(name, ["nk_frota_origem"]))
     # one append for every conform reject/warning of the run

@@ -63,11 +63,21 @@ class VersionedTable:
             .json(os.path.join(self.log, f"c={version}"))
 
 
+def start_cdc(feed: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str,
+              processing_time: str | None = None):
+    """Start the change-feed query: ``step(batch, batch_id)`` per micro-batch.
+
+    ``processing_time`` (e.g. "1 minute") runs continuously; None processes
+    what is available and stops (``availableNow``). Returns the StreamingQuery.
+    """
+    w = feed.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    return w.start()
+
+
 def run_stream(feed: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Drive ``step(batch, batch_id)`` over everything available, then stop."""
-    q = (feed.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    start_cdc(feed, step, checkpoint).awaitTermination()
 
 
 def apply_upsert(target: VersionedTable, keys: list[str], seq: str,

@@ -44,3 +44,17 @@ def test_per_source_pipelines(spark):
     rejects = spark.read.parquet(os.path.join(out, "rejects"))
     reasons = {r.motivo_rejeito for r in rejects.select("motivo_rejeito").distinct().collect()}
     assert "Cliente sem tipo_cliente válido" in reasons
+
+
+def test_fleet_slice_rerun_leaves_other_fleets(spark):
+    """Re-running one fleet replaces only that fleet's conformed slice."""
+    import datetime as dt
+
+    from locastar.plans.nightly import run_nightly
+    out = tempfile.mkdtemp(prefix="locastar-slice-")
+    run_nightly(spark, SF, out, run_ts=dt.datetime(2000, 1, 2, 2, 0))
+    path = os.path.join(out, "conformed", "stg_conf_reserva")
+    before = {r.nk_frota_origem: r["count"] for r in spark.read.parquet(path).groupBy("nk_frota_origem").count().collect()}
+    run_nightly(spark, SF, out, run_ts=dt.datetime(2000, 1, 3, 2, 0), fleets=["gupessanha"])
+    after = {r.nk_frota_origem: r["count"] for r in spark.read.parquet(path).groupBy("nk_frota_origem").count().collect()}
+    assert after == before and len(after) == 4
