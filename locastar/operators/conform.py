@@ -69,7 +69,7 @@ def reject_rows(tagged: DataFrame, entity: str, id_col: str, reason: str = "_rea
         F.col(id_col).cast("long").alias("nk_id_registro"),
         F.col(reason).alias("motivo_rejeito"),
         (row_json(payload) if payload else F.lit(None).cast("string")).alias("dados_json"),
-        ts.cast("timestamp").alias("dt_rejeito"))
+        ts.cast("timestamp_ntz").alias("dt_rejeito"))
 
 
 def split_valid(df: DataFrame, reason: Column, entity: str, id_col: str,

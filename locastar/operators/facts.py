@@ -97,7 +97,7 @@ def _rejects(tagged: DataFrame, table: str, id_col: str, run_ts) -> DataFrame:
     return tagged.where(F.col("_reason").isNotNull()).select(
         F.lit(table).alias("tabela_origem"), "nk_frota_origem",
         F.col(id_col).cast("long").alias("nk_id_registro"), F.col("_reason").alias("motivo_rejeito"),
-        F.lit(None).cast("string").alias("dados_json"), ts.cast("timestamp").alias("dt_rejeito"))
+        F.lit(None).cast("string").alias("dados_json"), ts.cast("timestamp_ntz").alias("dt_rejeito"))
 
 
 def resolve_inventory(snap: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

@@ -96,7 +96,7 @@ class Analogue:
         agg = (self.t("part", "p_type", "p_retailprice").groupBy("p_type")
                .agg(F.max("p_retailprice").alias("rate")))
         return agg.select(
-            F.dense_rank().over(_order_all("p_type")).alias("nk_id_grupo"),
+            F.dense_rank().over(_order_all("p_type")).cast("long").alias("nk_id_grupo"),
             "p_type", F.col("rate").cast("decimal(12,2)").alias("valor_diaria"))
 
     def part_class(self) -> DataFrame:

@@ -375,7 +375,7 @@ FROM g"""),
 SELECT 'stg_' || replace(f, '-', '_') || '_reserva' AS tabela_origem, k AS nk_id_registro, motivo AS motivo_rejeito,
        json_object('nk_id_reserva', k, 'nk_id_cliente', cust, 'nk_id_grupo', gid, 'nk_id_patio_retirada', y1,
                    'nk_id_patio_fim', y2, 'data_reserva', d0, 'data_retirada_prevista', ret,
-                   'data_devolucao_prevista', dev) AS dados_json
+                   'data_devolucao_prevista', dev)::VARCHAR AS dados_json
 FROM frr WHERE motivo IS NOT NULL"""),
     "g9_reject_summary": with_base(f""", {FAULTY_RES}, {REJECT_LOG}
 SELECT tabela_origem, CAST(count(*) AS BIGINT) AS total_rejeitos, min(dt_rejeito) AS primeiro_rejeito,
