@@ -14,20 +14,30 @@ from locastar.sources.fleets import surrogate_key
 ADDRESS_KEY = ["cidade", "estado", "pais"]
 
 
-def address_dim(current: DataFrame, yards: DataFrame, customers: DataFrame) -> DataFrame:
+def address_dim(current: DataFrame, yards: DataFrame, customers: DataFrame,
+                collation: str | None = None) -> DataFrame:
     """Distinct (city, UF, country) of yards then customers; insert only new.
 
     New rows get ``max(sk) + n`` in natural-key order. The address domain is a
     list of cities (bounded by geography, not by the data volume), which is
     what makes the single ordered numbering step acceptable here.
+
+    ``collation`` (e.g. "UNICODE_CI_AI", the reference database's case- and
+    accent-insensitive comparison) makes 'São Paulo' and 'SAO PAULO' one
+    address; the stored spelling is the smallest one. Default: binary.
     """
-    inc = (yards.select(F.col("end_cidade").alias("cidade"), F.col("end_uf").alias("estado"),
-                        F.col("end_pais").alias("pais"))
-           .unionByName(customers.select(F.col("end_cidade").alias("cidade"),
-                                         F.col("end_uf").alias("estado"),
-                                         F.col("end_pais").alias("pais")))
-           .distinct())
-    add = new_rows(current, inc, ADDRESS_KEY)
+    def pick(df, a, b, c):
+        return df.select(F.col(a).alias("cidade"), F.col(b).alias("estado"), F.col(c).alias("pais"))
+    inc = (pick(yards, "end_cidade", "end_uf", "end_pais")
+           .unionByName(pick(customers, "end_cidade", "end_uf", "end_pais")))
+    if collation:
+        inc = (inc.groupBy(*[F.collate(F.col(c), collation).alias(f"_k_{c}") for c in ADDRESS_KEY])
+               .agg(*[F.min(c).alias(c) for c in ADDRESS_KEY]).select(*ADDRESS_KEY))
+        cur = current.select(*[F.collate(F.col(c), collation).alias(f"_k_{c}") for c in ADDRESS_KEY])
+        cond = [F.collate(F.col(c), collation) == F.col(f"_k_{c}") for c in ADDRESS_KEY]
+        add = inc.join(cur, cond, "left_anti")
+    else:
+        add = new_rows(current, inc.distinct(), ADDRESS_KEY)
     base = current.agg(F.coalesce(F.max("sk_endereco"), F.lit(0)).cast("long")).scalar()
     numbered = add.select((base + F.row_number().over(Window.orderBy(*ADDRESS_KEY)))
                           .cast("long").alias("sk_endereco"), *ADDRESS_KEY)
@@ -38,11 +48,17 @@ def empty_address(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "sk_endereco long, cidade string, estado string, pais string")
 
 
-def with_address_key(df: DataFrame, address: DataFrame) -> DataFrame:
-    """D3: sk_endereco by (city, UF, country); unmatched -> NULL. Address dim is bounded."""
-    a = address.select("sk_endereco", F.col("cidade").alias("end_cidade"),
-                       F.col("estado").alias("end_uf"), F.col("pais").alias("end_pais"))
-    return df.join(F.broadcast(a), ["end_cidade", "end_uf", "end_pais"], "left")
+def with_address_key(df: DataFrame, address: DataFrame, collation: str | None = None) -> DataFrame:
+    """D3: sk_endereco by (city, UF, country); unmatched -> NULL. Address dim is bounded.
+    With ``collation`` the three texts are compared under it (see address_dim)."""
+    a = address.select("sk_endereco", F.col("cidade").alias("_c"), F.col("estado").alias("_e"),
+                       F.col("pais").alias("_p"))
+    pairs = [("end_cidade", "_c"), ("end_uf", "_e"), ("end_pais", "_p")]
+    if collation:
+        cond = [F.collate(F.col(x), collation) == F.collate(F.col(y), collation) for x, y in pairs]
+    else:
+        cond = [F.col(x) == F.col(y) for x, y in pairs]
+    return df.join(F.broadcast(a), cond, "left").drop("_c", "_e", "_p")
 
 
 def scd1(current: DataFrame | None, incoming: DataFrame, nk: Sequence[str], attrs: Sequence[str],

@@ -88,3 +88,15 @@ def test_lookup_agg_charges(spark):
     out = L.lookup_agg(rent, ch.where(F.col("status").isin("PAGA", "PENDENTE")), ["id"], ["locacao_id"],
                        {"total": F.sum("v")}, {"total": 0})
     assert {r.id: r.total for r in out.collect()} == {1: 150.0, 2: 0.0}
+
+
+def test_address_collation_option(spark):
+    schema = "end_cidade string, end_uf string, end_pais string"
+    yards = spark.createDataFrame([("São Paulo", "SP", "Brasil")], schema)
+    cust = spark.createDataFrame([("SAO PAULO", "sp", "brasil"), ("Rio", "RJ", "Brasil")], schema)
+    empty = D.empty_address(spark)
+    assert D.address_dim(empty, yards, cust).count() == 3                       # binary (default)
+    ci = D.address_dim(empty, yards, cust, collation="UNICODE_CI_AI")
+    assert ci.count() == 2
+    keyed = D.with_address_key(cust, ci, collation="UNICODE_CI_AI").collect()
+    assert all(r.sk_endereco is not None for r in keyed)
