@@ -55,7 +55,7 @@ DEFAULT = SourceConfig("*")
 
 
 def source_table(entity: str) -> Column:
-    """Name of the raw staging table of the row's fleet ('stg_guilherme_hu_reserva')."""
+    """Name of the raw staging table of the row's fleet ('stg_frota_1_reserva')."""
     return F.concat(F.lit("stg_"), F.regexp_replace(F.col("nk_frota_origem"), "-", "_"),
                     F.lit("_" + entity))
 

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from locastar.functions import domain
 
-# Fleet names stored in nk_frota_origem, in source order F1..F4.
-FLEETS = ("guilherme-hu", "gupessanha", "p-rique", "valviessejoao")
+# Fleet codes stored in nk_frota_origem, in source order F1..F4. Neutral
+# codes: deployments set their own labels here (the registry order is what
+# the surrogate-key rule depends on, never the text).
+FLEETS = ("frota-1", "frota-2", "frota-3", "frota-4")
 
 # Surrogate keys are fleet_index * KEY_SPACE + natural id. Natural ids are
 # 32-bit integers in every source, so the composite is unique, needs no global

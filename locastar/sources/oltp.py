@@ -239,4 +239,4 @@ def f4_tables(a: Analogue) -> dict[str, DataFrame]:
     }
 
 
-TABLES = {"guilherme-hu": f1_tables, "gupessanha": f2_tables, "p-rique": f3_tables, "valviessejoao": f4_tables}
+TABLES = {"frota-1": f1_tables, "frota-2": f2_tables, "frota-3": f3_tables, "frota-4": f4_tables}

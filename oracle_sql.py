@@ -24,7 +24,7 @@ def cap(x: str) -> str:
 
 
 BASE = f"""
-fl(idx, fleet) AS (VALUES (0, 'guilherme-hu'), (1, 'gupessanha'), (2, 'p-rique'), (3, 'valviessejoao')),
+fl(idx, fleet) AS (VALUES (0, 'frota-1'), (1, 'frota-2'), (2, 'frota-3'), (3, 'frota-4')),
 ny AS (SELECT count(*) AS n FROM supplier),
 cls AS (SELECT p_type, CAST(dense_rank() OVER (ORDER BY p_type) AS BIGINT) AS gid,
                CAST(max(p_retailprice) AS DECIMAL(12,2)) AS rate, {cap('p_type')} AS gname
@@ -193,7 +193,7 @@ def _full(body: str) -> str:
 
 
 
-FLEET_LIST = "['guilherme-hu', 'gupessanha', 'p-rique', 'valviessejoao']"
+FLEET_LIST = "['frota-1', 'frota-2', 'frota-3', 'frota-4']"
 K32 = 4294967296
 
 
@@ -388,7 +388,7 @@ ORDER BY dt_rejeito DESC, tabela_origem, nk_frota_origem, nk_id_registro DESC, m
     "qc_constraint_audit": with_base(f"""
 SELECT * FROM (VALUES {QC_VALUES}) AS t(tabela, restricao, violacoes)"""),
     "s1_full_extract": f"""WITH ny AS (SELECT count(*) AS n FROM supplier), {SLOTS}
-SELECT 'gupessanha' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
+SELECT 'frota-2' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
        CAST(sl.n AS BIGINT) AS capacidade_vagas,
        left(concat_ws(' ', {", ".join(["s.s_name"] * 12)}), 150) AS endereco,
        CAST(NULL AS VARCHAR) AS end_cidade, CAST(NULL AS VARCHAR) AS end_uf
@@ -420,7 +420,7 @@ r1 AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY d DESC, slo
 SELECT o.o_orderkey AS nk_id_locacao, r1.d AS data_devolucao, r1.slot % (SELECT n FROM ny) AS patio_devolucao
 FROM orders o LEFT JOIN r1 ON r1.l_orderkey = o.o_orderkey AND r1.rn = 1""",
     "sn1_slot_snapshot": with_base("""
-SELECT 'guilherme-hu' AS nk_frota_origem, p_partkey % (SELECT n FROM ny) AS nk_id_patio, p_partkey AS nk_id_veiculo,
+SELECT 'frota-1' AS nk_frota_origem, p_partkey % (SELECT n FROM ny) AS nk_id_patio, p_partkey AS nk_id_veiculo,
        gid AS nk_id_grupo, DATE '1999-12-31' AS data_snapshot
 FROM pc WHERE p_partkey % 3 <> 0"""),
     "sn2_asof_yard": with_base(""",
@@ -432,16 +432,16 @@ lr AS (SELECT l_orderkey * 8 + l_linenumber AS rid, l_partkey AS veh, l_linestat
 last AS (SELECT veh, y FROM (SELECT veh, y, row_number() OVER (PARTITION BY veh ORDER BY rl DESC, rid DESC, y DESC) AS rn
                              FROM lr WHERE st = 'F' AND rl <= DATE '1995-03-01') WHERE rn = 1),
 opn AS (SELECT veh FROM lr WHERE st <> 'F' AND ship <= DATE '1995-03-01')
-SELECT 'gupessanha' AS nk_frota_origem, coalesce(last.y, v.home) AS nk_id_patio, v.p_partkey AS nk_id_veiculo,
+SELECT 'frota-2' AS nk_frota_origem, coalesce(last.y, v.home) AS nk_id_patio, v.p_partkey AS nk_id_veiculo,
        v.gid AS nk_id_grupo, DATE '1995-03-01' AS data_snapshot
 FROM v LEFT JOIN last ON last.veh = v.p_partkey
 WHERE v.p_partkey NOT IN (SELECT veh FROM opn)"""),
     "sn3_slot_id_snapshot": with_base("""
-SELECT 'p-rique' AS nk_frota_origem, p_partkey % (SELECT n FROM ny) AS nk_id_patio, p_partkey AS nk_id_veiculo,
+SELECT 'frota-3' AS nk_frota_origem, p_partkey % (SELECT n FROM ny) AS nk_id_patio, p_partkey AS nk_id_veiculo,
        gid AS nk_id_grupo, DATE '2000-01-01' AS data_snapshot
 FROM pc WHERE p_partkey % 4 <> 0"""),
     "sn4_status_snapshot": with_base(f"""
-SELECT 'valviessejoao' AS nk_frota_origem, p.p_partkey % (SELECT n FROM ny) AS nk_id_patio, p.p_partkey AS nk_id_veiculo,
+SELECT 'frota-4' AS nk_frota_origem, p.p_partkey % (SELECT n FROM ny) AS nk_id_patio, p.p_partkey AS nk_id_veiculo,
        pc.gid AS nk_id_grupo, DATE '2000-01-01' AS data_snapshot
 FROM part p JOIN pc USING (p_partkey)
 WHERE {pick('p.p_size', ('DISPONIVEL', 'ALUGADO', 'MANUTENCAO', None))} <> 'ALUGADO'"""),
@@ -449,7 +449,7 @@ WHERE {pick('p.p_size', ('DISPONIVEL', 'ALUGADO', 'MANUTENCAO', None))} <> 'ALUG
 SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')""",
     "d1_address_dim": f"WITH {ADDR} SELECT sk_endereco, cidade, estado, pais FROM addr",
     "d2_scd1_upsert": f"""
-SELECT CAST({K32} + c_custkey AS BIGINT) AS sk_cliente, 'guilherme-hu' AS nk_frota_origem, c_custkey AS nk_id_cliente,
+SELECT CAST({K32} + c_custkey AS BIGINT) AS sk_cliente, 'frota-1' AS nk_frota_origem, c_custkey AS nk_id_cliente,
        'PF' AS tipo_cliente, c_name AS nome FROM customer""",
     "d3_address_lookup": with_base(f""", {ADDR}
 SELECT fl.fleet AS nk_frota_origem, c.c_custkey AS nk_id_cliente, a.sk_endereco
@@ -476,7 +476,7 @@ SELECT {fleet('o_orderkey')} AS nk_frota_origem, o_orderkey AS nk_id_reserva,
 FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0""",
     "s4_replace_slice": with_base("""
 SELECT empresa AS nk_frota_origem, rid AS nk_id_reserva, status AS status_reserva FROM resv
-WHERE empresa <> 'gupessanha' OR status = 'CANCELADA'"""),
+WHERE empresa <> 'frota-2' OR status = 'CANCELADA'"""),
     "s5_replace_day": with_base(f""",
 snap AS (SELECT {fleet('p_partkey % (SELECT n FROM ny)')} AS nk_frota_origem,
                 p_partkey % (SELECT n FROM ny) AS nk_id_patio, p_partkey AS nk_id_veiculo, d.data_snapshot
@@ -601,15 +601,15 @@ def xb(body: str) -> str:
 
 EXTRACTS = {
     "x_f1_patio": xb("""
-SELECT 'guilherme-hu' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
+SELECT 'frota-1' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
        CAST(coalesce(sl.n, 0) AS INTEGER) AS capacidade_vagas, n.n_name AS end_cidade, 'SP' AS end_uf,
        'Rua ' || n.n_name AS end_logradouro
 FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey LEFT JOIN slots sl ON sl.y = s.s_suppkey"""),
     "x_f1_grupo": xb("""
-SELECT 'guilherme-hu' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo,
+SELECT 'frota-1' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo,
        CAST(NULL AS VARCHAR) AS descricao_grupo, rate AS valor_diaria FROM cls"""),
     "x_f1_veiculo": xb(f"""
-SELECT 'guilherme-hu' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo,
+SELECT 'frota-1' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo,
        CASE WHEN p.p_partkey % 3 <> 0 THEN p.p_partkey % (SELECT n FROM ny) END AS nk_id_patio_origem,
        'p' || CAST(p.p_partkey AS VARCHAR) AS placa, p.p_brand AS marca, p.p_name AS modelo,
        CAST(NULL AS VARCHAR) AS versao,
@@ -619,12 +619,12 @@ SELECT 'guilherme-hu' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid A
        'ATIVO' AS situacao
 FROM part p JOIN pc USING (p_partkey)"""),
     "x_f1_cliente": """
-SELECT 'guilherme-hu' AS nk_frota_origem, c.c_custkey AS nk_id_cliente, 'PF' AS tipo_cliente, c.c_name AS nome,
+SELECT 'frota-1' AS nk_frota_origem, c.c_custkey AS nk_id_cliente, 'PF' AS tipo_cliente, c.c_name AS nome,
        lower(c.c_name) || '@mail' AS email, 'SP' AS end_uf, n.n_name AS end_cidade,
        lpad(CAST(c.c_custkey AS VARCHAR), 11, '0') AS cpf
 FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey""",
     "x_f1_reserva": xb("""
-SELECT 'guilherme-hu' AS nk_frota_origem, o.o_orderkey AS nk_id_reserva, o.o_custkey AS nk_id_cliente,
+SELECT 'frota-1' AS nk_frota_origem, o.o_orderkey AS nk_id_reserva, o.o_custkey AS nk_id_cliente,
        o.o_orderkey % (SELECT n FROM nc) + 1 AS nk_id_grupo, o.o_orderkey % (SELECT n FROM ny) AS nk_id_patio_retirada,
        o.o_custkey % (SELECT n FROM ny) AS nk_id_patio_fim, CAST(o.o_orderdate AS DATE) AS data_reserva,
        CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 AS INTEGER) AS data_retirada_prevista,
@@ -643,7 +643,7 @@ dev AS (SELECT rid, slot % (SELECT n FROM ny) AS yard, d FROM (
           FROM lineitem WHERE l_linestatus = 'F') WHERE rn = 1),
 ext AS (SELECT l_orderkey * 8 + 1 AS rid, l_orderkey AS res, sum(l_linenumber) AS e FROM lineitem
         WHERE l_linenumber >= 6 GROUP BY 1, 2)
-SELECT 'guilherme-hu' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS nk_id_locacao, o.o_custkey AS nk_id_cliente,
+SELECT 'frota-1' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS nk_id_locacao, o.o_custkey AS nk_id_cliente,
        l.l_partkey AS nk_id_veiculo, c.gid AS nk_id_grupo, l.l_suppkey AS nk_id_patio_retirada,
        dev.yard AS nk_id_patio_devolucao, CAST(l.l_shipdate AS DATE) AS data_retirada,
        CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 + o.o_orderkey % 12 + coalesce(ext.e, 0) AS INTEGER)
@@ -655,15 +655,15 @@ JOIN cls c ON c.gid = o.o_orderkey % (SELECT n FROM nc) + 1
 LEFT JOIN dev ON dev.rid = l.l_orderkey * 8 + l.l_linenumber
 LEFT JOIN ext ON ext.rid = l.l_orderkey * 8 + l.l_linenumber AND ext.res = l.l_orderkey"""),
     "x_f2_patio": xb(f"""
-SELECT 'gupessanha' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
+SELECT 'frota-2' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
        CAST(sl.n AS INTEGER) AS capacidade_vagas, CAST(NULL AS VARCHAR) AS end_cidade, CAST(NULL AS VARCHAR) AS end_uf,
        left(concat_ws(' ', {", ".join(["s.s_name"] * 12)}), 150) AS end_logradouro
 FROM supplier s LEFT JOIN slots sl ON sl.y = s.s_suppkey"""),
     "x_f2_grupo": xb("""
-SELECT 'gupessanha' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo, 'G' || CAST(gid AS VARCHAR) AS codigo,
+SELECT 'frota-2' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo, 'G' || CAST(gid AS VARCHAR) AS codigo,
        CAST(coalesce(CASE WHEN gid % 4 <> 0 THEN rate END, 0) AS DECIMAL(12,2)) AS valor_diaria FROM cls"""),
     "x_f2_veiculo": xb("""
-SELECT 'gupessanha' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo,
+SELECT 'frota-2' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo,
        p.p_partkey % (SELECT n FROM ny) AS nk_id_patio_origem, 'Q' || CAST(p.p_partkey AS VARCHAR) AS placa,
        p.p_brand AS marca, p.p_name AS modelo,
        CASE WHEN p.p_size % 2 = 0 THEN 'MANUAL' ELSE 'AUTOMATICO' END AS mecanizacao,
@@ -671,7 +671,7 @@ SELECT 'gupessanha' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid AS
        CASE WHEN p.p_size % 10 = 0 THEN 'BAIXADO' ELSE 'ATIVO' END AS situacao
 FROM part p JOIN pc USING (p_partkey)"""),
     "x_f2_cliente": """
-SELECT 'gupessanha' AS nk_frota_origem, c_custkey AS nk_id_cliente,
+SELECT 'frota-2' AS nk_frota_origem, c_custkey AS nk_id_cliente,
        CASE WHEN c_custkey % 3 = 0 THEN 'PJ' ELSE 'PF' END AS tipo_cliente, c_name AS nome,
        lower(c_name) || '@mail' AS email, CAST(c_nationkey AS VARCHAR) AS end_cidade,
        CASE WHEN c_custkey % 3 <> 0 THEN lpad(CAST(c_custkey AS VARCHAR), 11, '0') END AS cpf,
@@ -683,7 +683,7 @@ r AS (SELECT o.*, CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 AS INTEGE
              CASE WHEN o.o_orderkey % 5 <> 0
                   THEN CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 + o.o_orderkey % 12 AS INTEGER) END AS en,
              o.o_orderkey % (SELECT n FROM nc) + 1 AS g FROM orders o)
-SELECT 'gupessanha' AS nk_frota_origem, r.o_orderkey AS nk_id_reserva, r.o_custkey AS nk_id_cliente, r.g AS nk_id_grupo,
+SELECT 'frota-2' AS nk_frota_origem, r.o_orderkey AS nk_id_reserva, r.o_custkey AS nk_id_cliente, r.g AS nk_id_grupo,
        r.o_orderkey % (SELECT n FROM ny) AS nk_id_patio_retirada, r.o_custkey % (SELECT n FROM ny) AS nk_id_patio_fim,
        CAST(r.o_orderdate AS DATE) AS data_reserva, r.st AS data_retirada_prevista, r.en AS data_devolucao_prevista,
        CAST(date_diff('day', r.st, r.en) AS INTEGER) AS duracao_prevista_dias,
@@ -700,7 +700,7 @@ l AS (SELECT li.*, o.o_custkey, li.l_orderkey * 8 + li.l_linenumber AS rid,
              CASE WHEN li.l_linenumber <> 7 AND li.l_orderkey % 5 <> 0
                   THEN o.o_orderdate + to_days(CAST(li.l_orderkey % 30 + li.l_orderkey % 12 AS INTEGER)) END AS planned_ts
       FROM lineitem li JOIN orders o ON o.o_orderkey = li.l_orderkey)
-SELECT 'gupessanha' AS nk_frota_origem, l.rid AS nk_id_locacao, l.o_custkey AS nk_id_cliente, l.l_partkey AS nk_id_veiculo,
+SELECT 'frota-2' AS nk_frota_origem, l.rid AS nk_id_locacao, l.o_custkey AS nk_id_cliente, l.l_partkey AS nk_id_veiculo,
        pc.gid AS nk_id_grupo, l.l_suppkey AS nk_id_patio_retirada,
        CASE WHEN l.real_ts IS NOT NULL THEN (l.l_suppkey + l.l_linenumber) % (SELECT n FROM ny) END AS nk_id_patio_devolucao,
        CAST(l.l_shipdate AS DATE) AS data_retirada,
@@ -709,18 +709,18 @@ SELECT 'gupessanha' AS nk_frota_origem, l.rid AS nk_id_locacao, l.o_custkey AS n
        CAST(coalesce(paid.v, 0) AS DECIMAL(14,2)) AS valor_final
 FROM l JOIN pc ON pc.p_partkey = l.l_partkey LEFT JOIN paid ON paid.rid = l.rid"""),
     "x_f3_patio": """
-SELECT 'p-rique' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
+SELECT 'frota-3' AS nk_frota_origem, s.s_suppkey AS nk_id_patio, s.s_name AS nome_patio,
        CASE WHEN s.s_suppkey % 5 <> 0 THEN 50 END AS capacidade_vagas,
        CASE WHEN s.s_suppkey % 9 <> 0 THEN n.n_name END AS end_cidade,
        CASE WHEN s.s_suppkey % 9 <> 0 THEN 'RJ' END AS end_uf,
        CASE WHEN s.s_suppkey % 9 <> 0 THEN 'Av' END AS end_logradouro
 FROM supplier s LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey""",
     "x_f3_grupo": xb("""
-SELECT 'p-rique' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo,
+SELECT 'frota-3' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo,
        CAST(coalesce(CASE WHEN gid % 3 <> 0 THEN rate END, 0) AS DECIMAL(12,2)) AS valor_diaria FROM cls"""),
     "x_f3_veiculo": xb(f""",
 v AS (SELECT p.*, pc.gid, {pick('p.p_size', RAW_T7)} AS tc FROM part p JOIN pc USING (p_partkey))
-SELECT 'p-rique' AS nk_frota_origem, p_partkey AS nk_id_veiculo, gid AS nk_id_grupo,
+SELECT 'frota-3' AS nk_frota_origem, p_partkey AS nk_id_veiculo, gid AS nk_id_grupo,
        CASE WHEN p_partkey % 4 <> 0 THEN p_partkey % (SELECT n FROM ny) END AS nk_id_patio_origem,
        CAST(p_partkey AS VARCHAR) AS placa, p_brand AS marca, p_name AS modelo,
        CASE upper(trim(coalesce(tc, ''))) WHEN 'MANUAL' THEN 'MANUAL' WHEN 'AUTOMATICO' THEN 'AUTOMATICO'
@@ -730,7 +730,7 @@ SELECT 'p-rique' AS nk_frota_origem, p_partkey AS nk_id_veiculo, gid AS nk_id_gr
 FROM v"""),
     "x_f3_cliente": f"""
 WITH c AS (SELECT c_custkey, c_name, c_nationkey, {pick('c_custkey', ('PF', 'pj', ' pf', 'XX'))} AS t FROM customer)
-SELECT 'p-rique' AS nk_frota_origem, c.c_custkey AS nk_id_cliente, c.t AS tipo_cliente,
+SELECT 'frota-3' AS nk_frota_origem, c.c_custkey AS nk_id_cliente, c.t AS tipo_cliente,
        CASE WHEN upper(trim(c.t)) = 'PF' THEN CASE WHEN c.c_custkey % 2 = 0 THEN c.c_name END
             WHEN upper(trim(c.t)) = 'PJ' THEN CASE WHEN c.c_custkey % 2 = 1 THEN 'RS ' || c.c_name END
             ELSE coalesce(CASE WHEN c.c_custkey % 2 = 0 THEN c.c_name END,
@@ -742,7 +742,7 @@ SELECT 'p-rique' AS nk_frota_origem, c.c_custkey AS nk_id_cliente, c.t AS tipo_c
 FROM c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
     "x_f3_reserva": xb(f""",
 r AS (SELECT o.*, {pick('o.o_orderkey', RAW_S16)} AS st FROM orders o)
-SELECT 'p-rique' AS nk_frota_origem, o_orderkey AS nk_id_reserva, o_custkey AS nk_id_cliente,
+SELECT 'frota-3' AS nk_frota_origem, o_orderkey AS nk_id_reserva, o_custkey AS nk_id_cliente,
        o_orderkey % (SELECT n FROM nc) + 1 AS nk_id_grupo, o_orderkey % (SELECT n FROM ny) AS nk_id_patio_retirada,
        o_custkey % (SELECT n FROM ny) AS nk_id_patio_fim, CAST(o_orderdate AS DATE) AS data_reserva,
        CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER) AS data_retirada_prevista,
@@ -751,7 +751,7 @@ SELECT 'p-rique' AS nk_frota_origem, o_orderkey AS nk_id_reserva, o_custkey AS n
        CAST(o_totalprice AS DECIMAL(12,2)) AS valor_previsto_reserva, {F3_STATUS.format(x='st')} AS status_reserva
 FROM r"""),
     "x_f3_locacao": xb("""
-SELECT 'p-rique' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS nk_id_locacao, o.o_custkey AS nk_id_cliente,
+SELECT 'frota-3' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS nk_id_locacao, o.o_custkey AS nk_id_cliente,
        l.l_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo, l.l_suppkey AS nk_id_patio_retirada,
        CASE WHEN l.l_linestatus = 'F' THEN (l.l_suppkey + 1) % (SELECT n FROM ny) END AS nk_id_patio_devolucao,
        CAST(l.l_shipdate AS DATE) AS data_retirada,
@@ -762,25 +762,25 @@ SELECT 'p-rique' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS nk_id_
        CAST(l.l_extendedprice AS DECIMAL(14,2)) AS valor_final
 FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN pc ON pc.p_partkey = l.l_partkey"""),
     "x_f4_patio": """
-SELECT 'valviessejoao' AS nk_frota_origem, s_suppkey AS nk_id_patio, s_name AS nome_patio,
+SELECT 'frota-4' AS nk_frota_origem, s_suppkey AS nk_id_patio, s_name AS nome_patio,
        CAST(NULL AS INTEGER) AS capacidade_vagas, CAST(NULL AS VARCHAR) AS end_cidade, CAST(NULL AS VARCHAR) AS end_uf,
        CAST(NULL AS VARCHAR) AS localizacao, CAST(s_suppkey AS VARCHAR) AS codigo_patio FROM supplier""",
     "x_f4_grupo": xb("""
-SELECT 'valviessejoao' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo,
+SELECT 'frota-4' AS nk_frota_origem, gid AS nk_id_grupo, p_type AS nome_grupo,
        CAST(rate AS DECIMAL(10,2)) AS valor_diaria FROM cls"""),
     "x_f4_veiculo": xb(f"""
-SELECT 'valviessejoao' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo,
+SELECT 'frota-4' AS nk_frota_origem, p.p_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo,
        p.p_partkey % (SELECT n FROM ny) AS nk_id_patio_origem,
        CASE WHEN p.p_partkey % 11 <> 0 THEN ' ab1 ' END AS placa, p.p_brand AS marca, p.p_name AS modelo,
        {pick('p.p_size', ('Automática', 'manual', 'CVT'))} AS mecanizacao, p.p_size % 2 = 0 AS tem_ar_condicionado,
        {pick('p.p_partkey', ('DISPONIVEL', 'ALUGADO', 'MANUTENCAO', 'RESERVADO'))} AS status
 FROM part p JOIN pc USING (p_partkey)"""),
     "x_f4_cliente": f"""
-SELECT 'valviessejoao' AS nk_frota_origem, c_custkey AS nk_id_cliente,
+SELECT 'frota-4' AS nk_frota_origem, c_custkey AS nk_id_cliente,
        {pick('c_custkey', ('PF', 'PJ', None))} AS tipo_cliente, c_name AS nome,
        CAST(c_nationkey AS VARCHAR) AS end_cidade, 'MG' AS end_uf, CAST(NULL AS VARCHAR) AS email FROM customer""",
     "x_f4_reserva": xb(f"""
-SELECT 'valviessejoao' AS nk_frota_origem, o_orderkey AS nk_id_reserva, o_custkey AS nk_id_cliente,
+SELECT 'frota-4' AS nk_frota_origem, o_orderkey AS nk_id_reserva, o_custkey AS nk_id_cliente,
        o_orderkey % (SELECT n FROM nc) + 1 AS nk_id_grupo, o_orderkey % (SELECT n FROM ny) AS nk_id_patio_retirada,
        o_custkey % (SELECT n FROM ny) AS nk_id_patio_fim, CAST(o_orderdate AS DATE) AS data_reserva,
        CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER) AS data_retirada_prevista,
@@ -788,7 +788,7 @@ SELECT 'valviessejoao' AS nk_frota_origem, o_orderkey AS nk_id_reserva, o_custke
        {pick('o_orderkey', ('ativa', 'CANCELADA', 'Convertida', 'outra'))} AS status_reserva
 FROM orders"""),
     "x_f4_locacao": xb("""
-SELECT 'valviessejoao' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS nk_id_locacao, o.o_custkey AS nk_id_cliente,
+SELECT 'frota-4' AS nk_frota_origem, l.l_orderkey * 8 + l.l_linenumber AS nk_id_locacao, o.o_custkey AS nk_id_cliente,
        l.l_partkey AS nk_id_veiculo, pc.gid AS nk_id_grupo, l.l_suppkey AS nk_id_patio_retirada,
        CASE WHEN l.l_linestatus = 'F' THEN l.l_suppkey END AS nk_id_patio_devolucao,
        CAST(l.l_shipdate AS DATE) AS data_retirada,

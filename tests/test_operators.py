@@ -32,7 +32,7 @@ def test_insert_ignore_and_address_keys(spark):
 
 
 def test_scd1_keeps_surrogate_key(spark):
-    inc = spark.createDataFrame([("p-rique", 5, "x")], "nk_frota_origem string, nk_id_cliente int, nome string")
+    inc = spark.createDataFrame([("frota-3", 5, "x")], "nk_frota_origem string, nk_id_cliente int, nome string")
     cur = D.scd1(None, inc, ["nk_frota_origem", "nk_id_cliente"], ["nome"], "sk_cliente")
     upd = D.scd1(cur, inc.withColumn("nome", F.lit("y")), ["nk_frota_origem", "nk_id_cliente"], ["nome"], "sk_cliente")
     (r,) = upd.collect()
@@ -75,10 +75,10 @@ def _asof_inputs(spark, open_vehicle=None):
 
 def test_asof_snapshot_edge_cases(spark):
     v, r = _asof_inputs(spark, open_vehicle=4)
-    out = {x.nk_id_veiculo: x.nk_id_patio for x in SN.asof_snapshot("gupessanha", v, r, dt.date(2020, 1, 5)).collect()}
+    out = {x.nk_id_veiculo: x.nk_id_patio for x in SN.asof_snapshot("frota-2", v, r, dt.date(2020, 1, 5)).collect()}
     assert out == {1: 111, 2: 200}
     v, r = _asof_inputs(spark, open_vehicle=None)   # NULL vehicle id in the open list
-    assert SN.asof_snapshot("gupessanha", v, r, dt.date(2020, 1, 5)).count() == 0
+    assert SN.asof_snapshot("frota-2", v, r, dt.date(2020, 1, 5)).count() == 0
 
 
 def test_lookup_agg_charges(spark):

@@ -55,6 +55,6 @@ def test_fleet_slice_rerun_leaves_other_fleets(spark):
     run_nightly(spark, SF, out, run_ts=dt.datetime(2000, 1, 2, 2, 0))
     path = os.path.join(out, "conformed", "stg_conf_reserva")
     before = {r.nk_frota_origem: r["count"] for r in spark.read.parquet(path).groupBy("nk_frota_origem").count().collect()}
-    run_nightly(spark, SF, out, run_ts=dt.datetime(2000, 1, 3, 2, 0), fleets=["gupessanha"])
+    run_nightly(spark, SF, out, run_ts=dt.datetime(2000, 1, 3, 2, 0), fleets=["frota-2"])
     after = {r.nk_frota_origem: r["count"] for r in spark.read.parquet(path).groupBy("nk_frota_origem").count().collect()}
     assert after == before and len(after) == 4

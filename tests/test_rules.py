@@ -86,9 +86,9 @@ def test_reservation_first_reason_and_split(spark):
 
 def test_planned_value_f4_and_duration_floor(spark):
     d1, d2 = D(2020, 1, 5), D(2020, 1, 8)
-    rows = [("valviessejoao", 1, 1, 7, 1, 1, d1, d1, d2, None, "ATIVA")]
-    rates = spark.createDataFrame([("valviessejoao", 7, 100.5)], "nk_frota_origem string, nk_id_grupo int, valor_diaria double")
-    conf, _ = C.conform_reserva(_res(spark, rows), SOURCES["valviessejoao"], rates=rates)
+    rows = [("frota-4", 1, 1, 7, 1, 1, d1, d1, d2, None, "ATIVA")]
+    rates = spark.createDataFrame([("frota-4", 7, 100.5)], "nk_frota_origem string, nk_id_grupo int, valor_diaria double")
+    conf, _ = C.conform_reserva(_res(spark, rows), SOURCES["frota-4"], rates=rates)
     assert float(conf.first().valor_previsto_reserva) == 301.5
 
 
