@@ -57,3 +57,15 @@ QUERIES.update(OPERATOR_QUERIES)
 from locastar.plans.stream_queries import STREAM_QUERIES  # noqa: E402
 
 QUERIES.update(STREAM_QUERIES)
+
+
+def _with_checkpoint_dir(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_checkpoint_dir(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {name: _with_checkpoint_dir(fn) for name, fn in QUERIES.items()}
