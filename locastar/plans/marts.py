@@ -128,6 +128,22 @@ def q2_1_transition_matrix(dw, as_of: dt.date) -> DataFrame:
             .orderBy("patio_origem", F.desc("percentual_movimentacao")))
 
 
+def q2_1_transition_matrix_by_key(dw, as_of: dt.date) -> DataFrame:
+    """W1 by key: Q2.1 with shares per origin YARD (fleet + yard), so yards of
+    different fleets that share a name are not merged."""
+    p = dw["dim_patio"]
+    o = p.select(F.col("sk_patio").alias("sk_patio_retirada"), F.col("nome_patio").alias("patio_origem"),
+                 F.col("nk_frota_origem").alias("empresa"))
+    d = p.select(F.col("sk_patio").alias("sk_patio_devolucao_real"), F.col("nome_patio").alias("patio_destino"))
+    agg = (_completed(dw).groupBy("sk_patio_retirada", "sk_patio_devolucao_real")
+           .agg(F.count(F.lit(1)).alias("total_movimentacoes"))
+           .join(o, "sk_patio_retirada").join(d, "sk_patio_devolucao_real"))
+    tot = F.sum("total_movimentacoes").over(Window.partitionBy("sk_patio_retirada"))
+    return (agg.withColumn("percentual_movimentacao", pct(F.col("total_movimentacoes"), tot, 2))
+            .select("empresa", "patio_origem", "patio_destino", "total_movimentacoes", "percentual_movimentacao")
+            .orderBy("empresa", "patio_origem", F.desc("percentual_movimentacao")))
+
+
 def q2_2_yard_balance(dw, as_of: dt.date) -> DataFrame:
     """Inflow/outflow per yard from ONE scan of the rental fact: each returned
     rental emits (return yard, in) and (pick-up yard, out), then one group-by."""
@@ -246,6 +262,7 @@ MARTS = {
     "q1_3_reservation_horizon": q1_3_reservation_horizon,
     "q1_4_consumption": q1_4_consumption,
     "q2_1_transition_matrix": q2_1_transition_matrix,
+    "q2_1_transition_matrix_by_key": q2_1_transition_matrix_by_key,
     "q2_2_yard_balance": q2_2_yard_balance,
     "q3_1_monthly_revenue": q3_1_monthly_revenue,
     "q3_2_revenue_share": q3_2_revenue_share,

@@ -105,6 +105,15 @@ WHERE r.d_real IS NOT NULL GROUP BY ALL""",
 mt AS (SELECT *, sum(n) OVER (PARTITION BY patio_origem) AS t FROM m)
 SELECT patio_origem, patio_destino, CAST(n AS BIGINT) AS total_movimentacoes,
        {rr('n', 't', 2, 100)} AS percentual_movimentacao
+FROM mt""",
+    "q2_1_transition_matrix_by_key": f"""
+, m AS (SELECT r.empresa, r.y_out, {cap('so.s_name')} AS patio_origem, {cap('sd.s_name')} AS patio_destino,
+              count(*) AS n
+       FROM rent r JOIN supplier so ON so.s_suppkey = r.y_out JOIN supplier sd ON sd.s_suppkey = r.y_in
+       WHERE r.d_real IS NOT NULL GROUP BY r.empresa, r.y_out, r.y_in, so.s_name, sd.s_name),
+mt AS (SELECT *, sum(n) OVER (PARTITION BY empresa, y_out) AS t FROM m)
+SELECT empresa, patio_origem, patio_destino, CAST(n AS BIGINT) AS total_movimentacoes,
+       {rr('n', 't', 2, 100)} AS percentual_movimentacao
 FROM mt""",
     "q2_2_yard_balance": f"""
 , fy AS (SELECT fl.fleet AS empresa, s.s_suppkey, {cap('s.s_name')} AS nome_patio FROM supplier s CROSS JOIN fl),
