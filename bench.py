@@ -22,9 +22,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from locastar.session import get_session
+    extra = {"spark.driver.memory": "16g"}
+    event_log = os.environ.get("BENCH_EVENT_LOG")   # folder for Spark's event log (stage/task times)
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
     spark = get_session(f"local[{cpus}]", app_name="locastar-bench",
-                        shuffle_partitions=max(8, cpus * 2),
-                        extra={"spark.driver.memory": "16g"})
+                        shuffle_partitions=max(8, cpus * 2), extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
 
     from locastar.plans.marts import MARTS
