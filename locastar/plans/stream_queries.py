@@ -131,28 +131,36 @@ def st6_update_only(spark, sf_dir):
 
 
 def st7_cascade(spark, sf_dir):
-    """Raw upsert and conform in the same micro-batch, same version id."""
+    """Raw upsert and conform in the same micro-batch.
+
+    The conformed rows are rebuilt from the raw table's CURRENT state of the
+    keys the batch touched (not from the batch itself), so an out-of-order
+    older change can never overwrite newer conformed data. A key whose current
+    raw row is invalid leaves the conformed layer (batch rule) through a
+    tombstone (``ativo = false``); both targets are bucketed, so a batch
+    rewrites only the buckets of its keys.
+    """
     base, ck = _dirs(spark, "st7")
-    raw = cdc.VersionedTable(spark, f"{base}/raw")
-    conf = cdc.VersionedTable(spark, f"{base}/conf")
+    keys = ["nk_frota_origem", "nk_id_locacao"]
+    raw = cdc.BucketedTable(spark, f"{base}/raw", ["user_id"])
+    conf = cdc.BucketedTable(spark, f"{base}/conf", keys)
     rejects = f"{base}/rejects"
     keep = lambda b: b.select("user_id", "event_id", "event_type", "value", "ts")
 
     def step(batch, batch_id):
-        cdc.apply_upsert(raw, ["user_id"], "event_id", keep)(batch, batch_id)
-        changed = cdc.latest_per_key(keep(batch), ["user_id"], [("event_id", True)])
-        valid, rej = C.conform_locacao(event_rental(changed, key="user_id"))
+        cdc.bucketed_upsert(raw, "event_id", keep)(batch, batch_id)
+        touched = batch.select("user_id").distinct()
+        current = raw.read_buckets_of(touched).join(touched, "user_id", "left_semi")
+        valid, rej = C.conform_locacao(event_rental(current, key="user_id"))
         cdc.append_by_batch(rej, rejects, batch_id)
-        prev = conf.read(before=batch_id + 1)
-        v = valid.select(*CONF_COLS)
-        # a key whose latest change is invalid leaves the conformed layer (batch rule)
-        gone = rej.select(F.col("nk_frota_origem"), F.col("nk_id_registro").alias("nk_id_locacao"))
-        new = v if prev is None else cdc.merge_upsert(
-            prev.join(gone, ["nk_frota_origem", "nk_id_locacao"], "left_anti"), v,
-            ["nk_frota_origem", "nk_id_locacao"])
-        conf.write(new, batch_id + 1)
+        live = valid.select(*CONF_COLS).withColumn("ativo", F.lit(True))
+        dead = rej.select("nk_frota_origem", F.col("nk_id_registro").alias("nk_id_locacao"),
+                          *[F.lit(None).cast(live.schema[c].dataType).alias(c) for c in CONF_COLS[2:]],
+                          F.lit(False).alias("ativo"))
+        conf.merge(live.unionByName(dead), batch_id,
+                   lambda prev, ch: ch if prev is None else cdc.merge_upsert(prev, ch, keys))
     cdc.run_stream(_feed(spark, sf_dir), step, ck)
-    return conf.read()
+    return conf.read().where(F.col("ativo")).drop("ativo")
 
 
 STREAM_QUERIES = {f.__name__: f for f in [st1_latest_upsert, st2_conform_stream, st3_enrich_stream,
