@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locastar.llm import bpe, packing, token_counts
+from locastar.llm import bpe, exact_dedup, fingerprints, packing, token_counts
 from locastar.llm.common import documents
 from locastar.session import ensure_checkpoint_dir
 
@@ -19,6 +19,14 @@ def tokenizer_path(name: str) -> str:
     return f"{TOKENIZERS}/{name}" if TOKENIZERS else public_tokenizers.path(name)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(documents(spark, sf_dir), keep="max")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.lengths(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
     return token_counts.suffix_sums(token_counts.histogram(counted))
@@ -35,11 +43,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_fingerprints": op3_fingerprints,
+    "op4_exact_dedup": op4_exact_dedup,
     "op7_token_counts": op7_token_counts,
     "op9_packing": op9_packing,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents WHERE doc_id IS NOT NULL)
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW w AS (PARTITION BY t)""",
+}
 
 
 def _ready(fn):
