@@ -66,7 +66,7 @@ def moved(char: Column, by: Column) -> Column:
     """A character moved inside its class: digits, capitals, small letters; others stay."""
     out = char
     for members in (LOWER, UPPER, DIGITS):
-        at = F.locate(char, F.lit(members)) if False else F.instr(F.lit(members), char)
+        at = F.instr(F.lit(members), char)
         out = F.when((F.length(char) == 1) & (at > 0), F.substring(F.lit(members), (F.pmod(at - 1 + by, F.lit(len(members))) + 1).cast("int"), F.lit(1))).otherwise(out)
     return out
 
@@ -212,12 +212,10 @@ def pseudonymise(docs: DataFrame, key: str = "change me", kinds: tuple[str, ...]
             out = F.when(v["kind"] == k, PSEUDONYMS[k](key, v["value"])).otherwise(out)
         return F.struct(v["kind"].alias("kind"), v["value"].alias("value"), out.alias("pseudonym"))
 
-    none = F.expr("cast(array() as array<struct<kind:string,value:string>>)")
+    none = F.expr("cast(array() as array<struct<kind:string,value:string,pseudonym:string>>)")
     found = docs.withColumn("_found", F.when(F.col(text).rlike(HINT), F.transform(
         F.regexp_extract_all(F.col(text), F.lit(some), F.lit(0)), lambda m: F.struct(kind_of(m).alias("kind"), m.alias("value")))))
-    found = found.withColumn("pii", F.when(F.size("_found") > 0, F.transform("_found", replaced)).otherwise(
-        F.transform(none, lambda v: F.struct(v["kind"].alias("kind"), v["value"].alias("value"), v["value"].alias("pseudonym")))))
-    found = found.withColumn("pii", F.filter("pii", lambda v: F.lit(True)))
+    found = found.withColumn("pii", F.when(F.size("_found") > 0, F.transform("_found", replaced)).otherwise(none))
     between = F.split(F.col(text), some, -1)
     return found.withColumn(text, F.when(F.size("pii") > 0, F.concat(F.array_join(F.zip_with(
         F.slice(between, 1, F.size("pii")), F.transform("pii", lambda v: v["pseudonym"]), lambda t, p: F.concat(t, p)), ""),

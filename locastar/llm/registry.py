@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locastar.llm import bpe, exact_dedup, fingerprints, packing, token_counts
+from locastar.llm import bpe, exact_dedup, fingerprints, packing, pii, token_counts
 from locastar.llm.common import documents
 from locastar.session import ensure_checkpoint_dir
 
 #: Folder of the public tokenizers' files; None: the installed package.
 TOKENIZERS: str | None = None
+#: Key of the pseudonyms in the registered queries; a deployment sets its own.
+PII_KEY = "example key"
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,6 +29,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir), keep="max")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.pseudonymise(documents(spark, sf_dir), PII_KEY))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.lengths(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
     return token_counts.suffix_sums(token_counts.histogram(counted))
@@ -45,6 +51,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_pii": op6_pii,
     "op7_token_counts": op7_token_counts,
     "op9_packing": op9_packing,
     "op10_byte_bpe": op10_byte_bpe,
