@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locastar.llm import bpe, exact_dedup, fingerprints, packing, pii, token_counts
-from locastar.llm.common import documents
+from locastar.llm import bpe, exact_dedup, fingerprints, packing, pii, quality, token_counts, toxicity
+from locastar.llm.common import documents, table
 from locastar.session import ensure_checkpoint_dir
 
 #: Folder of the public tokenizers' files; None: the installed package.
@@ -21,6 +21,11 @@ def tokenizer_path(name: str) -> str:
     return f"{TOKENIZERS}/{name}" if TOKENIZERS else public_tokenizers.path(name)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
 
@@ -29,6 +34,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir), keep="max")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.pseudonymise(documents(spark, sf_dir), PII_KEY))
 
@@ -49,8 +59,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_fingerprints": op3_fingerprints,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality": op5_quality,
     "op6_pii": op6_pii,
     "op7_token_counts": op7_token_counts,
     "op9_packing": op9_packing,

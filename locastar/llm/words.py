@@ -49,7 +49,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 def word_hashes(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word in order, first word of each text and the total): len(texts) + 1 bounds."""
     coded = [t.encode("utf-8") for t in texts]
-    blob = np.frombuffer(b" ".join(coded) + b" ", np.uint8)
+    end = bytes([int(np.flatnonzero(table == 0)[0])])
+    blob = np.frombuffer(end.join([*coded, b""]), np.uint8)
     first = np.concatenate([[0], np.cumsum([len(c) + 1 for c in coded], dtype=np.int64)])
     b = table[blob]
     inside = b > 0
