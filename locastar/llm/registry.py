@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locastar.llm import bpe, exact_dedup, fingerprints, packing, pii, quality, token_counts, toxicity
+from locastar.llm import bpe, exact_dedup, fingerprints, near_dup, packing, pii, quality, token_counts, toxicity
 from locastar.llm.common import documents, table
 from locastar.session import ensure_checkpoint_dir
 
@@ -48,6 +48,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.histogram(counted))
 
 
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), 2048, 1)
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_pii": op6_pii,
     "op7_token_counts": op7_token_counts,
+    "op8_near_dup": op8_near_dup,
     "op9_packing": op9_packing,
     "op10_byte_bpe": op10_byte_bpe,
 }
