@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from locastar.llm.common import fresh
+
 ROUNDS = 8
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -125,7 +127,11 @@ EPOCH = "1800-01-01"
 
 
 def date(key: str, value: Column) -> Column:
-    """A date of the same 400 years in the same notation; what is no date stays."""
+    """A date of the same 400 years in the same notation; what is no date stays.
+
+    Dates with slashes are read day first, or month first where only that is
+    a date; the pseudonym keeps the order read, which its form may not show.
+    """
     parts = F.split(value, r"[-./]")
     number = lambda k: F.element_at(parts, k).cast("int")
     dashed = F.instr(value, "-") > 0
@@ -189,8 +195,9 @@ def secret(key: str, value: Column) -> Column:
 PSEUDONYMS = {"email": email, "secret": secret, "date": date, "ip": ip, "phone": phone, "ssn": ssn, "card": card}
 
 
-def pseudonymise(docs: DataFrame, key: str = "change me", kinds: tuple[str, ...] = KINDS, text: str = "text") -> DataFrame:
-    """``docs`` with the values in ``text`` replaced, and ``pii``: array of struct(kind, value, pseudonym).
+def pseudonymise(docs: DataFrame, key: str = "change me", kinds: tuple[str, ...] = KINDS, text: str = "text",
+                 out: str = "pii") -> DataFrame:
+    """``docs`` with the values in ``text`` replaced, and ``out``: array of struct(kind, value, pseudonym).
 
     All rows and other columns stay as they are; a null text stays null and an
     empty one empty, with no values. Equal values get equal pseudonyms in all
@@ -213,17 +220,18 @@ def pseudonymise(docs: DataFrame, key: str = "change me", kinds: tuple[str, ...]
         return F.struct(v["kind"].alias("kind"), v["value"].alias("value"), out.alias("pseudonym"))
 
     none = F.expr("cast(array() as array<struct<kind:string,value:string,pseudonym:string>>)")
-    found = docs.withColumn("_found", F.when(F.col(text).rlike(HINT), F.transform(
+    held = fresh(docs, "found")
+    found = docs.withColumn(held, F.when(F.col(text).rlike(HINT), F.transform(
         F.regexp_extract_all(F.col(text), F.lit(some), F.lit(0)), lambda m: F.struct(kind_of(m).alias("kind"), m.alias("value")))))
-    found = found.withColumn("pii", F.when(F.size("_found") > 0, F.transform("_found", replaced)).otherwise(none))
+    found = found.withColumn(out, F.when(F.size(held) > 0, F.transform(held, replaced)).otherwise(none))
     between = F.split(F.col(text), some, -1)
-    return found.withColumn(text, F.when(F.size("pii") > 0, F.concat(F.array_join(F.zip_with(
-        F.slice(between, 1, F.size("pii")), F.transform("pii", lambda v: v["pseudonym"]), lambda t, p: F.concat(t, p)), ""),
-        F.element_at(between, -1))).otherwise(F.col(text))).drop("_found")
+    return found.withColumn(text, F.when(F.size(out) > 0, F.concat(F.array_join(F.zip_with(
+        F.slice(between, 1, F.size(out)), F.transform(out, lambda v: v["pseudonym"]), lambda t, p: F.concat(t, p)), ""),
+        F.element_at(between, -1))).otherwise(F.col(text))).drop(held)
 
 
-def summary(done: DataFrame, before: str = "text") -> DataFrame:
-    """Per document: doc_id, the new text, how many values of each kind changed, and the values' links."""
+def summary(done: DataFrame) -> DataFrame:
+    """Per row: doc_id, the new text, how many values of each kind changed, and their pseudonyms in order."""
     changed = F.filter("pii", lambda v: v["value"] != v["pseudonym"])
     counts = [F.size(F.filter(changed, (lambda k: lambda v: v["kind"] == k)(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return done.select("doc_id", "text", *counts, F.array_join(F.transform(changed, lambda v: F.concat_ws("=", v["kind"], v["pseudonym"])), ";").alias("pseudonyms"))

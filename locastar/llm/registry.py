@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locastar.llm import bpe, exact_dedup, fingerprints, near_dup, packing, pii, quality, token_counts, toxicity
+from locastar.llm import bpe, chat, exact_dedup, fingerprints, near_dup, packing, pii, quality, token_counts, toxicity
 from locastar.llm.common import documents, table
 from locastar.session import ensure_checkpoint_dir
 
@@ -21,6 +21,11 @@ def tokenizer_path(name: str) -> str:
     return f"{TOKENIZERS}/{name}" if TOKENIZERS else public_tokenizers.path(name)
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = chat.as_tool_calls(table(spark, sf_dir, "conversations"))
+    return chat.format_chat(messages, chat.schema_table(spark, chat.REPLY))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -63,6 +68,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
     "op2_toxicity": op2_toxicity,
     "op3_fingerprints": op3_fingerprints,
     "op4_exact_dedup": op4_exact_dedup,
@@ -74,6 +80,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {
+    "op1_chat": """
+        WITH RECURSIVE calls AS (SELECT conv_id, turn FROM conversations WHERE role = 'user'),
+        chain(conv_id, turn, depth) AS (
+            SELECT c.conv_id, c.turn, CAST(0 AS BIGINT) FROM calls c
+            WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+            UNION ALL SELECT c.conv_id, c.turn, k.depth + 1 FROM chain k JOIN calls c ON c.conv_id = k.conv_id AND c.turn = k.turn + 2)
+        SELECT m.conv_id, m.turn, CAST(0 AS INTEGER) AS "no",
+               CASE m.role WHEN 'user' THEN 'assistant' WHEN 'assistant' THEN 'tool' ELSE m.role END AS role,
+               CASE m.role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+               CASE m.role WHEN 'user' THEN 'c' || m.turn WHEN 'assistant' THEN 'c' || (m.turn - 1) END AS call_id,
+               CASE m.role WHEN 'user' THEN 2 * k.depth WHEN 'assistant' THEN 2 * k.depth + 1 END AS level,
+               CASE m.role WHEN 'user' THEN CASE WHEN r.turn IS NULL THEN 'unanswered' ELSE 'linked' END
+                           WHEN 'assistant' THEN CASE WHEN k.turn IS NULL THEN 'orphan' ELSE 'linked' END ELSE 'message' END AS status,
+               '' AS errors,
+               CASE m.role WHEN 'user' THEN json_object('arguments', json_object('prompt', m.text, 'turn', m.turn, 'words', len(string_split(m.text, ' '))),
+                                                        'id', 'c' || m.turn, 'name', 'reply', 'type', 'call')
+                           WHEN 'assistant' THEN json_object('content', m.text, 'tool_call_id', 'c' || (m.turn - 1), 'type', 'result')
+                           ELSE json_object('content', m.text, 'role', m.role) END::VARCHAR AS canonical
+        FROM conversations m
+        LEFT JOIN chain k ON k.conv_id = m.conv_id AND k.turn = CASE m.role WHEN 'user' THEN m.turn WHEN 'assistant' THEN m.turn - 1 END
+        LEFT JOIN conversations r ON r.conv_id = m.conv_id AND r.turn = m.turn + 1 AND r.role = 'assistant' AND m.role = 'user'""",
     "op4_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents WHERE doc_id IS NOT NULL)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
