@@ -6,8 +6,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from locastar.llm.common import texts_of
-from locastar.llm.tokens import word_encoder
+from locastar.llm.common import texts_of, written
+from locastar.llm.tokens import rest, word_encoder
 
 #: Lengths in one block of the running sums.
 BLOCK = 1024
@@ -21,6 +21,7 @@ def lengths(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             n = [len(coder.encode(t)) // 4 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
+        rest(coder.words, coder.pieces)
 
     return texts_of(docs).mapInArrow(run, "doc_id long, n_tokens long")
 
@@ -39,7 +40,7 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
     histogram gives no rows. Sums run inside blocks of lengths and over the
     blocks' totals, so that no task gets the whole histogram.
     """
-    h = hist.withColumn("block", F.floor(F.col("n_tokens") / BLOCK).cast("long")) \
+    h = written(hist, "histogram").withColumn("block", F.floor(F.col("n_tokens") / BLOCK).cast("long")) \
             .withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     above = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
