@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locastar.llm.common import texts_of, written
-from locastar.llm.tokens import word_encoder
+from locastar.llm.tokens import rest, word_encoder
 
 #: Tokens in one length class.
 GRAIN = 8
@@ -48,42 +48,52 @@ def cut(docs: DataFrame, path: str, size: int, end_id: int) -> DataFrame:
             columns = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns],
                                              [f.split()[0] for f in PIECES.split(", ")])
+        rest(coder.words, coder.pieces)
 
     return texts_of(docs).mapInArrow(run, PIECES)
 
 
-def price(value: np.ndarray, width: np.ndarray, room: int) -> tuple[float, np.ndarray]:
-    """The most valuable pattern that fits: an unbounded knapsack by dynamic programming."""
-    best, took = np.zeros(room + 1), np.full(room + 1, -1)
+def price(value: np.ndarray, room: int) -> tuple[float, np.ndarray]:
+    """The most valuable pattern that fits: an unbounded knapsack by dynamic programming.
+
+    value[w - 1] is a piece's of width w, below 0 where there is no such piece.
+    """
+    best, took = np.zeros(room + 1), np.zeros(room + 1, np.int64)
     for w in range(1, room + 1):
+        gain = best[w - 1::-1] + value[:w]
+        k = int(gain.argmax())
         best[w] = best[w - 1]
-        fits = np.searchsorted(width, w, side="right")
-        if fits:
-            gain = best[w - width[:fits]] + value[:fits]
-            k = int(gain.argmax())
-            if gain[k] > best[w] + 1e-12:
-                best[w], took[w] = gain[k], k
-    pattern, w = np.zeros(len(width)), room
+        if gain[k] > best[w] + 1e-12:
+            best[w], took[w] = gain[k], k + 1
+    pattern, w = np.zeros(room), room
     while w > 0:
-        if took[w] < 0:
-            w -= 1
+        if took[w]:
+            pattern[took[w] - 1] += 1
+            w -= took[w]
         else:
-            pattern[took[w]] += 1
-            w -= width[took[w]]
+            w -= 1
     return best[room], pattern
 
 
 def patterns_for(width: np.ndarray, demand: np.ndarray, room: int, rounds: int = 5000) -> tuple[np.ndarray, np.ndarray]:
     """(patterns as columns, how often each is used) of the linear program: fewest
-    sequences that hold ``demand[k]`` pieces of ``width[k]`` (ascending)."""
+    sequences that hold ``demand[k]`` pieces of ``width[k]`` (ascending).
+
+    Revised simplex: the inverse of the basis follows each exchange of one
+    column. Rounding errors cost a little padding at most, since the plan
+    counts pieces itself.
+    """
     basis = np.diag((room // width).astype(float))
+    inverse = np.diag(1 / np.diag(basis))
     use = demand / np.diag(basis)
+    value = np.full(room, -1.0)
     for _ in range(rounds):
-        dual = np.linalg.solve(basis.T, np.ones(len(width)))
-        worth, pattern = price(np.maximum(dual, 0), width, room)
+        value[width - 1] = np.maximum(inverse.sum(axis=0), 0)
+        worth, pattern = price(value, room)
         if worth <= 1 + GAP:
             break
-        step = np.linalg.solve(basis, pattern)
+        column = pattern[width - 1]
+        step = (inverse * column).sum(axis=1)  # in plain numpy: threads of a linear algebra library compete with the JVM's
         able = step > 1e-9
         ratio = np.full(len(use), np.inf)
         ratio[able] = use[able] / step[able]
@@ -91,7 +101,11 @@ def patterns_for(width: np.ndarray, demand: np.ndarray, room: int, rounds: int =
         theta = ratio[out]
         use = np.maximum(use - theta * step, 0)
         use[out] = theta
-        basis[:, out] = pattern
+        basis[:, out] = column
+        row = inverse[out] / step[out]
+        step[out] -= 1
+        inverse -= step[:, None] * row[None, :]
+        inverse[out] = row
     return basis, use
 
 
