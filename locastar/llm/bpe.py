@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from locastar.llm.common import texts_of
-from locastar.llm.tokens import byte_encoder
+from locastar.llm.tokens import byte_encoder, rest
 
 
 def encode(docs: DataFrame, path: str, pattern: str, digests: bool = False, offsets: bool = False) -> DataFrame:
@@ -46,6 +46,7 @@ def encode(docs: DataFrame, path: str, pattern: str, digests: bool = False, offs
             kinds = [pa.int64(), pa.string(), pa.string()] if digests else [pa.list_(pa.int32())] * 3
             names_out = [f.split()[0] for f in schema.replace("<int>", "").split(", ")]
             yield pa.RecordBatch.from_arrays([ids_column, *(pa.array(list(c), k) for c, k in zip(columns, kinds))], names_out)
+        rest(coder.words, coder.pieces)
 
     return texts_of(docs).mapInArrow(run, schema)
 

@@ -16,8 +16,9 @@ from locastar.session import ensure_checkpoint_dir
 
 #: Rows in one Arrow batch; long documents make batches of a few ten MB at most.
 BATCH_ROWS = 1000
-#: Text handled at once inside a task, in bytes.
-CHUNK_BYTES = 2 << 20
+#: Text handled at once inside a task, in characters: a worker's arrays are some
+#: fifty times as large.
+CHUNK_CHARS = 512 << 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +60,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def chunks(texts: list, limit: int = CHUNK_BYTES):
+def chunks(texts: list, limit: int = CHUNK_CHARS):
     """Slices (start, stop) of ``texts`` of about ``limit`` characters each; one text at least."""
     start, held = 0, 0
     for k, t in enumerate(texts):

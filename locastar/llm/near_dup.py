@@ -36,7 +36,7 @@ MATCHES = 34
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 2_000_000
 #: Pairs compared at once.
-PAIRS = 100_000
+PAIRS = 32_000
 
 _MULTIPLIERS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 

@@ -60,6 +60,12 @@ class Held(dict):
         return ids
 
 
+def rest(*tables: Held) -> None:
+    """At the end of a task: an idle worker keeps the recent pieces alone."""
+    for t in tables:
+        t.old = {}
+
+
 class WordEncoder:
     """The word-ending BPE of a ``tokenizers`` file: lower case, white space dropped.
 

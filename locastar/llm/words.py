@@ -31,7 +31,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     held = _POWERS.get(base)
     if held is None or len(held) < n:
         with np.errstate(over="ignore"):
-            held = np.full(max(n, 1 << 20), base, np.uint64)
+            held = np.full(max(n, 1 << 19), base, np.uint64)
             held[0] = 1
             np.multiply.accumulate(held, out=held)
         _POWERS[base] = held
