@@ -85,11 +85,17 @@ class WordEncoder:
     def _word(self, word: str) -> bytes:
         # below U+0250 a word is its own normal form, and what is lower case is beyond doubt
         if word and (word.isascii() or max(word) < "ɐ") and "<|" not in word:
-            return b"".join(map(self.pieces.__getitem__, self.split(word.lower())))
+            low = word.lower()
+            if low.isalpha():  # the pattern takes it whole
+                return self.pieces[low]
+            if low[-1] in ".,*$%&#!" and low[:-1].isalpha():
+                return self.pieces[low[:-1]] + self.pieces[low[-1]]
+            return b"".join(map(self.pieces.__getitem__, self.split(low)))
         return self._ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def _piece(self, piece: str) -> bytes:
-        coded = piece.encode("utf-8").decode("latin-1").translate(self.table)
+        plain = piece.isascii() and piece.isprintable()  # such bytes stand for themselves
+        coded = piece if plain else piece.encode("utf-8").decode("latin-1").translate(self.table)
         return self._ids([t.id for t in self.model.tokenize(coded)])
 
     @staticmethod
