@@ -39,10 +39,10 @@ def round_ratio(num: Column | str, den: Column | str, digits: int, scale: int =
     done in integer arithmetic so the result does not depend on floating-point
     division, then returned as DOUBLE. NULL when ``den`` is 0 or NULL (G6).
     """
-    n = _c(num).cast("long")
-    d = _c(den).cast("long")
+    n = _c(num).cast("decimal(26,0)")      # cents of a whole warehouse times the factor exceed 64 bits
+    d = _c(den).cast("decimal(26,0)")
     p = 10 ** digits
-    q = _div(F.abs(n) * (2 * p * scale) + d, d * 2)
+    q = _div(F.abs(n) * F.lit(2 * p * scale) + d, d * 2)
     signed = F.when(n < 0, -q).otherwise(q)          # integer sign: never -0.0
     return F.when(d != 0, signed / F.lit(float(p)))
 

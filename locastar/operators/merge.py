@@ -8,10 +8,14 @@ overwrite or append, never overwriting a path that the same plan reads.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from locastar.operators import commits
+
 
 def _flip(c, dtype):
     """An expression whose DESCENDING order is ``c``'s ascending order."""
@@ -45,13 +49,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 update_cols: Sequence[str] | None = None) -> DataFrame:
+                 update_cols: Sequence[str] | None = None,
+                 order: Sequence[tuple[str, bool]] = ()) -> DataFrame:
     """S3: INSERT ... ON DUPLICATE KEY UPDATE <update_cols>.
 
     New keys are inserted with all their columns; existing keys take only
     ``update_cols`` from ``source`` (None = every non-key column) and keep the
-    rest. A key repeated in ``source`` is applied once (the row that sorts
-    last over all columns -- deterministic); repeated keys already in
+    rest. A key repeated in ``source`` is applied once (the first by ``order``,
+    ties by the row that sorts last over all columns -- deterministic); repeated keys already in
     ``target`` are each updated, so a re-run never multiplies rows. One full
     outer join on the key: the dedup window and the join share one shuffle
     of each side.
@@ -59,7 +64,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     keys = list(keys)
     cols = [c for c in target.columns if c not in keys]
     if any(c not in keys for c in source.columns):
-        source = latest_per_key(source, keys)
+        source = latest_per_key(source, keys, order)
+    else:
+        source = source.distinct()
     upd = set(cols if update_cols is None else update_cols)
     t = target.withColumn("_t", F.lit(True))
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols if c in source.columns],
@@ -95,19 +102,31 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
     return source.dropDuplicates(list(keys)).join(target.select(*keys), list(keys), "left_anti")
 
 
-def replace_slice(df: DataFrame, path: str, part_cols: Sequence[str], fmt: str = "parquet") -> None:
-    """Replace only the partitions present in ``df`` (one fleet, one day).
+def replace_slice(df: DataFrame, path: str, part_cols: Sequence[str], fmt: str = "parquet",
+                  slices: Sequence[tuple] = ()) -> None:
+    """Replace the partitions present in ``df`` (one fleet, one day).
 
-    Dynamic partition overwrite: other fleets' and other days' folders are not
-    touched, so F2's whole-table truncate (S4b) cannot happen.
+    ``slices`` names slices by values of the leading partition columns; one of
+    which ``df`` has no row is removed, as delete and insert of nothing would.
+    Rows are counted while they are written. Dynamic partition overwrite:
+    other fleets' and other days' folders are not touched, so F2's whole-table
+    truncate (S4b) cannot happen.
     """
+    seen = Observation()
+    if slices:
+        of = [reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(part_cols, s)]) for s in slices]
+        df = df.observe(seen, *[F.count(F.when(c, 1)).alias(f"n{k}") for k, c in enumerate(of)])
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*part_cols).format(fmt).save(path))
+    for k, s in enumerate(slices):
+        if not seen.get.get(f"n{k}"):
+            commits.delete(df.sparkSession, path + "".join(f"/{c}={v}" for c, v in zip(part_cols, s)))
 
 
-def append_rejects(df: DataFrame, path: str) -> None:
-    """Append to the reject log."""
-    df.write.mode("append").parquet(path)
+def append_rejects(df: DataFrame, path: str, run: str, step: str) -> None:
+    """Append to the reject log; a run that is repeated replaces its own rows."""
+    (df.withColumn("run_id", F.lit(run)).withColumn("run_step", F.lit(step)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "run_step").parquet(path))
 
 
 def seed_if_empty(target: DataFrame | None, seed: DataFrame) -> DataFrame:

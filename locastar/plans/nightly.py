@@ -7,7 +7,7 @@ Layout under ``out_dir``::
     conformed/stg_conf_snapshot_patio/nk_frota_origem=<f>/data_snapshot=<d>/  (S5)
     rejects/                                        (S6: append-only log)
     dw/<run_id>/<table>/                            (new warehouse version)
-    dw/_current                                     (pointer to the live version)
+    dw/_published/c=<n>-*                           (immutable records; the largest names the live version)
 
 Each run writes a new warehouse version and then moves the pointer, so a
 table is never overwritten while the same plan reads it, and readers see
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 
 from functools import reduce
 
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 
 from locastar.operators import facts as FL
 from locastar.schemas import read_table
+from locastar.operators import commits
 from locastar.operators.merge import append_rejects, replace_slice
+from locastar.sources.fleets import FLEETS
 from locastar.plans.warehouse import CONFORMED, TABLES, conform_sources, load_dims
 from locastar.sources.analogue import AS_OF, Analogue
 
@@ -57,12 +60,16 @@ FACT_PARTITIONS = {
 
 
 def current_version(spark: SparkSession, out_dir: str) -> str | None:
-    p = os.path.join(out_dir, "dw", "_current")
-    try:
-        rows = spark.read.text(p).take(1)
-    except Exception:  # no version yet
-        return None
-    return rows[0][0] if rows else None
+    """Folder of the version published last; None before the first. Read errors are raised."""
+    last = commits.latest(spark, f"{out_dir}/dw/_published")
+    return last[1]["version"] if last else None
+
+
+def known_fleets(spark: SparkSession, folder: str) -> None:
+    """Fleets outside the registry share one key space: refuse them (by the partition folders, no scan)."""
+    found = {n.split("=", 1)[1] for n in commits.names(spark, folder) if n.startswith("nk_frota_origem=")}
+    if found - {*FLEETS}:
+        raise ValueError(f"{folder}: fleets outside the registry: {sorted(found - {*FLEETS})}")
 
 
 def read_warehouse(spark: SparkSession, out_dir: str, version: str | None = None) -> dict[str, DataFrame]:
@@ -85,6 +92,8 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
     every fleet's conformed slice.
     """
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
+    run = f"{run_ts:%Y%m%d%H%M%S}" + "".join(f"-{f}" for f in fleets or [])
+    slices = [(f,) for f in fleets or FLEETS]
     if sources == "per_source":
         from locastar.plans.per_source import StagedSources, conform_per_source
         src = StagedSources(spark, sf_dir, as_of)
@@ -103,7 +112,8 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
             df = df.where(F.col("nk_frota_origem").isin(*fleets))
         if sources == "per_source":   # source-specific extra columns are kept as text
             df = df.select(*[F.col(c) for c in df.columns])
-        replace_slice(df, path, PARTITIONS.get("raw_" + entity, ["nk_frota_origem"]))
+        replace_slice(df, path, PARTITIONS.get("raw_" + entity, ["nk_frota_origem"]),
+                      slices=() if "raw_" + entity in PARTITIONS else slices)
         raw[entity] = spark.read.parquet(path)
     staged = _Staged(raw)
 
@@ -113,14 +123,17 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
         if fleets:
             conf[name] = conf[name].where(F.col("nk_frota_origem").isin(*fleets))
         replace_slice(conf[name], os.path.join(out_dir, "conformed", name),
-                      PARTITIONS.get(name, ["nk_frota_origem"]))
+                      PARTITIONS.get(name, ["nk_frota_origem"]),
+                      slices=() if name in PARTITIONS else slices)
+        known_fleets(spark, os.path.join(out_dir, "conformed", name))
     # one append for every conform reject/warning of the run
-    append_rejects(reduce(DataFrame.unionByName, rejects), os.path.join(out_dir, "rejects"))
+    append_rejects(reduce(DataFrame.unionByName, rejects), os.path.join(out_dir, "rejects"), run, "conform")
     conf = {n: spark.read.parquet(os.path.join(out_dir, "conformed", n)) for n in CONFORMED}
 
     # 3. dimensions, then facts, upserted into the previous version
     current = read_warehouse(spark, out_dir) if incremental else {}
-    version = os.path.join(out_dir, "dw", "v" + run_ts.strftime("%Y%m%d%H%M%S"))
+    # a folder of its own for each attempt: a retry never writes where a reader reads
+    version = os.path.join(out_dir, "dw", f"v{run_ts:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}")
 
     def written(name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(os.path.join(version, name))
@@ -142,9 +155,10 @@ def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date =
         fact, late = split(tagged, current.get(name), run_ts)
         fact.write.mode("overwrite").partitionBy(*FACT_PARTITIONS[name]).parquet(os.path.join(version, name))
         lates.append(late)
-    append_rejects(reduce(DataFrame.unionByName, lates), os.path.join(out_dir, "rejects"))
+    append_rejects(reduce(DataFrame.unionByName, lates), os.path.join(out_dir, "rejects"), run, "load")
 
     # 4. publish
-    spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite") \
-        .text(os.path.join(out_dir, "dw", "_current"))
+    published = f"{out_dir}/dw/_published"
+    last = commits.latest(spark, published)
+    commits.commit(spark, published, last[0] + 1 if last else 0, {"version": version})
     return version

@@ -19,7 +19,7 @@ from locastar.functions import domain
 FLEETS = ("frota-1", "frota-2", "frota-3", "frota-4")
 
 # Surrogate keys are fleet_index * KEY_SPACE + natural id. Natural ids are
-# 32-bit integers in every source, so the composite is unique, needs no global
+# non-negative integers below 2**32 in every source, so the composite is unique, needs no global
 # counter or ordering step, and is identical on every re-run.
 KEY_SPACE = 1 << 32
 
@@ -40,8 +40,16 @@ def fleet_by_position(k: Column | str) -> Column:
 
 
 def surrogate_key(fleet: Column | str, nk: Column | str) -> Column:
-    """Stable surrogate key of (fleet, natural id); NULL when the id is NULL."""
-    return fleet_index(fleet).cast("long") * F.lit(KEY_SPACE) + _c(nk).cast("long")
+    """Stable surrogate key of (fleet, natural id); NULL when the id is NULL.
+
+    An id beyond 32 bits would share its key with another row: the job ends
+    instead. Fleets outside the registry have position 0; the nightly job
+    refuses them (plans.nightly.known_fleets).
+    """
+    n = _c(nk).cast("long")
+    what = F.concat(F.lit("no surrogate key for id "), n.cast("string"))
+    return F.when((n < 0) | (n >= KEY_SPACE), F.raise_error(what).cast("long")) \
+        .otherwise(fleet_index(fleet).cast("long") * F.lit(KEY_SPACE) + n)
 
 
 @dataclass(frozen=True)

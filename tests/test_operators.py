@@ -100,3 +100,45 @@ def test_address_collation_option(spark):
     assert ci.count() == 2
     keyed = D.with_address_key(cust, ci, collation="UNICODE_CI_AI").collect()
     assert all(r.sk_endereco is not None for r in keyed)
+
+
+def test_replace_slice_by_nothing(spark, tmp_path):
+    """A slice named for replacement that has no new rows is removed, others stay."""
+    from locastar.operators.merge import replace_slice
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "f string, v long")
+    replace_slice(rows, path, ["f"])
+    replace_slice(rows.where("false"), path, ["f"], slices=[("a",)])
+    assert [tuple(r) for r in spark.read.parquet(path).select("f", "v").collect()] == [("b", 2)]
+
+
+def test_rejects_of_a_repeated_run(spark, tmp_path):
+    """A repeated run replaces its own reject rows, another run adds its own."""
+    from locastar.operators.merge import append_rejects
+    path, rows = str(tmp_path / "r"), spark.range(3)
+    for run in ("n1", "n1", "n2"):
+        append_rejects(rows, path, run, "conform")
+    assert spark.read.parquet(path).count() == 6
+
+
+def test_merge_key_only_source_and_order(spark):
+    """S3: repeated keys are applied once, also without other columns; ``order`` picks the last change."""
+    from locastar.operators.merge import merge_upsert
+    target = spark.createDataFrame([(1, "old", 0)], "k long, v string, s long")
+    assert merge_upsert(target.select("k"), spark.createDataFrame([(2,), (2,)], "k long"), ["k"]).count() == 2
+    src = spark.createDataFrame([(1, "z", 1), (1, "a", 2)], "k long, v string, s long")
+    assert merge_upsert(target, src, ["k"], order=[("s", True)]).first()["v"] == "a"
+
+
+def test_large_cents_and_keys(spark):
+    """Ratios of 10**17 cents are exact; an id that would share a key ends the job."""
+    import pytest
+    from pyspark.sql import functions as F
+    from locastar.functions.money import round_ratio
+    from locastar.sources.fleets import FLEETS, surrogate_key
+    r = spark.range(1).select(round_ratio(F.lit(10 ** 17), F.lit(3 * 10 ** 17), 2, scale=100).alias("r")).first()["r"]
+    assert r == 33.33
+    ok = spark.range(1).select(surrogate_key(F.lit(FLEETS[0]), F.lit(5)).alias("k")).first()["k"]
+    assert ok == (1 << 32) + 5
+    with pytest.raises(Exception, match="no surrogate key"):
+        spark.range(1).select(surrogate_key(F.lit(FLEETS[0]), F.lit((1 << 32) + 5))).collect()

@@ -58,3 +58,18 @@ def test_fleet_slice_rerun_leaves_other_fleets(spark):
     run_nightly(spark, SF, out, run_ts=dt.datetime(2000, 1, 3, 2, 0), fleets=["frota-2"])
     after = {r.nk_frota_origem: r["count"] for r in spark.read.parquet(path).groupBy("nk_frota_origem").count().collect()}
     assert after == before and len(after) == 4
+
+
+def test_retry_of_a_night(spark, tmp_path):
+    """A second attempt with the same run_ts leaves the live version readable and the tables as they were."""
+    import datetime as dt
+    from locastar.plans.nightly import current_version, read_warehouse, run_nightly
+    out, night = str(tmp_path), dt.datetime(2024, 1, 2)
+    first = run_nightly(spark, "/root/testdata/sf0.001", out, run_ts=night)
+    before = {t: d.count() for t, d in read_warehouse(spark, out).items()}
+    rejects = spark.read.parquet(f"{out}/rejects").count()
+    second = run_nightly(spark, "/root/testdata/sf0.001", out, run_ts=night)
+    assert first != second == current_version(spark, out)
+    assert {t: d.count() for t, d in read_warehouse(spark, out).items()} == before
+    assert {t: d.count() for t, d in read_warehouse(spark, out, first).items()} == before
+    assert spark.read.parquet(f"{out}/rejects").count() == rejects
