@@ -24,8 +24,17 @@ def _dirs(spark, name):
     return base, f"{base}/_checkpoint"
 
 
+#: Files of the change feed: one micro-batch each.
+FEED_FILES = 3
+
+
 def _feed(spark, sf_dir):
-    return cdc.change_feed(spark, sf_dir)
+    """The whole feed as several files whose events interleave: later micro-batches carry older changes too."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    folder = scratch_path(spark, f"feed-{uuid.uuid4().hex}")
+    for k in range(FEED_FILES):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(FEED_FILES)) == k).coalesce(1).write.mode("append").parquet(folder)
+    return cdc.change_feed(spark, folder, file_glob="part-*.parquet")
 
 
 def event_rental(df: DataFrame, key: str = "event_id") -> DataFrame:
@@ -60,10 +69,11 @@ def st2_conform_stream(spark, sf_dir):
 
     def conform(batch):
         valid, rej = C.conform_locacao(event_rental(batch))
-        return valid.select(*CONF_COLS), rej
-    step = cdc.apply_conform(t, rejects, "nk_id_locacao", conform)
+        # each event is a rental of its own here; its id is also the order of changes
+        return valid.select(*CONF_COLS, F.col("nk_id_locacao").alias("event_id")), rej
+    step = cdc.apply_conform(t, rejects, "event_id", conform)
     cdc.run_stream(_feed(spark, sf_dir), step, ck)
-    return t.read()
+    return t.read().drop("event_id")
 
 
 def st3_enrich_stream(spark, sf_dir):
@@ -107,11 +117,12 @@ def st5_child_total(spark, sf_dir):
     t = cdc.BucketedTable(spark, f"{base}/parent", ["c_custkey"])
     t.initialize(a.t("customer", "c_custkey").select("c_custkey", F.lit(0).cast("decimal(22,2)").alias("valor_total")))
 
+    kids = cdc.BucketedTable(spark, f"{base}/children", ["user_id", "event_id"], bucket_by=["user_id"])
+
     def prep(b):
-        return b.where(F.col("event_type").isin("purchase", "click")).select(
-            "event_id", "user_id", F.col("value").cast("decimal(12,2)").alias("valor"))
+        return b.select("user_id", "event_id", "event_type", "ts", F.col("value").cast("decimal(12,2)").alias("valor"))
     cdc.run_stream(_feed(spark, sf_dir), cdc.apply_child_total(
-        t, f"{base}/children", "c_custkey", "user_id", "valor", "valor_total", prep), ck)
+        t, kids, "c_custkey", "user_id", "event_id", "valor", "valor_total", prep, "event_type in ('purchase', 'click')"), ck)
     return t.read()
 
 

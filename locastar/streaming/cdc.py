@@ -8,23 +8,23 @@ with ``readStream`` and every micro-batch is applied in ``foreachBatch``:
 * enriched with static lookups (ST3), conformed with the batch rules (ST2),
 * merged into the target (upsert / update-only / child re-aggregation).
 
-Targets are versioned tables: batch ``b`` reads version ``<= b`` and writes
-version ``b + 1``; a version is visible only after its commit-log entry is
-written. A replayed batch (after a failure) rewrites the same version from
-the same input, so the result is exactly-once. Append-style outputs are
-partitioned by batch id and written with dynamic partition overwrite for the
-same reason. Nothing is kept in driver memory between batches.
+Targets are bucketed tables whose bucket versions are immutable: batch ``b``
+becomes visible with its commit record, and a batch delivered again after
+its commit changes nothing. Append-style outputs are partitioned by batch id
+and written with dynamic partition overwrite for the same reason. Nothing is kept in driver memory between batches.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from locastar.operators import commits
 from locastar.operators.merge import latest_per_key, merge_upsert, update_only  # noqa: F401
 
 
@@ -36,33 +36,6 @@ def change_feed(spark: SparkSession, folder: str, file_glob: str = "events.parqu
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(folder))
 
 
-class VersionedTable:
-    """A table stored as ``<path>/v=<n>`` snapshots plus a commit log."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
-        self.log = os.path.join(path, "_commits")
-
-    def committed(self) -> list[int]:
-        try:
-            rows = self.spark.read.json(self.log).select("version").collect()
-        except Exception:  # no commit yet
-            return []
-        return sorted(r[0] for r in rows)
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self.committed() if before is None or v < before]
-        if not vs:
-            return None
-        return self.spark.read.parquet(os.path.join(self.path, f"v={vs[-1]}"))
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(os.path.join(self.path, f"v={version}"))
-        self.spark.createDataFrame([(version,)], "version long").write.mode("overwrite") \
-            .json(os.path.join(self.log, f"c={version}"))
-
-
 def start_cdc(feed: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str,
               processing_time: str | None = None):
     """Start the change-feed query: ``step(batch, batch_id)`` per micro-batch.
@@ -80,60 +53,35 @@ def run_stream(feed: DataFrame, step: Callable[[DataFrame, int], None], checkpoi
     start_cdc(feed, step, checkpoint).awaitTermination()
 
 
-def apply_upsert(target: VersionedTable, keys: list[str], seq: str,
-                 prepare: Callable[[DataFrame], DataFrame] = lambda d: d,
-                 update_cols: list[str] | None = None) -> Callable[[DataFrame, int], None]:
-    """ST1: keep the last change per key, drop changes older than the stored
-    sequence, upsert the rest (``update_cols`` None = every column)."""
-    def step(batch: DataFrame, batch_id: int) -> None:
-        changes = latest_per_key(prepare(batch), keys, [(seq, True)])
-        prev = target.read(before=batch_id + 1)
-        if prev is None:
-            new = changes
-        else:
-            stored = prev.select(*keys, F.col(seq).alias("_stored"))
-            newer = (changes.join(stored, keys, "left")
-                     .where(F.col("_stored").isNull() | (F.col(seq) > F.col("_stored"))).drop("_stored"))
-            new = merge_upsert(prev, newer, keys, update_cols)
-        target.write(new, batch_id + 1)
-    return step
-
-
-def apply_update_only(target: VersionedTable, keys: list[str], seq: str, update_cols: list[str],
-                      prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """ST4/ST6: last change per key updates ``update_cols`` of existing rows only."""
-    def step(batch: DataFrame, batch_id: int) -> None:
-        changes = latest_per_key(prepare(batch), keys, [(seq, True)])
-        prev = target.read(before=batch_id + 1)
-        target.write(update_only(prev, changes.select(*keys, *update_cols), keys, update_cols), batch_id + 1)
-    return step
-
-
 def append_by_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Idempotent append: one partition per batch id, replaced on replay."""
     (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def apply_child_total(parent: "BucketedTable", children_path: str, parent_key: str, child_key: str,
-                      amount: str, total: str, prepare: Callable[[DataFrame], DataFrame]
+def apply_child_total(parent: "BucketedTable", children: "BucketedTable", parent_key: str, child_key: str, seq: str,
+                      amount: str, total: str, prepare: Callable[[DataFrame], DataFrame], counted: str = "true"
                       ) -> Callable[[DataFrame, int], None]:
-    """ST5: store the child changes, then recompute the total of every parent
-    touched by the batch from all of its children (not a running delta), and
-    update those parents only. Children are stored by key bucket and batch and
-    the parent is a BucketedTable with the same bucketing, so a batch reads
-    and rewrites only the buckets of the parents it touches."""
+    """ST5: keep the children by id (last change wins), then recompute the total
+    of every parent touched by the batch from all of its children that meet
+    ``counted`` (a condition on the stored child), so that a changed child
+    counts once and a cancelled one no more. ``children`` is keyed by
+    (child_key, id) and dealt by child_key, so a batch reads only the buckets
+    of the parents that it touches."""
+    upsert = bucketed_upsert(children, seq, prepare)
+
     def step(batch: DataFrame, batch_id: int) -> None:
-        kids = prepare(batch).withColumn("kbucket", F.pmod(F.xxhash64(F.col(child_key)), F.lit(parent.buckets)))
-        (kids.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("kbucket", "batch_id").parquet(children_path))
-        touched_buckets = [r[0] for r in kids.select("kbucket").distinct().collect()]
-        touched = kids.select(F.col(child_key).alias("_k")).distinct()
-        all_kids = (batch.sparkSession.read.parquet(children_path)
-                    .where(F.col("kbucket").isin(touched_buckets) & (F.col("batch_id") <= batch_id)))
-        sums = (all_kids.join(touched, F.col(child_key) == F.col("_k"), "left_semi")
-                .groupBy(F.col(child_key).alias(parent_key)).agg(F.sum(amount).alias(total)))
+        upsert(batch, batch_id)
+        touched = prepare(batch).select(child_key).distinct()
+        kids = children.read_buckets_of(touched)
+        if kids is None:
+            return
+        sums = (kids.join(touched, child_key, "left_semi").groupBy(F.col(child_key).alias(parent_key))
+                .agg(F.coalesce(F.sum(F.when(F.expr(counted), F.col(amount))), F.lit(0)).alias(total)))
+
         def fn(prev, changes):
+            if prev is None:
+                return changes
             return update_only(prev, changes, [parent_key], [total]).withColumn(
                 total, F.col(total).cast(prev.schema[total].dataType))
         parent.merge(sums, batch_id, fn)
@@ -143,8 +91,8 @@ def apply_child_total(parent: "BucketedTable", children_path: str, parent_key: s
 def apply_conform(target: "BucketedTable", rejects_path: str, seq: str,
                   conform: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
                   reject_invalid_updates: bool = True) -> Callable[[DataFrame, int], None]:
-    """ST2 (+ST2b): conform the batch with the batch rules; valid rows are
-    upserted, rejected rows go to the reject log and leave the stored row as
+    """ST2 (+ST2b): conform the batch with the batch rules; valid rows, which
+    carry ``seq`` (the order of changes, not the record's key), are upserted, rejected rows go to the reject log and leave the stored row as
     it was. With ``reject_invalid_updates=False`` a rejected change to a key
     that already exists is dropped silently (the reference's update path);
     that check reads only the buckets of the rejected keys."""
@@ -164,60 +112,112 @@ def apply_conform(target: "BucketedTable", rejects_path: str, seq: str,
 
 
 class BucketedTable:
-    """A keyed target stored as ``<path>/kbucket=<b>/`` hash buckets.
-
-    A micro-batch rewrites only the buckets its keys hash to: the touched
-    bucket ids (at most ``buckets`` small ints) are read on the driver, the
-    previous rows of those buckets are read with partition pruning, merged,
-    staged under ``<path>_staging/b=<batch>`` and then swapped in with dynamic
-    partition overwrite. The merge functions are idempotent (sequence check,
-    update-only, recomputed totals), so replaying a batch after a failure at
-    any point converges to the same table.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 64):
-        self.spark, self.path, self.keys, self.buckets = spark, path, keys, buckets
+    """A keyed target in hash buckets with committed, immutable bucket versions.
 
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("kbucket", F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)))
+    A micro-batch reads the buckets that its keys hash to, writes their new
+    versions under ``<path>/data/<batch>-<unique>/`` and then commits one record
+    that names the folder of every bucket. Nothing that a commit names is
+    ever overwritten: a batch that fails leaves the last commit as it was, and
+    a batch delivered again after its commit changes nothing. Keys are cast to
+    the types of the first rows before hashing and joining.
 
-    def _write(self, df: DataFrame) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("kbucket").parquet(self.path))
+    ``buckets`` holds for a new table; an existing one keeps its own. For a
+    table loaded by ``initialize`` the default follows the number of rows.
+    """
 
-    def read(self, before: int | None = None) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path).drop("kbucket")
-        except Exception:  # not created yet
+    ROWS_PER_BUCKET = 1_000_000
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int | None = None,
+                 bucket_by: list[str] | None = None):
+        self.spark, self.path, self.keys = spark, path, keys
+        self.buckets, self.bucket_by = buckets, bucket_by or keys
+
+    @property
+    def _log(self) -> str:
+        return f"{self.path}/_commits"
+
+    def _state(self) -> tuple[int, dict] | None:
+        return commits.latest(self.spark, self._log)
+
+    def _typed(self, df: DataFrame, types: dict[str, str]) -> DataFrame:
+        return df.withColumns({k: F.col(k).cast(t) for k, t in types.items() if k in df.columns})
+
+    def _bucketed(self, df: DataFrame, record: dict) -> DataFrame:
+        df = self._typed(df, record["types"])
+        return df.withColumn("kbucket", F.pmod(F.xxhash64(*[F.col(k) for k in self.bucket_by]), F.lit(record["buckets"])))
+
+    def _rows(self, record: dict, buckets: list[int] | None = None) -> DataFrame | None:
+        wanted = record["folders"] if buckets is None else {str(b): record["folders"][str(b)] for b in buckets if str(b) in record["folders"]}
+        paths = [f"{self.path}/data/{v}/kbucket={b}" for b, v in wanted.items()]
+        return self.spark.read.schema(record["schema"]).parquet(*paths) if paths else None
+
+    def _publish(self, new: DataFrame, touched: list[int] | None, record: dict, number: int) -> None:
+        """Write the new bucket versions, then commit them; buckets left without rows go."""
+        version = f"{number:012d}-{uuid.uuid4().hex}"
+        schema = new.drop("kbucket").schema
+        new.write.partitionBy("kbucket").parquet(f"{self.path}/data/{version}")
+        made = {n[len("kbucket="):] for n in commits.names(self.spark, f"{self.path}/data/{version}") if n.startswith("kbucket=")}
+        folders = {} if touched is None else {b: v for b, v in record["folders"].items() if int(b) not in touched}
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        commits.commit(self.spark, self._log, number, dict(record, folders=folders | {b: version for b in made}, schema=ddl))
+
+    def _new_record(self, df: DataFrame, buckets: int) -> dict:
+        kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+        return {"buckets": buckets, "types": {k: kinds[k] for k in self.keys}, "folders": {}, "schema": ""}
+
+    def read(self) -> DataFrame | None:
+        """The committed rows, or None before the first commit. A failing read is raised."""
+        state = self._state()
+        if state is None:
             return None
+        rows = self._rows(state[1])
+        rows = self.spark.createDataFrame([], state[1]["schema"]) if rows is None else rows
+        return rows.drop(APPLIED)
 
     def read_buckets_of(self, df: DataFrame) -> DataFrame | None:
-        """Stored rows of the buckets that ``df``'s keys hash to (pruned read)."""
-        touched = [r[0] for r in self._bucketed(df).select("kbucket").distinct().collect()]
-        if not touched:
-            return None
-        try:
-            return self.spark.read.parquet(self.path).where(F.col("kbucket").isin(touched)).drop("kbucket")
-        except Exception:
+        """Stored rows of the buckets that ``df``'s keys hash to (only their folders are read)."""
+        state = self._state()
+        if state is None:
             return None
+        touched = [r[0] for r in self._bucketed(df, state[1]).select("kbucket").distinct().collect()]
+        rows = self._rows(state[1], touched)
+        return None if rows is None else rows.drop(APPLIED)
 
     def initialize(self, df: DataFrame) -> None:
-        self._write(self._bucketed(df))
+        buckets = self.buckets or max(64, -(-df.count() // self.ROWS_PER_BUCKET))
+        record = self._new_record(df, buckets)
+        self._publish(self._bucketed(df, record), None, record, 0)
 
     def merge(self, changes: DataFrame, batch_id: int,
               fn: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
-        ch = self._bucketed(changes)
-        touched = [r[0] for r in ch.select("kbucket").distinct().collect()]
-        if not touched:
+        """Apply ``fn(stored rows of the touched buckets, changes)`` as the commit of ``batch_id``."""
+        state = self._state()
+        if state is not None and state[0] > batch_id:  # committed already: a delivery again
             return
+        record = state[1] if state else self._new_record(changes, self.buckets or 64)
+        ch = self._bucketed(changes, record).persist()  # the batch is prepared once
         try:
-            prev = self.spark.read.parquet(self.path).where(F.col("kbucket").isin(touched)).drop("kbucket")
-        except Exception:
-            prev = None
-        new = self._bucketed(fn(prev, changes))
-        stage = f"{self.path}_staging/b={batch_id}"
-        new.write.mode("overwrite").parquet(stage)
-        self._write(self.spark.read.parquet(stage))
+            touched = [r[0] for r in ch.select("kbucket").distinct().collect()]
+            if not touched:
+                return
+            prev = self._rows(record, touched)
+            new = fn(prev, ch.drop("kbucket"))
+            self._publish(self._bucketed(new, record), touched, record, batch_id + 1)
+        finally:
+            ch.unpersist()
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete commits but the last ``keep`` and the bucket versions that none of those names."""
+        found = commits.committed(self.spark, self._log)
+        used = set()
+        for number, _ in found[-keep:]:
+            used |= set(commits.latest(self.spark, self._log, below=number + 1)[1]["folders"].values())
+        for _, name in found[:-keep]:
+            commits.delete(self.spark, f"{self._log}/{name}")
+        newest = f"{found[-1][0]:012d}" if found else ""
+        for v in commits.names(self.spark, f"{self.path}/data"):
+            if v not in used and v[:12] <= newest:
+                commits.delete(self.spark, f"{self.path}/data/{v}")
 
 
 def bucketed_upsert(target: BucketedTable, seq: str, prepare: Callable[[DataFrame], DataFrame],
@@ -238,12 +238,26 @@ def bucketed_upsert(target: BucketedTable, seq: str, prepare: Callable[[DataFram
     return step
 
 
+#: Hidden column of update-only targets: the sequence of the change applied last.
+APPLIED = "_applied_seq"
+
+
 def bucketed_update_only(target: BucketedTable, seq: str, update_cols: list[str],
                          prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """ST4/ST6 on a bucketed target."""
+    """ST4/ST6 on a bucketed target: existing keys only, never by a change older than the one applied last."""
     keys = target.keys
 
+    def fn(prev, changes):
+        if prev is None:
+            return changes.limit(0)
+        if APPLIED not in prev.columns:
+            prev = prev.withColumn(APPLIED, F.lit(None).cast(changes.schema[APPLIED].dataType))
+        stored = prev.select(*keys, F.col(APPLIED).alias("_stored"))
+        newer = (changes.join(stored, keys).where(F.col("_stored").isNull() | (F.col(APPLIED) > F.col("_stored")))
+                 .drop("_stored"))
+        return merge_upsert(prev, newer, keys, [*update_cols, APPLIED])
+
     def step(batch: DataFrame, batch_id: int) -> None:
-        ch = latest_per_key(prepare(batch), keys, [(seq, True)]).select(*keys, *update_cols)
-        target.merge(ch, batch_id, lambda prev, c: update_only(prev, c, keys, update_cols))
+        ch = latest_per_key(prepare(batch), keys, [(seq, True)]).select(*keys, *update_cols, F.col(seq).alias(APPLIED))
+        target.merge(ch, batch_id, fn)
     return step
