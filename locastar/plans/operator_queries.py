@@ -417,12 +417,12 @@ def d4_calendar(spark, sf_dir):
 
 
 def s7_seed_if_empty(spark, sf_dir):
-    """The calendar seed (2015-2035) goes in only when the calendar table is
-    empty. Here the table already holds the days spanned by the orders, so it
-    is kept as is; an empty table would receive the seed."""
+    """A calendar goes in only when the table is empty. An empty table gets the
+    days spanned by the orders; the table so filled then keeps its rows against
+    the default calendar (2015-2035)."""
     from locastar.functions.dates import calendar
-    current = calendar_span(_a(spark, sf_dir).t("orders", "o_orderdate"), "o_orderdate")
-    return M.seed_if_empty(current, calendar(spark))
+    span = calendar_span(_a(spark, sf_dir).t("orders", "o_orderdate"), "o_orderdate")
+    return M.seed_if_empty(M.seed_if_empty(span.limit(0), span), calendar(spark))
 
 
 def d5_missing_dates(spark, sf_dir):

@@ -8,16 +8,17 @@ marts can run on either the lazy frames or the written tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from locastar.functions.dates import calendar
 from locastar.operators import conform as C
 from locastar.operators import dims as D
 from locastar.operators import facts as FL
+from locastar.session import scratch_path
 from locastar.sources.analogue import AS_OF, Analogue
 
 DIMENSIONS = ("dim_tempo", "dim_patio", "dim_grupo", "dim_veiculo", "dim_cliente", "dim_endereco")
@@ -69,11 +70,11 @@ def checkpointed(name: str, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def cached(name: str, df: DataFrame) -> DataFrame:
-    """Keep for reuse within the session (memory, spilling to disk). The
-    lineage stays, so a lost executor's blocks are recomputed; the
-    warehouse lineage is a few joins deep, not iterative."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def stored(name: str, df: DataFrame) -> DataFrame:
+    """Write once to the shared folder and read back, as the nightly job does."""
+    path = scratch_path(df.sparkSession, f"warehouse-{uuid.uuid4().hex}/{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def load_dims(spark: SparkSession, conf: dict[str, DataFrame],
@@ -127,12 +128,12 @@ def load_warehouse(spark: SparkSession, conf: dict[str, DataFrame],
 
 def build_warehouse(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
                     run_ts: dt.datetime | None = None, materialize: bool | str = True) -> Warehouse:
-    """Warehouse frames; ``materialize``: True/"cache" keeps every conformed
-    table, dimension and fact for reuse, "checkpoint" cuts their lineage into
-    the shared checkpoint folder, False leaves them lazy."""
+    """Warehouse frames; ``materialize``: True writes every conformed table,
+    dimension and fact to the shared folder and reads them back, "checkpoint"
+    checkpoints them there, False leaves them lazy."""
     src = Analogue(spark, sf_dir, as_of)
     conf, rej = conform_sources(src, run_ts)
-    m = {True: cached, "cache": cached, "checkpoint": checkpointed}.get(materialize, _identity)
+    m = {True: stored, "checkpoint": checkpointed}.get(materialize, _identity)
     conf = {k: m(k, v) for k, v in conf.items()}
     tables, late = load_warehouse(spark, conf, run_ts=run_ts, materialize=m)
     if m is not _identity:

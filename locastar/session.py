@@ -62,17 +62,27 @@ def apply_engine_conf(spark: SparkSession) -> None:
             pass
 
 
+#: Scratch folders of local sessions without a setting, by application.
+_SCRATCH: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder from ``spark.checkpoint.dir``.
 
     On a cluster the operator sets ``spark.checkpoint.dir`` to a shared
-    folder; it is used as is. Only when it is unset (tests, local runs) a
-    fresh scratch folder is created.
+    folder; it is used as is. Only when it is unset on a local master
+    (tests, local runs) a scratch folder is made, one for the session; on a
+    cluster the setting must be there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="locastar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _SCRATCH:
+            _SCRATCH[app] = tempfile.mkdtemp(prefix="locastar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        d = _SCRATCH[app]
     spark.sparkContext.setCheckpointDir(d)
     return d
 
