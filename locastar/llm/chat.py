@@ -69,22 +69,22 @@ def depths(calls: DataFrame) -> DataFrame:
 
     Each round doubles the reach of every unfinished pointer, so rounds grow
     with the logarithm of the longest chain. An ``after`` without a call
-    counts as none. After as many steps as there are unfinished calls, what
-    is left runs in a circle.
+    counts as none. While a chain with a beginning is open, each round closes
+    part of it; so when a round closes nothing, what is left runs in circles.
     """
     ids = calls.select(F.col("conv_id").alias("pc"), F.col("call_id").alias("pi"))
     wanted = calls.select("conv_id", "call_id", F.col("call.after").alias("after"))
     now = wanted.join(ids, wanted["conv_id"].eqNullSafe(ids["pc"]) & (wanted["after"] == ids["pi"]), "left").select(
         "conv_id", "call_id", F.col("pi").alias("to"), F.when(F.col("pi").isNull(), 0).otherwise(1).cast("long").alias("depth"))
     now = written(now, "chain")
-    reach = 1
-    while reach <= now.where(F.col("to").isNotNull()).count():
+    left, before = now.where(F.col("to").isNotNull()).count(), -1
+    while left not in (0, before):
         step = now.select(F.col("conv_id").alias("pc"), F.col("call_id").alias("pi"), F.col("to").alias("next"), F.col("depth").alias("more"))
         open_, done = now.where(F.col("to").isNotNull()), now.where(F.col("to").isNull())
         moved = open_.join(step, open_["conv_id"].eqNullSafe(step["pc"]) & (open_["to"] == step["pi"])).select(
             "conv_id", "call_id", F.col("next").alias("to"), (F.col("depth") + F.col("more")).alias("depth"))
         now = written(done.union(moved), "chain")
-        reach *= 2
+        left, before = now.where(F.col("to").isNotNull()).count(), left
     return now.select("conv_id", "call_id", F.when(F.col("to").isNull(), F.col("depth")).alias("depth"))
 
 
