@@ -49,7 +49,8 @@ def empty_address(spark: SparkSession) -> DataFrame:
 
 
 def with_address_key(df: DataFrame, address: DataFrame, collation: str | None = None) -> DataFrame:
-    """D3: sk_endereco by (city, UF, country); unmatched -> NULL. Address dim is bounded.
+    """D3: sk_endereco by (city, UF, country); unmatched -> NULL. Free-text cities make the
+    dimension grow, so its size at run time chooses the join.
     With ``collation`` the three texts are compared under it (see address_dim)."""
     a = address.select("sk_endereco", F.col("cidade").alias("_c"), F.col("estado").alias("_e"),
                        F.col("pais").alias("_p"))
@@ -58,7 +59,7 @@ def with_address_key(df: DataFrame, address: DataFrame, collation: str | None =
         cond = [F.collate(F.col(x), collation) == F.collate(F.col(y), collation) for x, y in pairs]
     else:
         cond = [F.col(x) == F.col(y) for x, y in pairs]
-    return df.join(F.broadcast(a), cond, "left").drop("_c", "_e", "_p")
+    return df.join(a, cond, "left").drop("_c", "_e", "_p")
 
 
 def scd1(current: DataFrame | None, incoming: DataFrame, nk: Sequence[str], attrs: Sequence[str],

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locastar.operators.merge import merge_upsert
+from locastar.operators.merge import latest_per_key, merge_upsert
 from locastar.sources.fleets import surrogate_key
 
 # Late-key reasons (prefix, then the offending value).
@@ -163,6 +163,14 @@ RENTAL_COLUMNS = ["nk_frota_origem", "nk_id_locacao", "sk_tempo_retirada", "sk_t
                   "sk_patio_retirada", "sk_patio_devolucao_real", "valor_final", "qtde_locacoes"]
 
 
+def first_or_merged(name: str, fact: DataFrame, current: DataFrame | None) -> DataFrame:
+    """The declared key holds from the first load on: a repeated key is loaded once,
+    as the row that sorts last over the fact's columns (the later dates first)."""
+    if current is None:
+        return latest_per_key(fact, FACT_KEYS[name]).select(*fact.columns)
+    return merge_upsert(current, fact, FACT_KEYS[name], FACT_UPDATES[name])
+
+
 def load_rental(loc: DataFrame, dims: dict[str, DataFrame], current: DataFrame | None = None,
                 run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """FL2 + FL4 (+ FL5: no pick-up date key, no row)."""
@@ -174,9 +182,7 @@ def split_rental(tagged: DataFrame, current: DataFrame | None = None,
     fact = (tagged.where(F.col("_reason").isNull()).withColumn("qtde_locacoes", F.lit(1))
             .select(*RENTAL_COLUMNS))
     rej = _rejects(tagged, "stg_conf_locacao", "nk_id_locacao", run_ts)
-    if current is not None:
-        fact = merge_upsert(current, fact, FACT_KEYS["fato_locacao"], FACT_UPDATES["fato_locacao"])
-    return fact, rej
+    return first_or_merged("fato_locacao", fact, current), rej
 
 
 def return_yard_warnings(loc: DataFrame, dims: dict[str, DataFrame],
@@ -223,15 +229,4 @@ def split_reservation(tagged: DataFrame, current: DataFrame | None = None,
             .withColumn("dd_status_reserva", F.col("status_reserva"))
             .withColumn("qtde_reservas", F.lit(1)).select(*RESERVATION_COLUMNS))
     rej = _rejects(tagged, "stg_conf_reserva", "nk_id_reserva", run_ts)
-    if current is not None:
-        fact = merge_upsert(current, fact, FACT_KEYS["fato_reserva"], FACT_UPDATES["fato_reserva"])
-    return fact, rej
-
-
-LOADERS = {"fato_inventario_patio": load_inventory, "fato_locacao": load_rental, "fato_reserva": load_reservation}
-
-
-def load_fact(name: str, conformed: DataFrame, dims: dict[str, DataFrame], current: DataFrame | None = None,
-              run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
-    """FL1-FL5 by fact name: (new fact version, late-key rejects)."""
-    return LOADERS[name](conformed, dims, current, run_ts)
+    return first_or_merged("fato_reserva", fact, current), rej

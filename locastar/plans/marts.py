@@ -69,7 +69,7 @@ def q1_2_open_rentals(dw, as_of: dt.date) -> DataFrame:
 
 def _customer_city(dw) -> DataFrame:
     c = dw["dim_cliente"].select("sk_cliente", "sk_endereco")
-    e = F.broadcast(dw["dim_endereco"].select("sk_endereco", F.col("cidade").alias("cidade_origem_cliente")))
+    e = dw["dim_endereco"].select("sk_endereco", F.col("cidade").alias("cidade_origem_cliente"))
     return c.join(e, "sk_endereco").drop("sk_endereco")
 
 
@@ -81,7 +81,8 @@ def q1_3_reservation_horizon(dw, as_of: dt.date) -> DataFrame:
     those partial counts -- not the fact rows -- are shuffled to meet the
     (possibly large) customer dimension.
     """
-    f = dw["fato_reserva"].where(F.col("dd_status_reserva") == "ATIVA")
+    f = dw["fato_reserva"].where((F.col("dd_status_reserva") == "ATIVA")
+                                 & (F.col("sk_tempo_prev_retirada") >= date_key_of(as_of)))
     t = _cal(dw, "t_ret", "sk_tempo_prev_retirada", "d_ret").where(F.col("d_ret") >= F.lit(as_of))
     p = dw["dim_patio"].select(F.col("sk_patio").alias("sk_patio_retirada"),
                                F.col("nome_patio").alias("patio_retirada"))
@@ -188,7 +189,8 @@ def q3_2_revenue_share(dw, as_of: dt.date) -> DataFrame:
 
 
 def q3_3_pipeline(dw, as_of: dt.date) -> DataFrame:
-    f = dw["fato_reserva"].where(F.col("dd_status_reserva") == "ATIVA")
+    f = dw["fato_reserva"].where((F.col("dd_status_reserva") == "ATIVA")
+                                 & (F.col("sk_tempo_prev_retirada") >= date_key_of(as_of)))
     t = _cal(dw, "t_ret", "sk_tempo_prev_retirada", "d").where(F.col("d") >= F.lit(as_of))
     j = f.join(t, "sk_tempo_prev_retirada").join(_grupo(dw), "sk_grupo")
     agg = (j.groupBy(F.col("nk_frota_origem").alias("empresa"),
@@ -245,7 +247,8 @@ def q5_1_volume_audit(dw, as_of: dt.date) -> DataFrame:
 
 
 def q5_2_stale_rentals(dw, as_of: dt.date) -> DataFrame:
-    f = dw["fato_locacao"].where(F.col("sk_tempo_real_devolucao").isNull())
+    f = dw["fato_locacao"].where(F.col("sk_tempo_real_devolucao").isNull()
+                                 & (F.col("sk_tempo_retirada") < date_key_of(as_of - dt.timedelta(days=STALE_DAYS))))
     a = F.lit(as_of)
     t = _cal(dw, "t_ret", "sk_tempo_retirada", "data_retirada").where(
         F.datediff(a, F.col("data_retirada")) > STALE_DAYS)

@@ -435,12 +435,13 @@ def d5_missing_dates(spark, sf_dir):
 
 
 def s3_merge_subset(spark, sf_dir):
-    """S3: upsert updating only status and value; other columns keep the target's."""
+    """S3: upsert updating only status and value; other columns keep the target's.
+    Even keys are stored, odd keys arrive new, and every third key arrives as a change."""
     r = _a(spark, sf_dir).raw_reserva().select("nk_frota_origem", "nk_id_reserva", "data_reserva",
                                               "valor_previsto_reserva", "status_reserva")
     k = F.col("nk_id_reserva")
     target = r.where(k % 2 == 0).withColumn("status_reserva", F.lit("ATIVA"))
-    source = (r.where(k % 3 == 0).withColumn("data_reserva", F.date_add("data_reserva", 1))
+    source = (r.where((k % 3 == 0) | (k % 2 != 0)).withColumn("data_reserva", F.date_add("data_reserva", 1))
               .withColumn("valor_previsto_reserva", (F.col("valor_previsto_reserva") * 2).cast(MONEY_12)))
     return M.merge_upsert(target, source, ["nk_frota_origem", "nk_id_reserva"],
                           ["status_reserva", "valor_previsto_reserva"])

@@ -39,8 +39,7 @@ def test_per_source_pipelines(spark):
     dw = read_warehouse(spark, out, run_nightly(spark, SF, out, sources="per_source"))
     assert all(n > 0 for n in _counts(dw).values())
     bad = {(r.tabela, r.restricao): r.violacoes for r in audit_constraints(dw).collect() if r.violacoes}
-    # the only violation is the non-unique rental id of the test data (l_orderkey, l_linenumber)
-    assert set(bad) <= {("fato_locacao", "pk")}
+    assert not bad
     rejects = spark.read.parquet(os.path.join(out, "rejects"))
     reasons = {r.motivo_rejeito for r in rejects.select("motivo_rejeito").distinct().collect()}
     assert "Cliente sem tipo_cliente válido" in reasons
