@@ -43,6 +43,10 @@ def main() -> None:
     version = run_nightly(spark, sf_dir, out_dir, AS_OF)
     times["nightly_load"] = round(time.time() - t0, 3)
 
+    t0 = time.time()   # the usual night: everything is stored already
+    version = run_nightly(spark, sf_dir, out_dir, AS_OF)
+    times["nightly_second"] = round(time.time() - t0, 3)
+
     dw = read_warehouse(spark, out_dir, version)
     for name, fn in MARTS.items():
         t = time.time()
