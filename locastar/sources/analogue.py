@@ -103,7 +103,7 @@ class Analogue:
         """p_partkey -> class id (part joined to the small class table)."""
         p = self.t("part", "p_partkey", "p_type")
         c = self.classes().select("p_type", "nk_id_grupo")
-        return p.join(F.broadcast(c), "p_type").select("p_partkey", "nk_id_grupo")
+        return p.join(c, "p_type").select("p_partkey", "nk_id_grupo")
 
     # -- raw staging per entity -------------------------------------------
     def raw_patio(self) -> DataFrame:
@@ -124,11 +124,10 @@ class Analogue:
             F.lit(None).cast("string").alias("codigo"), "valor_diaria")
 
     def raw_veiculo(self) -> DataFrame:
-        p = self.t("part", "p_partkey", "p_brand", "p_name", "p_size")
-        pc = self.part_class()
+        p = self.t("part", "p_partkey", "p_brand", "p_name", "p_size", "p_type")
         n = self.n_yards()
         trans = _case(F.col("p_size") % 5, {i: v for i, v in enumerate(RAW_TRANSMISSIONS) if v})
-        return (p.join(pc, "p_partkey")
+        return (p.join(self.classes().select("p_type", "nk_id_grupo"), "p_type")
                 .select(_all_fleets(), F.col("p_partkey").alias("nk_id_veiculo"),
                         "nk_id_grupo", (F.col("p_partkey") % n).alias("nk_id_patio_origem"),
                         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("placa"),

@@ -81,15 +81,16 @@ def f1_reserva(t, cut=None):
 
 
 def f1_locacao(t, cut=None):
-    """Customer and class through the reservation; return yard via return ->
-    slot -> yard (J12, latest return first); planned return = agreed end +
+    """Customer and class through the reservation; return date of the latest
+    return, return yard via return -> slot -> yard (J12, latest return whose
+    slot is known); planned return = agreed end +
     extension days of this rental and reservation (J5)."""
     l, r, g = t["Locacao"], t["Reserva"], t["Grupo"]
     j = (l.join(r.select("Id_reserva", "Id_cliente", "Id_grupo", "Data_fim_combinada", "Preco_final"), "Id_reserva")
          .join(g.select("Id_grupo", "Diaria_grupo"), "Id_grupo"))
     ret = t["Devolucao"].join(t["Vaga"].select("Id_vaga", "Id_patio").withColumnRenamed("Id_patio", "_yard"), "Id_vaga")
-    j = lookup_first(j, ret, ["Id_locacao"], ["Id_locacao"], [("Data_devolucao", True), ("Id_vaga", False)],
-                     ["_yard", "Data_devolucao"])
+    j = lookup_first(j, ret, ["Id_locacao"], ["Id_locacao"], [("Data_devolucao", True), ("Id_vaga", False)], ["_yard"])
+    j = lookup_first(j, t["Devolucao"], ["Id_locacao"], ["Id_locacao"], [("Data_devolucao", True)], ["Data_devolucao"])
     ext = t["Extensao_reserva"]
     j = lookup_agg(j, ext, ["Id_locacao", "Id_reserva"], ["Id_locacao", "Id_reserva"],
                    {"_ext": F.sum("Qtd_dias")}, {"_ext": 0})

@@ -29,7 +29,8 @@ def _pick(k, values):
 
 def _common(a: Analogue):
     ny, nc = a.n_yards(), a.n_classes()
-    p = a.t("part", "p_partkey", "p_brand", "p_name", "p_size").join(a.part_class(), "p_partkey")
+    p = a.t("part", "p_partkey", "p_brand", "p_name", "p_size", "p_type").join(
+        a.classes().select("p_type", "nk_id_grupo"), "p_type").drop("p_type")
     li = a.t("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
              "l_returnflag", "l_linestatus", "l_shipdate")
     o = a.t("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")

@@ -142,3 +142,17 @@ def test_large_cents_and_keys(spark):
     assert ok == (1 << 32) + 5
     with pytest.raises(Exception, match="no surrogate key"):
         spark.range(1).select(surrogate_key(F.lit(FLEETS[0]), F.lit((1 << 32) + 5))).collect()
+
+
+def test_return_with_unknown_slot(spark):
+    """The return date does not need the slot; the yard comes from the latest return whose slot is known."""
+    from locastar.sources.extract import f1_locacao
+    df = spark.createDataFrame
+    t = {"Locacao": df([(1, 10, 5, 2, "2024-01-01")], "Id_locacao long, Id_reserva long, Id_veiculo long, Id_patio long, Data_locacao string"),
+         "Reserva": df([(10, 7, 3, "2024-01-05", 100.0)], "Id_reserva long, Id_cliente long, Id_grupo long, Data_fim_combinada string, Preco_final double"),
+         "Grupo": df([(3, 50.0)], "Id_grupo long, Diaria_grupo double"),
+         "Devolucao": df([(1, 99, "2024-01-06"), (1, 4, "2024-01-05")], "Id_locacao long, Id_vaga long, Data_devolucao string"),
+         "Vaga": df([(4, 8)], "Id_vaga long, Id_patio long"),
+         "Extensao_reserva": df([], "Id_locacao long, Id_reserva long, Qtd_dias long")}
+    r = f1_locacao(t).first()
+    assert (str(r.data_real_devolucao), r.nk_id_patio_devolucao) == ("2024-01-06", 8)
