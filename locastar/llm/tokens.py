@@ -16,6 +16,8 @@ from functools import lru_cache
 #: pattern; two tables of each kind at most are alive.
 HELD_WORDS = 200_000
 HELD_PIECES = 100_000
+#: Single marks that the patterns part from the letters before them.
+END = {*".,*$%&#!"}
 #: Longer pieces are encoded each time.
 HELD_LENGTH = 40
 
@@ -88,7 +90,7 @@ class WordEncoder:
             low = word.lower()
             if low.isalpha():  # the pattern takes it whole
                 return self.pieces[low]
-            if low[-1] in ".,*$%&#!" and low[:-1].isalpha():
+            if low[-1] in END and low[:-1].isalpha():
                 return self.pieces[low[:-1]] + self.pieces[low[-1]]
             return b"".join(map(self.pieces.__getitem__, self.split(low)))
         return self._ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
@@ -156,11 +158,16 @@ class ByteEncoder:
         self.split = regex.compile(pattern).findall
         self.table = dict(enumerate(chars))
         self.words = Held(self._word, HELD_WORDS)
-        self.pieces = Held(self._piece)
+        self.pieces = Held(self._piece, HELD_WORDS)
 
     def _word(self, word: str) -> list[int]:
         # below U+0250 all tables of letters and digits agree
-        if word.isascii() or max(word) < "ɐ":
+        if word.isascii() or max(word or " ") < "ɐ":
+            body = word[1:] if word[:1] == " " else word
+            if body.isalpha():  # one match of the pattern
+                return self.pieces[word]
+            if body[-1:] in END and body[:-1].isalpha():
+                return self.pieces[word[:-1]] + self.pieces[word[-1]]
             return [i for p in self.split(word) for i in self.pieces[p]]
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
