@@ -357,6 +357,28 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert all(p.pseudonym != new[p.value] for p in other.pii)
 
 
+def test_pii_beside_other_numbers_and_long_secrets(spark):
+    card, new = "4785380592391139", {}
+    near = ["%s", "%s 12 items", "%s 123 cvv", "%s 08/27", "7 %s", "%s 12 34 56 78", "1234 %s"]
+    grouped = ["%s", "%s 12", "12 %s x"]
+    phones = ["%s", "%s 12", "%s 12 34"]
+    rows = [(p % v, v) for ps, v in ((near, card), (grouped, "4785 3805 9239 1139"), (grouped, "4785-3805-9239-1139"),
+                                     (phones, "+1 (743) 555-3824"), (phones, "+1 743 555 3824"), (phones, "+49-30-1234-5678")) for p in ps]
+    rows += [(f"{card} 2024-02-29", card), (f"{card} a.b42@mail.example.com", card)]
+    long = "aB3/" * 100
+    rows += [(f"password={long} z", long), ("sk-" + "a1B2" * 30, "sk-" + "a1B2" * 30), ("token=1234567890123456", "1234567890123456"),
+             ("key ghp_" + "a" * 36, "ghp_" + "a" * 36)]
+    keep = ["2019 2020 2021 2022 2023 2024", "4785380592391138 12", "1" * 300]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate([t for t, _ in rows] + keep)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(frame, "k").collect()}
+    for k, (t, v) in enumerate(rows):
+        found = {p.value: p.pseudonym for p in got[k].pii}
+        assert found[v] != v and new.setdefault(v, found[v]) == found[v], t
+        assert got[k].text == t.replace(v, found[v]) or len(found) == 2
+    assert all(got[len(rows) + k].text == t for k, t in enumerate(keep))
+    assert luhn(new[card])
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
     low, high = pii.PERIOD
