@@ -5,6 +5,10 @@ strings collapse copies first inside each input partition and then inside
 each (length, hash) partition; a terminal node holds the id that stays and
 the number of copies. The ids of all members never meet in one place: members
 join their owner by (length, hash).
+
+The hash leads every key, so that entries come to their owner in its order; the
+tries share no prefixes of texts and serve as dictionaries by hash. An owner's
+trie holds one text and never spills.
 """
 
 from __future__ import annotations
