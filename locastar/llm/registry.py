@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locastar.llm import bpe, chat, exact_dedup, fingerprints, near_dup, packing, pii, quality, token_counts, toxicity
-from locastar.llm.common import documents, table
+from locastar.llm import (bpe, chat, exact_dedup, filter_audit, fingerprints, language_id, near_dup, packing, pii, quality,
+                          resampling, token_counts, toxicity)
+from locastar.llm.common import documents, small_batches, table
 from locastar.session import ensure_checkpoint_dir
 
 #: Folder of the public tokenizers' files; None: the installed package.
@@ -67,6 +68,21 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       public_tokenizers.PATTERN, digests=True)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs.select("doc_id", "text"), language_id.train(docs.select("doc_id", "text", "lang")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_toxicity": op2_toxicity,
@@ -78,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dup": op8_near_dup,
     "op9_packing": op9_packing,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_resampling": op12_resampling,
+    "op13_language_id": op13_language_id,
 }
 ORACLES: dict[str, str] = {
     "op1_chat": """
@@ -106,6 +125,58 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    "op11_filter_audit": r"""
+        WITH l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        c AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, length(t) AS n, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS caps,
+                     min(doc_id) OVER (PARTITION BY t) AS first_id FROM t),
+        f AS (SELECT c.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                     list_filter([CASE WHEN len(w) < 200 THEN 'A' END,
+                                  CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+                                  CASE WHEN 100 * caps > 3 * n THEN 'C' END,
+                                  CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+                                  CASE WHEN first_id < c.doc_id THEN 'E' END], lambda x: x IS NOT NULL) AS failed
+              FROM c LEFT JOIN l ON l.doc_id = c.doc_id),
+        x(c) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+        o AS (SELECT [a.c, b.c, c.c, d.c, e.c] AS ord FROM x a, x b, x c, x d, x e
+              WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+        s AS (SELECT ord, k AS step, ord[k] AS own, ord[1:k - 1] AS before FROM o, range(1, 6) r(k)),
+        g AS (SELECT part, failed, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+        m AS (SELECT part, array_to_string(ord, '') AS filter_order, step,
+                     list_contains(failed, own) AS fails, list_has_any(failed, before) AS gone, len(failed) AS k, good, toxic, n FROM g, s)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+               CAST(sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept,
+               CAST(sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed,
+               CAST(sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+               CAST(sum(CASE WHEN fails AND k = 1 THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+               CAST(sum(CASE WHEN fails AND NOT gone AND good THEN n ELSE 0 END) AS BIGINT) AS good_lost,
+               CAST(sum(CASE WHEN fails AND NOT gone AND toxic THEN n ELSE 0 END) AS BIGINT) AS toxic_lost,
+               CAST(sum(CASE WHEN fails THEN n * 120 // k ELSE 0 END) AS BIGINT) AS shapley
+        FROM m GROUP BY part, filter_order, step""",
+    "op12_resampling": r"""
+        WITH crc AS (
+            SELECT list(v ORDER BY i) AS t FROM (
+                SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+                FROM range(256) r(i))),
+        texts AS (SELECT true AS corpus, doc_id, text FROM documents UNION ALL SELECT false, NULL, text FROM benchmark),
+        ws AS (SELECT corpus, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+        fs AS (SELECT corpus, doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM ws),
+        kinds AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM fs)),
+        b AS (SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, CAST(length(h) // 2 AS BIGINT)),
+                                  lambda i: CAST(16 * (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1 AS BIGINT))),
+                              lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295) % 10000 AS bucket FROM kinds, crc),
+        n AS (SELECT bucket, CAST(count(*) FILTER (corpus) AS DOUBLE) AS s, CAST(count(*) FILTER (NOT corpus) AS DOUBLE) AS t FROM fs JOIN b USING (f) GROUP BY bucket),
+        total AS (SELECT sum(s) AS s, sum(t) AS t FROM n),
+        gain AS (SELECT bucket, CAST(floor(1000 * ln((n.t + 1) * (total.s + 10000) / ((n.s + 1) * (total.t + 10000)))) AS BIGINT) AS g FROM n, total),
+        wt AS (SELECT doc_id, count(*) AS k, sum(g) AS g FROM fs JOIN b USING (f) JOIN gain USING (bucket) WHERE corpus GROUP BY doc_id),
+        d AS (SELECT doc_id, len(w) AS words, coalesce(k, 0) AS n_features,
+                     CAST(coalesce(CASE WHEN g < 0 THEN -((-g + k - 1) // k) ELSE g // k END, 0) AS BIGINT) AS weight,
+                     CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS h
+              FROM ws LEFT JOIN wt USING (doc_id) WHERE corpus),
+        sc AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM d),
+        r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM sc WHERE words >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank FROM sc LEFT JOIN r USING (doc_id)""",
 }
 
 
