@@ -28,16 +28,15 @@ def encode(docs: DataFrame, path: str, pattern: str, digests: bool = False, offs
 
     def run(batches):
         coder = byte_encoder(path, pattern)
-        names: dict[int, str] = {}
         for batch in batches:
             ids_column, rows = batch.column(0).cast(pa.int64()), []
             for text in batch.column(1).to_pylist():
-                ids = coder.encode(text)
                 if digests:
-                    names = names or {i: str(i) for i in coder.bytes_of}
-                    rows.append((len(ids), hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(),
-                                 hashlib.sha256(coder.decode(ids)).hexdigest()))
-                elif offsets:
+                    n, decimals, decoded = coder.digest(text)
+                    rows.append((n, hashlib.sha256(decimals.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+                    continue
+                ids = coder.encode(text)
+                if offsets:
                     spans = coder.offsets(text, ids)
                     rows.append((ids, [a for a, _ in spans], [b for _, b in spans]))
                 else:

@@ -1,8 +1,10 @@
 """Token ids of whole texts with the ``tokenizers`` library inside Arrow batches.
 
-``WordEncoder`` holds the ids of pieces between blanks. A piece never changes
-the ids of its neighbours under the two pre-tokenizers used here, so a text's
-ids are those of its pieces in order; each new piece goes through the library.
+Both encoders part a text by their pattern, whose matches never change each
+other's ids, and hold what the library made of each match; a new match goes
+through the library. Texts with characters from U+0250 on, where tables of
+letters may differ between libraries, are parted at blanks and such words go
+through the library whole.
 """
 
 from __future__ import annotations
@@ -12,14 +14,14 @@ import os
 from array import array
 from functools import lru_cache
 
-#: Pieces held by one worker between blanks and between matches of the
-#: pattern; two tables of each kind at most are alive.
-HELD_WORDS = 200_000
-HELD_PIECES = 100_000
-#: Single marks that the patterns part from the letters before them.
-END = {*".,*$%&#!"}
+#: Matches of the pattern, and words with other characters, held by one worker;
+#: two tables of each kind at most are alive.
+HELD_PIECES = 200_000
+HELD_WORDS = 50_000
 #: Longer pieces are encoded each time.
 HELD_LENGTH = 40
+#: All tables of letters, digits and blanks agree below this character.
+SURE = "\u0250"
 
 
 def library():
@@ -43,23 +45,44 @@ def byte_characters() -> list[str]:
     return out
 
 
+def sure_pattern(pattern: str):
+    """``findall`` of a pattern in which \\p{L}, \\p{N}, \\s and \\S stand inside or
+    outside classes, for texts below SURE (and the mark that a lower-cased capital may end with)."""
+    import re
+    import unicodedata
+    known = [chr(c) for c in range(ord(SURE))] + ["\u0307"]
+    spell = lambda chars: "".join(f"\\u{ord(c):04x}" for c in chars)
+    letters = spell(c for c in known if unicodedata.category(c)[0] == "L")
+    numbers = spell(c for c in known if unicodedata.category(c)[0] == "N")
+    blanks = spell("\t\n\x0b\x0c\r \x85\xa0")
+    for inside, chars in ((r"\p{L}", letters), (r"\p{N}", numbers), (r"\s", blanks)):
+        pattern = re.sub(r"\[[^\]]*\]", lambda m: m[0].replace(inside, chars), pattern).replace(inside, f"[{chars}]")
+    return re.compile(pattern.replace(r"\S", f"[^{blanks}]")).findall
+
+
+def beyond_sure():
+    """Search for a character from SURE on."""
+    import re
+    return re.compile(f"[{SURE}-\U0010ffff]").search
+
+
 class Held(dict):
-    """piece -> little-endian 32-bit ids; the least recent half is forgotten beyond a bound."""
+    """piece -> what ``encode`` makes of it; the least recent half is forgotten beyond a bound."""
 
     def __init__(self, encode, bound: int = HELD_PIECES):
         super().__init__()
         self.encode, self.bound, self.old = encode, bound, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = self.encode(piece)
+    def __missing__(self, piece: str):
+        found = self.old.get(piece)
+        if found is None:
+            found = self.encode(piece)
         if len(piece) <= HELD_LENGTH:
             if len(self) >= self.bound:
                 self.old = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[piece] = found
+        return found
 
 
 def rest(*tables: Held) -> None:
@@ -74,38 +97,37 @@ class WordEncoder:
     Ids equal ``Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids``.
     """
 
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
     def __init__(self, path: str):
-        import regex
         self.tokenizer = library().Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        chars = byte_characters()
-        self.table = {b: c for b, c in enumerate(chars)}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.split, self.beyond = sure_pattern(self.PATTERN), beyond_sure()
+        self.table = dict(enumerate(byte_characters()))
+        # ids as bytes, ready to be joined
+        self.four = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.words = Held(self._word, HELD_WORDS)
         self.pieces = Held(self._piece)
 
+    def _sure(self, text: str) -> bytes:
+        # such a text is its own normal form, and what is lower case is beyond doubt
+        return b"".join(map(self.pieces.__getitem__, self.split(text.lower())))
+
     def _word(self, word: str) -> bytes:
-        # below U+0250 a word is its own normal form, and what is lower case is beyond doubt
-        if word and (word.isascii() or max(word) < "ɐ") and "<|" not in word:
-            low = word.lower()
-            if low.isalpha():  # the pattern takes it whole
-                return self.pieces[low]
-            if low[-1] in END and low[:-1].isalpha():
-                return self.pieces[low[:-1]] + self.pieces[low[-1]]
-            return b"".join(map(self.pieces.__getitem__, self.split(low)))
-        return self._ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if "<|" not in word and not self.beyond(word):
+            return self._sure(word)
+        return b"".join(map(self.four.__getitem__, self.tokenizer.encode(word, add_special_tokens=False).ids))
 
     def _piece(self, piece: str) -> bytes:
         plain = piece.isascii() and piece.isprintable()  # such bytes stand for themselves
         coded = piece if plain else piece.encode("utf-8").decode("latin-1").translate(self.table)
-        return self._ids([t.id for t in self.model.tokenize(coded)])
-
-    @staticmethod
-    def _ids(ids) -> bytes:
-        return array("I", ids).tobytes()
+        four = self.four
+        return b"".join([four[t.id] for t in self.tokenize(coded)])
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
+        if "<|" not in text and not self.beyond(text):
+            return self._sure(text)
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
@@ -136,8 +158,6 @@ class ByteEncoder:
 
     def __init__(self, path: str, pattern: str):
         import re
-
-        import regex
         t = library()
         ranks = read_ranks(path)
         chars = byte_characters()
@@ -147,43 +167,53 @@ class ByteEncoder:
         merges = [(spell(p[0]), spell(p[1])) for token in order if len(token) > 1 and (p := last_merge(ranks, token))]
         model = t.models.BPE(vocab={spell(k): v for k, v in ranks.items()}, merges=merges, ignore_merges=True)
         self.tokenizer = t.Tokenizer(model)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.tokenizer.pre_tokenizer = t.pre_tokenizers.Sequence([
             t.pre_tokenizers.Split(t.Regex(pattern), behavior="isolated"),
             t.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         back = {c: b for b, c in enumerate(chars)}
         # decoding reverses the byte table: id -> the bytes that its characters stand for
         self.bytes_of = {i: bytes(back[c] for c in token) for token, i in self.tokenizer.get_vocab().items()}
+        self.digits = {i: str(i) for i in self.bytes_of}
         self.blanks = re.compile(r"\s\s").search
-        self.split = regex.compile(pattern).findall
+        self.split, self.beyond = sure_pattern(pattern), beyond_sure()
         self.table = dict(enumerate(chars))
         self.words = Held(self._word, HELD_WORDS)
-        self.pieces = Held(self._piece, HELD_WORDS)
-
-    def _word(self, word: str) -> list[int]:
-        # below U+0250 all tables of letters and digits agree
-        if word.isascii() or max(word or " ") < "ɐ":
-            body = word[1:] if word[:1] == " " else word
-            if body.isalpha():  # one match of the pattern
-                return self.pieces[word]
-            if body[-1:] in END and body[:-1].isalpha():
-                return self.pieces[word[:-1]] + self.pieces[word[-1]]
-            return [i for p in self.split(word) for i in self.pieces[p]]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
-
-    def _piece(self, piece: str) -> list[int]:
+        self.pieces = Held(self._piece)
+
+    def _made(self, ids: list[int]) -> tuple:
+        """(ids, how many, as decimals, decoded) of one match or word."""
+        return tuple(ids), len(ids), ",".join(map(self.digits.__getitem__, ids)), self.decode(ids)
+
+    def _word(self, word: str) -> list[tuple]:
+        if not self.beyond(word):
+            return [self.pieces[p] for p in self.split(word)]
+        return [self._made(self.tokenizer.encode(word, add_special_tokens=False).ids)]
+
+    def _piece(self, piece: str) -> tuple:
         coded = piece.encode("utf-8").decode("latin-1").translate(self.table)
-        return [t.id for t in self.model.tokenize(coded)]
+        return self._made([t.id for t in self.tokenize(coded)])
 
-    def encode(self, text: str) -> list[int]:
-        """The ids. Where no two blanks meet, every match of the pattern lies between two spaces."""
+    def parts(self, text: str) -> list[tuple]:
+        """What ``_made`` holds of each part of the text in order."""
+        if not self.beyond(text):
+            return list(map(self.pieces.__getitem__, self.split(text)))
         if self.blanks(text):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
+            return [self._made(self.tokenizer.encode(text, add_special_tokens=False).ids)]
+        # where no two blanks meet, every match of the pattern lies between two spaces
         head, *rest = text.split(" ")
-        out: list[int] = []
-        for ids in map(self.words.__getitem__, [head, *[" " + w for w in rest]]):
-            out += ids
-        return out
+        return [part for word in [head, *[" " + w for w in rest]] for part in self.words[word]]
+
+    def encode(self, text: str) -> list[int]:
+        return [i for ids, *_ in self.parts(text) for i in ids]
+
+    def digest(self, text: str) -> tuple[int, str, bytes]:
+        """(number of ids, the ids as decimals joined by commas, the decoded bytes)."""
+        parts = self.parts(text)
+        if not parts:
+            return 0, "", b""
+        _, n, digits, decoded = zip(*parts)
+        return sum(n), ",".join(filter(None, digits)), b"".join(decoded)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
