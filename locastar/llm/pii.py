@@ -28,7 +28,9 @@ ROUNDS = 8
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: What names a secret that follows it.
-NAME = r"(?:password=|passwd=|secret=|token=|api_key=|apikey=|token = \"|api_key = \"|secret = \"|password = \")"
+NAME = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)(?:=[\"']?| = ?[\"']|[\"']? ?[:=] ?[\"']?(?=[A-Za-z+/_-]*+\d))"
+#: Letters and digits of any alphabet: parts of an address.
+ANY = r"\p{L}\p{M}\p{N}"
 #: National digits of a number -> country codes where all (or nearly all) numbers have that many.
 NATIONAL = {8: "45|47|65|85[23]", 9: "27|3[134]|351|41|42[01]|48|61", 10: "[17]|44|52|57|63|9[01]", 11: "86"}
 #: Between two digits of such a number.
@@ -38,7 +40,7 @@ GROUP = r"(?!\d{4}[ -](?:\d{4}[ -]\d{4}[ -]\d{4}|\d{6}[ -]\d{5})(?![ -]?\d))\d{2
 #: Kind -> pattern. Earlier kinds win where two begin at one place. Runs are
 #: taken whole and start behind a boundary, so long texts cost linear time.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "email": rf"(?<![{ANY}._%+-])[{ANY}._%+-]++@(?=[{ANY}])[{ANY}.-]*\.\p{{L}}{{2,}}+(?![{ANY}])",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![./-]?\d)",
     "ip": rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)",
     "phone": r"(?=\+)(?<![\w+])\+(?:" + "".join(rf"(?:{codes})(?: ?\(0\))?(?:{GAP}\d){{{n}}}(?!\d)|" for n, codes in NATIONAL.items())
@@ -57,6 +59,9 @@ KINDS = tuple(PATTERNS)
 HINT = r"[0-9@=]|AKIA|gh[pousr]_|sk-"
 
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Capitals and small letters beyond ASCII of Latin-1, Greek and Cyrillic; other letters stay as they are.
+BEYOND = tuple("".join(chr(c) for c in range(a, a + n) if c not in (0xD7, 0xF7, 0x3A2))
+               for a, n in ((0xC0, 31), (0xE0, 31), (0x391, 25), (0x3B1, 25), (0x410, 32), (0x430, 32)))
 
 
 def bound(value: Column, use) -> Column:
@@ -87,7 +92,7 @@ def permuted_number(key: str, tweak: Column, value: Column, low: int, high: int)
 def moved(char: Column, by: Column) -> Column:
     """A character moved inside its class: digits, capitals, small letters; others stay."""
     members = F.when(F.length(char) != 1, None)
-    for these in (DIGITS, UPPER, LOWER):
+    for these in (DIGITS, UPPER, LOWER, *BEYOND):
         members = members.when(F.instr(F.lit(these), char) > 0, F.lit(these))
     return F.coalesce(bound(members, lambda m: F.when(
         m.isNotNull(), F.substring(m, (F.pmod(F.instr(m, char) - 1 + by, F.length(m)) + 1).cast("int"), F.lit(1)))), char)
