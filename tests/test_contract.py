@@ -41,3 +41,14 @@ def test_query_matches_oracle(spark, name):
     s_rows, o_rows = [tuple(r) for r in sdf.collect()], rel.fetchall()
     assert sorted(sdf.columns) == sorted(rel.columns)
     assert digest(sdf.columns, s_rows)[0] == digest(rel.columns, o_rows)[0]
+
+
+def test_queries_without_the_optional_subpackage(monkeypatch):
+    """The warehouse's queries and SQL are there when the subpackage or the pipeline can not be imported."""
+    import sys
+
+    import __spark_entry__ as E
+    from locastar.plans import registry
+    for gone in ("locastar.llm", "locastar.llm.registry", "corpus_pipeline"):
+        monkeypatch.setitem(sys.modules, gone, None)
+    assert set(E.queries()) == set(registry.QUERIES) == set(E.oracle_sql())
