@@ -8,6 +8,7 @@ valid and rejected rows is two filters over that single tagged frame (C12).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from locastar.functions import domain, text
 from locastar.functions.dates import days_between
 from locastar.functions.money import MONEY_12, MONEY_14, clamp_non_negative, planned_value
 from locastar.functions.quality import first_reason, row_json
-from locastar.sources.fleets import SourceConfig
+from locastar.sources.fleets import RENTAL_FIELDS, RESERVATION_FIELDS, SourceConfig
 
 # The country stored for every conformed address.
 COUNTRY = "Brasil"
@@ -61,7 +62,7 @@ def source_table(entity: str) -> Column:
 
 
 def reject_rows(tagged: DataFrame, entity: str, id_col: str, reason: str = "_reason",
-                payload: list[str] | None = None, run_ts: dt.datetime | None = None) -> DataFrame:
+                payload: Sequence[str] | None = None, run_ts: dt.datetime | None = None) -> DataFrame:
     """Shape tagged rows into the reject log schema (S6 input)."""
     ts = F.lit(run_ts) if run_ts else F.current_timestamp()
     return tagged.select(
@@ -73,7 +74,7 @@ def reject_rows(tagged: DataFrame, entity: str, id_col: str, reason: str = "_rea
 
 
 def split_valid(df: DataFrame, reason: Column, entity: str, id_col: str,
-                payload: list[str] | None = None,
+                payload: Sequence[str] | None = None,
                 run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """(valid rows, reject rows). Valid = reason is NULL; the two are disjoint
     and together cover the input."""
@@ -127,9 +128,9 @@ def conform_veiculo(raw: DataFrame, cfg: SourceConfig = DEFAULT,
     """C11 (class required; F2 also home yard), C16 plate, C1 brand/model, C5, C17."""
     if cfg.vehicle_requires_home_yard:
         reason = first_reason([(F.col("nk_id_grupo").isNull() | F.col("nk_id_patio_origem").isNull(),
-                                VEHICLE_REASON_HOME_YARD)])
+                                cfg.vehicle_reason or VEHICLE_REASON_HOME_YARD)])
     else:
-        reason = first_reason([(F.col("nk_id_grupo").isNull(), VEHICLE_REASON)])
+        reason = first_reason([(F.col("nk_id_grupo").isNull(), cfg.vehicle_reason or VEHICLE_REASON)])
     valid, rejects = split_valid(raw, reason, "veiculo", "nk_id_veiculo", run_ts=run_ts)
     home = F.col("nk_id_patio_origem").cast("long")
     if cfg.home_yard_default is not None:
@@ -161,7 +162,7 @@ def conform_cliente(raw: DataFrame, cfg: SourceConfig = DEFAULT,
             raw = raw.withColumn(c, F.lit(None).cast("string"))
     if legacy_null_drop:
         raw = raw.where(F.col("tipo_cliente").isNotNull())
-    valid, rejects = split_valid(raw, first_reason([(bad, CUSTOMER_REASON)]), "cliente",
+    valid, rejects = split_valid(raw, first_reason([(bad, cfg.customer_reason or CUSTOMER_REASON)]), "cliente",
                                  "nk_id_cliente", run_ts=run_ts)
     conf = valid.select(
         "nk_frota_origem", F.col("nk_id_cliente").cast("long").alias("nk_id_cliente"),
@@ -174,12 +175,10 @@ def conform_cliente(raw: DataFrame, cfg: SourceConfig = DEFAULT,
 
 
 # -------------------------------------------------------------- reservation
-RESERVATION_PAYLOAD = ["nk_id_reserva", "nk_id_cliente", "nk_id_grupo", "nk_id_patio_retirada",
-                       "nk_id_patio_fim", "data_reserva", "data_retirada_prevista",
-                       "data_devolucao_prevista"]
-
-
-def reservation_reason(separate_duration_rule: bool = True) -> Column:
+def reservation_reason(cfg: SourceConfig = DEFAULT) -> Column:
+    """The first rule of the source that a reservation fails. The last
+    one tests the source's own duration (F1-F3); F4 has none, and without a
+    source's column (``own_duration`` unset) the dates give it."""
     c = F.col
     rules = [
         (c("nk_id_cliente").isNull(), RESERVATION_REASONS[0]),
@@ -189,11 +188,12 @@ def reservation_reason(separate_duration_rule: bool = True) -> Column:
         (c("data_reserva").isNull(), RESERVATION_REASONS[4]),
         (c("data_retirada_prevista").isNull(), RESERVATION_REASONS[5]),
         (c("data_devolucao_prevista").isNull(), RESERVATION_REASONS[6]),
-        (c("data_devolucao_prevista") <= c("data_retirada_prevista"), RESERVATION_REASONS[7]),
+        (c("data_devolucao_prevista") <= c("data_retirada_prevista"), cfg.date_order_reason or RESERVATION_REASONS[7]),
     ]
-    if separate_duration_rule:
-        rules.append((days_between("data_retirada_prevista", "data_devolucao_prevista") < 1,
-                      RESERVATION_REASONS[8]))
+    if cfg.own_duration:
+        rules.append((F.coalesce("duracao_prevista_dias", F.lit(0)) < 1, RESERVATION_REASONS[8]))
+    elif cfg.own_duration is None:
+        rules.append((days_between("data_retirada_prevista", "data_devolucao_prevista") < 1, RESERVATION_REASONS[8]))
     return first_reason(rules)
 
 
@@ -204,8 +204,8 @@ def conform_reserva(raw: DataFrame, cfg: SourceConfig = DEFAULT, rates: DataFram
     ``rates`` (nk_frota_origem, nk_id_grupo, valor_diaria) is needed only when
     the source computes the planned value (F4).
     """
-    valid, rejects = split_valid(raw, reservation_reason(), "reserva", "nk_id_reserva",
-                                 payload=RESERVATION_PAYLOAD, run_ts=run_ts)
+    valid, rejects = split_valid(raw, reservation_reason(cfg), "reserva", "nk_id_reserva",
+                                 payload=cfg.reservation_payload or RESERVATION_FIELDS, run_ts=run_ts)
     days = days_between("data_retirada_prevista", "data_devolucao_prevista", cfg.duration_floor)
     if cfg.compute_planned_value:
         if rates is None:
@@ -229,11 +229,6 @@ def conform_reserva(raw: DataFrame, cfg: SourceConfig = DEFAULT, rates: DataFram
 
 
 # ------------------------------------------------------------------- rental
-RENTAL_PAYLOAD = ["nk_id_locacao", "nk_id_cliente", "nk_id_veiculo", "nk_id_grupo",
-                  "nk_id_patio_retirada", "data_retirada", "data_prev_devolucao",
-                  "data_real_devolucao"]
-
-
 def rental_reason() -> Column:
     c = F.col
     return first_reason([
@@ -248,55 +243,45 @@ def rental_reason() -> Column:
     ])
 
 
+def rental_columns() -> list[Column]:
+    """C9 value clamp; the conformed columns of a rental."""
+    return ["nk_frota_origem", *[F.col(k).cast("long").alias(k) for k in (
+                "nk_id_locacao", "nk_id_cliente", "nk_id_veiculo", "nk_id_grupo",
+                "nk_id_patio_retirada", "nk_id_patio_devolucao")],
+            F.to_date("data_retirada").alias("data_retirada"),
+            F.to_date("data_prev_devolucao").alias("data_prev_devolucao"),
+            F.to_date("data_real_devolucao").alias("data_real_devolucao"),
+            clamp_non_negative("valor_final").cast(MONEY_14).alias("valor_final")]
+
+
 def conform_locacao(raw: DataFrame, cfg: SourceConfig = DEFAULT,
                     run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """C9 value clamp, C10/C11 reasons, C14 payload."""
     valid, rejects = split_valid(raw, rental_reason(), "locacao", "nk_id_locacao",
-                                 payload=RENTAL_PAYLOAD, run_ts=run_ts)
-    conf = valid.select(
-        "nk_frota_origem", *[F.col(k).cast("long").alias(k) for k in (
-            "nk_id_locacao", "nk_id_cliente", "nk_id_veiculo", "nk_id_grupo",
-            "nk_id_patio_retirada", "nk_id_patio_devolucao")],
-        F.to_date("data_retirada").alias("data_retirada"),
-        F.to_date("data_prev_devolucao").alias("data_prev_devolucao"),
-        F.to_date("data_real_devolucao").alias("data_real_devolucao"),
-        clamp_non_negative("valor_final").cast(MONEY_14).alias("valor_final"))
-    return conf, rejects
+                                 payload=cfg.rental_payload or RENTAL_FIELDS, run_ts=run_ts)
+    return valid.select(*rental_columns()), rejects
+
+
+def tagged_locacao(raw: DataFrame, *more: str) -> DataFrame:
+    """Every rental once, conformed, with its first reason (NULL: valid), the
+    payload of the failing ones and the columns ``more``: valid rows and
+    rejects of one pass."""
+    return raw.withColumn("motivo_rejeito", rental_reason()).select(
+        *rental_columns(), "motivo_rejeito",
+        F.when(F.col("motivo_rejeito").isNotNull(), row_json(RENTAL_FIELDS)).alias("dados_json"), *more)
 
 
 # ----------------------------------------------------------------- snapshot
-def conform_snapshot(raw: DataFrame, run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
+def conform_snapshot(raw: DataFrame, run_ts: dt.datetime | None = None,
+                     cfg: SourceConfig = DEFAULT) -> tuple[DataFrame, DataFrame]:
     """C11: yard, vehicle, class and date are all required."""
     c = F.col
     bad = (c("nk_id_patio").isNull() | c("nk_id_veiculo").isNull() | c("nk_id_grupo").isNull()
            | c("data_snapshot").isNull())
-    valid, rejects = split_valid(raw, first_reason([(bad, SNAPSHOT_REASON)]), "snapshot_patio",
+    valid, rejects = split_valid(raw, first_reason([(bad, cfg.snapshot_reason or SNAPSHOT_REASON)]), "snapshot_patio",
                                  "nk_id_veiculo", run_ts=run_ts)
     cols = ["nk_frota_origem", "nk_id_patio", "nk_id_veiculo", "nk_id_grupo", "data_snapshot"]
     extra = [c("nk_frota_veiculo")] if "nk_frota_veiculo" in raw.columns else []
     conf = valid.select(*[c(x).cast("long").alias(x) if x.startswith("nk_id") else c(x) for x in cols],
                         *extra)
     return conf, rejects
-
-
-def conform(entity: str, raw: DataFrame, cfg: SourceConfig = DEFAULT, lookups: dict | None = None,
-            run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
-    """Dispatch by entity: (conformed rows, reject/warning rows)."""
-    lookups = lookups or {}
-    if entity == "patio":
-        conf = conform_patio(raw, cfg)
-        return conf, reject_rows(conf.where(F.lit(False)).withColumn("_reason", F.lit(None).cast("string")),
-                                 "patio", "nk_id_patio", run_ts=run_ts)
-    if entity == "grupo":
-        return conform_grupo(raw, cfg, run_ts)
-    if entity == "veiculo":
-        return conform_veiculo(raw, cfg, run_ts)
-    if entity == "cliente":
-        return conform_cliente(raw, cfg, run_ts)
-    if entity == "reserva":
-        return conform_reserva(raw, cfg, lookups.get("rates"), run_ts)
-    if entity == "locacao":
-        return conform_locacao(raw, cfg, run_ts)
-    if entity == "snapshot":
-        return conform_snapshot(raw, run_ts)
-    raise ValueError(f"unknown entity {entity}")

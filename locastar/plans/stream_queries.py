@@ -24,17 +24,19 @@ def _dirs(spark, name):
     return base, f"{base}/_checkpoint"
 
 
-#: Files of the change feed: one micro-batch each.
-FEED_FILES = 3
+#: Micro-batches that the feed is read in, and rows in one of its files.
+FEED_BATCHES = 3
+FEED_ROWS = 1_000_000
 
 
 def _feed(spark, sf_dir):
-    """The whole feed as several files whose events interleave: later micro-batches carry older changes too."""
+    """The whole feed as files whose events interleave: later micro-batches carry
+    older changes too. One parallel write; the files follow the number of events."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    files = max(FEED_BATCHES, -(-events.count() // FEED_ROWS))
     folder = scratch_path(spark, f"feed-{uuid.uuid4().hex}")
-    for k in range(FEED_FILES):
-        events.where(F.pmod(F.xxhash64("event_id"), F.lit(FEED_FILES)) == k).coalesce(1).write.mode("append").parquet(folder)
-    return cdc.change_feed(spark, folder, file_glob="part-*.parquet")
+    events.repartition(files, F.xxhash64("event_id")).write.parquet(folder)
+    return cdc.change_feed(spark, folder, "part-*.parquet", -(-files // FEED_BATCHES))
 
 
 def event_rental(df: DataFrame, key: str = "event_id") -> DataFrame:
@@ -47,48 +49,68 @@ def event_rental(df: DataFrame, key: str = "event_id") -> DataFrame:
                      F.lit(1).alias("nk_id_grupo"), (F.col("user_id") % 10).alias("nk_id_patio_retirada"),
                      F.lit(None).cast("long").alias("nk_id_patio_devolucao"), d.alias("data_retirada"),
                      F.date_add(d, 1).alias("data_prev_devolucao"), real.alias("data_real_devolucao"),
-                     F.col("value").cast("decimal(14,2)").alias("valor_final"))
+                     F.col("value").cast("decimal(14,2)").alias("valor_final"), F.col("event_id"))
 
 
 CONF_COLS = ["nk_frota_origem", "nk_id_locacao", "nk_id_cliente", "data_retirada", "data_real_devolucao",
              "valor_final"]
+RENTAL = ("nk_frota_origem", "nk_id_locacao")
+
+
+def _conformed_changes(key: str = "event_id"):
+    """ST2: a batch's changes in one pass, each accepted or rejected with its reason and payload."""
+    def prepare(batch: DataFrame) -> DataFrame:
+        passed = F.col("motivo_rejeito").isNull()
+        return C.tagged_locacao(event_rental(batch, key), "event_id").withColumn(
+            "outcome", F.when(passed, cdc.ACCEPTED).otherwise(cdc.REJECTED))
+    return prepare
+
+
+def _conform_log(spark, sf_dir, name, key="event_id") -> DataFrame:
+    base, ck = _dirs(spark, name)
+    t = cdc.Target(spark, f"{base}/log", RENTAL, "event_id")
+    cdc.run_stream(_feed(spark, sf_dir), cdc.append_all(t, _conformed_changes(key)), ck)
+    return t.changes()
 
 
 def st1_latest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, ck = _dirs(spark, "st1")
-    t = cdc.BucketedTable(spark, f"{base}/raw", ["user_id"])
+    t = cdc.Target(spark, f"{base}/raw", ("user_id",), "event_id")
     prep = lambda b: b.select("user_id", "event_id", "event_type", "value", "ts")
-    cdc.run_stream(_feed(spark, sf_dir), cdc.bucketed_upsert(t, "event_id", prep), ck)
-    return t.read()
+    cdc.run_stream(_feed(spark, sf_dir), cdc.upsert(t, prep), ck)
+    return t.latest()
 
 
 def st2_conform_stream(spark, sf_dir):
-    base, ck = _dirs(spark, "st2")
-    t = cdc.BucketedTable(spark, f"{base}/conf", ["nk_frota_origem", "nk_id_locacao"])
-    rejects = f"{base}/rejects"
-
-    def conform(batch):
-        valid, rej = C.conform_locacao(event_rental(batch))
-        # each event is a rental of its own here; its id is also the order of changes
-        return valid.select(*CONF_COLS, F.col("nk_id_locacao").alias("event_id")), rej
-    step = cdc.apply_conform(t, rejects, "event_id", conform)
-    cdc.run_stream(_feed(spark, sf_dir), step, ck)
-    return t.read().drop("event_id")
+    # each event is a rental of its own here; its id is also the order of changes
+    return cdc.conformed(_conform_log(spark, sf_dir, "st2"), RENTAL, "event_id").select(*CONF_COLS)
+
+
+def st2_outcomes(spark, sf_dir):
+    """Every change with what became of it: conformed rows and rejects of one pass."""
+    log = cdc.outcomes(_conform_log(spark, sf_dir, "st2o"), RENTAL, "event_id")
+    return log.select(*RENTAL, "outcome", "valor_final", "motivo_rejeito", "dados_json")
+
+
+def st2b_silent_updates(spark, sf_dir):
+    """ST2b: the changes of a user are changes of one rental; an invalid change
+    of a rental that is there already is ignored, one of an unknown rental is a reject."""
+    log = cdc.outcomes(_conform_log(spark, sf_dir, "st2b", "user_id"), RENTAL, "event_id", silent_updates=True)
+    return log.select(*RENTAL, "event_id", "outcome", "motivo_rejeito")
 
 
 def st3_enrich_stream(spark, sf_dir):
     base, ck = _dirs(spark, "st3")
     a = Analogue(spark, sf_dir)
     cust = (a.t("customer", "c_custkey", "c_name", "c_nationkey")
-            .join(F.broadcast(a.addresses()), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .join(a.addresses(), F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select("c_custkey", "c_name", F.col("cidade").alias("end_cidade")))
-    out = f"{base}/enriched"
+    t = cdc.Target(spark, f"{base}/enriched", ("event_id",), "event_id")
 
-    def step(batch, batch_id):
-        e = batch.join(cust, F.col("user_id") == F.col("c_custkey"), "left")  # stream-static left join
-        cdc.append_by_batch(e.select("event_id", "user_id", "c_name", "end_cidade"), out, batch_id)
-    cdc.run_stream(_feed(spark, sf_dir), step, ck)
-    return spark.read.parquet(out).drop("batch_id")
+    def prep(b):   # stream-static left join
+        return b.join(cust, F.col("user_id") == F.col("c_custkey"), "left").select("event_id", "user_id", "c_name", "end_cidade")
+    cdc.run_stream(_feed(spark, sf_dir), cdc.append_all(t, prep), ck)
+    return t.changes()
 
 
 def _open_rentals(a: Analogue) -> DataFrame:
@@ -99,80 +121,59 @@ def _open_rentals(a: Analogue) -> DataFrame:
 
 def st4_close_out(spark, sf_dir):
     base, ck = _dirs(spark, "st4")
-    t = cdc.BucketedTable(spark, f"{base}/rentals", ["nk_id_locacao"])
-    t.initialize(_open_rentals(Analogue(spark, sf_dir)))
+    t = cdc.Target(spark, f"{base}/rentals", ("nk_id_locacao",), "event_id")
+    t.begin(_open_rentals(Analogue(spark, sf_dir)))
 
     def prep(b):
         return b.where(F.col("event_type") == "purchase").select(
             F.col("user_id").alias("nk_id_locacao"), "event_id",
             as_date("ts").alias("data_real_devolucao"), (F.col("user_id") % 10).alias("nk_id_patio_devolucao"))
-    cdc.run_stream(_feed(spark, sf_dir), cdc.bucketed_update_only(
-        t, "event_id", ["data_real_devolucao", "nk_id_patio_devolucao"], prep), ck)
-    return t.read()
+    cdc.run_stream(_feed(spark, sf_dir), cdc.upsert(t, prep), ck)
+    return t.updated(["data_real_devolucao", "nk_id_patio_devolucao"])
 
 
 def st5_child_total(spark, sf_dir):
     base, ck = _dirs(spark, "st5")
-    a = Analogue(spark, sf_dir)
-    t = cdc.BucketedTable(spark, f"{base}/parent", ["c_custkey"])
-    t.initialize(a.t("customer", "c_custkey").select("c_custkey", F.lit(0).cast("decimal(22,2)").alias("valor_total")))
-
-    kids = cdc.BucketedTable(spark, f"{base}/children", ["user_id", "event_id"], bucket_by=["user_id"])
+    parents = Analogue(spark, sf_dir).t("customer", "c_custkey").select(
+        "c_custkey", F.lit(0).cast("decimal(22,2)").alias("valor_total"))
+    kids = cdc.Target(spark, f"{base}/children", ("user_id", "event_id"), "event_id")
 
     def prep(b):
         return b.select("user_id", "event_id", "event_type", "ts", F.col("value").cast("decimal(12,2)").alias("valor"))
-    cdc.run_stream(_feed(spark, sf_dir), cdc.apply_child_total(
-        t, kids, "c_custkey", "user_id", "event_id", "valor", "valor_total", prep, "event_type in ('purchase', 'click')"), ck)
-    return t.read()
+    cdc.run_stream(_feed(spark, sf_dir), cdc.upsert(kids, prep), ck)
+    return cdc.child_totals(parents, kids.latest(), "c_custkey", "user_id", "valor", "valor_total",
+                            "event_type in ('purchase', 'click')")
 
 
 def st6_update_only(spark, sf_dir):
     from locastar.sources.analogue import ORDER_STATUS, _case
     base, ck = _dirs(spark, "st6")
-    a = Analogue(spark, sf_dir)
-    t = cdc.BucketedTable(spark, f"{base}/reservations", ["nk_id_reserva"])
-    t.initialize(a.t("orders", "o_orderkey", "o_orderstatus").select(
+    t = cdc.Target(spark, f"{base}/reservations", ("nk_id_reserva",), "event_id")
+    t.begin(Analogue(spark, sf_dir).t("orders", "o_orderkey", "o_orderstatus").select(
         F.col("o_orderkey").alias("nk_id_reserva"), _case(F.col("o_orderstatus"), ORDER_STATUS).alias("status_reserva")))
     status = _case(F.col("event_type"), EVENT_STATUS, "ATIVA")
 
     def prep(b):
         return b.select(F.col("user_id").alias("nk_id_reserva"), "event_id", status.alias("status_reserva"))
-    cdc.run_stream(_feed(spark, sf_dir), cdc.bucketed_update_only(t, "event_id", ["status_reserva"], prep), ck)
-    return t.read()
+    cdc.run_stream(_feed(spark, sf_dir), cdc.upsert(t, prep), ck)
+    return t.updated(["status_reserva"])
 
 
 def st7_cascade(spark, sf_dir):
-    """Raw upsert and conform in the same micro-batch.
-
-    The conformed rows are rebuilt from the raw table's CURRENT state of the
-    keys the batch touched (not from the batch itself), so an out-of-order
-    older change can never overwrite newer conformed data. A key whose current
-    raw row is invalid leaves the conformed layer (batch rule) through a
-    tombstone (``ativo = false``); both targets are bucketed, so a batch
-    rewrites only the buckets of its keys.
-    """
+    """Raw upsert and conform in the same micro-batch: the batch's last raw rows
+    are written, and conformed from what was written. A key's conformed row is
+    its newest raw row's, so an older change that comes late never overwrites
+    newer data, and a key whose newest raw row is invalid leaves the layer."""
     base, ck = _dirs(spark, "st7")
-    keys = ["nk_frota_origem", "nk_id_locacao"]
-    raw = cdc.BucketedTable(spark, f"{base}/raw", ["user_id"])
-    conf = cdc.BucketedTable(spark, f"{base}/conf", keys)
-    rejects = f"{base}/rejects"
-    keep = lambda b: b.select("user_id", "event_id", "event_type", "value", "ts")
+    raw = cdc.Target(spark, f"{base}/raw", ("user_id",), "event_id")
+    conf = cdc.Target(spark, f"{base}/conf", RENTAL, "event_id")
+    keep = cdc.upsert(raw, lambda b: b.select("user_id", "event_id", "event_type", "value", "ts"))
 
     def step(batch, batch_id):
-        cdc.bucketed_upsert(raw, "event_id", keep)(batch, batch_id)
-        touched = batch.select("user_id").distinct()
-        current = raw.read_buckets_of(touched).join(touched, "user_id", "left_semi")
-        valid, rej = C.conform_locacao(event_rental(current, key="user_id"))
-        cdc.append_by_batch(rej, rejects, batch_id)
-        live = valid.select(*CONF_COLS).withColumn("ativo", F.lit(True))
-        dead = rej.select("nk_frota_origem", F.col("nk_id_registro").alias("nk_id_locacao"),
-                          *[F.lit(None).cast(live.schema[c].dataType).alias(c) for c in CONF_COLS[2:]],
-                          F.lit(False).alias("ativo"))
-        conf.merge(live.unionByName(dead), batch_id,
-                   lambda prev, ch: ch if prev is None else cdc.merge_upsert(prev, ch, keys))
+        conf.append(_conformed_changes("user_id")(keep(batch, batch_id)), batch, batch_id)
     cdc.run_stream(_feed(spark, sf_dir), step, ck)
-    return conf.read().where(F.col("ativo")).drop("ativo")
+    return cdc.cascaded(conf.changes(), RENTAL, "event_id").select(*CONF_COLS)
 
 
-STREAM_QUERIES = {f.__name__: f for f in [st1_latest_upsert, st2_conform_stream, st3_enrich_stream,
-                                          st4_close_out, st5_child_total, st6_update_only, st7_cascade]}
+STREAM_QUERIES = {f.__name__: f for f in [st1_latest_upsert, st2_conform_stream, st2_outcomes, st2b_silent_updates,
+                                          st3_enrich_stream, st4_close_out, st5_child_total, st6_update_only, st7_cascade]}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -82,12 +84,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         app = spark.sparkContext.applicationId
         if app not in _SCRATCH:
             _SCRATCH[app] = tempfile.mkdtemp(prefix="locastar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+            atexit.register(shutil.rmtree, _SCRATCH[app], ignore_errors=True)
         d = _SCRATCH[app]
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate written table under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    """A path for an intermediate written table under the shared checkpoint folder.
+
+    The application's folder goes when its driver ends: what a query returns
+    reads these tables, so they live as long as the session.
+    """
+    folder = os.path.join(ensure_checkpoint_dir(spark), "tables", spark.sparkContext.applicationId)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return os.path.join(folder, name)

@@ -67,15 +67,49 @@ class SourceConfig:
     yard_address_sentinel: bool = False        # F4: yard city/UF always sentinels
     snapshot_offset_days: int = 1              # F1/F2 snapshot yesterday, F3/F4 today
     return_yard_warning: bool = False          # F3: unknown return yard is a warning
-
-
+    # C4, C11, C14: texts, rules and payloads that differ (None: operators.conform's own)
+    customer_reason: str | None = None
+    vehicle_reason: str | None = None
+    snapshot_reason: str | None = None
+    date_order_reason: str | None = None
+    own_duration: bool | None = None           # F1-F3: the source's own duration must be a day; F4: no such rule
+    reservation_payload: tuple[str, ...] | None = None
+    rental_payload: tuple[str, ...] | None = None
+
+
+# Fields of the reject payloads (C14).
+RESERVATION_FIELDS = ("nk_id_reserva", "nk_id_cliente", "nk_id_grupo", "nk_id_patio_retirada", "nk_id_patio_fim",
+                      "data_reserva", "data_retirada_prevista", "data_devolucao_prevista")
+OWN_RESERVATION_FIELDS = (*RESERVATION_FIELDS, "duracao_prevista_dias", "status_reserva")
+RENTAL_FIELDS = ("nk_id_locacao", "nk_id_cliente", "nk_id_veiculo", "nk_id_grupo", "nk_id_patio_retirada",
+                 "data_retirada", "data_prev_devolucao", "data_real_devolucao")
+OWN_RENTAL_FIELDS = (*RENTAL_FIELDS, "valor_final")
+
+# Each source's reject texts.
 SOURCES = {
-    FLEETS[0]: SourceConfig(FLEETS[0]),
+    FLEETS[0]: SourceConfig(FLEETS[0], own_duration=True,
+                            customer_reason="Cliente sem tipo_cliente válido",
+                            vehicle_reason="Veículo sem nk_id_grupo",
+                            snapshot_reason="Snapshot sem chaves válidas",
+                            reservation_payload=OWN_RESERVATION_FIELDS, rental_payload=OWN_RENTAL_FIELDS),
     FLEETS[1]: SourceConfig(FLEETS[1], group_name_uses_code=True,
-                            vehicle_requires_home_yard=True),
+                            vehicle_requires_home_yard=True, own_duration=True,
+                            customer_reason="Cliente sem tipo_cliente (PF/PJ)",
+                            vehicle_reason="Veículo sem nk_id_grupo ou sem nk_id_patio_origem",
+                            snapshot_reason="Snapshot sem pátio, veículo ou grupo válidos",
+                            reservation_payload=OWN_RESERVATION_FIELDS, rental_payload=OWN_RENTAL_FIELDS),
     FLEETS[2]: SourceConfig(FLEETS[2], duration_floor=1, group_name_uses_code=True,
                             home_yard_default=0, snapshot_offset_days=0,
-                            return_yard_warning=True),
+                            return_yard_warning=True, own_duration=True,
+                            customer_reason="Cliente sem tipo_cliente (PF/PJ)",
+                            vehicle_reason="Veículo sem nk_id_grupo (Id_categoria)",
+                            snapshot_reason="Snapshot sem pátio, veículo ou grupo válidos",
+                            reservation_payload=OWN_RESERVATION_FIELDS, rental_payload=OWN_RENTAL_FIELDS),
     FLEETS[3]: SourceConfig(FLEETS[3], compute_planned_value=True, plate_default="SEM PLACA",
-                            yard_address_sentinel=True, snapshot_offset_days=0),
+                            yard_address_sentinel=True, snapshot_offset_days=0, own_duration=False,
+                            customer_reason="Cliente sem tipo_cliente válido (PF/PJ)",
+                            vehicle_reason="Veículo sem id_grupo",
+                            snapshot_reason="Snapshot sem chaves válidas (patio/veiculo/grupo/data)",
+                            date_order_reason="Data devolução <= data retirada (duração < 1)",
+                            rental_payload=OWN_RENTAL_FIELDS),
 }

@@ -2,262 +2,187 @@
 
 The reference propagates row changes with AFTER INSERT/UPDATE triggers. Here
 a change feed (a parquet folder; on a cluster any streaming source) is read
-with ``readStream`` and every micro-batch is applied in ``foreachBatch``:
-
-* the batch is reduced to the last change per key by sequence (ST1),
-* enriched with static lookups (ST3), conformed with the batch rules (ST2),
-* merged into the target (upsert / update-only / child re-aggregation).
-
-Targets are bucketed tables whose bucket versions are immutable: batch ``b``
-becomes visible with its commit record, and a batch delivered again after
-its commit changes nothing. Append-style outputs are partitioned by batch id
-and written with dynamic partition overwrite for the same reason. Nothing is kept in driver memory between batches.
+with ``readStream`` and every micro-batch is prepared (conformed, enriched)
+and written once, in ``foreachBatch``, to a folder of its own::
+
+    <target>/base/                                 rows that the target began with, if any
+    <target>/changes/query=<id>/batch=<number>/    what a batch of a streaming query brought
+
+The state is what readers make of them: the last change of each key by its
+sequence, one aggregation that combines before the shuffle. A batch delivered
+again replaces its own folder, a new checkpoint has a query id of its own, and
+an older change that arrives late loses by its sequence, so no order of
+batches, queries or replays changes the state. ``Target.compact`` writes the
+state as the base of a new plain folder, for a stream to go on from.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from locastar.operators import commits
-from locastar.operators.merge import latest_per_key, merge_upsert, update_only  # noqa: F401
+from locastar.operators.merge import latest_per_key
+
+#: Of update-only targets: the sequence of the change that a compaction applied last.
+APPLIED = "_applied_seq"
 
 
 def change_feed(spark: SparkSession, folder: str, file_glob: str = "events.parquet",
                 max_files_per_trigger: int = 1) -> DataFrame:
     """Streaming read of the change files in ``folder`` (schema from one footer)."""
-    schema: StructType = spark.read.parquet(os.path.join(folder, file_glob)).schema
+    schema = spark.read.parquet(os.path.join(folder, file_glob)).schema
     return (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(folder))
 
 
-def start_cdc(feed: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str,
+def start_cdc(feed: DataFrame, step: Callable[[DataFrame, int], object], checkpoint: str,
               processing_time: str | None = None):
     """Start the change-feed query: ``step(batch, batch_id)`` per micro-batch.
 
     ``processing_time`` (e.g. "1 minute") runs continuously; None processes
     what is available and stops (``availableNow``). Returns the StreamingQuery.
     """
-    w = feed.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    def run(batch: DataFrame, batch_id: int) -> None:
+        step(batch, batch_id)
+    w = feed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     return w.start()
 
 
-def run_stream(feed: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def run_stream(feed: DataFrame, step: Callable[[DataFrame, int], object], checkpoint: str) -> None:
     """Drive ``step(batch, batch_id)`` over everything available, then stop."""
     start_cdc(feed, step, checkpoint).awaitTermination()
 
 
-def append_by_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Idempotent append: one partition per batch id, replaced on replay."""
-    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
-
-
-def apply_child_total(parent: "BucketedTable", children: "BucketedTable", parent_key: str, child_key: str, seq: str,
-                      amount: str, total: str, prepare: Callable[[DataFrame], DataFrame], counted: str = "true"
-                      ) -> Callable[[DataFrame, int], None]:
-    """ST5: keep the children by id (last change wins), then recompute the total
-    of every parent touched by the batch from all of its children that meet
-    ``counted`` (a condition on the stored child), so that a changed child
-    counts once and a cancelled one no more. ``children`` is keyed by
-    (child_key, id) and dealt by child_key, so a batch reads only the buckets
-    of the parents that it touches."""
-    upsert = bucketed_upsert(children, seq, prepare)
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, batch_id)
-        touched = prepare(batch).select(child_key).distinct()
-        kids = children.read_buckets_of(touched)
-        if kids is None:
-            return
-        sums = (kids.join(touched, child_key, "left_semi").groupBy(F.col(child_key).alias(parent_key))
-                .agg(F.coalesce(F.sum(F.when(F.expr(counted), F.col(amount))), F.lit(0)).alias(total)))
-
-        def fn(prev, changes):
-            if prev is None:
-                return changes
-            return update_only(prev, changes, [parent_key], [total]).withColumn(
-                total, F.col(total).cast(prev.schema[total].dataType))
-        parent.merge(sums, batch_id, fn)
+def query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that delivers ``batch``: one for each checkpoint; "direct" outside a stream."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
+@dataclass(frozen=True)
+class Target:
+    """A keyed target: changes in plain folders, the state by the largest ``seq`` of each key."""
+
+    spark: SparkSession
+    path: str
+    keys: tuple[str, ...]
+    seq: str
+
+    def begin(self, rows: DataFrame) -> None:
+        """The rows of a target before its first change."""
+        rows.write.parquet(f"{self.path}/base")
+
+    def append(self, changes: DataFrame, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Write what ``batch`` brings, once, and read it back."""
+        folder = f"{self.path}/changes/query={query_id(batch)}/batch={batch_id}"
+        changes.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(changes.schema).parquet(folder)
+
+    def _read(self, part: str) -> DataFrame | None:
+        folder = f"{self.path}/{part}"
+        return self.spark.read.parquet(folder).drop("query", "batch") if commits.names(self.spark, folder) else None
+
+    def changes(self) -> DataFrame | None:
+        """Every change so far, or None before the first batch. A failing read is raised."""
+        return self._read("changes")
+
+    def latest(self) -> DataFrame:
+        """ST1: the last row of each key, base rows included."""
+        base, changes = self._read("base"), self.changes()
+        if base is None and changes is None:
+            raise ValueError(f"{self.path}: neither rows nor changes")
+        rows = changes if base is None else base if changes is None else base.unionByName(changes, allowMissingColumns=True)
+        return latest_per_key(rows, self.keys, [(self.seq, True)]).select(*rows.columns)
+
+    def updated(self, columns: Sequence[str], applied: bool = False) -> DataFrame:
+        """ST4/ST6: the base rows with ``columns`` as the last change set them; unknown keys are ignored."""
+        base, changes = self._read("base"), self.changes()
+        rows = [c for c in base.columns if c != APPLIED]
+        if changes is None:
+            return base if applied else base.select(*rows)
+        last = latest_per_key(changes.select(*self.keys, *columns, self.seq), self.keys, [(self.seq, True)])
+        named = last.select(*[F.col(c).alias(f"_c_{c}") for c in (*self.keys, *columns)], F.col(self.seq).alias("_seq"))
+        on = reduce(and_, [F.col(k) == F.col(f"_c_{k}") for k in self.keys])
+        newer = F.col("_seq").isNotNull()
+        if APPLIED in base.columns:
+            newer = newer & (F.col(APPLIED).isNull() | (F.col("_seq") > F.col(APPLIED)))
+        kinds = {f.name: f.dataType for f in base.schema}
+        out = [F.when(newer, F.col(f"_c_{c}")).otherwise(F.col(c)).cast(kinds[c]).alias(c) if c in columns else F.col(c) for c in rows]
+        if applied:
+            held = F.col(APPLIED) if APPLIED in base.columns else F.lit(None)
+            out.append(F.when(newer, F.col("_seq")).otherwise(held).alias(APPLIED))
+        return base.join(named, on, "left").select(*out)
+
+    def compact(self, path: str, columns: Sequence[str] | None = None) -> "Target":
+        """The state as the base of a new target at ``path``; the old one stays as it is.
+
+        Run it while no stream writes to the target. Changes that come again
+        afterwards are harmless: the base keeps every key's sequence.
+        ``columns``: those of an update-only target.
+        """
+        rows = self.latest() if columns is None else self.updated(columns, applied=True)
+        new = Target(self.spark, path, self.keys, self.seq)
+        new.begin(rows)
+        return new
+
+
+def upsert(target: Target, prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], DataFrame]:
+    """A step that keeps each batch's last change of a key (ST1, and the changes of ST4 to ST7)."""
+    def step(batch: DataFrame, batch_id: int) -> DataFrame:
+        return target.append(latest_per_key(prepare(batch), target.keys, [(target.seq, True)]), batch, batch_id)
     return step
 
 
-def apply_conform(target: "BucketedTable", rejects_path: str, seq: str,
-                  conform: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
-                  reject_invalid_updates: bool = True) -> Callable[[DataFrame, int], None]:
-    """ST2 (+ST2b): conform the batch with the batch rules; valid rows, which
-    carry ``seq`` (the order of changes, not the record's key), are upserted, rejected rows go to the reject log and leave the stored row as
-    it was. With ``reject_invalid_updates=False`` a rejected change to a key
-    that already exists is dropped silently (the reference's update path);
-    that check reads only the buckets of the rejected keys."""
-    keys = target.keys
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        valid, rej = conform(batch)
-        if not reject_invalid_updates:
-            probe = rej.select(*keys[:-1], F.col("nk_id_registro").alias(keys[-1]))
-            existing = target.read_buckets_of(probe)
-            if existing is not None:
-                known = existing.select(*keys).withColumnRenamed(keys[-1], "nk_id_registro")
-                rej = rej.join(known, [*keys[:-1], "nk_id_registro"], "left_anti")
-        append_by_batch(rej, rejects_path, batch_id)
-        bucketed_upsert(target, seq, lambda _: valid)(batch, batch_id)
+def append_all(target: Target, prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], DataFrame]:
+    """A step that keeps every prepared row of a batch (ST2 outcomes, ST3 enriched rows)."""
+    def step(batch: DataFrame, batch_id: int) -> DataFrame:
+        return target.append(prepare(batch), batch, batch_id)
     return step
 
 
-class BucketedTable:
-    """A keyed target in hash buckets with committed, immutable bucket versions.
+def child_totals(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, amount: str, total: str,
+                 counted: str = "true") -> DataFrame:
+    """ST5: ``total`` of each parent with stored children, over those that meet
+    ``counted``; a changed child counts once and a cancelled one no more.
+    ``children`` is the state of a target keyed by (child_key, id)."""
+    sums = children.groupBy(F.col(child_key).alias("_parent")).agg(
+        F.coalesce(F.sum(F.when(F.expr(counted), F.col(amount))), F.lit(0)).alias("_total"))
+    kind = parents.schema[total].dataType
+    return parents.join(sums, F.col(parent_key) == F.col("_parent"), "left").select(
+        *[F.coalesce(F.col("_total").cast(kind), F.col(c)).alias(c) if c == total else F.col(c) for c in parents.columns])
 
-    A micro-batch reads the buckets that its keys hash to, writes their new
-    versions under ``<path>/data/<batch>-<unique>/`` and then commits one record
-    that names the folder of every bucket. Nothing that a commit names is
-    ever overwritten: a batch that fails leaves the last commit as it was, and
-    a batch delivered again after its commit changes nothing. Keys are cast to
-    the types of the first rows before hashing and joining.
 
-    ``buckets`` holds for a new table; an existing one keeps its own. For a
-    table loaded by ``initialize`` the default follows the number of rows.
-    """
+# ST2: what became of a change, in the column "outcome".
+ACCEPTED, REJECTED, IGNORED = "accepted", "rejected", "ignored"
 
-    ROWS_PER_BUCKET = 1_000_000
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int | None = None,
-                 bucket_by: list[str] | None = None):
-        self.spark, self.path, self.keys = spark, path, keys
-        self.buckets, self.bucket_by = buckets, bucket_by or keys
-
-    @property
-    def _log(self) -> str:
-        return f"{self.path}/_commits"
-
-    def _state(self) -> tuple[int, dict] | None:
-        return commits.latest(self.spark, self._log)
-
-    def _typed(self, df: DataFrame, types: dict[str, str]) -> DataFrame:
-        return df.withColumns({k: F.col(k).cast(t) for k, t in types.items() if k in df.columns})
-
-    def _bucketed(self, df: DataFrame, record: dict) -> DataFrame:
-        df = self._typed(df, record["types"])
-        return df.withColumn("kbucket", F.pmod(F.xxhash64(*[F.col(k) for k in self.bucket_by]), F.lit(record["buckets"])))
-
-    def _rows(self, record: dict, buckets: list[int] | None = None) -> DataFrame | None:
-        wanted = record["folders"] if buckets is None else {str(b): record["folders"][str(b)] for b in buckets if str(b) in record["folders"]}
-        paths = [f"{self.path}/data/{v}/kbucket={b}" for b, v in wanted.items()]
-        return self.spark.read.schema(record["schema"]).parquet(*paths) if paths else None
-
-    def _publish(self, new: DataFrame, touched: list[int] | None, record: dict, number: int) -> None:
-        """Write the new bucket versions, then commit them; buckets left without rows go."""
-        version = f"{number:012d}-{uuid.uuid4().hex}"
-        schema = new.drop("kbucket").schema
-        new.write.partitionBy("kbucket").parquet(f"{self.path}/data/{version}")
-        made = {n[len("kbucket="):] for n in commits.names(self.spark, f"{self.path}/data/{version}") if n.startswith("kbucket=")}
-        folders = {} if touched is None else {b: v for b, v in record["folders"].items() if int(b) not in touched}
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        commits.commit(self.spark, self._log, number, dict(record, folders=folders | {b: version for b in made}, schema=ddl))
-
-    def _new_record(self, df: DataFrame, buckets: int) -> dict:
-        kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-        return {"buckets": buckets, "types": {k: kinds[k] for k in self.keys}, "folders": {}, "schema": ""}
-
-    def read(self) -> DataFrame | None:
-        """The committed rows, or None before the first commit. A failing read is raised."""
-        state = self._state()
-        if state is None:
-            return None
-        rows = self._rows(state[1])
-        rows = self.spark.createDataFrame([], state[1]["schema"]) if rows is None else rows
-        return rows.drop(APPLIED)
-
-    def read_buckets_of(self, df: DataFrame) -> DataFrame | None:
-        """Stored rows of the buckets that ``df``'s keys hash to (only their folders are read)."""
-        state = self._state()
-        if state is None:
-            return None
-        touched = [r[0] for r in self._bucketed(df, state[1]).select("kbucket").distinct().collect()]
-        rows = self._rows(state[1], touched)
-        return None if rows is None else rows.drop(APPLIED)
-
-    def initialize(self, df: DataFrame) -> None:
-        buckets = self.buckets or max(64, -(-df.count() // self.ROWS_PER_BUCKET))
-        record = self._new_record(df, buckets)
-        self._publish(self._bucketed(df, record), None, record, 0)
-
-    def merge(self, changes: DataFrame, batch_id: int,
-              fn: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
-        """Apply ``fn(stored rows of the touched buckets, changes)`` as the commit of ``batch_id``."""
-        state = self._state()
-        if state is not None and state[0] > batch_id:  # committed already: a delivery again
-            return
-        record = state[1] if state else self._new_record(changes, self.buckets or 64)
-        ch = self._bucketed(changes, record).persist()  # the batch is prepared once
-        try:
-            touched = [r[0] for r in ch.select("kbucket").distinct().collect()]
-            if not touched:
-                return
-            prev = self._rows(record, touched)
-            new = fn(prev, ch.drop("kbucket"))
-            self._publish(self._bucketed(new, record), touched, record, batch_id + 1)
-        finally:
-            ch.unpersist()
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Delete commits but the last ``keep`` and the bucket versions that none of those names."""
-        found = commits.committed(self.spark, self._log)
-        used = set()
-        for number, _ in found[-keep:]:
-            used |= set(commits.latest(self.spark, self._log, below=number + 1)[1]["folders"].values())
-        for _, name in found[:-keep]:
-            commits.delete(self.spark, f"{self._log}/{name}")
-        newest = f"{found[-1][0]:012d}" if found else ""
-        for v in commits.names(self.spark, f"{self.path}/data"):
-            if v not in used and v[:12] <= newest:
-                commits.delete(self.spark, f"{self.path}/data/{v}")
-
-
-def bucketed_upsert(target: BucketedTable, seq: str, prepare: Callable[[DataFrame], DataFrame],
-                    update_cols: list[str] | None = None) -> Callable[[DataFrame, int], None]:
-    """ST1 on a bucketed target: last change per key, newer than the stored sequence."""
-    keys = target.keys
-
-    def fn(prev, changes):
-        if prev is None:
-            return changes
-        stored = prev.select(*keys, F.col(seq).alias("_stored"))
-        newer = (changes.join(stored, keys, "left")
-                 .where(F.col("_stored").isNull() | (F.col(seq) > F.col("_stored"))).drop("_stored"))
-        return merge_upsert(prev, newer, keys, update_cols)
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        target.merge(latest_per_key(prepare(batch), keys, [(seq, True)]), batch_id, fn)
-    return step
 
+def outcomes(log: DataFrame, keys: Sequence[str], seq: str, silent_updates: bool = False) -> DataFrame:
+    """ST2 (+ST2b): the changes with their outcomes. ``log`` has the rows that
+    passed the rules as accepted, the others as rejected; with
+    ``silent_updates`` (the reference's update path) a rejected change of a
+    key that an earlier change brought in is ignored instead."""
+    if not silent_updates:
+        return log
+    first = log.where(F.col("outcome") == ACCEPTED).groupBy(*keys).agg(F.min(seq).alias("_first"))
+    failed = log.where(F.col("outcome") == REJECTED).join(first, list(keys), "left")
+    late = failed.withColumn("outcome", F.when(F.col("_first") < F.col(seq), IGNORED).otherwise(REJECTED)).drop("_first")
+    return log.where(F.col("outcome") == ACCEPTED).unionByName(late)
 
-#: Hidden column of update-only targets: the sequence of the change applied last.
-APPLIED = "_applied_seq"
 
+def conformed(log: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+    """ST2: the last accepted change of each key; a rejected one leaves the stored row as it was."""
+    accepted = log.where(F.col("outcome") == ACCEPTED)
+    return latest_per_key(accepted, keys, [(seq, True)]).select(*log.columns)
 
-def bucketed_update_only(target: BucketedTable, seq: str, update_cols: list[str],
-                         prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """ST4/ST6 on a bucketed target: existing keys only, never by a change older than the one applied last."""
-    keys = target.keys
-
-    def fn(prev, changes):
-        if prev is None:
-            return changes.limit(0)
-        if APPLIED not in prev.columns:
-            prev = prev.withColumn(APPLIED, F.lit(None).cast(changes.schema[APPLIED].dataType))
-        stored = prev.select(*keys, F.col(APPLIED).alias("_stored"))
-        newer = (changes.join(stored, keys).where(F.col("_stored").isNull() | (F.col(APPLIED) > F.col("_stored")))
-                 .drop("_stored"))
-        return merge_upsert(prev, newer, keys, [*update_cols, APPLIED])
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        ch = latest_per_key(prepare(batch), keys, [(seq, True)]).select(*keys, *update_cols, F.col(seq).alias(APPLIED))
-        target.merge(ch, batch_id, fn)
-    return step
+
+def cascaded(log: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+    """ST7: the last change of each key, where it was accepted: a key whose
+    current raw row fails the rules leaves the conformed layer."""
+    return latest_per_key(log, keys, [(seq, True)]).select(*log.columns).where(F.col("outcome") == ACCEPTED)
