@@ -5,19 +5,40 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locastar.functions.quality import distinct_list
+from locastar.operators.facts import INV_REASONS, RENTAL_REASONS, RESERVATION_REASONS, RETURN_YARD_WARNING
 
 
-def reject_summary(rejects: DataFrame, fleet: str | None = None) -> DataFrame:
-    """Per source table: count, first/last reject time, distinct reasons."""
+#: Beginnings of reasons that end with the missing value.
+VALUE_REASONS = (*INV_REASONS, *RENTAL_REASONS, *RESERVATION_REASONS, RETURN_YARD_WARNING)
+
+
+def reason_parts(reason: Column) -> tuple[Column, Column]:
+    """(template, value): a reason without its value, and the value where it has one."""
+    template = reduce(lambda out, p: F.when(reason.startswith(p), F.lit(p)).otherwise(out), VALUE_REASONS, reason)
+    return template, F.when(F.length(reason) > F.length(template), F.substring(reason, F.length(template) + 1, F.length(reason)))
+
+
+def reject_reasons(rejects: DataFrame, fleet: str | None = None) -> DataFrame:
+    """One row per source table and reason template, with its rejects, their
+    times, and the smallest and the largest value: no cell grows with the values."""
     r = rejects if fleet is None else rejects.where(F.col("nk_frota_origem") == fleet)
-    return (r.groupBy("tabela_origem")
+    template, value = reason_parts(F.col("motivo_rejeito"))
+    return (r.select("tabela_origem", template.alias("motivo"), value.alias("_v"), "dt_rejeito")
+            .groupBy("tabela_origem", "motivo")
             .agg(F.count(F.lit(1)).alias("total_rejeitos"), F.min("dt_rejeito").alias("primeiro_rejeito"),
-                 F.max("dt_rejeito").alias("ultimo_rejeito"),
-                 distinct_list("motivo_rejeito").alias("motivos")))
+                 F.max("dt_rejeito").alias("ultimo_rejeito"), F.min("_v").alias("menor_valor"), F.max("_v").alias("maior_valor")))
+
+
+def reject_summary(rejects: DataFrame, fleet: str | None = None) -> DataFrame:
+    """Per source table: count, first/last reject time, distinct reasons. The
+    list is made of one row per template, so it is as long as the rules are many."""
+    return (reject_reasons(rejects, fleet).groupBy("tabela_origem")
+            .agg(F.sum("total_rejeitos").alias("total_rejeitos"), F.min("primeiro_rejeito").alias("primeiro_rejeito"),
+                 F.max("ultimo_rejeito").alias("ultimo_rejeito"), distinct_list("motivo").alias("motivos")))
 
 
 def latest_rejects(rejects: DataFrame, n: int = 50) -> DataFrame:

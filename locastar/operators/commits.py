@@ -1,8 +1,9 @@
 """Immutable numbered commit records in a shared folder.
 
-A commit is one text file ``c=<number>-<unique>/part-*``. It appears by a
-rename and is never changed, so a reader sees a record whole or not at all,
-and a failed attempt leaves nothing that a reader would take up.
+A record is one file ``c=<number>``, written aside and moved to its name only
+if no other writer took that number before; it is never changed. A reader sees
+a record whole or not at all, and of two writers of one number the second
+fails. The folder's file system must move files atomically (HDFS does).
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ import json
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -32,23 +32,29 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def commit(spark: SparkSession, folder: str, number: int, record: dict) -> None:
-    spark.range(1).select(F.lit(json.dumps(record, sort_keys=True)).alias("value")).coalesce(1).write \
-        .text(f"{folder}/c={number:012d}-{uuid.uuid4().hex}")
-
-
-def committed(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
-    """(number, name) of the complete commits, ascending."""
-    out = []
-    for name in names(spark, folder):
-        if name.startswith("c=") and any(f.startswith("part-") for f in names(spark, f"{folder}/{name}")):
-            out.append((int(name[2:14]), name))
-    return out
-
-
-def latest(spark: SparkSession, folder: str, below: int | None = None) -> tuple[int, dict] | None:
-    """The commit of the largest number (less than ``below``), or None before the first."""
-    found = [c for c in committed(spark, folder) if below is None or c[0] < below]
-    if not found:
-        return None
-    number, name = found[-1]
-    return number, json.loads(spark.read.text(f"{folder}/{name}").first()[0])
+    """Publish ``record`` as ``number``; raises where the number is taken."""
+    fs, aside = _fs(spark, f"{folder}/_{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    out.write(json.dumps(record, sort_keys=True).encode("utf-8"))
+    out.close()
+    fs_package = spark._jvm.org.apache.hadoop.fs
+    place = fs.makeQualified(fs_package.Path(f"{folder}/c={number:012d}"))
+    never_over = spark.sparkContext._gateway.new_array(fs_package.Options.Rename, 1)
+    never_over[0] = fs_package.Options.Rename.NONE
+    try:
+        fs_package.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration()) \
+            .rename(fs.makeQualified(aside), place, never_over)
+    except Exception as e:
+        fs.delete(aside, False)
+        raise FileExistsError(f"commit {number} of {folder} was made by another writer") from e
+
+
+def read(spark: SparkSession, folder: str, number: int) -> tuple[int, dict]:
+    text = spark.read.text(f"{folder}/c={number:012d}", wholetext=True).first()[0]
+    return number, json.loads(text)
+
+
+def latest(spark: SparkSession, folder: str) -> tuple[int, dict] | None:
+    """The commit of the largest number, or None before the first: one listing and one small file."""
+    found = [n for n in names(spark, folder) if n.startswith("c=")]
+    return read(spark, folder, int(found[-1][2:])) if found else None

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locastar.functions.dates import date_key
-from locastar.operators.merge import merge_upsert, new_rows
+from locastar.operators.merge import latest_per_key, new_rows
+from locastar.operators.numbering import row_numbers
 from locastar.sources.fleets import surrogate_key
 
 ADDRESS_KEY = ["cidade", "estado", "pais"]
@@ -16,11 +17,16 @@ ADDRESS_KEY = ["cidade", "estado", "pais"]
 
 def address_dim(current: DataFrame, yards: DataFrame, customers: DataFrame,
                 collation: str | None = None) -> DataFrame:
+    """The stored addresses and the new ones."""
+    return current.select("sk_endereco", *ADDRESS_KEY).unionByName(new_addresses(current, yards, customers, collation))
+
+
+def new_addresses(current: DataFrame, yards: DataFrame, customers: DataFrame,
+                  collation: str | None = None) -> DataFrame:
     """Distinct (city, UF, country) of yards then customers; insert only new.
 
-    New rows get ``max(sk) + n`` in natural-key order. The address domain is a
-    list of cities (bounded by geography, not by the data volume), which is
-    what makes the single ordered numbering step acceptable here.
+    New rows get ``max(sk) + n`` in natural-key order, numbered range by range
+    (free-text cities make the dimension grow).
 
     ``collation`` (e.g. "UNICODE_CI_AI", the reference database's case- and
     accent-insensitive comparison) makes 'São Paulo' and 'SAO PAULO' one
@@ -38,10 +44,8 @@ def address_dim(current: DataFrame, yards: DataFrame, customers: DataFrame,
         add = inc.join(cur, cond, "left_anti")
     else:
         add = new_rows(current, inc.distinct(), ADDRESS_KEY)
-    base = current.agg(F.coalesce(F.max("sk_endereco"), F.lit(0)).cast("long")).scalar()
-    numbered = add.select((base + F.row_number().over(Window.orderBy(*ADDRESS_KEY)))
-                          .cast("long").alias("sk_endereco"), *ADDRESS_KEY)
-    return current.select("sk_endereco", *ADDRESS_KEY).unionByName(numbered)
+    base = current.agg(F.coalesce(F.max("sk_endereco"), F.lit(0)).cast("long")).first()[0]
+    return row_numbers(add.select(*ADDRESS_KEY), ADDRESS_KEY, "sk_endereco", base).select("sk_endereco", *ADDRESS_KEY)
 
 
 def empty_address(spark: SparkSession) -> DataFrame:
@@ -62,6 +66,20 @@ def with_address_key(df: DataFrame, address: DataFrame, collation: str | None =
     return df.join(a, cond, "left").drop("_c", "_e", "_p")
 
 
+def changed_rows(current: DataFrame, incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str]) -> DataFrame:
+    """The incoming rows (one for each key) that ``current`` lacks or holds with other attributes."""
+    old = current.select(*keys, F.struct(*attrs).alias("_old"))
+    new = latest_per_key(incoming.select(*keys, *attrs), keys)
+    return new.join(old, list(keys), "left") \
+        .where(F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.struct(*attrs))).drop("_old")
+
+
+def with_changes(current: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``current`` with ``changed`` in place of the rows of their keys: only the
+    changed keys take part in the join."""
+    return current.join(changed.select(*keys), list(keys), "left_anti").unionByName(changed.select(*current.columns))
+
+
 def scd1(current: DataFrame | None, incoming: DataFrame, nk: Sequence[str], attrs: Sequence[str],
          sk: str) -> DataFrame:
     """Type-1 upsert on the natural key; the surrogate key of a row never changes.
@@ -73,7 +91,8 @@ def scd1(current: DataFrame | None, incoming: DataFrame, nk: Sequence[str], attr
     inc = incoming.select(surrogate_key(fleet, nid).alias(sk), *nk, *attrs)
     if current is None:
         return inc
-    return merge_upsert(current.select(sk, *nk, *attrs), inc, [sk, *nk], attrs)
+    current = current.select(sk, *nk, *attrs)
+    return with_changes(current, changed_rows(current, inc, [sk, *nk], attrs), [sk, *nk])
 
 
 def unpivot_dates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -107,6 +126,7 @@ def with_date_key(df: DataFrame, date_col: str, calendar: DataFrame, out: str) -
     return df.join(F.broadcast(cal), date_col, "left")
 
 
+# Natural key, attributes and surrogate key of each dimension.
 DIM_SPECS = {
     "dim_patio": (["nk_frota_origem", "nk_id_patio"],
                   ["nome_patio", "capacidade_vagas_patio", "sk_endereco"], "sk_patio"),
@@ -118,13 +138,19 @@ DIM_SPECS = {
 }
 
 
-def load_dim(name: str, conformed: DataFrame, address: DataFrame | None = None,
-             current: DataFrame | None = None) -> DataFrame:
-    """Conformed rows -> dimension (D2 with D3 for yard/customer)."""
+def dim_rows(name: str, conformed: DataFrame, address: DataFrame | None = None) -> DataFrame:
+    """Conformed rows as rows of the dimension (D3 for yard/customer), surrogate key first."""
     nk, attrs, sk = DIM_SPECS[name]
     inc = conformed
     if name == "dim_patio":
         inc = inc.withColumnRenamed("capacidade_vagas", "capacidade_vagas_patio")
     if "sk_endereco" in attrs:
         inc = with_address_key(inc, address)
-    return scd1(current, inc, nk, attrs, sk)
+    return inc.select(surrogate_key(*nk).alias(sk), *nk, *attrs)
+
+
+def load_dim(name: str, conformed: DataFrame, address: DataFrame | None = None,
+             current: DataFrame | None = None) -> DataFrame:
+    """Conformed rows -> dimension (D2 with D3 for yard/customer)."""
+    nk, attrs, sk = DIM_SPECS[name]
+    return scd1(current, dim_rows(name, conformed, address), nk, attrs, sk)

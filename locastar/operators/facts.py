@@ -8,6 +8,7 @@ reason, so facts and rejects come from the same joins.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ RESERVATION_REASONS = ("DATA RESERVA NÃO EM DIM_TEMPO: ", "CLIENTE NÃO EM DIM_
                        "PÁTIO FIM NÃO EM DIM_PATIO: nk=")
 RETURN_YARD_WARNING = "PÁTIO DEVOLUÇÃO NÃO EM DIM_PATIO: nk="
 
+# The declared key of each fact, and the columns that a repeated key updates.
 FACT_KEYS = {
     "fato_inventario_patio": ["sk_tempo_referencia", "sk_patio", "sk_veiculo"],
     "fato_locacao": ["nk_frota_origem", "nk_id_locacao"],
@@ -92,8 +94,12 @@ def _msg(prefix: str, c: str) -> Column:
     return F.concat(F.lit(prefix), F.col(c).cast("string"))
 
 
-def _rejects(tagged: DataFrame, table: str, id_col: str, run_ts) -> DataFrame:
+def _rejects(tagged: DataFrame, table: str, id_col: str, run_ts, warned: Sequence[str] = ()) -> DataFrame:
+    """FL4: the rows without all keys, and of the fleets ``warned`` the loaded rows with a warning (FL4b)."""
     ts = F.lit(run_ts) if run_ts else F.current_timestamp()
+    if warned:
+        tagged = tagged.withColumn("_reason", F.coalesce(
+            "_reason", F.when(F.col("nk_frota_origem").isin(*warned), F.col("_warning"))))
     return tagged.where(F.col("_reason").isNotNull()).select(
         F.lit(table).alias("tabela_origem"), "nk_frota_origem",
         F.col(id_col).cast("long").alias("nk_id_registro"), F.col("_reason").alias("motivo_rejeito"),
@@ -124,16 +130,20 @@ def load_inventory(snap: DataFrame, dims: dict[str, DataFrame], current: DataFra
     return split_inventory(resolve_inventory(snap, dims), current, run_ts)
 
 
-def split_inventory(tagged: DataFrame, current: DataFrame | None = None,
-                    run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
-    fact = tagged.where(F.col("_reason").isNull()).select(
+def inventory_rows(tagged: DataFrame) -> DataFrame:
+    return tagged.where(F.col("_reason").isNull()).select(
         "sk_tempo_referencia", "sk_patio", "sk_veiculo", "sk_grupo",
         F.lit(1).alias("qtde_veiculos_presentes"))
-    rej = _rejects(tagged, "stg_conf_snapshot_patio", "nk_id_veiculo", run_ts)
-    if current is not None:
-        fact = merge_upsert(current, fact, FACT_KEYS["fato_inventario_patio"],
-                            FACT_UPDATES["fato_inventario_patio"])
-    return fact, rej
+
+
+def inventory_rejects(tagged: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+    return _rejects(tagged, "stg_conf_snapshot_patio", "nk_id_veiculo", run_ts)
+
+
+def split_inventory(tagged: DataFrame, current: DataFrame | None = None,
+                    run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    return (first_or_merged("fato_inventario_patio", inventory_rows(tagged), current),
+            inventory_rejects(tagged, run_ts))
 
 
 def resolve_rental(loc: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -177,12 +187,19 @@ def load_rental(loc: DataFrame, dims: dict[str, DataFrame], current: DataFrame |
     return split_rental(resolve_rental(loc, dims), current, run_ts)
 
 
-def split_rental(tagged: DataFrame, current: DataFrame | None = None,
-                 run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
-    fact = (tagged.where(F.col("_reason").isNull()).withColumn("qtde_locacoes", F.lit(1))
+def rental_rows(tagged: DataFrame) -> DataFrame:
+    return (tagged.where(F.col("_reason").isNull()).withColumn("qtde_locacoes", F.lit(1))
             .select(*RENTAL_COLUMNS))
-    rej = _rejects(tagged, "stg_conf_locacao", "nk_id_locacao", run_ts)
-    return first_or_merged("fato_locacao", fact, current), rej
+
+
+def rental_rejects(tagged: DataFrame, run_ts: dt.datetime | None = None, warned: Sequence[str] = ()) -> DataFrame:
+    return _rejects(tagged, "stg_conf_locacao", "nk_id_locacao", run_ts, warned)
+
+
+def split_rental(tagged: DataFrame, current: DataFrame | None = None, run_ts: dt.datetime | None = None,
+                 warned: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """FL2 rows, and FL4 rejects with the FL4b warnings of the fleets ``warned``: three ways from one tagged frame."""
+    return first_or_merged("fato_locacao", rental_rows(tagged), current), rental_rejects(tagged, run_ts, warned)
 
 
 def return_yard_warnings(loc: DataFrame, dims: dict[str, DataFrame],
@@ -223,10 +240,24 @@ def load_reservation(res: DataFrame, dims: dict[str, DataFrame], current: DataFr
     return split_reservation(resolve_reservation(res, dims), current, run_ts)
 
 
-def split_reservation(tagged: DataFrame, current: DataFrame | None = None,
-                      run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
-    fact = (tagged.where(F.col("_reason").isNull())
+def reservation_rows(tagged: DataFrame) -> DataFrame:
+    return (tagged.where(F.col("_reason").isNull())
             .withColumn("dd_status_reserva", F.col("status_reserva"))
             .withColumn("qtde_reservas", F.lit(1)).select(*RESERVATION_COLUMNS))
-    rej = _rejects(tagged, "stg_conf_reserva", "nk_id_reserva", run_ts)
-    return first_or_merged("fato_reserva", fact, current), rej
+
+
+def reservation_rejects(tagged: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+    return _rejects(tagged, "stg_conf_reserva", "nk_id_reserva", run_ts)
+
+
+def split_reservation(tagged: DataFrame, current: DataFrame | None = None,
+                      run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    return first_or_merged("fato_reserva", reservation_rows(tagged), current), reservation_rejects(tagged, run_ts)
+
+
+#: Fact -> its conformed table, key resolution, rows, and rejects.
+FACT_LOADS = {
+    "fato_inventario_patio": ("stg_conf_snapshot_patio", resolve_inventory, inventory_rows, inventory_rejects),
+    "fato_locacao": ("stg_conf_locacao", resolve_rental, rental_rows, rental_rejects),
+    "fato_reserva": ("stg_conf_reserva", resolve_reservation, reservation_rows, reservation_rejects),
+}

@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locastar.functions.dates import date_key_of, month_name
@@ -35,6 +35,11 @@ def _grupo(dw) -> DataFrame:
     return dw["dim_grupo"].select("sk_grupo", "nome_grupo", "valor_diaria")
 
 
+def _months(fact: DataFrame, bound) -> Column:
+    """The bound on the month folders of a written fact (plans.versions), where it has them."""
+    return bound(F.col("mes")) if "mes" in fact.columns else F.lit(True)
+
+
 def q1_1_yard_inventory(dw, as_of: dt.date) -> DataFrame:
     """Vehicles in yards yesterday by class, own/partner fleet, brand, model, transmission."""
     day = as_of - dt.timedelta(days=1)
@@ -82,7 +87,8 @@ def q1_3_reservation_horizon(dw, as_of: dt.date) -> DataFrame:
     (possibly large) customer dimension.
     """
     f = dw["fato_reserva"].where((F.col("dd_status_reserva") == "ATIVA")
-                                 & (F.col("sk_tempo_prev_retirada") >= date_key_of(as_of)))
+                                 & (F.col("sk_tempo_prev_retirada") >= date_key_of(as_of))
+                                 & _months(dw["fato_reserva"], lambda m: m >= date_key_of(as_of) // 100))
     t = _cal(dw, "t_ret", "sk_tempo_prev_retirada", "d_ret").where(F.col("d_ret") >= F.lit(as_of))
     p = dw["dim_patio"].select(F.col("sk_patio").alias("sk_patio_retirada"),
                                F.col("nome_patio").alias("patio_retirada"))
@@ -190,7 +196,8 @@ def q3_2_revenue_share(dw, as_of: dt.date) -> DataFrame:
 
 def q3_3_pipeline(dw, as_of: dt.date) -> DataFrame:
     f = dw["fato_reserva"].where((F.col("dd_status_reserva") == "ATIVA")
-                                 & (F.col("sk_tempo_prev_retirada") >= date_key_of(as_of)))
+                                 & (F.col("sk_tempo_prev_retirada") >= date_key_of(as_of))
+                                 & _months(dw["fato_reserva"], lambda m: m >= date_key_of(as_of) // 100))
     t = _cal(dw, "t_ret", "sk_tempo_prev_retirada", "d").where(F.col("d") >= F.lit(as_of))
     j = f.join(t, "sk_tempo_prev_retirada").join(_grupo(dw), "sk_grupo")
     agg = (j.groupBy(F.col("nk_frota_origem").alias("empresa"),
@@ -247,8 +254,9 @@ def q5_1_volume_audit(dw, as_of: dt.date) -> DataFrame:
 
 
 def q5_2_stale_rentals(dw, as_of: dt.date) -> DataFrame:
-    f = dw["fato_locacao"].where(F.col("sk_tempo_real_devolucao").isNull()
-                                 & (F.col("sk_tempo_retirada") < date_key_of(as_of - dt.timedelta(days=STALE_DAYS))))
+    oldest = date_key_of(as_of - dt.timedelta(days=STALE_DAYS))
+    f = dw["fato_locacao"].where(F.col("sk_tempo_real_devolucao").isNull() & (F.col("sk_tempo_retirada") < oldest)
+                                 & _months(dw["fato_locacao"], lambda m: m <= oldest // 100))
     a = F.lit(as_of)
     t = _cal(dw, "t_ret", "sk_tempo_retirada", "data_retirada").where(
         F.datediff(a, F.col("data_retirada")) > STALE_DAYS)

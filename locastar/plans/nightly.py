@@ -1,19 +1,18 @@
-"""The nightly job -- conform, load dimensions and facts, log rejects.
+"""The nightly job -- extract, conform, load dimensions and facts, log rejects.
 
 Layout under ``out_dir``::
 
-    raw/<entity>/nk_frota_origem=<fleet>/...         (S1: raw staging, full reload)
+    raw/<entity>/nk_frota_origem=<fleet>/...        (S1/S2: what the night extracted)
     conformed/<table>/nk_frota_origem=<fleet>/...   (S4: one fleet's slice replaced)
-    conformed/stg_conf_snapshot_patio/nk_frota_origem=<f>/data_snapshot=<d>/  (S5)
-    rejects/                                        (S6: append-only log)
-    dw/<run_id>/<table>/                            (new warehouse version)
-    dw/_published/c=<n>-*                           (immutable records; the largest names the live version)
-
-Each run writes a new warehouse version and then moves the pointer, so a
-table is never overwritten while the same plan reads it, and readers see
-either the old or the new version. Conformed tables are written first and
-read back, which cuts the lineage: a lost executor recomputes from those
-files, not from the sources.
+    .../snapshot.../nk_frota_origem=<f>/data_snapshot=<d>/  (S5: one day replaced, also by nothing)
+    rejects/                                        (S6: one slice per run and step)
+    dw/                                             (versions, see plans.versions)
+
+A night reads what changed since the cut that the last published record names
+for each fleet (S2); sources without a change date are read whole. The load
+finds the rows that differ from what is stored, rewrites the partitions that
+hold them, and carries all others into the new version by name. Rows with late
+keys are kept beside the version and tried again the next night.
 """
 
 from __future__ import annotations
@@ -21,25 +20,34 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
-
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locastar.operators import facts as FL
-from locastar.schemas import read_table
+from locastar.functions.dates import calendar, date_key_of
 from locastar.operators import commits
-from locastar.operators.merge import append_rejects, replace_slice
-from locastar.sources.fleets import FLEETS
-from locastar.plans.warehouse import CONFORMED, TABLES, conform_sources, load_dims
+from locastar.operators import dims as D
+from locastar.operators import facts as FL
+from locastar.operators.merge import append_rejects, latest_per_key, merge_upsert, replace_slice
+from locastar.plans import versions as V
+from locastar.plans.versions import Version, read_warehouse  # noqa: F401  (read_warehouse: for callers)
+from locastar.plans.warehouse import CONFORMED, DIMENSION_SOURCES, calendar_dates, conform_sources
 from locastar.sources.analogue import AS_OF, Analogue
+from locastar.sources.fleets import FLEETS, KEY_SPACE, SOURCES
 
 PARTITIONS = {
     "stg_conf_snapshot_patio": ["nk_frota_origem", "data_snapshot"],
     "raw_snapshot": ["nk_frota_origem", "data_snapshot"],
 }
 RAW_ENTITIES = ("patio", "grupo", "veiculo", "cliente", "reserva", "locacao", "snapshot")
+#: Independent writes of one night that run at the same time.
+TOGETHER = 4
+#: Published versions that readers can rely on.
+KEEP_VERSIONS = 7
 
 
 class _Staged:
@@ -52,17 +60,19 @@ class _Staged:
         if name.startswith("raw_") and name[4:] in self.raw:
             return lambda: self.raw[name[4:]]
         raise AttributeError(name)
-FACT_PARTITIONS = {
-    "fato_inventario_patio": ["sk_tempo_referencia"],
-    "fato_locacao": ["nk_frota_origem"],
-    "fato_reserva": ["nk_frota_origem"],
-}
+
+
+def together(spark: SparkSession, jobs: dict[str, Callable]) -> dict:
+    """Results of independent jobs, run side by side; the first failure is raised."""
+    with ThreadPoolExecutor(TOGETHER) as pool:
+        started = {k: pool.submit(inheritable_thread_target(spark)(job)) for k, job in jobs.items()}
+        return {k: f.result() for k, f in started.items()}
 
 
 def current_version(spark: SparkSession, out_dir: str) -> str | None:
-    """Folder of the version published last; None before the first. Read errors are raised."""
-    last = commits.latest(spark, f"{out_dir}/dw/_published")
-    return last[1]["version"] if last else None
+    """Id of the version published last; None before the first. Read errors are raised."""
+    last = V.published(spark, out_dir)
+    return last[1].id if last else None
 
 
 def known_fleets(spark: SparkSession, folder: str) -> None:
@@ -72,93 +82,187 @@ def known_fleets(spark: SparkSession, folder: str) -> None:
         raise ValueError(f"{folder}: fleets outside the registry: {sorted(found - {*FLEETS})}")
 
 
-def read_warehouse(spark: SparkSession, out_dir: str, version: str | None = None) -> dict[str, DataFrame]:
-    version = version or current_version(spark, out_dir)
-    if version is None:
-        return {}
-    return {t: read_table(spark, os.path.join(version, t), t) for t in TABLES}
-
-
 def run_nightly(spark: SparkSession, sf_dir: str, out_dir: str, as_of: dt.date = AS_OF,
                 run_ts: dt.datetime | None = None, incremental: bool = True,
-                sources: str = "analogue", fleets: list[str] | None = None) -> str:
-    """Run extract -> conform -> load for all fleets at once; returns the version path.
+                sources: str = "analogue", fleets: list[str] | None = None,
+                known_before: dt.date | None = None, keep: int = KEEP_VERSIONS) -> str:
+    """Run extract -> conform -> load for all fleets at once; returns the version's id.
 
     ``sources="analogue"`` loads the role-mapped test tables (the oracle-checked
     warehouse); ``sources="per_source"`` runs the four source pipelines (per-fleet
     extract mappings and conform configurations, plans.per_source).
     ``fleets`` restricts extract and conform to those fleets: only their slices
-    of the raw and conformed tables are replaced (S4); the load then reads
-    every fleet's conformed slice.
+    of the raw and conformed tables are replaced (S4) and only their cuts move.
+    ``incremental=False`` reads everything and begins the warehouse anew.
+    ``known_before`` (analogue only) runs the night on the sources as they were before that day.
     """
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     run = f"{run_ts:%Y%m%d%H%M%S}" + "".join(f"-{f}" for f in fleets or [])
-    slices = [(f,) for f in fleets or FLEETS]
+    last = V.published(spark, out_dir)
+    number = last[0] + 1 if last else 0
+    before = last[1] if last and incremental else Version("")
+    night = f"v{run_ts:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+    # 1. extract what changed since the cuts; 2. conform it (all fleets together)
     if sources == "per_source":
         from locastar.plans.per_source import StagedSources, conform_per_source
-        src = StagedSources(spark, sf_dir, as_of)
-        conform_fn = conform_per_source
+        src, conform_fn = StagedSources(spark, sf_dir, as_of, before.cuts), conform_per_source
     else:
-        src = Analogue(spark, sf_dir, as_of)
-        conform_fn = conform_sources
-
-    # 1. extract: raw staging written once (the joins of the extract run here
-    #    only); conform reads it twice (valid rows, rejects) as plain scans
-    raw = {}
-    for entity in RAW_ENTITIES:
-        path = os.path.join(out_dir, "raw", entity)
-        df = getattr(src, "raw_" + entity)()
+        src, conform_fn = Analogue(spark, sf_dir, as_of, before.cuts, known_before), conform_sources
+    days = [(f, d) for f, d in src.snapshot_slices() if f in (fleets or FLEETS)]
+    raw = _staged(spark, out_dir, "raw", {e: getattr(src, "raw_" + e)() for e in RAW_ENTITIES}, "raw_", fleets, days)
+    conf, rejects = conform_fn(_Staged(raw), run_ts)
+    conf = _staged(spark, out_dir, "conformed", {n: conf[n] for n in CONFORMED}, "", fleets, days)
+    log = os.path.join(out_dir, "rejects")
+    append_rejects(reduce(DataFrame.unionByName, rejects), log, run, "conform")
+    # rows with late keys of the last night come again, unless the source brought them anew
+    conf = {n: _with_late(spark, out_dir, before, n, df, days) for n, df in conf.items()}
+
+    # 3. dimensions, then facts: only what differs is written
+    after = Version(night, {**before.cuts, **{f: known_before or as_of for f in fleets or FLEETS}})
+    dims = _load_dimensions(spark, out_dir, conf, before, after)
+    resolved = {t: FL.FACT_LOADS[t][1](conf[FL.FACT_LOADS[t][0]], dims) for t in FL.FACT_LOADS}
+    together(spark, {t: lambda t=t: _load_fact(spark, out_dir, t, resolved[t], conf[FL.FACT_LOADS[t][0]].columns,
+                                               before, after, days) for t in resolved})
+    warned = [f for f in FLEETS if SOURCES[f].return_yard_warning]
+    late = [FL.FACT_LOADS[t][3](tagged, run_ts, warned) if t == "fato_locacao" else FL.FACT_LOADS[t][3](tagged, run_ts)
+            for t, tagged in resolved.items()]
+    append_rejects(reduce(DataFrame.unionByName, late), log, run, "load")
+
+    # 4. publish
+    V.publish(spark, out_dir, number, after)
+    V.drop_unnamed(spark, out_dir, number, keep)
+    return night
+
+
+def _staged(spark: SparkSession, out_dir: str, layer: str, frames: dict[str, DataFrame], prefix: str,
+            fleets: list[str] | None, days: list[tuple]) -> dict[str, DataFrame]:
+    """A layer written once and read back: the rows of this night's fleets. S4 by
+    fleets, S5 by days; a slice without rows is removed."""
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        path = os.path.join(out_dir, layer, name)
+        by = PARTITIONS.get(prefix + name, ["nk_frota_origem"])
         if fleets:
             df = df.where(F.col("nk_frota_origem").isin(*fleets))
-        if sources == "per_source":   # source-specific extra columns are kept as text
-            df = df.select(*[F.col(c) for c in df.columns])
-        replace_slice(df, path, PARTITIONS.get("raw_" + entity, ["nk_frota_origem"]),
-                      slices=() if "raw_" + entity in PARTITIONS else slices)
-        raw[entity] = spark.read.parquet(path)
-    staged = _Staged(raw)
-
-    # 2. conform (all fleets together: fleet is a partition column)
-    conf, rejects = conform_fn(staged, run_ts)
-    for name in CONFORMED:
-        if fleets:
-            conf[name] = conf[name].where(F.col("nk_frota_origem").isin(*fleets))
-        replace_slice(conf[name], os.path.join(out_dir, "conformed", name),
-                      PARTITIONS.get(name, ["nk_frota_origem"]),
-                      slices=() if name in PARTITIONS else slices)
-        known_fleets(spark, os.path.join(out_dir, "conformed", name))
-    # one append for every conform reject/warning of the run
-    append_rejects(reduce(DataFrame.unionByName, rejects), os.path.join(out_dir, "rejects"), run, "conform")
-    conf = {n: spark.read.parquet(os.path.join(out_dir, "conformed", n)) for n in CONFORMED}
-
-    # 3. dimensions, then facts, upserted into the previous version
-    current = read_warehouse(spark, out_dir) if incremental else {}
-    # a folder of its own for each attempt: a retry never writes where a reader reads
-    version = os.path.join(out_dir, "dw", f"v{run_ts:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}")
-
-    def written(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(os.path.join(version, name))
-        return spark.read.parquet(os.path.join(version, name))
-    # each dimension is written, then read back by whatever needs it next
-    dims = load_dims(spark, conf, current, materialize=written)
-
-    # one key-resolution pass per fact; facts and late-key rejects share it
-    plans = {
-        "fato_inventario_patio": (FL.resolve_inventory(conf["stg_conf_snapshot_patio"], dims),
-                                  FL.split_inventory),
-        "fato_locacao": (FL.resolve_rental(conf["stg_conf_locacao"], dims), FL.split_rental),
-        "fato_reserva": (FL.resolve_reservation(conf["stg_conf_reserva"], dims), FL.split_reservation),
-    }
-    # the tagged frame is a scan of the conformed table plus broadcast joins (no
-    # shuffle), so the fact and its late-key rejects simply read it twice
-    lates = []
-    for name, (tagged, split) in plans.items():
-        fact, late = split(tagged, current.get(name), run_ts)
-        fact.write.mode("overwrite").partitionBy(*FACT_PARTITIONS[name]).parquet(os.path.join(version, name))
-        lates.append(late)
-    append_rejects(reduce(DataFrame.unionByName, lates), os.path.join(out_dir, "rejects"), run, "load")
+        replace_slice(df, path, by, slices=days if len(by) > 1 else [(f,) for f in fleets or FLEETS])
+        known_fleets(spark, path)
+        return spark.read.schema(df.schema).parquet(path)
+    staged = together(spark, {n: lambda n=n, df=df: stage(n, df) for n, df in frames.items()})
+    # of the snapshot only the days of this night; older ones are loaded already
+    for n in staged:
+        if len(PARTITIONS.get(prefix + n, [])) > 1 and days:
+            tonight = spark.createDataFrame(days, "nk_frota_origem string, data_snapshot date")
+            staged[n] = staged[n].join(F.broadcast(tonight), ["nk_frota_origem", "data_snapshot"], "left_semi")
+    return staged
 
-    # 4. publish
-    published = f"{out_dir}/dw/_published"
-    last = commits.latest(spark, published)
-    commits.commit(spark, published, last[0] + 1 if last else 0, {"version": version})
-    return version
+
+#: Conformed tables of the facts, and the key by which a new row takes the place of a late one.
+LATE_KEYS = {"stg_conf_reserva": ["nk_frota_origem", "nk_id_reserva"], "stg_conf_locacao": ["nk_frota_origem", "nk_id_locacao"],
+             "stg_conf_snapshot_patio": ["nk_frota_origem", "data_snapshot"]}
+
+
+def _with_late(spark, out_dir, before: Version, name: str, df: DataFrame, days: list[tuple]) -> DataFrame:
+    night = before.tables.get(f"_late/{name}", {}).get("")
+    if night is None:
+        return df
+    late = spark.read.schema(df.schema).parquet(f"{out_dir}/dw/_late/{name}/v={night}")
+    if name == "stg_conf_snapshot_patio":   # a day that the night replaces is replaced whole
+        replaced = spark.createDataFrame(days, "nk_frota_origem string, data_snapshot date")
+        return df.unionByName(late.join(F.broadcast(replaced), LATE_KEYS[name], "left_anti"))
+    return df.unionByName(late.join(df.select(*LATE_KEYS[name]), LATE_KEYS[name], "left_anti"))
+
+
+def _load_dimensions(spark, out_dir, conf, before: Version, after: Version) -> dict[str, DataFrame]:
+    """Each dimension from its changed rows; one without any is carried over."""
+    def keep(table: str, rows: DataFrame | None) -> DataFrame:
+        if rows is None:
+            after.tables[table] = before.tables[table]
+        else:
+            V.write(spark, out_dir, after.id, table, rows)
+            after.tables[table] = {"": after.id}
+        return V.read(spark, out_dir, after, table)
+
+    def addresses():
+        old = V.read(spark, out_dir, before, "dim_endereco")
+        new = D.new_addresses(old, conf["stg_conf_patio"], conf["stg_conf_cliente"]).checkpoint(eager=True)
+        if "dim_endereco" in before.tables and new.isEmpty():
+            return keep("dim_endereco", None)
+        return keep("dim_endereco", old.unionByName(new))
+
+    def dates():
+        first = "dim_tempo" not in before.tables
+        old = calendar(spark) if first else V.read(spark, out_dir, before, "dim_tempo")
+        new = D.missing_dates(calendar_dates(conf), old).checkpoint(eager=True)
+        return keep("dim_tempo", None if not first and new.isEmpty() else old.unionByName(new))
+
+    def dimension(table: str):
+        nk, attrs, sk = D.DIM_SPECS[table]
+        incoming = D.dim_rows(table, conf[DIMENSION_SOURCES[table]], made["dim_endereco"])
+        if table not in before.tables:
+            return keep(table, latest_per_key(incoming, [sk, *nk]))
+        old = V.read(spark, out_dir, before, table)
+        changed = D.changed_rows(old, incoming, [sk, *nk], attrs).checkpoint(eager=True)
+        return keep(table, None if changed.isEmpty() else D.with_changes(old, changed, [sk, *nk]))
+
+    made = together(spark, {"dim_endereco": addresses, "dim_tempo": dates})
+    return made | together(spark, {t: lambda t=t: dimension(t) for t in DIMENSION_SOURCES})
+
+
+def _load_fact(spark, out_dir, table: str, tagged: DataFrame, staged_columns: list[str],
+               before: Version, after: Version, days: list[tuple]) -> None:
+    """FL1-FL3 by partitions, and the late rows set aside for the next night."""
+    source = FL.FACT_LOADS[table][0]
+    again = F.col("_reason").isNotNull()
+    if "_warning" in tagged.columns:
+        again = again | F.col("_warning").isNotNull()
+    late = tagged.where(again).select(*staged_columns)
+    late.write.parquet(f"{out_dir}/dw/_late/{source}/v={after.id}")
+    after.tables[f"_late/{source}"] = {"": after.id}
+
+    column, part = V.FACT_PARTITION[table][0], F.expr(V.FACT_PARTITION[table][1]).cast("int")
+    keys, updates = FL.FACT_KEYS[table], FL.FACT_UPDATES[table]
+    rows = latest_per_key(FL.FACT_LOADS[table][2](tagged), keys)
+    held = before.tables.get(table, {})
+    if table == "fato_inventario_patio":
+        _replace_days(spark, out_dir, table, rows, before, after, days)
+        return
+    if not held:   # the first load: every row is new
+        V.write(spark, out_dir, after.id, table, rows.withColumn(column, part))
+        made = [n.split("=")[1] for n in commits.names(spark, f"{out_dir}/dw/{table}") if n.startswith(f"{column}=")]
+        after.tables[table] = V.carried(spark, out_dir, {}, table, after.id, made)
+        return
+    rows = rows.checkpoint(eager=True)
+    span = rows.agg(F.min(keys[1]), F.max(keys[1])).first()
+    if span[0] is None:
+        after.tables[table] = held
+        return
+    # the months that hold the incoming keys, from the key and update columns alone; old
+    # row groups are passed over by the span of ids
+    stored = V.read(spark, out_dir, before, table).where(F.col(keys[1]).between(span[0], span[1])) \
+        .select(*keys, F.struct(*updates).alias("_old"), F.col(column).alias("_part"))
+    changed = rows.join(stored, keys, "left") \
+        .where(F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.struct(*updates))) \
+        .withColumn(column, F.coalesce("_part", part)).drop("_old", "_part").checkpoint(eager=True)
+    touched = [str(r[0]) for r in changed.select(column).distinct().collect()]
+    if not touched:
+        after.tables[table] = held
+        return
+    current = V.read(spark, out_dir, before, table, touched)
+    V.write(spark, out_dir, after.id, table, merge_upsert(current, changed, keys, updates))
+    after.tables[table] = V.carried(spark, out_dir, held, table, after.id, touched)
+
+
+def _replace_days(spark, out_dir, table, rows, before: Version, after: Version, days: list[tuple]) -> None:
+    """FL1: the night's (fleet, day) slices are replaced, also by nothing; late rows of other days join theirs."""
+    rows = rows.checkpoint(eager=True)
+    held = before.tables.get(table, {})
+    brought = {str(r[0]) for r in rows.select("sk_tempo_referencia").distinct().collect()}
+    replaced = {(str(date_key_of(d)), FLEETS.index(f) + 1) for f, d in days}
+    touched = sorted(brought | {d for d, _ in replaced if d in held})
+    kept = V.read(spark, out_dir, before, table, [d for d in touched if d in held])
+    if replaced:
+        slices = spark.createDataFrame([(int(d), f) for d, f in sorted(replaced)], "_day int, _fleet long")
+        kept = kept.join(F.broadcast(slices), (F.col("sk_tempo_referencia") == F.col("_day"))
+                         & (F.floor(F.col("sk_patio") / KEY_SPACE) == F.col("_fleet")), "left_anti")
+    V.write(spark, out_dir, after.id, table, D.with_changes(kept, rows, FL.FACT_KEYS[table]))
+    after.tables[table] = V.carried(spark, out_dir, held, table, after.id, touched)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,18 @@ INCREMENTAL_CUT = dt.date(1999, 6, 1)
 SNAPSHOT_DAY = AS_OF - dt.timedelta(days=1)
 
 
+def _once(build):
+    """One build for each session and input folder: what it returns reads written tables."""
+    made: dict[tuple[str, str], object] = {}
+
+    def run(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in made:
+            made[key] = build(spark, sf_dir)
+        return made[key]
+    return run
+
+
 def _pick(k, values):
     """values[k mod len(values)] as a Column (NULL entries allowed)."""
     arr = F.array(*[F.lit(v).cast("string") for v in values])
@@ -115,7 +128,7 @@ def c8_planned_value(spark, sf_dir):
     o = a.t("orders", "o_orderkey")
     k = F.col("o_orderkey")
     res = o.select(k.alias("nk_id_reserva"), (k % a.n_classes() + 1).alias("gid"), (k % 12).alias("dias"))
-    j = res.join(F.broadcast(_rates_with_gaps(a)), F.col("gid") == F.col("nk_id_grupo"), "left")
+    j = res.join(_rates_with_gaps(a), F.col("gid") == F.col("nk_id_grupo"), "left")
     return j.select("nk_id_reserva", planned_value(F.col("dias"), F.col("valor_diaria")).alias("valor_previsto_reserva"))
 
 
@@ -201,6 +214,56 @@ def c11_first_reason(spark, sf_dir):
     return r.select("nk_id_reserva", C.reservation_reason().alias("motivo_rejeito"))
 
 
+def _by_fleet(raw: DataFrame, conform) -> DataFrame:
+    """Rejects of each fleet's rows under its own rules, texts and payloads."""
+    parts = [conform(raw.where(F.col("nk_frota_origem") == f), SOURCES[f]) for f in FLEETS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _own_durations(a: Analogue) -> DataFrame:
+    """Faulty reservations with the duration that the source states: missing or 0 on some."""
+    k = F.col("nk_id_reserva")
+    days = F.datediff("data_devolucao_prevista", "data_retirada_prevista")
+    return faulty_reservations(a).withColumn(
+        "duracao_prevista_dias", F.when(k % 43 == 0, F.lit(None)).when(k % 47 == 0, F.lit(0)).otherwise(days).cast("int"))
+
+
+def c11_fleet_reasons(spark, sf_dir):
+    """C10/C11 under each source's rules: nine for F1-F3, the last on the source's own duration, eight for F4."""
+    r = _own_durations(_a(spark, sf_dir))
+    return _by_fleet(r, lambda part, cfg: part.select("nk_frota_origem", "nk_id_reserva", C.reservation_reason(cfg).alias("motivo_rejeito")))
+
+
+def c14_fleet_payloads(spark, sf_dir):
+    """C14: rejected reservations with each source's payload."""
+    a = _a(spark, sf_dir)
+    rates = a.raw_grupo().select("nk_frota_origem", "nk_id_grupo", "valor_diaria")
+    rej = _by_fleet(_own_durations(a), lambda part, cfg: C.conform_reserva(part, cfg, rates, RUN_TS)[1])
+    return rej.select("tabela_origem", "nk_id_registro", "motivo_rejeito", "dados_json")
+
+
+def c14_rental_payloads(spark, sf_dir):
+    """C14: rejected rentals of the four sources, the final value included."""
+    rej = _by_fleet(faulty_rentals(_a(spark, sf_dir)), lambda part, cfg: C.conform_locacao(part, cfg, RUN_TS)[1])
+    return rej.select("tabela_origem", "nk_id_registro", "motivo_rejeito", "dados_json")
+
+
+def c4_fleet_reasons(spark, sf_dir):
+    """C4/C11: customers of four fleets without a valid type, vehicles without class (F2: or home yard),
+    snapshots without keys, in each source's words."""
+    a = _a(spark, sf_dir)
+    k = F.col("nk_id_cliente")
+    customers = a.raw_cliente().withColumn("tipo_cliente", _pick(k, RAW_TYPES_5))
+    v = F.col("nk_id_veiculo")
+    vehicles = a.raw_veiculo().withColumn("nk_id_grupo", F.when(v % 5 != 0, F.col("nk_id_grupo"))) \
+        .withColumn("nk_id_patio_origem", F.when(v % 7 != 0, F.col("nk_id_patio_origem")))
+    snaps = a.raw_snapshot().withColumn("nk_id_patio", F.when(v % 11 != 0, F.col("nk_id_patio")))
+    found = [_by_fleet(customers, lambda part, cfg: C.conform_cliente(part, cfg, RUN_TS)[1]),
+             _by_fleet(vehicles, lambda part, cfg: C.conform_veiculo(part, cfg, RUN_TS)[1]),
+             _by_fleet(snaps, lambda part, cfg: C.conform_snapshot(part, RUN_TS, cfg)[1])]
+    return reduce(DataFrame.unionByName, found).select("tabela_origem", "nk_id_registro", "motivo_rejeito")
+
+
 def c12_accept_reject_split(spark, sf_dir):
     r = faulty_reservations(_a(spark, sf_dir))
     valid, rej = C.conform_reserva(r, run_ts=RUN_TS)
@@ -236,6 +299,25 @@ def g9_reject_summary(spark, sf_dir):
     return audit.reject_summary(reject_log(_a(spark, sf_dir)))
 
 
+def _whole_log(spark, sf_dir) -> DataFrame:
+    """Conform rejects and late keys together, as a night logs them."""
+    return reduce(DataFrame.unionByName, _late_dims(spark, sf_dir)[2], reject_log(_a(spark, sf_dir)))
+
+
+def g8_reject_reasons(spark, sf_dir):
+    """G8 with late keys in the log: one row per table and template."""
+    return audit.reject_reasons(_whole_log(spark, sf_dir))
+
+
+def g9_summary_with_late_keys(spark, sf_dir):
+    return audit.reject_summary(_whole_log(spark, sf_dir))
+
+
+def g9_fleet_summary(spark, sf_dir):
+    """G9 with its fleet filter."""
+    return audit.reject_summary(_whole_log(spark, sf_dir), FLEETS[1])
+
+
 def o6_latest_rejects(spark, sf_dir):
     return audit.latest_rejects(reject_log(_a(spark, sf_dir)), 50).select(
         "tabela_origem", "nk_frota_origem", "nk_id_registro", "motivo_rejeito")
@@ -509,7 +591,36 @@ def fl3_reservation_fact(spark, sf_dir):
     return _wh(spark, sf_dir)["fato_reserva"]
 
 
+# The day before which the first of two nights knows the sources.
+FIRST_NIGHT = dt.date(1997, 6, 1)
+
+
+@_once
+def _second_night(spark, sf_dir):
+    """P1 with U2: a night on the sources as they were, then one that reads what changed since."""
+    from locastar.plans.nightly import read_warehouse, run_nightly
+    out = scratch_path(spark, f"nights-{uuid.uuid4().hex}")
+    run_nightly(spark, sf_dir, out, FIRST_NIGHT, dt.datetime(1997, 6, 1, 2), known_before=FIRST_NIGHT)
+    run_nightly(spark, sf_dir, out, AS_OF, RUN_TS)
+    return read_warehouse(spark, out)
+
+
+def p1_second_night_rentals(spark, sf_dir):
+    """FL2 after two nights: the same rows as a full load."""
+    return _second_night(spark, sf_dir)["fato_locacao"].drop("mes")
+
+
+def p1_second_night_reservations(spark, sf_dir):
+    """FL3 after two nights: the same rows as a full load."""
+    return _second_night(spark, sf_dir)["fato_reserva"].drop("mes")
+
+
+def p1_second_night_inventory(spark, sf_dir):
+    """FL1 after two nights: the days of both."""
+    return _second_night(spark, sf_dir)["fato_inventario_patio"]
+
 
+@_once
 def _late_dims(spark, sf_dir):
     """Dimensions where some customers and yards have not arrived yet."""
     from locastar.plans.warehouse import checkpointed, conform_sources, load_warehouse
@@ -538,13 +649,15 @@ OPERATOR_QUERIES = {f.__name__: f for f in [
     c1_capitalise, c2_blank_sentinel, c3_capacity_sentinel, c4_customer_type, c5_transmission_map,
     c6_status_map, c7_duration, c8_planned_value, c9_clamp_value, c15_name_fallback, c16_plate,
     c17_text_defaults, c10_date_order, c11_first_reason, c12_accept_reject_split, c13_warn_and_load,
-    c14_reject_json, g9_reject_summary, o6_latest_rejects, qc_constraint_audit,
+    c14_reject_json, c4_fleet_reasons, c11_fleet_reasons, c14_fleet_payloads, c14_rental_payloads, g8_reject_reasons,
+    g9_summary_with_late_keys, g9_fleet_summary, g9_reject_summary, o6_latest_rejects, qc_constraint_audit,
     s1_full_extract, s2_incremental_cut, x_subclass_merge, x_slot_count, x_extension_sum, x_charge_sum,
     x_return_chain, sn1_slot_snapshot, sn2_asof_yard, sn3_slot_id_snapshot, sn4_status_snapshot,
     j7_null_aware_anti, d1_address_dim, d2_scd1_upsert, d3_address_lookup, d4_calendar, s7_seed_if_empty,
     d5_missing_dates,
     s3_merge_subset, s4_replace_slice, s5_replace_day, s8_insert_ignore, u1_date_key, u2_unpivot_dates,
     fl1_inventory_fact, fl2_rental_fact, fl3_reservation_fact, fl4_late_key_reject, fl4b_return_yard_warning,
+    p1_second_night_rentals, p1_second_night_reservations, p1_second_night_inventory,
 ]}
 
 

@@ -53,17 +53,23 @@ def snapshot_inputs(fleet: str, t: dict[str, DataFrame], raw_veiculo: DataFrame,
 class StagedSources:
     """raw_<entity>() = union over fleets of that fleet's extract."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF, cut: dt.date | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
+                 cuts: dict[str, dt.date] | None = None):
         a = Analogue(spark, sf_dir, as_of)
+        self.as_of = as_of
         self.raw: dict[str, DataFrame] = {}
         per_fleet = {}
         for fleet in FLEETS:
             t = oltp.TABLES[fleet](a)
-            per_fleet[fleet] = {e: extract(t, fleet, e, cut) for e in ENTITIES}
+            per_fleet[fleet] = {e: extract(t, fleet, e, (cuts or {}).get(fleet)) for e in ENTITIES}
             per_fleet[fleet]["snapshot"] = snapshot_inputs(fleet, t, per_fleet[fleet]["veiculo"], as_of)
         for e in (*ENTITIES, "snapshot"):
             self.raw[e] = _union([per_fleet[f][e] for f in FLEETS])
 
+    def snapshot_slices(self) -> list[tuple[str, dt.date]]:
+        """The (fleet, day) slices that the snapshot replaces."""
+        return [(f, self.as_of - dt.timedelta(days=SOURCES[f].snapshot_offset_days)) for f in FLEETS]
+
     def __getattr__(self, name: str):
         if name.startswith("raw_") and name[4:] in self.raw:
             return lambda: self.raw[name[4:]]
@@ -89,7 +95,7 @@ def conform_per_source(src, run_ts: dt.datetime | None = None) -> tuple[dict, li
             "stg_conf_cliente": C.conform_cliente(part("cliente"), cfg, run_ts),
             "stg_conf_reserva": C.conform_reserva(part("reserva"), cfg, rates, run_ts),
             "stg_conf_locacao": C.conform_locacao(part("locacao"), cfg, run_ts),
-            "stg_conf_snapshot_patio": C.conform_snapshot(part("snapshot"), run_ts),
+            "stg_conf_snapshot_patio": C.conform_snapshot(part("snapshot"), run_ts, cfg),
         }
         for name, (conf, rej) in results.items():
             out.setdefault(name, []).append(conf)

@@ -27,10 +27,20 @@ TABLES = DIMENSIONS + FACTS
 CONFORMED = ("stg_conf_patio", "stg_conf_grupo", "stg_conf_veiculo", "stg_conf_cliente",
              "stg_conf_reserva", "stg_conf_locacao", "stg_conf_snapshot_patio")
 
+# Dimension -> conformed table.
+DIMENSION_SOURCES = {"dim_patio": "stg_conf_patio", "dim_grupo": "stg_conf_grupo",
+                     "dim_veiculo": "stg_conf_veiculo", "dim_cliente": "stg_conf_cliente"}
+
 RESERVATION_DATES = ["data_reserva", "data_retirada_prevista", "data_devolucao_prevista"]
 RENTAL_DATES = ["data_retirada", "data_prev_devolucao", "data_real_devolucao"]
 
 
+def calendar_dates(conf: dict[str, DataFrame]) -> list[tuple[DataFrame, list[str]]]:
+    """The date columns whose values the calendar must have."""
+    return [(conf["stg_conf_reserva"], RESERVATION_DATES), (conf["stg_conf_locacao"], RENTAL_DATES),
+            (conf["stg_conf_snapshot_patio"], ["data_snapshot"])]
+
+
 @dataclass
 class Warehouse:
     conformed: dict[str, DataFrame] = field(default_factory=dict)
@@ -84,18 +94,12 @@ def load_dims(spark: SparkSession, conf: dict[str, DataFrame],
     current = current or {}
     address = D.address_dim(current.get("dim_endereco") or D.empty_address(spark),
                             conf["stg_conf_patio"], conf["stg_conf_cliente"])
-    cal = D.ensure_calendar(current.get("dim_tempo") or calendar(spark), [
-        (conf["stg_conf_reserva"], RESERVATION_DATES),
-        (conf["stg_conf_locacao"], RENTAL_DATES),
-        (conf["stg_conf_snapshot_patio"], ["data_snapshot"])])
+    cal = D.ensure_calendar(current.get("dim_tempo") or calendar(spark), calendar_dates(conf))
     address = materialize("dim_endereco", address)
     dims = {
         "dim_tempo": cal,
         "dim_endereco": address,
-        "dim_patio": D.load_dim("dim_patio", conf["stg_conf_patio"], address, current.get("dim_patio")),
-        "dim_grupo": D.load_dim("dim_grupo", conf["stg_conf_grupo"], None, current.get("dim_grupo")),
-        "dim_veiculo": D.load_dim("dim_veiculo", conf["stg_conf_veiculo"], None, current.get("dim_veiculo")),
-        "dim_cliente": D.load_dim("dim_cliente", conf["stg_conf_cliente"], address, current.get("dim_cliente")),
+        **{d: D.load_dim(d, conf[c], address, current.get(d)) for d, c in DIMENSION_SOURCES.items()},
     }
     return {k: (v if k == "dim_endereco" else materialize(k, v)) for k, v in dims.items()}
 

@@ -29,9 +29,11 @@ apply the data-quality rules.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locastar.functions.dates import as_date
@@ -65,6 +67,28 @@ class Analogue:
     spark: SparkSession
     sf_dir: str
     as_of: dt.date = AS_OF
+    #: The date from which each fleet's reservations and rentals are read; a fleet without one is read whole.
+    cuts: dict[str, dt.date] = field(default_factory=dict)
+    #: The sources as they were before this day (None: as they are): later bookings,
+    #: pick-ups and returns are not known yet.
+    known_before: dt.date | None = None
+
+    def since_cut(self, fleet: Column, *dates: Column) -> Column:
+        """Whether one of the change dates is on or after the fleet's cut."""
+        if not self.cuts:
+            return F.lit(True)
+        if set(self.cuts) == set(FLEETS) and len(set(self.cuts.values())) == 1:
+            cut = F.lit(next(iter(self.cuts.values())))   # one cut reaches the scan
+        else:
+            cut = F.coalesce(_case(fleet, {f: F.lit(d) for f, d in self.cuts.items()}), F.lit(dt.date(1900, 1, 1)))
+        return reduce(or_, [F.coalesce(d >= cut, F.lit(False)) for d in dates])
+
+    def is_known(self, date: Column) -> Column:
+        return F.lit(True) if self.known_before is None else date < F.lit(self.known_before)
+
+    def snapshot_slices(self) -> list[tuple[str, dt.date]]:
+        """The (fleet, day) slices that ``raw_snapshot`` replaces."""
+        return [(f, self.as_of - dt.timedelta(days=k)) for f in FLEETS for k in (1, 2)]
 
     def t(self, name: str, *cols: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name, *cols)
@@ -110,7 +134,7 @@ class Analogue:
         s = self.t("supplier", "s_suppkey", "s_name", "s_nationkey")
         a = self.addresses()
         cap = self.slot_counts()
-        return (s.join(F.broadcast(a), s.s_nationkey == a.n_nationkey, "left")
+        return (s.join(a, s.s_nationkey == a.n_nationkey, "left")
                 .join(cap, s.s_suppkey == cap.nk_id_patio, "left")
                 .select(_all_fleets(), s.s_suppkey.alias("nk_id_patio"),
                         F.col("s_name").alias("nome_patio"),
@@ -140,7 +164,7 @@ class Analogue:
         a = self.addresses()
         tipo = (F.when(F.col("c_custkey") % 3 == 0, F.lit("PJ"))
                 .when(F.col("c_custkey") % 3 == 1, F.lit("PF")).otherwise(F.lit(" pf ")))
-        return (c.join(F.broadcast(a), c.c_nationkey == a.n_nationkey, "left")
+        return (c.join(a, c.c_nationkey == a.n_nationkey, "left")
                 .select(_all_fleets(), F.col("c_custkey").alias("nk_id_cliente"),
                         tipo.alias("tipo_cliente"), F.col("c_name").alias("nome"),
                         F.col("cidade").alias("end_cidade"), F.col("uf").alias("end_uf"),
@@ -153,7 +177,7 @@ class Analogue:
         k = F.col("o_orderkey")
         d0 = as_date("o_orderdate")
         pick = F.date_add(d0, (k % 30).cast("int"))
-        return o.select(
+        return o.where(self.is_known(d0) & self.since_cut(fleet_by_position(k), d0)).select(
             fleet_by_position(k).alias("nk_frota_origem"), k.alias("nk_id_reserva"),
             F.col("o_custkey").alias("nk_id_cliente"), (k % nc + 1).alias("nk_id_grupo"),
             (k % ny).alias("nk_id_patio_retirada"), (F.col("o_custkey") % ny).alias("nk_id_patio_fim"),
@@ -170,7 +194,9 @@ class Analogue:
         ny = self.n_yards()
         k = F.col("l_orderkey")
         ship = as_date("l_shipdate")
-        returned = F.col("l_linestatus") == "F"
+        back = F.date_add(ship, (k % 10).cast("int"))
+        returned = (F.col("l_linestatus") == "F") & self.is_known(back)
+        li = li.where(self.is_known(ship) & self.since_cut(fleet_by_position(k), ship, F.when(returned, back)))
         return (li.join(o, li.l_orderkey == o.o_orderkey)
                 .join(pc, li.l_partkey == pc.p_partkey)
                 .select(fleet_by_position(k).alias("nk_frota_origem"),
@@ -182,8 +208,7 @@ class Analogue:
                         .alias("nk_id_patio_devolucao"),
                         ship.alias("data_retirada"),
                         F.date_add(ship, F.col("l_linenumber")).alias("data_prev_devolucao"),
-                        F.when(returned, F.date_add(ship, (k % 10).cast("int")))
-                        .alias("data_real_devolucao"),
+                        F.when(returned, back).alias("data_real_devolucao"),
                         F.col("l_extendedprice").cast("decimal(14,2)").alias("valor_final")))
 
     def slots(self) -> DataFrame:

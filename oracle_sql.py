@@ -333,7 +333,7 @@ FROM supplier s LEFT JOIN slots sl ON sl.y = s.s_suppkey""",
     "c4_customer_type": f"""
 SELECT c_custkey AS nk_id_cliente,
        CASE WHEN upper(trim(t)) IN ('PF', 'PJ') THEN upper(trim(t)) END AS tipo_cliente,
-       CASE WHEN upper(trim(t)) IN ('PF', 'PJ') THEN NULL ELSE 'Cliente sem tipo_cliente válido' END AS motivo_rejeito
+       CASE WHEN upper(trim(t)) IN ('PF', 'PJ') THEN NULL ELSE 'Cliente sem tipo_cliente válido (PF/PJ)' END AS motivo_rejeito
 FROM (SELECT c_custkey, {pick('c_custkey', (' pf ', 'PJ', 'pj', 'XX', None))} AS t FROM customer)""",
     "c5_transmission_map": f"""
 SELECT p_partkey, t AS mecanizacao_origem, {TRANS.format(x='t')} AS mecanizacao
@@ -554,6 +554,94 @@ SELECT 'stg_conf_locacao' AS tabela_origem, empresa AS nk_frota_origem, rid AS n
 FROM rent WHERE y_in IS NOT NULL AND y_in % 7 = 0"""),
 }
 
+OPS["p1_second_night_reservations"] = OPS["fl3_reservation_fact"]
+# two nights: of a repeated rental id the first night's row stays, and takes return and value of the second's
+_PICK = """QUALIFY row_number() OVER (PARTITION BY empresa, rid ORDER BY d_ret DESC, d_prev DESC,
+    d_real DESC NULLS LAST, cust DESC, veh DESC, gid DESC, y_out DESC, y_in DESC NULLS LAST, valor DESC) = 1"""
+OPS["p1_second_night_rentals"] = OPS["fl2_rental_fact"].replace("FROM rentf", f"""FROM (
+  SELECT coalesce(n1.empresa, n2.empresa) AS empresa, coalesce(n1.rid, n2.rid) AS rid, coalesce(n1.idx, n2.idx) AS idx,
+         coalesce(n1.d_ret, n2.d_ret) AS d_ret, coalesce(n1.d_prev, n2.d_prev) AS d_prev, coalesce(n1.cust, n2.cust) AS cust,
+         coalesce(n1.veh, n2.veh) AS veh, coalesce(n1.gid, n2.gid) AS gid, coalesce(n1.y_out, n2.y_out) AS y_out,
+         CASE WHEN n2.rid IS NULL THEN n1.d_real ELSE n2.d_real END AS d_real,
+         CASE WHEN n2.rid IS NULL THEN n1.y_in ELSE n2.y_in END AS y_in,
+         CASE WHEN n2.rid IS NULL THEN n1.valor ELSE n2.valor END AS valor
+  FROM (SELECT * FROM (SELECT * REPLACE (CASE WHEN d_real < DATE '1997-06-01' THEN d_real END AS d_real,
+                                         CASE WHEN d_real < DATE '1997-06-01' THEN y_in END AS y_in)
+                       FROM rent WHERE d_ret < DATE '1997-06-01') {_PICK}) n1
+  FULL JOIN (SELECT * FROM rent WHERE d_ret >= DATE '1997-06-01' OR d_real >= DATE '1997-06-01' {_PICK}) n2
+    ON n1.empresa = n2.empresa AND n1.rid = n2.rid)""")
+OPS["p1_second_night_inventory"] = OPS["fl1_inventory_fact"].replace(
+    "(DATE '1999-12-31')", "(DATE '1999-12-31'), (DATE '1997-05-30'), (DATE '1997-05-31')")
+
+# ------------------------------------------------------------ rules of each source
+FLEET_RES = f"""{FAULTY_RES},
+own AS (SELECT fr.*, o_orderstatus AS st, CASE WHEN k % 43 = 0 THEN NULL WHEN k % 47 = 0 THEN 0 ELSE CAST(date_diff('day', ret, dev) AS INTEGER) END AS dur
+        FROM fr JOIN orders ON o_orderkey = k),
+ownr AS (SELECT *, CASE WHEN cust IS NULL THEN 'Reserva sem cliente'
+                        WHEN gid IS NULL THEN 'Reserva sem grupo'
+                        WHEN y1 IS NULL THEN 'Reserva sem pátio de retirada'
+                        WHEN y2 IS NULL THEN 'Reserva sem pátio de fim'
+                        WHEN d0 IS NULL THEN 'Reserva sem data de reserva'
+                        WHEN ret IS NULL THEN 'Reserva sem data de retirada prevista'
+                        WHEN dev IS NULL THEN 'Reserva sem data de devolução prevista'
+                        WHEN dev <= ret AND f = 'frota-4' THEN 'Data devolução <= data retirada (duração < 1)'
+                        WHEN dev <= ret THEN 'Data devolução <= data retirada'
+                        WHEN coalesce(dur, 0) < 1 AND f <> 'frota-4' THEN 'Duração prevista inválida (< 1 dia)' END AS motivo
+         FROM own)
+"""
+TEMPLATE = "CASE WHEN regexp_matches(motivo_rejeito, 'DIM_[A-Z]+: ') THEN regexp_extract(motivo_rejeito, '^(.*DIM_[A-Z]+: (?:nk=)?)', 1) ELSE motivo_rejeito END"
+
+
+def whole_log(body: str) -> str:
+    return with_base(f""", {FAULTY_RES}, {REJECT_LOG},
+wlog AS (SELECT *, {TEMPLATE} AS motivo, nullif(substr(motivo_rejeito, length({TEMPLATE}) + 1), '') AS v
+         FROM (SELECT * FROM rlog UNION ALL SELECT *, {RUN_TS} FROM ({OPS['fl4_late_key_reject']})))
+{body}""")
+
+
+SUMMARY = """SELECT tabela_origem, CAST(count(*) AS BIGINT) AS total_rejeitos, min(dt_rejeito) AS primeiro_rejeito,
+       max(dt_rejeito) AS ultimo_rejeito, string_agg(DISTINCT motivo, ' | ' ORDER BY motivo) AS motivos
+FROM wlog {where} GROUP BY tabela_origem"""
+RULES = {
+    "c11_fleet_reasons": with_base(f", {FLEET_RES} SELECT f AS nk_frota_origem, k AS nk_id_reserva, motivo AS motivo_rejeito FROM ownr"),
+    "c14_fleet_payloads": with_base(f""", {FLEET_RES}
+SELECT 'stg_' || replace(f, '-', '_') || '_reserva' AS tabela_origem, k AS nk_id_registro, motivo AS motivo_rejeito,
+       CASE WHEN f = 'frota-4' THEN json_object('nk_id_reserva', k, 'nk_id_cliente', cust, 'nk_id_grupo', gid, 'nk_id_patio_retirada', y1,
+                'nk_id_patio_fim', y2, 'data_reserva', d0, 'data_retirada_prevista', ret, 'data_devolucao_prevista', dev)::VARCHAR
+            ELSE json_object('nk_id_reserva', k, 'nk_id_cliente', cust, 'nk_id_grupo', gid, 'nk_id_patio_retirada', y1,
+                'nk_id_patio_fim', y2, 'data_reserva', d0, 'data_retirada_prevista', ret, 'data_devolucao_prevista', dev,
+                'duracao_prevista_dias', dur, 'status_reserva', st)::VARCHAR END AS dados_json
+FROM ownr WHERE motivo IS NOT NULL"""),
+    "c14_rental_payloads": f"""
+SELECT 'stg_' || replace(f, '-', '_') || '_locacao' AS tabela_origem, rid AS nk_id_registro,
+       'Data devolução real anterior à retirada' AS motivo_rejeito,
+       rtrim(json_object('nk_id_locacao', rid, 'nk_id_cliente', k, 'nk_id_veiculo', l_partkey, 'nk_id_grupo', 1, 'nk_id_patio_retirada', l_suppkey,
+             'data_retirada', ship, 'data_prev_devolucao', CAST(ship + CAST(l_linenumber AS INTEGER) AS DATE), 'data_real_devolucao', rl)::VARCHAR, '}}')
+       || ',"valor_final":' || CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS VARCHAR) || '}}' AS dados_json
+FROM (SELECT *, l_orderkey AS k, l_orderkey * 8 + l_linenumber AS rid, {fleet('l_orderkey')} AS f, CAST(l_shipdate AS DATE) AS ship,
+             CAST(l_shipdate AS DATE) + CAST(l_orderkey % 10 - 3 AS INTEGER) AS rl
+      FROM lineitem WHERE l_linestatus = 'F') WHERE rl < ship""",
+    "c4_fleet_reasons": with_base(f""",
+rules(fleet, customer, vehicle, snap) AS (VALUES
+  ('frota-1', 'Cliente sem tipo_cliente válido', 'Veículo sem nk_id_grupo', 'Snapshot sem chaves válidas'),
+  ('frota-2', 'Cliente sem tipo_cliente (PF/PJ)', 'Veículo sem nk_id_grupo ou sem nk_id_patio_origem', 'Snapshot sem pátio, veículo ou grupo válidos'),
+  ('frota-3', 'Cliente sem tipo_cliente (PF/PJ)', 'Veículo sem nk_id_grupo (Id_categoria)', 'Snapshot sem pátio, veículo ou grupo válidos'),
+  ('frota-4', 'Cliente sem tipo_cliente válido (PF/PJ)', 'Veículo sem id_grupo', 'Snapshot sem chaves válidas (patio/veiculo/grupo/data)')),
+found AS (
+  SELECT fleet, 'cliente' AS e, c_custkey AS id, customer AS motivo FROM customer CROSS JOIN rules WHERE c_custkey % 5 >= 3
+  UNION ALL
+  SELECT fleet, 'veiculo', p_partkey, vehicle FROM part CROSS JOIN rules WHERE p_partkey % 5 = 0 OR (fleet = 'frota-2' AND p_partkey % 7 = 0)
+  UNION ALL
+  SELECT r.fleet, 'snapshot_patio', p_partkey, snap
+  FROM part JOIN rules r ON r.fleet = {fleet('(p_partkey % (SELECT n FROM ny))')} CROSS JOIN (VALUES (1), (2)) days(d)
+  WHERE p_partkey % 3 <> 0 AND p_partkey % 11 = 0)
+SELECT 'stg_' || replace(fleet, '-', '_') || '_' || e AS tabela_origem, id AS nk_id_registro, motivo AS motivo_rejeito FROM found"""),
+    "g8_reject_reasons": whole_log("""SELECT tabela_origem, motivo, CAST(count(*) AS BIGINT) AS total_rejeitos, min(dt_rejeito) AS primeiro_rejeito,
+       max(dt_rejeito) AS ultimo_rejeito, min(v) AS menor_valor, max(v) AS maior_valor FROM wlog GROUP BY tabela_origem, motivo"""),
+    "g9_summary_with_late_keys": whole_log(SUMMARY.format(where="")),
+    "g9_fleet_summary": whole_log(SUMMARY.format(where="WHERE nk_frota_origem = 'frota-2'")),
+}
+
 ORACLES: dict[str, str] = {k: _full(v) for k, v in MARTS.items()}
 ORACLES.update(OPS)
 
@@ -566,7 +654,7 @@ def _event_rental(src: str, key: str) -> str:
        CAST(ts AS DATE) AS data_retirada,
        CASE WHEN event_type = 'error' THEN CAST(ts AS DATE) - 1
             WHEN event_type = 'purchase' THEN CAST(ts AS DATE) + 2 END AS data_real_devolucao,
-       CAST(greatest(coalesce(CAST(value AS DECIMAL(14,2)), 0), 0) AS DECIMAL(14,2)) AS valor_final, event_type
+       CAST(greatest(coalesce(CAST(value AS DECIMAL(14,2)), 0), 0) AS DECIMAL(14,2)) AS valor_final, event_type, event_id
 FROM {src}"""
 
 
@@ -575,6 +663,20 @@ STREAMS = {
     "st2_conform_stream": f"""
 SELECT nk_frota_origem, nk_id_locacao, nk_id_cliente, data_retirada, data_real_devolucao, valor_final
 FROM ({_event_rental('events', 'event_id')}) WHERE event_type <> 'error'""",
+    "st2_outcomes": f"""
+SELECT nk_frota_origem, nk_id_locacao, CASE WHEN bad THEN 'rejected' ELSE 'accepted' END AS outcome, valor_final,
+       CASE WHEN bad THEN 'Data devolução real anterior à retirada' END AS motivo_rejeito,
+       CASE WHEN bad THEN json_object('nk_id_locacao', nk_id_locacao, 'nk_id_cliente', nk_id_cliente, 'nk_id_veiculo', nk_id_cliente,
+            'nk_id_grupo', 1, 'nk_id_patio_retirada', nk_id_cliente % 10, 'data_retirada', data_retirada,
+            'data_prev_devolucao', CAST(data_retirada + 1 AS DATE), 'data_real_devolucao', data_real_devolucao)::VARCHAR END AS dados_json
+FROM (SELECT *, event_type = 'error' AS bad FROM ({_event_rental('events', 'event_id')}))""",
+    "st2b_silent_updates": f"""
+SELECT nk_frota_origem, nk_id_locacao, event_id,
+       CASE WHEN NOT bad THEN 'accepted' WHEN first_ok < event_id THEN 'ignored' ELSE 'rejected' END AS outcome,
+       CASE WHEN bad THEN 'Data devolução real anterior à retirada' END AS motivo_rejeito
+FROM (SELECT *, event_type = 'error' AS bad,
+             min(CASE WHEN event_type <> 'error' THEN event_id END) OVER (PARTITION BY nk_id_locacao) AS first_ok
+      FROM ({_event_rental('events', 'user_id')}))""",
     "st3_enrich_stream": """
 SELECT e.event_id, e.user_id, c.c_name, trim(n.n_name) AS end_cidade
 FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
@@ -600,6 +702,7 @@ FROM orders o LEFT JOIN latest l ON l.user_id = o.o_orderkey""",
 SELECT nk_frota_origem, nk_id_locacao, nk_id_cliente, data_retirada, data_real_devolucao, valor_final
 FROM ({_event_rental('latest', 'user_id')}) WHERE event_type <> 'error'""",
 }
+ORACLES.update(RULES)
 ORACLES.update(STREAMS)
 
 YEAR4 = ("2019", "2020", "2021a", " 2018")
