@@ -2,11 +2,11 @@
 
 A document's set of word shingles gets a signature of COORDINATES minima.
 Documents are posted under (coordinate, value). Two documents whose sets share
-80 % agree in about 51 of 64 coordinates, and in fewer than MATCHES with
-probability below 3e-7. So only pairs with MATCHES collisions matter, and two
-rules keep the lists short:
+80 % agree in about 51 of 64 coordinates, and in fewer than 34 with
+probability below MISSED; ``matches_for`` gives that number for any share. So
+only pairs with that many matches matter, and two rules keep the lists short:
 
-* prefix: a pair with MATCHES collisions meets in the COORDINATES - MATCHES + 1
+* prefix: a pair with m collisions meets in the COORDINATES - m + 1
   rarest values of each of its documents. Values that many documents share, as
   from a common passage, are posted only by documents that have little else.
 * skip: a pair is counted in one list alone, that of its first common prefix
@@ -20,6 +20,7 @@ hold the documents of a list together. A long list is dealt out in blocks.
 from __future__ import annotations
 
 import hashlib
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,8 @@ from locastar.llm.components import components
 from locastar.llm.words import SPACED, joined, mix, word_hashes
 
 COORDINATES = 64
-MATCHES = 34
+#: Probability that a pair of just the wanted share is missed, at most.
+MISSED = 4e-7
 #: Documents and shingles of a list that one task compares with another such block.
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 2_000_000
@@ -41,6 +43,20 @@ PAIRS = 32_000
 _MULTIPLIERS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 
 
+def matches_for(percent: int) -> int:
+    """The collisions that a pair of this share has with probability 1 - MISSED.
+
+    Each coordinate collides with the share's probability. A share so low that
+    such a pair may have none can not be told by these signatures.
+    """
+    share, below, m = percent / 100, 0.0, 0
+    while m < COORDINATES and (below := below + comb(COORDINATES, m) * share ** m * (1 - share) ** (COORDINATES - m)) <= MISSED:
+        m += 1
+    if not m:
+        raise ValueError(f"{percent} % is too low for {COORDINATES} coordinates")
+    return m
+
+
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     """The sorted distinct 64-bit hashes of each text's shingles of ``words`` words.
 
@@ -108,16 +124,16 @@ def posted(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "sig").mapInArrow(run, "rep long, token long")
 
 
-def prefixes(classes: DataFrame) -> DataFrame:
-    """(rep, prefix, mask) of the classes that can reach MATCHES collisions.
+def prefixes(classes: DataFrame, matches: int) -> DataFrame:
+    """(rep, prefix, mask) of the classes that can reach ``matches`` collisions.
 
     prefix: the tokens that a partner must meet; mask: their coordinates as bits.
     """
     tokens = posted(classes)
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     own = tokens.join(common, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("all")) \
-        .where(F.size("all") >= MATCHES)
-    prefix = F.transform(F.slice("all", F.lit(1), F.size("all") - (MATCHES - 1)), lambda x: x["token"])
+        .where(F.size("all") >= matches)
+    prefix = F.transform(F.slice("all", F.lit(1), F.size("all") - (matches - 1)), lambda x: x["token"])
     return own.select("rep", prefix.alias("prefix")).withColumn("mask", F.expr(
         "aggregate(prefix, 0L, (m, t) -> m | shiftleft(1L, cast(shiftright(t, 32) as int)))"))
 
@@ -162,8 +178,8 @@ def group_bounds(rows: pa.Table) -> np.ndarray:
 
 def matching_pairs(rows: pa.Table, bounds: np.ndarray, percent: int):
     """(left, right, matches) row numbers of the pairs inside the groups that
-    collide in MATCHES coordinates, may be alike by size, and are told in this list."""
-    column = lambda n: rows.column(n).to_numpy()
+    collide in ``matches_for(percent)`` coordinates, may be alike by size, and are told in this list."""
+    column, matches = lambda n: rows.column(n).to_numpy(), matches_for(percent)
     token, low, high, side, size = (column(n) for n in ("token", "low", "high", "side", "n_shingles"))
     mask = column("mask").view(np.uint64)
     sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES)
@@ -186,7 +202,7 @@ def matching_pairs(rows: pa.Table, bounds: np.ndarray, percent: int):
         with np.errstate(over="ignore"):
             told = (common & (~common + np.uint64(1))) == place[left]
         n = np.bitwise_count(bits)
-        ok = told & (n >= MATCHES)
+        ok = told & (n >= matches)
         if ok.any():
             yield left[ok], right[ok], n[ok]
 
@@ -275,6 +291,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     that repeat a doc_id are one document, whose text is the one of the least
     (set key). No rows give no rows.
     """
+    matches = matches_for(percent)
     small_batches(docs.sparkSession)
     marked = signed(docs, words)
     marked = written(marked.groupBy("doc_id").agg(F.min(F.struct("set_key", "n_shingles", "sig")).alias("m"))
@@ -283,7 +300,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     ids = some.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     classes = written(some.join(ids.withColumnRenamed("rep", "doc_id"), ["set_key", "doc_id"])
                       .select(F.col("doc_id").alias("rep"), "n_shingles", "set_key", "sig"), "classes")
-    kept = written(prefixes(classes), "prefixes")
+    kept = written(prefixes(classes, matches), "prefixes")
     found = written(involved(lists(classes, kept), percent), "involved")
     links = linked(with_sets(docs, found, words), percent)
     groups = components(links, "near")

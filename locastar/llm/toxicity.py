@@ -20,8 +20,11 @@ from locastar.llm.words import LETTERS, joined, mix, word_hashes
 
 #: Coordinates: 2**BITS.
 BITS = 20
-#: Labelled rows that the fit reads at most: the bound of the sample.
+#: Labelled documents that the fit reads at most, and coordinates of one of them: the
+#: bounds of the sample (a longer text's are drawn at random, so the driver holds
+#: SAMPLE * EXAMPLE_GRAMS * 4 bytes at most).
 SAMPLE = 10_000
+EXAMPLE_GRAMS = 8192
 GAPS = (1, 2, 3)
 
 
@@ -102,23 +105,31 @@ def score_texts(texts: list[str], dense: np.ndarray, bias: float) -> np.ndarray:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, fold: int, held: int, rows: int) -> DataFrame:
-    """(doc_id, y, text) of at most ``rows`` labelled rows outside the held-out fold.
+    """(doc_id, y, text) of at most ``rows`` labelled documents outside the held-out fold.
 
     The smallest hashes of doc_id are taken, so the sample is the same in
     every run. Rows without doc_id or label are no examples; of repeated
-    labels the largest counts.
+    labels the largest counts, and of the texts of one id the last in order.
     """
     drawn = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()) \
         .where(fold_of("doc_id", fold) != held) \
         .groupBy("doc_id").agg(F.max(label).cast("int").alias("y")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return texts_of(docs).join(F.broadcast(drawn), "doc_id")
+    return texts_of(docs).join(F.broadcast(drawn), "doc_id") \
+        .groupBy("doc_id").agg(F.max("y").alias("y"), F.max("text").alias("text"))
 
 
 def fold_of(doc_id: str, fold: int):
     return F.crc32(F.col(doc_id).cast("string")) % fold
 
 
+def drawn_from(coordinates: np.ndarray, doc_id: int) -> np.ndarray:
+    """At most EXAMPLE_GRAMS of an example's coordinates, the same in every run."""
+    if len(coordinates) <= EXAMPLE_GRAMS:
+        return coordinates
+    return np.sort(np.random.default_rng(doc_id % (1 << 63)).choice(coordinates, EXAMPLE_GRAMS, replace=False))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: int = 3, held: int = 1,
           rows: int = SAMPLE, settings: Settings = Settings()) -> Model:
     """Fit on the sample: tasks make the coordinates, the driver gets at most ``rows`` arrays."""
@@ -130,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: int =
             for a, b in chunks(texts):
                 d, i = distinct(*grams(texts[a:b]))
                 cuts = np.searchsorted(d, np.arange(b - a + 1))
-                found += [i[cuts[k]:cuts[k + 1]].astype(np.int32).tobytes() for k in range(b - a)]
+                found += [drawn_from(i[cuts[k]:cuts[k + 1]], ids[a + k]).astype(np.int32).tobytes() for k in range(b - a)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(y, pa.int32()), pa.array(found, pa.binary())],
                                              ["doc_id", "y", "ids"])
 

@@ -170,7 +170,28 @@ def test_trie_against_a_dict():
         held[key].append(i)
     spilled = list(trie.spill())
     got = spilled + list(trie.take())
-    assert len(got) == len(held) and {k: (b, n) for k, b, n in got} == {k: (max(v), len(v)) for k, v in held.items()}
+    assert len(got) == len(held) and {k: (b, n) for k, b, n, _ in got} == {k: (max(v), len(v)) for k, v in held.items()}
+
+
+def test_trie_spills_below_a_common_prefix():
+    """Strings that begin alike do not leave all at once; what stays and what leaves is everything."""
+    r, trie, held = random.Random(4), exact_dedup.Trie(min), defaultdict(list)
+    for i in range(2000):
+        key = b"the same beginning " + bytes(r.choice(b"abcd") for _ in range(r.randint(0, 6)))
+        trie.insert(key, i, 1, hashlib.sha256(key).digest())
+        held[key].append(i)
+    assert trie.texts == len(held)
+    got = []
+    while trie.texts:
+        some = list(trie.spill()) if trie.root.below else list(trie.take())
+        assert some and (got or len(some) < len(held))
+        got += some
+        if not trie.root.below:
+            break
+        if trie.texts == 1:  # the beginning itself stays at the last
+            got += list(trie.take())
+            break
+    assert {k: (b, n, s) for k, b, n, s in got} == {k: (min(v), len(v), hashlib.sha256(k).digest()) for k, v in held.items()}
 
 
 def test_exact_dedup_odd_rows(spark, odd, empty):
@@ -181,11 +202,14 @@ def test_exact_dedup_odd_rows(spark, odd, empty):
     assert {r.keep_id for r in exact_dedup.exact_dedup(odd, "min").where("doc_id in (1, 4)").collect()} == {1}
 
 
-def test_exact_dedup_spills(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "HELD_BYTES", 200)
-    rows = spark.createDataFrame([(k, "text %d" % (k % 50)) for k in range(1000)], "doc_id long, text string")
-    got = exact_dedup.exact_dedup(rows).collect()
-    assert len(got) == 1000 and all(r.keep_id == 950 + r.doc_id % 50 and r.group_size == 20 for r in got)
+@pytest.mark.parametrize("held", [50, 2000, 32 << 20])
+def test_exact_dedup_spills(spark, held):
+    """Spilled on both sides of the shuffle or not, the decisions are the same; one trie holds many texts."""
+    texts = [f"text {'ab' * (k % 7)} {k}" for k in range(300)]
+    rows = spark.createDataFrame([(k, texts[k % 300]) for k in range(3000)], "doc_id long, text string").repartition(3)
+    got = exact_dedup.exact_dedup(rows, held_bytes=held).collect()
+    assert len(got) == 3000 and all(r.keep_id == 2700 + r.doc_id % 300 and r.group_size == 10 for r in got)
+    assert all(r.text_sha256 == hashlib.sha256(texts[r.doc_id % 300].encode()).hexdigest() for r in got)
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -466,6 +490,26 @@ def test_pipeline_odd_rows(spark, odd):
     for _, stage in corpus_pipeline.STAGES[1:4]:
         rows = stage(spark, rows, SF)
         assert rows.columns == odd.columns
-    assert sorted(r.doc_id for r in rows.collect()) == [3, 4, 6, 7, 8]
+    assert sorted(r.doc_id or 0 for r in rows.collect()) == [0, 3, 4, 6, 7, 8]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd.where("false"), SF).count() == 0
+    # every stage takes the odd rows themselves
+    good = corpus_pipeline.good_quality(spark, odd, SF)
+    assert good.columns == odd.columns and good.count() <= odd.count()
+    pieces = corpus_pipeline.packed(spark, odd, SF).collect()
+    assert sum(r.length for r in pieces if r.doc_id in (2, 3)) == 2
+
+
+def test_pipeline_decides_by_row(spark):
+    """An id that stands for several texts, or none at all, hides no near copy and drops no clean text."""
+    base = [f"w{i}" for i in range(60)]
+    near = " ".join(base[:59] + ["other"])
+    rows = [(1, " ".join(base)), (2, near), (2, "a clean text under the same id"), (None, "a clean text without an id"),
+            (None, " ".join(base[1:])), (3, ""), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.without_near_copies(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted([
+        (1, " ".join(base)), (2, "a clean text under the same id"), (0, "a clean text without an id"), (3, ""), (2, "")])
+    copies = spark.createDataFrame([(1, "x"), (None, "x"), (None, "y"), (None, "y"), (5, "z"), (5, "z"), (4, "z")], "doc_id long, text string")
+    got = corpus_pipeline.without_copies(spark, copies, SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "y"), (1, "x"), (5, "z")]
