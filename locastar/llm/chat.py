@@ -2,13 +2,14 @@
 
 Messages are rows (conv_id, turn, role, text). An assistant message that
 calls tools has as text ``{"tool_calls": [{"id", "name", "arguments", "after"}]}``;
-``after`` names a call whose result this call uses. A tool message has as text
+``after`` names the calls whose results this call uses, one or a list. A tool message has as text
 ``{"tool_call_id", "content"}``. Every other text is a plain message.
 
 Calls and results are linked by a hash join on (conv_id, identifier), put in
-topological order by doubling the pointers of ``after``, checked against
+topological order along ``after``, checked against
 schemas, and written as canonical JSON: keys sorted, no blanks. No
-conversation is ever gathered into one row or task.
+conversation is ever gathered into one row or task, and the plain messages of
+one spread over the tasks of the joins.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from locastar.llm.common import written
 
-CALLS = "array<struct<id:string,name:string,arguments:variant,after:string>>"
+CALLS = "array<struct<id:string,name:string,arguments:variant,after:variant>>"
 #: Variant type -> JSON schema type.
 TYPES = {"BIGINT": "integer", "DOUBLE": "number", "FLOAT": "number", "STRING": "string", "BOOLEAN": "boolean", "VOID": "null"}
 
@@ -40,7 +41,7 @@ def schema_table(spark: SparkSession, schemas: dict[str, dict]) -> DataFrame:
 
 def parts(messages: DataFrame) -> DataFrame:
     """One row for each plain message, call and result: conv_id, turn, role, no, kind, text, and
-    of a call call_id, name, arguments (variant), after; of a result call_id and content (variant)."""
+    of a call call_id, name, arguments (variant), after (array of ids); of a result call_id and content (variant)."""
     own = messages.select("conv_id", "turn", "role", "text")
     parsed = own.withColumn("v", F.when(F.col("role").isin("assistant", "tool") & F.startswith(F.ltrim("text"), F.lit("{")), F.try_parse_json("text")))
     parsed = parsed.withColumn("calls", F.when(F.col("role") == "assistant", F.expr(f"try_variant_get(v, '$.tool_calls', '{CALLS}')"))) \
@@ -52,40 +53,67 @@ def parts(messages: DataFrame) -> DataFrame:
     return rows.select(
         "conv_id", "turn", "role", F.coalesce("no", F.lit(0)).alias("no"), "kind",
         F.when(F.col("kind") == "message", F.col("text")).alias("text"), F.coalesce(F.col("c.id"), F.col("answers")).alias("call_id"),
-        F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"), F.col("c.after").alias("after"),
+        F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"), named_calls(F.col("c.after")).alias("after"),
         F.expr("case when kind = 'result' then try_variant_get(v, '$.content', 'variant') end").alias("content"))
 
 
+def named_calls(after: Column) -> Column:
+    """The distinct ids of ``after``, a string or a list of strings; none where it is something else."""
+    one = F.try_variant_get(after, "$", "string")
+    many = F.try_variant_get(after, "$", "array<string>")
+    given = F.coalesce(many, F.when(one.isNotNull(), F.array(one)), F.array().cast("array<string>"))
+    return F.array_sort(F.array_distinct(F.filter(given, lambda x: x.isNotNull())))
+
+
 def owners(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The first call and the first result of each (conv_id, call_id); a null conv_id is a conversation of its own."""
     calls = rows.where("kind = 'call' and call_id is not null").groupBy("conv_id", "call_id").agg(
-        F.min(F.struct("turn", "no", F.coalesce("after", F.lit("")).alias("after"))).alias("call"))
+        F.min(F.struct("turn", "no", "after")).alias("call"))
     results = rows.where("kind = 'result'").groupBy("conv_id", "call_id").agg(F.min("turn").alias("result_turn"), F.count(F.lit(1)).alias("n_results"))
     return calls, results
 
 
 def depths(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, depth): how many calls come before along ``after``; null on or behind a cycle.
-
-    Each round doubles the reach of every unfinished pointer, so rounds grow
-    with the logarithm of the longest chain. An ``after`` without a call
-    counts as none. While a chain with a beginning is open, each round closes
-    part of it; so when a round closes nothing, what is left runs in circles.
+    """(conv_id, call_id, depth): the longest way back along ``after``; null on or behind a cycle.
+
+    An id in ``after`` without a call counts as none. Each round doubles the
+    reach of every open pointer of a call after one other, and closes the calls
+    after several whose predecessors are all closed; so rounds grow with the
+    logarithm of a chain and with the nesting of calls after several. While
+    some open call has no open predecessor each round closes one; when a round
+    closes nothing, what is left runs in circles.
     """
     ids = calls.select(F.col("conv_id").alias("pc"), F.col("call_id").alias("pi"))
-    wanted = calls.select("conv_id", "call_id", F.col("call.after").alias("after"))
-    now = wanted.join(ids, wanted["conv_id"].eqNullSafe(ids["pc"]) & (wanted["after"] == ids["pi"]), "left").select(
-        "conv_id", "call_id", F.col("pi").alias("to"), F.when(F.col("pi").isNull(), 0).otherwise(1).cast("long").alias("depth"))
-    now = written(now, "chain")
-    left, before = now.where(F.col("to").isNotNull()).count(), -1
-    while left not in (0, before):
-        step = now.select(F.col("conv_id").alias("pc"), F.col("call_id").alias("pi"), F.col("to").alias("next"), F.col("depth").alias("more"))
-        open_, done = now.where(F.col("to").isNotNull()), now.where(F.col("to").isNull())
+    wanted = calls.select("conv_id", "call_id", F.explode("call.after").alias("after"))
+    edges = written(wanted.join(ids, wanted["conv_id"].eqNullSafe(ids["pc"]) & (wanted["after"] == ids["pi"])).select(
+        "conv_id", "call_id", F.col("pi").alias("to")), "edges")
+    before = edges.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.max("to").alias("to")) \
+        .select(F.col("conv_id").alias("ec"), F.col("call_id").alias("ei"), "n", "to")
+    own = calls.select("conv_id", "call_id")
+    # to: the pointer of an open call after one other; depth: so far, or whole once closed
+    now = written(own.join(before, own["conv_id"].eqNullSafe(before["ec"]) & (own["call_id"] == before["ei"]), "left").select(
+        "conv_id", "call_id", F.when(F.col("n") == 1, F.col("to")).alias("to"),
+        F.when(F.col("n").isNull(), 0).when(F.col("n") == 1, 1).cast("long").alias("depth"), F.col("n").isNull().alias("closed")), "order")
+    several = edges.join(before.where("n > 1").select("ec", "ei"), edges["conv_id"].eqNullSafe(F.col("ec")) & (edges["call_id"] == F.col("ei"))) \
+        .select("conv_id", "call_id", "to")
+    several = written(several, "several")
+    left, last = now.where(~F.col("closed")).count(), -1
+    while left not in (0, last):
+        step = now.select(F.col("conv_id").alias("pc"), F.col("call_id").alias("pi"), F.col("to").alias("next"),
+                          F.col("depth").alias("more"), F.col("closed").alias("ended"))
+        done, open_ = now.where("closed"), now.where("not closed and to is not null")
         moved = open_.join(step, open_["conv_id"].eqNullSafe(step["pc"]) & (open_["to"] == step["pi"])).select(
-            "conv_id", "call_id", F.col("next").alias("to"), (F.col("depth") + F.col("more")).alias("depth"))
-        now = written(done.union(moved), "chain")
-        left, before = now.where(F.col("to").isNotNull()).count(), left
-    return now.select("conv_id", "call_id", F.when(F.col("to").isNull(), F.col("depth")).alias("depth"))
+            "conv_id", "call_id", F.when(F.col("ended"), None).otherwise(F.coalesce("next", "to")).alias("to"),
+            (F.col("depth") + F.when(F.col("ended") | F.col("next").isNotNull(), F.col("more")).otherwise(0)).alias("depth"),
+            F.col("ended").alias("closed"))
+        waiting = now.where("not closed and to is null").select(F.col("conv_id").alias("wc"), F.col("call_id").alias("wi"))
+        gathered = several.join(waiting, several["conv_id"].eqNullSafe(F.col("wc")) & (several["call_id"] == F.col("wi")), "left_semi")
+        gathered = gathered.join(step, gathered["conv_id"].eqNullSafe(step["pc"]) & (gathered["to"] == step["pi"])) \
+            .groupBy("conv_id", "call_id").agg(F.every("ended").alias("closed"), F.max("more").alias("deepest")) \
+            .select("conv_id", "call_id", F.lit(None).cast("string").alias("to"), F.when(F.col("closed"), F.col("deepest") + 1).alias("depth"), "closed")
+        now = written(done.unionByName(moved).unionByName(gathered), "order")
+        left, last = now.where(~F.col("closed")).count(), left
+    return now.select("conv_id", "call_id", F.when(F.col("closed"), F.col("depth")).alias("depth"))
 
 
 def argument_errors(arguments: Column, params: Column) -> Column:
@@ -129,14 +157,17 @@ def format_chat(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     """
     rows = parts(messages)
     calls, results = owners(rows)
+    # plain messages have no id to be found by: their turn spreads them over the joins' tasks
+    rows = rows.withColumn("linked", F.col("kind") != "message") \
+        .withColumn("find", F.when(F.col("linked"), F.col("call_id")).otherwise(F.col("turn").cast("string")))
     deep = depths(calls)
     known = calls.join(
         deep.select(F.col("conv_id").alias("dc"), F.col("call_id").alias("di"), "depth"),
         F.col("conv_id").eqNullSafe(F.col("dc")) & (F.col("call_id") == F.col("di"))).drop("dc", "di")
-    known = known.select(F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"), "call", "depth")
-    answers = results.select(F.col("conv_id").alias("rc"), F.col("call_id").alias("ri"), "result_turn", "n_results")
-    out = rows.join(known, F.col("conv_id").eqNullSafe(F.col("kc")) & (F.col("call_id") == F.col("ki")), "left") \
-        .join(answers, F.col("conv_id").eqNullSafe(F.col("rc")) & (F.col("call_id") == F.col("ri")), "left") \
+    known = known.select(F.col("conv_id").alias("kc"), F.col("call_id").alias("ki"), "call", "depth", F.lit(True).alias("kl"))
+    answers = results.select(F.col("conv_id").alias("rc"), F.col("call_id").alias("ri"), "result_turn", "n_results", F.lit(True).alias("rl"))
+    out = rows.join(known, F.col("conv_id").eqNullSafe(F.col("kc")) & (F.col("find") == F.col("ki")) & (F.col("linked") == F.col("kl")), "left") \
+        .join(answers, F.col("conv_id").eqNullSafe(F.col("rc")) & (F.col("find") == F.col("ri")) & (F.col("linked") == F.col("rl")), "left") \
         .join(schemas.withColumnRenamed("name", "tool"), F.col("name") == F.col("tool"), "left")
     is_call, is_result = F.col("kind") == "call", F.col("kind") == "result"
     errors = F.when(is_call, F.when(F.col("params").isNull(), F.array(F.concat(F.lit("no schema for "), F.coalesce("name", F.lit("null")))))
@@ -164,15 +195,25 @@ def as_tool_calls(conversations: DataFrame) -> DataFrame:
     """Messages derived from plain conversations, which hold no tool calls of their own.
 
     Each user turn becomes a call of the tool ``reply`` with id ``c<turn>``
-    after the call two turns before; each assistant turn becomes the result of
-    the call one turn before. Other roles stay plain messages.
+    after the call two turns before and the one of turn 0; each assistant turn
+    becomes the result of the call one turn before. Other roles stay plain
+    messages. Some calls are broken: ``words`` is a string where turn mod 8
+    is 4, missing beside an unknown ``note`` where conv_id mod 7 is 3 and turn mod
+    8 is 2, the call of turn 0 comes after that of turn 2 where conv_id mod 13
+    is 6 (a circle), and the call is there twice where conv_id mod 17 is 8.
     """
-    turn = F.col("turn")
-    call = F.to_json(F.struct(F.array(F.struct(
-        F.concat(F.lit("c"), turn.cast("string")).alias("id"), F.lit("reply").alias("name"),
-        F.struct(F.col("text").alias("prompt"), turn.alias("turn"), F.size(F.split("text", " ")).alias("words")).alias("arguments"),
-        F.concat(F.lit("c"), (turn - 2).cast("string")).alias("after"))).alias("tool_calls")))
-    result = F.to_json(F.struct(F.concat(F.lit("c"), (turn - 1).cast("string")).alias("tool_call_id"), F.col("text").alias("content")))
+    turn, conv = F.col("turn"), F.col("conv_id")
+    named = lambda k: F.concat(F.lit("c"), k.cast("string"))
+    words = F.size(F.split("text", " "))
+    given = [F.col("text").alias("prompt"), turn.alias("turn")]
+    arguments = F.when(turn % 8 == 4, F.to_json(F.struct(*given, words.cast("string").alias("words")))) \
+        .when((conv % 7 == 3) & (turn % 8 == 2), F.to_json(F.struct(*given, F.lit(True).alias("note")))) \
+        .otherwise(F.to_json(F.struct(*given, words.alias("words"))))
+    after = F.when((turn == 0) & (conv % 13 == 6), F.array(F.lit("c2"))).when(turn == 0, F.array().cast("array<string>")) \
+        .otherwise(F.array(named(turn - 2), F.lit("c0")))
+    one = F.concat(F.lit('{"id":"'), named(turn), F.lit('","name":"reply","arguments":'), arguments, F.lit(',"after":'), F.to_json(after), F.lit("}"))
+    call = F.concat(F.lit('{"tool_calls":['), one, F.when(conv % 17 == 8, F.concat(F.lit(","), one)).otherwise(""), F.lit("]}"))
+    result = F.to_json(F.struct(named(turn - 1).alias("tool_call_id"), F.col("text").alias("content")))
     return conversations.select(
         "conv_id", "turn", F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool").otherwise(F.col("role")).alias("role"),
         F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(F.col("text")).alias("text"))

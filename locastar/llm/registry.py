@@ -101,24 +101,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_chat": """
         WITH RECURSIVE calls AS (SELECT conv_id, turn FROM conversations WHERE role = 'user'),
+        circles AS (SELECT conv_id FROM calls WHERE conv_id % 13 = 6 AND turn IN (0, 2) GROUP BY conv_id HAVING count(DISTINCT turn) = 2),
         chain(conv_id, turn, depth) AS (
-            SELECT c.conv_id, c.turn, CAST(0 AS BIGINT) FROM calls c
-            WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
-            UNION ALL SELECT c.conv_id, c.turn, k.depth + 1 FROM chain k JOIN calls c ON c.conv_id = k.conv_id AND c.turn = k.turn + 2)
-        SELECT m.conv_id, m.turn, CAST(0 AS INTEGER) AS "no",
+            SELECT c.conv_id, c.turn, CAST(CASE WHEN c.turn <> 0 AND EXISTS (SELECT 1 FROM calls z WHERE z.conv_id = c.conv_id AND z.turn = 0) THEN 1 ELSE 0 END AS BIGINT)
+            FROM calls c WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+            UNION ALL SELECT c.conv_id, c.turn, k.depth + 1 FROM chain k JOIN calls c ON c.conv_id = k.conv_id AND c.turn = k.turn + 2),
+        levels AS (SELECT k.conv_id, k.turn, CASE WHEN o.conv_id IS NULL THEN depth END AS depth FROM chain k LEFT JOIN circles o ON o.conv_id = k.conv_id),
+        times(n) AS (VALUES (0), (1)),
+        said AS (SELECT m.*, n,
+                        CASE WHEN m.turn % 8 = 4 THEN 'type words integer string'
+                             WHEN m.conv_id % 7 = 3 AND m.turn % 8 = 2 THEN 'missing words; unknown note' ELSE '' END AS broken,
+                        len(string_split(m.text, ' ')) AS words
+                 FROM conversations m JOIN times ON n = 0 OR (m.role = 'user' AND m.conv_id % 17 = 8))
+        SELECT m.conv_id, m.turn, CAST(m.n AS INTEGER) AS "no",
                CASE m.role WHEN 'user' THEN 'assistant' WHEN 'assistant' THEN 'tool' ELSE m.role END AS role,
                CASE m.role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
                CASE m.role WHEN 'user' THEN 'c' || m.turn WHEN 'assistant' THEN 'c' || (m.turn - 1) END AS call_id,
                CASE m.role WHEN 'user' THEN 2 * k.depth WHEN 'assistant' THEN 2 * k.depth + 1 END AS level,
-               CASE m.role WHEN 'user' THEN CASE WHEN r.turn IS NULL THEN 'unanswered' ELSE 'linked' END
+               CASE m.role WHEN 'user' THEN CASE WHEN m.n = 1 THEN 'repeated' WHEN k.depth IS NULL THEN 'cycle' WHEN r.turn IS NULL THEN 'unanswered'
+                                                 WHEN broken <> '' THEN 'invalid' ELSE 'linked' END
                            WHEN 'assistant' THEN CASE WHEN k.turn IS NULL THEN 'orphan' ELSE 'linked' END ELSE 'message' END AS status,
-               '' AS errors,
-               CASE m.role WHEN 'user' THEN json_object('arguments', json_object('prompt', m.text, 'turn', m.turn, 'words', len(string_split(m.text, ' '))),
-                                                        'id', 'c' || m.turn, 'name', 'reply', 'type', 'call')
+               CASE m.role WHEN 'user' THEN broken ELSE '' END AS errors,
+               CASE m.role WHEN 'user' THEN json_object('arguments',
+                                   CASE WHEN m.turn % 8 = 4 THEN json_object('prompt', m.text, 'turn', m.turn, 'words', CAST(words AS VARCHAR))
+                                        WHEN broken <> '' THEN json_object('note', true, 'prompt', m.text, 'turn', m.turn)
+                                        ELSE json_object('prompt', m.text, 'turn', m.turn, 'words', words) END,
+                                   'id', 'c' || m.turn, 'name', 'reply', 'type', 'call')
                            WHEN 'assistant' THEN json_object('content', m.text, 'tool_call_id', 'c' || (m.turn - 1), 'type', 'result')
                            ELSE json_object('content', m.text, 'role', m.role) END::VARCHAR AS canonical
-        FROM conversations m
-        LEFT JOIN chain k ON k.conv_id = m.conv_id AND k.turn = CASE m.role WHEN 'user' THEN m.turn WHEN 'assistant' THEN m.turn - 1 END
+        FROM said m
+        LEFT JOIN levels k ON k.conv_id = m.conv_id AND k.turn = CASE m.role WHEN 'user' THEN m.turn WHEN 'assistant' THEN m.turn - 1 END
         LEFT JOIN conversations r ON r.conv_id = m.conv_id AND r.turn = m.turn + 1 AND r.role = 'assistant' AND m.role = 'user'""",
     "op4_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents WHERE doc_id IS NOT NULL)

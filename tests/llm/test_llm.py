@@ -457,6 +457,32 @@ def test_long_chain_of_calls(spark):
     assert {r.turn: r.level for r in got.collect()} == {k: 2 * k for k in range(70)}
 
 
+def longest(after, k, seen=()):
+    """Longest way back, None on or behind a circle."""
+    if k in seen:
+        return None
+    back = [longest(after, p, (*seen, k)) for p in after[k] if p in after]
+    return None if None in back else max(back, default=-1) + 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_order_of_calls_after_several(spark, seed):
+    """Levels are longest ways in random graphs, with circles, unknown ids, and lists beside single ids."""
+    r, rows, after = random.Random(seed), [], {}
+    for conv in range(6):
+        for k in range(14):
+            back = [f"c{r.randrange(14 if r.random() < 0.04 else max(k, 1))}" for _ in range(r.randint(0, 3))] + ["gone"] * (k % 5 == 0)
+            given = '"%s"' % back[0] if len(back) == 1 else '[%s]' % ",".join('"%s"' % b for b in back) if back else "null"
+            after.setdefault(conv, {})[f"c{k}"] = back
+            rows.append((conv, k, "assistant", '{"tool_calls": [{"id": "c%d", "name": "t", "arguments": {}, "after": %s}]}' % (k, given)))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(x.conv_id, x.call_id): x.level for x in chat.format_chat(df, chat.schema_table(spark, {"t": {}})).collect()}
+    for conv, graph in after.items():
+        for k in graph:
+            want = longest(graph, k)
+            assert got[conv, k] == (None if want is None else 2 * want), (conv, k, graph)
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_against_brute_force(spark, docs):
