@@ -29,17 +29,6 @@ def date_key(c: Column | str) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
-def key_to_date(c: Column | str) -> Column:
-    k = _c(c)
-    return F.make_date((k / 10000).cast("int"), ((k / 100).cast("int") % 100), (k % 100))
-
-
-def lit_date(d: dt.date | str) -> Column:
-    if isinstance(d, str):
-        d = dt.date.fromisoformat(d)
-    return F.lit(d)
-
-
 def date_key_of(d: dt.date) -> int:
     return d.year * 10000 + d.month * 100 + d.day
 

@@ -47,12 +47,6 @@ def round_ratio(num: Column | str, den: Column | str, digits: int, scale: int =
     return F.when(d != 0, signed / F.lit(float(p)))
 
 
-def round_avg_cents(sum_cents: Column | str, count: Column | str, digits: int = 2) -> Column:
-    """round(avg(value), digits) from a cent sum (value has 2 decimals)."""
-    return round_ratio(sum_cents, count * 100 if not isinstance(count, str) else F.col(count) * 100,
-                       digits)
-
-
 def cents(c: Column | str) -> Column:
     """Exact integer cents of a DECIMAL(.,2) value."""
     return (_c(c) * 100).cast("long")

@@ -25,3 +25,12 @@ def row_numbers(df: DataFrame, order: Sequence[Column | str], name: str, start:
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     return dealt.withColumn(name, within).join(F.broadcast(offset), "_range") \
         .withColumn(name, (F.col(name) + F.col("_before")).cast("long")).drop("_range", "_before")
+
+
+def positions(ordered: DataFrame, ties: Sequence[Column | str], name: str) -> DataFrame:
+    """``ordered`` with the place of each row in the order that it really has,
+    rows alike in ``ties`` at the place of their first. The order is read off
+    the sorted partitions, not made again."""
+    held = ordered.withColumn("_at", F.monotonically_increasing_id()).checkpoint(eager=True)
+    numbered = row_numbers(held, ["_at"], "_n")
+    return numbered.withColumn(name, F.min("_n").over(Window.partitionBy(*ties))).drop("_at", "_n")

@@ -703,6 +703,11 @@ SELECT nk_frota_origem, nk_id_locacao, nk_id_cliente, data_retirada, data_real_d
 FROM ({_event_rental('latest', 'user_id')}) WHERE event_type <> 'error'""",
 }
 ORACLES.update(RULES)
+for _n, _m, _o in (("o1_order_by_alias", "q1_1_yard_inventory", "total_veiculos DESC NULLS LAST"),
+                   ("o2_order_by_several", "q2_1_transition_matrix", "patio_origem ASC NULLS FIRST, percentual_movimentacao DESC NULLS LAST"),
+                   ("o3_order_by_expression", "q4_2_duration_deviation", "abs(desvio_medio_dias) DESC NULLS LAST"),
+                   ("o4_order_of_union", "q5_1_volume_audit", "registros DESC NULLS LAST")):
+    ORACLES[_n] = f"SELECT *, CAST(rank() OVER (ORDER BY {_o}) AS BIGINT) AS posicao FROM ({ORACLES[_m]})"
 ORACLES.update(STREAMS)
 
 YEAR4 = ("2019", "2020", "2021a", " 2018")

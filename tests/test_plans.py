@@ -90,3 +90,13 @@ def test_sources_force_no_broadcast(spark):
     for entity in ("patio", "grupo", "veiculo", "cliente", "reserva", "locacao", "snapshot"):
         logical = getattr(a, "raw_" + entity)()._jdf.queryExecution().logical().toString()
         assert "Hint" not in logical, entity
+
+
+def test_positions_tell_a_wrong_order(spark):
+    """The place of a row is read off the order that a query has, so a wrong order gives wrong places."""
+    from locastar.operators.numbering import positions
+    df = spark.createDataFrame([(k, k % 5) for k in range(40)], "k long, v long").repartition(4)
+    place = lambda d: {r["k"]: r["p"] for r in positions(d, ["v"], "p").collect()}
+    right = {k: 1 + 8 * (4 - k % 5) for k in range(40)}
+    assert place(df.orderBy(df["v"].desc())) == right
+    assert place(df.orderBy("v")) != right
