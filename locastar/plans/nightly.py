@@ -146,7 +146,8 @@ def _staged(spark: SparkSession, out_dir: str, layer: str, frames: dict[str, Dat
             df = df.where(F.col("nk_frota_origem").isin(*fleets))
         replace_slice(df, path, by, slices=days if len(by) > 1 else [(f,) for f in fleets or FLEETS])
         known_fleets(spark, path)
-        return spark.read.schema(df.schema).parquet(path)
+        back = spark.read.schema(df.schema).parquet(path)
+        return back.where(F.col("nk_frota_origem").isin(*fleets)) if fleets else back
     staged = together(spark, {n: lambda n=n, df=df: stage(n, df) for n, df in frames.items()})
     # of the snapshot only the days of this night; older ones are loaded already
     for n in staged:
