@@ -31,12 +31,39 @@ def canonical(*fields: Column) -> Column:
     return F.to_json(F.to_variant_object(F.struct(*fields)))
 
 
+RULES = ("struct<params:array<struct<param:string,path:string,parent:string,types:array<string>,required:boolean,`enum`:array<string>>>,"
+         "objects:array<struct<path:string,prefix:string,names:array<string>>>,"
+         "items:array<struct<path:string,param:string,types:array<string>,`enum`:array<string>>>>")
+
+
+def flattened(schema: dict, path: str = "$", prefix: str = "") -> dict[str, list[dict]]:
+    """The rules of a JSON schema of an object, nested ones too, each with the path of its value.
+
+    Read are properties, required, type (one or a list), enum, additionalProperties (true: others may
+    be there) and items of arrays (type and enum).
+    """
+    out: dict[str, list[dict]] = {"params": [], "objects": [], "items": []}
+    kinds = lambda d: [t] if isinstance(t := d.get("type", []), str) else list(t)
+    values = lambda d: [json.dumps(x, separators=(",", ":"), ensure_ascii=False) for x in d.get("enum", [])]
+    if "properties" in schema and schema.get("additionalProperties") is not True:
+        out["objects"].append({"path": path, "prefix": prefix, "names": sorted(schema["properties"])})
+    for name, d in sorted(schema.get("properties", {}).items()):
+        if "'" in name:
+            raise ValueError(f"a quote in the name of a parameter: {name}")
+        at, full = f"{path}['{name}']", prefix + name
+        out["params"].append({"param": full, "path": at, "parent": path, "types": kinds(d), "required": name in schema.get("required", []),
+                              "enum": values(d)})
+        if "items" in d:
+            out["items"].append({"path": at, "param": full + "[]", "types": kinds(d["items"]), "enum": values(d["items"])})
+        for k, rules in flattened(d, at, full + ".").items():
+            out[k] += rules
+    return out
+
+
 def schema_table(spark: SparkSession, schemas: dict[str, dict]) -> DataFrame:
-    """(name, params array<struct(param, type, required)>) from JSON schemas of tools' arguments."""
-    listed = {name: [{"param": p, "type": d.get("type", "any"), "required": p in s.get("required", [])}
-                     for p, d in sorted(s.get("properties", {}).items())] for name, s in schemas.items()}
-    kind = "map<string,array<struct<param:string,type:string,required:boolean>>>"
-    return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(listed)), kind)).alias("name", "params"))
+    """(name, rules) from JSON schemas of tools' arguments."""
+    listed = json.dumps({name: flattened({"properties": {}} | s) for name, s in schemas.items()}, ensure_ascii=False)
+    return spark.range(1).select(F.explode(F.from_json(F.lit(listed), f"map<string,{RULES}>")).alias("name", "rules"))
 
 
 def parts(messages: DataFrame) -> DataFrame:
@@ -116,17 +143,29 @@ def depths(calls: DataFrame) -> DataFrame:
     return now.select("conv_id", "call_id", F.when(F.col("closed"), F.col("depth")).alias("depth"))
 
 
-def argument_errors(arguments: Column, params: Column) -> Column:
-    """Sorted messages: what is missing, unknown or of another type."""
-    given = F.try_variant_get(arguments, "$", "map<string,variant>")
-    kinds = F.transform_values(given, lambda k, v: type_of(F.schema_of_variant(v)))
-    missing = F.transform(F.filter(params, lambda p: p["required"] & ~F.coalesce(F.map_contains_key(kinds, p["param"]), F.lit(False))),
-                          lambda p: F.concat(F.lit("missing "), p["param"]))
-    unknown = F.transform(F.filter(F.map_keys(kinds), lambda k: ~F.exists(params, lambda p: p["param"] == k)),
-                          lambda k: F.concat(F.lit("unknown "), k))
-    wrong = F.transform(F.filter(params, lambda p: F.map_contains_key(kinds, p["param"]) & ~fits(F.element_at(kinds, p["param"]), p["type"])),
-                        lambda p: F.concat_ws(" ", F.lit("type"), p["param"], p["type"], F.element_at(kinds, p["param"])))
-    return F.when(given.isNull(), F.array(F.lit("arguments are no object"))).otherwise(F.array_sort(F.concat(missing, unknown, wrong)))
+def argument_errors(arguments: Column, rules: Column) -> Column:
+    """Sorted messages: what is missing, unknown, of another type or outside its values, by dotted names."""
+    at = lambda path: F.try_variant_get(arguments, path, "variant")
+    kind = lambda value: type_of(F.schema_of_variant(value))
+    unfit = lambda value, r: (F.size(r["types"]) > 0) & ~F.exists(r["types"], lambda t: fits(kind(value), t))
+    outside = lambda value, r: (F.size(r["enum"]) > 0) & ~F.array_contains(r["enum"], F.to_json(value))
+    wanted = lambda value, r: F.concat_ws(" ", F.lit("type"), r["param"], F.array_join(r["types"], "|"), kind(value))
+    params, none = rules["params"], F.array().cast("array<string>")
+    missing = F.transform(F.filter(params, lambda p: p["required"] & at(p["path"]).isNull() & (
+        (p["parent"] == "$") | F.coalesce(kind(at(p["parent"])) == "object", F.lit(False)))), lambda p: F.concat(F.lit("missing "), p["param"]))
+    keys = lambda path: F.coalesce(F.map_keys(F.try_variant_get(arguments, path, "map<string,variant>")), none)
+    unknown = F.flatten(F.transform(rules["objects"], lambda o: F.transform(
+        F.filter(keys(o["path"]), lambda k: ~F.array_contains(o["names"], k)), lambda k: F.concat(F.lit("unknown "), o["prefix"], k))))
+    given = F.filter(params, lambda p: at(p["path"]).isNotNull())
+    wrong = F.transform(F.filter(given, lambda p: unfit(at(p["path"]), p)), lambda p: wanted(at(p["path"]), p))
+    beyond = F.transform(F.filter(given, lambda p: outside(at(p["path"]), p)), lambda p: F.concat(F.lit("value "), p["param"]))
+    members = lambda i: F.coalesce(F.try_variant_get(arguments, i["path"], "array<variant>"), F.array().cast("array<variant>"))
+    inside = F.flatten(F.transform(rules["items"], lambda i: F.concat(
+        F.transform(F.filter(members(i), lambda v: unfit(v, i)), lambda v: wanted(v, i)),
+        F.transform(F.filter(members(i), lambda v: outside(v, i)), lambda v: F.concat(F.lit("value "), i["param"])))))
+    whole = F.try_variant_get(arguments, "$", "map<string,variant>")
+    found = F.array_sort(F.array_distinct(F.concat(missing, unknown, wrong, beyond, inside)))
+    return F.when(whole.isNull(), F.array(F.lit("arguments are no object"))).otherwise(found)
 
 
 def type_of(kind: Column) -> Column:
@@ -138,7 +177,7 @@ def type_of(kind: Column) -> Column:
 
 
 def fits(kind: Column, wanted: Column) -> Column:
-    return (wanted == "any") | (kind == wanted) | ((wanted == "number") & (kind == "integer"))
+    return (kind == wanted) | ((wanted == "number") & (kind == "integer"))
 
 
 def format_chat(messages: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -170,8 +209,8 @@ def format_chat(messages: DataFrame, schemas: DataFrame) -> DataFrame:
         .join(answers, F.col("conv_id").eqNullSafe(F.col("rc")) & (F.col("find") == F.col("ri")) & (F.col("linked") == F.col("rl")), "left") \
         .join(schemas.withColumnRenamed("name", "tool"), F.col("name") == F.col("tool"), "left")
     is_call, is_result = F.col("kind") == "call", F.col("kind") == "result"
-    errors = F.when(is_call, F.when(F.col("params").isNull(), F.array(F.concat(F.lit("no schema for "), F.coalesce("name", F.lit("null")))))
-                    .otherwise(argument_errors(F.col("arguments"), F.col("params")))).otherwise(F.array().cast("array<string>"))
+    errors = F.when(is_call, F.when(F.col("rules").isNull(), F.array(F.concat(F.lit("no schema for "), F.coalesce("name", F.lit("null")))))
+                    .otherwise(argument_errors(F.col("arguments"), F.col("rules")))).otherwise(F.array().cast("array<string>"))
     first = (F.col("turn") == F.col("call.turn")) & (F.col("no") == F.col("call.no"))
     status = F.when(is_call, F.when(~F.coalesce(first, F.lit(False)), "repeated").when(F.col("depth").isNull(), "cycle")
                     .when(F.col("result_turn").isNull(), "unanswered").when(F.size("errors") > 0, "invalid").otherwise("linked")) \

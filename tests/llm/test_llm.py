@@ -457,6 +457,27 @@ def test_long_chain_of_calls(spark):
     assert {r.turn: r.level for r in got.collect()} == {k: 2 * k for k in range(70)}
 
 
+def test_nested_arguments(spark):
+    """Nested objects, items, values to choose from and lists of types; unknown names at every level."""
+    schema = {"book": {"type": "object", "required": ["who", "kind"], "properties": {
+        "who": {"type": "object", "required": ["name"], "properties": {"name": {"type": "string"}, "age": {"type": ["integer", "null"]}}},
+        "kind": {"enum": ["a", "b", 3]}, "tags": {"type": "array", "items": {"type": "string"}},
+        "free": {"type": "object", "properties": {"x": {"type": "number"}}, "additionalProperties": True}, "any one": {}}}}
+    cases = {
+        '{"who": {"name": "n", "age": null}, "kind": "a", "tags": ["x"], "free": {"x": 1, "y": 2}, "any one": [1]}': "",
+        '{"who": {"age": "old", "more": 1}, "kind": "c"}': "missing who.name; type who.age integer|null string; unknown who.more; value kind",
+        '{"who": [], "kind": 3}': "type who object array",
+        '{"kind": "b", "tags": ["x", 1, {}, 2]}': "missing who; type tags[] string integer; type tags[] string object",
+        '{"who": {"name": "n"}, "kind": "a", "free": {"x": "1"}, "odd": 1}': "type free.x number string; unknown odd",
+        '[1]': "arguments are no object"}
+    rows = [(1, k, "assistant", '{"tool_calls": [{"id": "c%d", "name": "book", "arguments": %s}]}' % (k, a)) for k, a in enumerate(cases)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: r.errors for r in chat.format_chat(df, chat.schema_table(spark, schema)).collect()}
+    assert [got[k] for k in range(len(cases))] == list(cases.values())
+    with pytest.raises(ValueError):
+        chat.schema_table(spark, {"t": {"properties": {"it's": {}}}})
+
+
 def longest(after, k, seen=()):
     """Longest way back, None on or behind a circle."""
     if k in seen:
