@@ -100,47 +100,56 @@ def owners(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+#: No way back is as long as this; what runs in circles stays below it.
+FAR = 1 << 40
+
+
 def depths(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, depth): the longest way back along ``after``; null on or behind a cycle.
 
-    An id in ``after`` without a call counts as none. Each round doubles the
-    reach of every open pointer of a call after one other, and closes the calls
-    after several whose predecessors are all closed; so rounds grow with the
-    logarithm of a chain and with the nesting of calls after several. While
-    some open call has no open predecessor each round closes one; when a round
-    closes nothing, what is left runs in circles.
+    An id in ``after`` without a call counts as none. A call with one open
+    predecessor is a pointer: its depth is max(base, depth of ``to`` + off), and
+    such pointers can be strung together, so each round doubles their reach. A
+    call after several waits until one of them at most is open. So rounds grow
+    with the logarithm of a chain and with the nesting of calls that wait for
+    several. While some open call has no open predecessor each round
+    closes one; when a round closes nothing, what is left runs in circles.
     """
     ids = calls.select(F.col("conv_id").alias("pc"), F.col("call_id").alias("pi"))
     wanted = calls.select("conv_id", "call_id", F.explode("call.after").alias("after"))
     edges = written(wanted.join(ids, wanted["conv_id"].eqNullSafe(ids["pc"]) & (wanted["after"] == ids["pi"])).select(
         "conv_id", "call_id", F.col("pi").alias("to")), "edges")
-    before = edges.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.max("to").alias("to")) \
-        .select(F.col("conv_id").alias("ec"), F.col("call_id").alias("ei"), "n", "to")
+    back = edges.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.max("to").alias("one")) \
+        .select(F.col("conv_id").alias("ec"), F.col("call_id").alias("ei"), "n", "one")
     own = calls.select("conv_id", "call_id")
-    # to: the pointer of an open call after one other; depth: so far, or whole once closed
-    now = written(own.join(before, own["conv_id"].eqNullSafe(before["ec"]) & (own["call_id"] == before["ei"]), "left").select(
-        "conv_id", "call_id", F.when(F.col("n") == 1, F.col("to")).alias("to"),
-        F.when(F.col("n").isNull(), 0).when(F.col("n") == 1, 1).cast("long").alias("depth"), F.col("n").isNull().alias("closed")), "order")
-    several = edges.join(before.where("n > 1").select("ec", "ei"), edges["conv_id"].eqNullSafe(F.col("ec")) & (edges["call_id"] == F.col("ei"))) \
-        .select("conv_id", "call_id", "to")
-    several = written(several, "several")
+    now = written(own.join(back, own["conv_id"].eqNullSafe(back["ec"]) & (own["call_id"] == back["ei"]), "left").select(
+        "conv_id", "call_id", F.when(F.col("n") == 1, F.col("one")).alias("to"), F.lit(1).cast("long").alias("off"),
+        F.when(F.col("n").isNull(), 0).otherwise(1).cast("long").alias("base"), F.col("n").isNull().alias("closed")), "order")
+    several = written(edges.join(back.where("n > 1").select("ec", "ei"), edges["conv_id"].eqNullSafe(F.col("ec")) & (edges["call_id"] == F.col("ei"))).select(
+        "conv_id", "call_id", "to"), "several")
+    near = lambda c: F.least(c, F.lit(FAR))
     left, last = now.where(~F.col("closed")).count(), -1
     while left not in (0, last):
+        # of a closed call base is its depth
         step = now.select(F.col("conv_id").alias("pc"), F.col("call_id").alias("pi"), F.col("to").alias("next"),
-                          F.col("depth").alias("more"), F.col("closed").alias("ended"))
+                          F.col("off").alias("next_off"), F.col("base").alias("next_base"), F.col("closed").alias("ended"))
         done, open_ = now.where("closed"), now.where("not closed and to is not null")
+        known = F.col("ended") | F.col("next").isNotNull()
         moved = open_.join(step, open_["conv_id"].eqNullSafe(step["pc"]) & (open_["to"] == step["pi"])).select(
             "conv_id", "call_id", F.when(F.col("ended"), None).otherwise(F.coalesce("next", "to")).alias("to"),
-            (F.col("depth") + F.when(F.col("ended") | F.col("next").isNotNull(), F.col("more")).otherwise(0)).alias("depth"),
+            F.when(F.col("next").isNotNull(), near(F.col("off") + F.col("next_off"))).otherwise(F.col("off")).alias("off"),
+            F.when(known, F.greatest("base", near(F.col("off") + F.col("next_base")))).otherwise(F.col("base")).alias("base"),
             F.col("ended").alias("closed"))
         waiting = now.where("not closed and to is null").select(F.col("conv_id").alias("wc"), F.col("call_id").alias("wi"))
         gathered = several.join(waiting, several["conv_id"].eqNullSafe(F.col("wc")) & (several["call_id"] == F.col("wi")), "left_semi")
         gathered = gathered.join(step, gathered["conv_id"].eqNullSafe(step["pc"]) & (gathered["to"] == step["pi"])) \
-            .groupBy("conv_id", "call_id").agg(F.every("ended").alias("closed"), F.max("more").alias("deepest")) \
-            .select("conv_id", "call_id", F.lit(None).cast("string").alias("to"), F.when(F.col("closed"), F.col("deepest") + 1).alias("depth"), "closed")
+            .groupBy("conv_id", "call_id").agg(F.count_if(~F.col("ended")).alias("open"), F.max(F.when(~F.col("ended"), F.col("pi"))).alias("one"),
+                                               F.max(F.when(F.col("ended"), F.col("next_base"))).alias("deepest")) \
+            .select("conv_id", "call_id", F.when(F.col("open") == 1, F.col("one")).alias("to"), F.lit(1).cast("long").alias("off"),
+                    (F.coalesce("deepest", F.lit(0)) + 1).alias("base"), (F.col("open") == 0).alias("closed"))
         now = written(done.unionByName(moved).unionByName(gathered), "order")
         left, last = now.where(~F.col("closed")).count(), left
-    return now.select("conv_id", "call_id", F.when(F.col("closed"), F.col("depth")).alias("depth"))
+    return now.select("conv_id", "call_id", F.when(F.col("closed"), F.col("base")).alias("depth"))
 
 
 def argument_errors(arguments: Column, rules: Column) -> Column:

@@ -452,9 +452,13 @@ def test_chat_links_orders_and_validates(spark):
 
 def test_long_chain_of_calls(spark):
     rows = [(1, k, "assistant", '{"tool_calls": [{"id": "c%d", "name": "t", "arguments": {}, "after": "c%d"}]}' % (k, k - 1)) for k in range(70)]
+    # a chain whose calls all come after the first one too, beside a circle that spins as long as it is open
+    rows += [(2, k, "assistant", '{"tool_calls": [{"id": "c%d", "name": "t", "arguments": {}, "after": ["c%d", "c%d"]}]}' % (k, k - 1, min(k - 1, 0))) for k in range(70)]
+    rows += [(3, k, "assistant", '{"tool_calls": [{"id": "c%d", "name": "t", "arguments": {}, "after": "c%d"}]}' % (k, 1 - k)) for k in range(2)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = chat.format_chat(df, chat.schema_table(spark, {"t": {}}))
-    assert {r.turn: r.level for r in got.collect()} == {k: 2 * k for k in range(70)}
+    levels = {(r.conv_id, r.turn): r.level for r in got.collect()}
+    assert levels == {(c, k): 2 * k for c in (1, 2) for k in range(70)} | {(3, 0): None, (3, 1): None}
 
 
 def test_nested_arguments(spark):
